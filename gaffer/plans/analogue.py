@@ -30,10 +30,17 @@ from __future__ import annotations
 
 from functools import cached_property
 
+from gaffer.sources.landing import publish_once
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaffer.functions.scalars import season_label, sentinel_to_null, tenths
+from gaffer.functions.scalars import in_tenths
+from gaffer.operators.decisions import (
+    bank, best_lineup, best_single_transfer, check_squad, chip_candidates, chip_values,
+    purchase_price, squad_frontier,
+)
 from gaffer.operators.conform import dim_gameweeks, dim_players, dim_teams, resolve_codes
 from gaffer.operators.form import group_baseline_rates, recent_form, shrunk_form
 from gaffer.operators.forecast import (
@@ -52,6 +59,10 @@ PERIOD_DAYS = 15
 ROUNDS = 25
 HORIZON = 8
 SEASON_ID_STRIDE = 1_000_000
+SQUAD_BUDGET_TENTHS = 1500        # the analogue's prices run 4.0 .. 13.0
+FRONTIER_BUDGET_TENTHS = 1000
+LAMBDAS = [x / 4 for x in range(0, 17)]   # price weights 0 .. 4 in steps of 0.25
+SCORE_DIGITS = 9                  # scores compared after rounding off float noise
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -72,12 +83,30 @@ def _r(x) -> "F.Column":
     return F.round(x).cast("int")
 
 
+def mart(fn):
+    """A model materialised as a table (SNK-3), as the reference's marts are:
+    built once per session into the shared checkpoint folder and read back,
+    which also cuts the lineage for everything downstream."""
+    name = fn.__name__
+
+    def get(self):
+        if name not in self.__dict__:
+            df = fn(self)
+            self.__dict__[name] = publish_once(self.spark, f"{self.tag}/{name}", df) \
+                if self.materialize else df
+        return self.__dict__[name]
+    get.__doc__ = fn.__doc__
+    return property(get)
+
+
 class Analogue:
-    """Lazy frames over one scale-factor directory."""
+    """Frames over one scale-factor directory; marts are materialised."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self.materialize = materialize
+        self.tag = "analogue-" + "".join(ch if ch.isalnum() else "_" for ch in self.sf_dir)
 
     def t(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -204,7 +233,7 @@ class Analogue:
             red.cast("int").alias("red_cards"), "saves", bonus.cast("int").alias("bonus"))
 
     # ------------------------------------------------------------ INT-1
-    @cached_property
+    @mart
     def performance(self) -> DataFrame:
         """INT-1: performance rows of both id spaces resolved to stable codes
         and unioned (grain: entity x fixture)."""
@@ -240,11 +269,11 @@ class Analogue:
         return union_current_historical(cur.select(*out_cols), hist.select(*out_cols))
 
     # ------------------------------------------------------------ marts
-    @cached_property
+    @mart
     def dim_teams(self) -> DataFrame:
         return dim_teams(self.teams, self.historical_teams)
 
-    @cached_property
+    @mart
     def dim_players(self) -> DataFrame:
         cur = {"player_code": "player_code", "current_player_id": "player_id", "web_name": "web_name",
                "current_team_code": "current_team_code", "position_id": "position_id",
@@ -271,7 +300,7 @@ class Analogue:
             F.coalesce(gw == F.col("__last"), F.lit(False)).alias("is_current"),
             F.coalesce(gw == F.col("__last") + 1, F.lit(False)).alias("is_next"))
 
-    @cached_property
+    @mart
     def dim_gameweeks(self) -> DataFrame:
         hist = self.performance.where(F.col("season") != CURRENT_SEASON)
         return dim_gameweeks(self.gameweeks, hist, CURRENT_SEASON)
@@ -292,7 +321,7 @@ class Analogue:
             F.when(home_first, i + 1).otherwise(j + 1).cast("int").alias("home_team_id"),
             F.when(home_first, j + 1).otherwise(i + 1).cast("int").alias("away_team_id"))
 
-    @cached_property
+    @mart
     def fixtures(self) -> DataFrame:
         """MRT-6: fixtures with both clubs resolved to codes (JN-6)."""
         f = enrich_roles(self.stg_fixtures, self.teams, "team_id",
@@ -300,7 +329,7 @@ class Analogue:
         return f.select("fixture_id", F.lit(CURRENT_SEASON).alias("season"), "gameweek_id",
                         "home_team_code", "away_team_code")
 
-    @cached_property
+    @mart
     def recent_form(self) -> DataFrame:
         return recent_form(self.performance, CURRENT_SEASON)
 
@@ -308,7 +337,7 @@ class Analogue:
     def baseline(self) -> DataFrame:
         return group_baseline_rates(self.recent_form, self.dim_players)
 
-    @cached_property
+    @mart
     def shrunk(self) -> DataFrame:
         return shrunk_form(self.dim_players, self.recent_form, self.baseline)
 
@@ -316,7 +345,7 @@ class Analogue:
     def periods(self) -> DataFrame:
         return target_periods(self.dim_gameweeks, CURRENT_SEASON, HORIZON)
 
-    @cached_property
+    @mart
     def by_period(self) -> DataFrame:
         return expected_points_by_period(self.shrunk, self.periods, self.fixtures, self.dim_teams,
                                          scoring_rules(self.spark))
@@ -326,7 +355,7 @@ class Analogue:
         return expected_points_next(self.shrunk, self.dim_gameweeks, self.fixtures, self.dim_teams,
                                     scoring_rules(self.spark), CURRENT_SEASON)
 
-    @cached_property
+    @mart
     def horizon(self) -> DataFrame:
         return expected_points_horizon(self.by_period)
 
@@ -335,7 +364,7 @@ class Analogue:
         return fixture_density(self.dim_teams, self.dim_gameweeks, self.fixtures, CURRENT_SEASON)
 
     # ------------------------------------------------------------ squads
-    @cached_property
+    @mart
     def picks(self) -> DataFrame:
         """Manager squads: per supplier, the customers served most recently,
         ``quota`` per position (2/5/5/3), ties by customer key."""
@@ -352,5 +381,56 @@ class Analogue:
             .select("entry_id", "player_code", "position_id", "slot")
 
 
+    @mart
+    def pool(self) -> DataFrame:
+        """Every current player with a horizon score and a price in tenths."""
+        return self.horizon.select(
+            "player_code", "position_id", F.col("current_team_code").alias("team_code"),
+            in_tenths("current_price").alias("price_tenths"),
+            F.col("current_price").cast("double").alias("price"),
+            F.round("horizon_expected_points", SCORE_DIGITS).alias("score"))
+
+    @cached_property
+    def lineup_rows(self) -> DataFrame:
+        ep = self.by_period.select("player_code", "gameweek_id",
+                                   F.round("expected_points", SCORE_DIGITS).alias("expected_points"))
+        return self.picks.select("entry_id", "player_code", "position_id").join(ep, "player_code")
+
+    @mart
+    def lineup(self) -> DataFrame:
+        return best_lineup(self.lineup_rows)
+
+    @cached_property
+    def chips(self) -> DataFrame:
+        return chip_values(self.lineup)
+
+    @cached_property
+    def chip_candidates(self) -> DataFrame:
+        return chip_candidates(self.chips)
+
+    @cached_property
+    def squad_check(self) -> DataFrame:
+        return check_squad(self.picks, self.pool, budget_tenths=SQUAD_BUDGET_TENTHS)
+
+    @cached_property
+    def purchases(self) -> DataFrame:
+        cur = self.players.select("player_code", F.col("price").cast("double").alias("price"))
+        return purchase_price(self.picks, None, None, cur)
+
+    @cached_property
+    def bank(self) -> DataFrame:
+        return bank(self.purchases, budget_tenths=SQUAD_BUDGET_TENTHS)
+
+    @cached_property
+    def best_transfer(self) -> DataFrame:
+        sq = self.purchases.select("entry_id", "player_code",
+                                   in_tenths("purchase_price").alias("purchase_tenths"))
+        return best_single_transfer(sq, self.pool, self.bank)
+
+    @cached_property
+    def frontier(self) -> DataFrame:
+        return squad_frontier(self.pool, LAMBDAS, FRONTIER_BUDGET_TENTHS)
+
+
 def current_season_label() -> str:
     return CURRENT_SEASON

@@ -335,3 +335,147 @@ def q_next(spark, d):
   FROM by_period GROUP BY player_code, web_name, position_id, current_team_code, current_price""")
 def q_horizon(spark, d):
     return Analogue(spark, d).horizon
+
+
+# ---------------------------------------------------------------- decisions
+@register("entry_picks", O.decisions_chain() + "\n SELECT * FROM picks")
+def q_picks(spark, d):
+    return Analogue(spark, d).picks
+
+
+@register("best_lineup", O.decisions_chain(O.LINEUP) + "\n SELECT * FROM lineup")
+def q_best_lineup(spark, d):
+    return Analogue(spark, d).lineup
+
+
+@register("bench_boost_by_period", O.decisions_chain(O.LINEUP) +
+          "\n SELECT entry_id, gameweek_id, bench_boost_value FROM chips")
+def q_bench_boost(spark, d):
+    return Analogue(spark, d).chips.select("entry_id", "gameweek_id", "bench_boost_value")
+
+
+@register("triple_captain_by_period", O.decisions_chain(O.LINEUP) +
+          "\n SELECT entry_id, gameweek_id, triple_captain_value, triple_captain_code FROM chips")
+def q_triple_captain(spark, d):
+    return Analogue(spark, d).chips.select("entry_id", "gameweek_id", "triple_captain_value",
+                                           "triple_captain_code")
+
+
+@register("chip_candidates", O.decisions_chain(O.LINEUP) + """
+  , chip_long AS (
+    SELECT entry_id, gameweek_id, 'bench_boost' AS chip_name, bench_boost_value AS opportunity_value FROM chips
+    UNION ALL
+    SELECT entry_id, gameweek_id, 'triple_captain', triple_captain_value FROM chips)
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY entry_id, chip_name
+                                 ORDER BY opportunity_value DESC, gameweek_id) AS chip_rank
+    FROM chip_long) WHERE chip_rank <= 3""")
+def q_chip_candidates(spark, d):
+    return Analogue(spark, d).chip_candidates
+
+
+@register("squad_rule_check", O.decisions_chain() + """
+  , s AS (SELECT k.entry_id, k.player_code, k.position_id, p.team_code, p.price
+          FROM picks k LEFT JOIN pool p ON k.player_code = p.player_code),
+  clubs AS (SELECT entry_id, max(n) AS max_per_club FROM
+            (SELECT entry_id, team_code, count(*) AS n FROM s GROUP BY entry_id, team_code) GROUP BY entry_id),
+  pos_ok AS (SELECT entry_id, sum(CASE WHEN n = squad_quota THEN 1 ELSE 0 END) AS n_pos_ok FROM
+             (SELECT entry_id, position_id, count(*) AS n FROM s GROUP BY entry_id, position_id) x
+             JOIN quotas q USING (position_id) GROUP BY entry_id),
+  tot AS (SELECT entry_id, count(*) AS n_players, sum(CAST(round(price * 10) AS BIGINT)) AS cost_tenths,
+          count(price) AS n_priced FROM s GROUP BY entry_id)
+  SELECT t.entry_id, t.n_players, c.max_per_club, t.cost_tenths / 10.0 AS squad_cost,
+    t.n_players = 15 AS size_ok, coalesce(p.n_pos_ok, 0) = 4 AS positions_ok,
+    c.max_per_club <= 3 AS clubs_ok, (t.cost_tenths <= 1500 AND t.n_priced = t.n_players) AS budget_ok
+  FROM tot t LEFT JOIN clubs c USING (entry_id) LEFT JOIN pos_ok p USING (entry_id)""")
+def q_squad_check(spark, d):
+    return Analogue(spark, d).squad_check
+
+
+@register("bank", O.decisions_chain() + """
+  SELECT k.entry_id, 1500 - sum(CAST(round(p.price * 10) AS BIGINT)) AS bank_tenths
+  FROM picks k JOIN players p ON k.player_code = p.player_code GROUP BY k.entry_id""")
+def q_bank(spark, d):
+    return Analogue(spark, d).bank
+
+
+_SQ = """
+  , sq AS (SELECT k.entry_id, k.player_code, p.position_id, p.team_code, p.price_tenths, p.score
+           FROM picks k JOIN pool p ON k.player_code = p.player_code),
+  bank_t AS (SELECT k.entry_id, 1500 - sum(CAST(round(pl.price * 10) AS BIGINT)) AS bank_tenths
+             FROM picks k JOIN players pl ON k.player_code = pl.player_code GROUP BY k.entry_id),
+  club_n AS (SELECT entry_id, team_code, count(*) AS n_club FROM sq GROUP BY entry_id, team_code),
+  swaps AS (
+    SELECT o.entry_id, o.player_code AS out_code, i.player_code AS in_code, o.position_id,
+      i.score - o.score AS gain, (b.bank_tenths + o.price_tenths - i.price_tenths) / 10.0 AS bank_after
+    FROM sq o JOIN bank_t b ON o.entry_id = b.entry_id
+    JOIN pool i ON i.position_id = o.position_id AND i.price_tenths <= b.bank_tenths + o.price_tenths
+    LEFT JOIN club_n c ON c.entry_id = o.entry_id AND c.team_code = i.team_code
+    WHERE NOT EXISTS (SELECT 1 FROM sq s WHERE s.entry_id = o.entry_id AND s.player_code = i.player_code)
+      AND coalesce(c.n_club, 0) - (CASE WHEN i.team_code = o.team_code THEN 1 ELSE 0 END) + 1 <= 3
+  ),
+  best_swap AS (
+    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY entry_id ORDER BY gain DESC, out_code, in_code) AS rn
+                   FROM swaps) WHERE rn = 1
+  )"""
+
+
+@register("best_single_transfer", O.decisions_chain() + _SQ + """
+  SELECT entry_id, out_code, in_code, position_id, gain, bank_after FROM best_swap""")
+def q_best_transfer(spark, d):
+    return Analogue(spark, d).best_transfer
+
+
+@register("transfer_diff", O.decisions_chain() + _SQ + """
+  , after AS (
+    SELECT entry_id, player_code, position_id FROM picks k
+    WHERE NOT EXISTS (SELECT 1 FROM best_swap b WHERE b.entry_id = k.entry_id AND b.out_code = k.player_code)
+    UNION ALL
+    SELECT entry_id, in_code, position_id FROM best_swap),
+  outs AS (SELECT entry_id, position_id, player_code FROM picks k
+           WHERE NOT EXISTS (SELECT 1 FROM after a WHERE a.entry_id = k.entry_id AND a.player_code = k.player_code)),
+  ins AS (SELECT entry_id, position_id, player_code FROM after a
+          WHERE NOT EXISTS (SELECT 1 FROM picks k WHERE a.entry_id = k.entry_id AND a.player_code = k.player_code))
+  SELECT coalesce(o.entry_id, i.entry_id) AS entry_id, coalesce(o.position_id, i.position_id) AS position_id,
+    coalesce(o.pair, i.pair) AS pair, o.player_code AS player_code_out, i.player_code AS player_code_in
+  FROM (SELECT *, row_number() OVER (PARTITION BY entry_id, position_id ORDER BY player_code) AS pair FROM outs) o
+  FULL JOIN (SELECT *, row_number() OVER (PARTITION BY entry_id, position_id ORDER BY player_code) AS pair FROM ins) i
+    ON o.entry_id = i.entry_id AND o.position_id = i.position_id AND o.pair = i.pair""")
+def q_transfer_diff(spark, d):
+    from gaffer.operators.setops import transfer_diff
+    a = Analogue(spark, d)
+    before = a.picks.select("entry_id", "player_code", "position_id")
+    bt = a.best_transfer
+    kept = before.join(bt.select("entry_id", F.col("out_code").alias("player_code")),
+                       ["entry_id", "player_code"], "left_anti")
+    after = kept.unionByName(bt.select("entry_id", F.col("in_code").alias("player_code"), "position_id"))
+    return transfer_diff(before, after, ["entry_id"], "player_code", pair_by="position_id")
+
+
+def _frontier_sql() -> str:
+    from gaffer.plans.analogue import FRONTIER_BUDGET_TENTHS, LAMBDAS
+    lam = ", ".join(f"({x})" for x in LAMBDAS)
+    b = FRONTIER_BUDGET_TENTHS
+    return O.decisions_chain(f"grid(lam) AS (VALUES {lam})") + f"""
+  , p AS (SELECT pool.*, grid.lam, q.squad_quota, pool.score - grid.lam * pool.price_tenths / 10.0 AS adj
+          FROM pool CROSS JOIN grid JOIN quotas q ON pool.position_id = q.position_id),
+  up AS (SELECT lam, sum(adj) AS s FROM (
+           SELECT *, row_number() OVER (PARTITION BY lam, position_id ORDER BY adj DESC, player_code) AS r FROM p)
+         WHERE r <= squad_quota GROUP BY lam),
+  upper_b AS (SELECT min(lam * {b} / 10.0 + s) AS upper_bound FROM up),
+  c3 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lam, team_code ORDER BY adj DESC, player_code) AS c
+                        FROM p) WHERE c <= 3),
+  sqd AS (SELECT lam, count(*) AS n, sum(score) AS value, sum(price_tenths) AS cost_t FROM (
+            SELECT *, row_number() OVER (PARTITION BY lam, position_id ORDER BY adj DESC, player_code) AS r FROM c3)
+          WHERE r <= squad_quota GROUP BY lam),
+  lower_b AS (SELECT value AS lower_value, lam AS best_lambda, cost_t / 10.0 AS squad_cost FROM (
+                SELECT *, row_number() OVER (ORDER BY value DESC, lam) AS b FROM sqd
+                WHERE n = 15 AND cost_t <= {b}) WHERE b = 1)
+  SELECT {b} / 10.0 AS budget, lower_value, upper_bound, upper_bound - lower_value AS gap, best_lambda,
+    squad_cost, lower_value IS NOT NULL AS feasible
+  FROM upper_b LEFT JOIN lower_b ON true"""
+
+
+@register("squad_frontier", _frontier_sql())
+def q_frontier(spark, d):
+    return Analogue(spark, d).frontier

@@ -34,6 +34,7 @@ def build_session(master: str | None = None, app: str = "gaffer",
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    conf.setdefault("spark.driver.memory", os.environ.get("GAFFER_DRIVER_MEMORY", "16g"))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
