@@ -30,7 +30,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from gaffer.sources.landing import publish_once
+from gaffer.sources.landing import publish_once, published
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -91,9 +91,13 @@ def mart(fn):
 
     def get(self):
         if name not in self.__dict__:
-            df = fn(self)
-            self.__dict__[name] = publish_once(self.spark, f"{self.tag}/{name}", df) \
-                if self.materialize else df
+            key = f"{self.tag}/{name}"
+            done = published(self.spark, key) if self.materialize else None
+            if done is not None:
+                self.__dict__[name] = done
+            else:
+                df = fn(self)
+                self.__dict__[name] = publish_once(self.spark, key, df) if self.materialize else df
         return self.__dict__[name]
     get.__doc__ = fn.__doc__
     return property(get)
@@ -247,26 +251,29 @@ class Analogue:
                      (F.col("o_orderkey") % ROUNDS + 1).cast("int").alias("opponent_id"),
                      (F.col("o_orderkey") % 2 == 0).alias("was_home"))
         measures = [c for c in self.order_measures.columns if c != "l_orderkey"]
-        out_cols = ["season", "gameweek_id", "player_code", "team_code", "opponent_team_code",
-                    "was_home", F.col("o_orderkey").alias("fixture_id"), *measures]
-        # current season: ids resolve through today's players and clubs (JN-1, JN-6)
-        cur = o.where(F.col("yr") == CURRENT_YEAR)
-        cur = cur.join(self.players.select(F.col("player_id").alias("element"), "player_code", "team_id"),
-                       "element", "inner")
-        cur = enrich_roles(cur, self.teams, "team_id",
-                           {"own": "team_id", "opp": "opponent_id"}, {"team_code": "code"})
-        cur = cur.withColumnRenamed("own_code", "team_code") \
-            .withColumnRenamed("opp_code", "opponent_team_code")
-        # past seasons: (season, id) and (season, club name) keys (JN-2, JN-7)
-        hist = o.where(F.col("yr") < CURRENT_YEAR)
-        hist = hist.join(self.historical_players.select(
-            "season", F.col("player_id").alias("element"), "player_code", "team_name"),
-            ["season", "element"], "inner")
+        # Resolve both id spaces on the (small) dimension side and union the
+        # maps, so the fact is scanned and joined once:
+        #   current season: season id -> code; club via today's club id (JN-1/5)
+        #   past seasons:   (season, id) -> code; club by (season, name) (JN-2/7)
+        cur_ids = enrich_roles(self.players.select("player_id", "player_code", "team_id"),
+                               self.teams, "team_id", {"own": "team_id"}, {"team_code": "code"}) \
+            .select(F.lit(CURRENT_SEASON).alias("season"), F.col("player_id").alias("element"),
+                    "player_code", F.col("own_code").alias("team_code"))
         ht = self.historical_teams
-        hist = resolve_codes(hist, ht, ["season", "team_name"], "team_code", "team_code", "left")
-        hist = resolve_codes(hist, ht.withColumnRenamed("team_id", "opponent_id"),
-                             ["season", "opponent_id"], "team_code", "opponent_team_code", "left")
-        return union_current_historical(cur.select(*out_cols), hist.select(*out_cols))
+        hist_ids = resolve_codes(self.historical_players.select(
+            "season", F.col("player_id").alias("element"), "player_code", "team_name"),
+            ht, ["season", "team_name"], "team_code", "team_code", "left").drop("team_name")
+        ids = union_current_historical(cur_ids, hist_ids)
+        clubs = union_current_historical(
+            self.teams.select(F.lit(CURRENT_SEASON).alias("season"),
+                              F.col("team_id").alias("opponent_id"),
+                              F.col("team_code").alias("opponent_team_code")),
+            ht.select("season", F.col("team_id").alias("opponent_id"),
+                      F.col("team_code").alias("opponent_team_code")))
+        rows = o.join(ids, ["season", "element"], "inner") \
+            .join(clubs, ["season", "opponent_id"], "left")
+        return rows.select("season", "gameweek_id", "player_code", "team_code", "opponent_team_code",
+                           "was_home", F.col("o_orderkey").alias("fixture_id"), *measures)
 
     # ------------------------------------------------------------ marts
     @mart

@@ -110,6 +110,12 @@ def append_batch(df: DataFrame, path: str, run_ts: str | None = None) -> None:
 _PUBLISHED: dict[tuple[str, str], str] = {}
 
 
+def published(spark: SparkSession, name: str) -> DataFrame | None:
+    """The table materialised by :func:`publish_once` in this session, if any."""
+    path = _PUBLISHED.get((spark.sparkContext.applicationId, name))
+    return spark.read.parquet(path) if path else None
+
+
 def publish_once(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
     """Materialise ``df`` once per session under the shared checkpoint folder
     (``spark.checkpoint.dir``) and return the table read back."""
