@@ -479,3 +479,96 @@ def _frontier_sql() -> str:
 @register("squad_frontier", _frontier_sql())
 def q_frontier(spark, d):
     return Analogue(spark, d).frontier
+
+
+# ---------------------------------------------------------------- streaming
+@register("stream_latest_per_key", _LPK.format(keys="user_id"))
+def q_stream_latest(spark, d):
+    from gaffer.streaming.latest import stream_latest
+    ev = _t(spark, d, "events")
+    out = stream_latest(spark, d, ev.schema, ["user_id"], ["ts", "event_id"],
+                        ["event_type", "value", "props"], name="events-latest-" + d.strip("/").replace("/", "_"),
+                        glob="events.parquet")
+    k = nested.parse_json(out, "props", {"k": ("k", "int")}, carry=["user_id", "event_id", "event_type",
+                                                                    "value", "ts"])
+    return k.select("user_id", "event_id", "event_type", "value", "k", F.col("ts").alias("fetched_at"))
+
+
+# ---------------------------------------------------------------- data quality
+def _suite(a: Analogue):
+    from gaffer.operators.quality import Check
+    perf, dp, dt = a.performance, a.dim_players, a.dim_teams
+    return [
+        Check("dim_players", "player_code", "not_null", dp),
+        Check("dim_players", "player_code", "unique", dp),
+        Check("dim_teams", "team_code", "not_null", dt),
+        Check("dim_teams", "team_code", "unique", dt),
+        Check("dim_gameweeks", "gameweek_id", "not_null", a.dim_gameweeks),
+        Check("fct_player_gameweek_performance", "player_code", "relationships", perf, dp, "player_code"),
+        Check("fct_player_gameweek_performance", "team_code", "relationships", perf, dt, "team_code"),
+        Check("fct_player_gameweek_performance", "opponent_team_code", "relationships", perf, dt, "team_code"),
+        Check("fct_fixtures", "home_team_code", "relationships", a.fixtures, dt, "team_code"),
+        Check("fct_fixtures", "away_team_code", "relationships", a.fixtures, dt, "team_code"),
+        Check("int_player_form_shrunk", "player_code", "unique", a.shrunk),
+        Check("fct_player_expected_points_by_gameweek", "player_code", "not_null", a.by_period),
+    ]
+
+
+_DQ_SQL = O.chain(O.FORM, O.forecast_sql(8)) + """
+  SELECT 'dim_players' AS table_name, 'player_code' AS column_name, 'not_null' AS check_name,
+    count(*) AS failures FROM dim_players WHERE player_code IS NULL
+  UNION ALL SELECT 'dim_players', 'player_code', 'unique', count(*) FROM
+    (SELECT player_code FROM dim_players WHERE player_code IS NOT NULL GROUP BY 1 HAVING count(*) > 1)
+  UNION ALL SELECT 'dim_teams', 'team_code', 'not_null', count(*) FROM dim_teams WHERE team_code IS NULL
+  UNION ALL SELECT 'dim_teams', 'team_code', 'unique', count(*) FROM
+    (SELECT team_code FROM dim_teams WHERE team_code IS NOT NULL GROUP BY 1 HAVING count(*) > 1)
+  UNION ALL SELECT 'dim_gameweeks', 'gameweek_id', 'not_null', count(*) FROM dim_gameweeks WHERE gameweek_id IS NULL
+  UNION ALL SELECT 'fct_player_gameweek_performance', 'player_code', 'relationships', count(*) FROM perf
+    WHERE player_code IS NOT NULL AND player_code NOT IN (SELECT player_code FROM dim_players WHERE player_code IS NOT NULL)
+  UNION ALL SELECT 'fct_player_gameweek_performance', 'team_code', 'relationships', count(*) FROM perf
+    WHERE team_code IS NOT NULL AND team_code NOT IN (SELECT team_code FROM dim_teams WHERE team_code IS NOT NULL)
+  UNION ALL SELECT 'fct_player_gameweek_performance', 'opponent_team_code', 'relationships', count(*) FROM perf
+    WHERE opponent_team_code IS NOT NULL
+      AND opponent_team_code NOT IN (SELECT team_code FROM dim_teams WHERE team_code IS NOT NULL)
+  UNION ALL SELECT 'fct_fixtures', 'home_team_code', 'relationships', count(*) FROM fct_fixtures
+    WHERE home_team_code IS NOT NULL AND home_team_code NOT IN (SELECT team_code FROM dim_teams WHERE team_code IS NOT NULL)
+  UNION ALL SELECT 'fct_fixtures', 'away_team_code', 'relationships', count(*) FROM fct_fixtures
+    WHERE away_team_code IS NOT NULL AND away_team_code NOT IN (SELECT team_code FROM dim_teams WHERE team_code IS NOT NULL)
+  UNION ALL SELECT 'int_player_form_shrunk', 'player_code', 'unique', count(*) FROM
+    (SELECT player_code FROM shrunk WHERE player_code IS NOT NULL GROUP BY 1 HAVING count(*) > 1)
+  UNION ALL SELECT 'fct_player_expected_points_by_gameweek', 'player_code', 'not_null', count(*)
+    FROM by_period WHERE player_code IS NULL"""
+
+
+@register("dq_suite", _DQ_SQL)
+def q_dq_suite(spark, d):
+    from gaffer.operators.quality import run_suite
+    return run_suite(_suite(Analogue(spark, d)))
+
+
+@register("dq_not_null", O.chain() + """
+  SELECT season, fixture_id, player_code FROM perf WHERE opponent_team_code IS NULL""")
+def q_dq_not_null(spark, d):
+    from gaffer.operators.quality import not_null
+    return not_null(Analogue(spark, d).performance, "opponent_team_code") \
+        .select("season", "fixture_id", "player_code")
+
+
+@register("dq_unique", O.chain() + """
+  SELECT gameweek_id, count(*) AS n FROM dim_gameweeks WHERE gameweek_id IS NOT NULL
+  GROUP BY gameweek_id HAVING count(*) > 1""")
+def q_dq_unique(spark, d):
+    from gaffer.operators.quality import unique
+    return unique(Analogue(spark, d).dim_gameweeks, "gameweek_id")
+
+
+@register("dq_relationships", O.chain() + """
+  SELECT p.season, p.fixture_id, p.team_code FROM perf p
+  WHERE p.team_code IS NOT NULL AND NOT EXISTS (
+    SELECT 1 FROM dim_teams t WHERE t.team_code = p.team_code AND t.is_in_current_season)""")
+def q_dq_relationships(spark, d):
+    from gaffer.operators.quality import relationships
+    a = Analogue(spark, d)
+    cur = a.dim_teams.where(F.col("is_in_current_season"))
+    return relationships(a.performance, "team_code", cur, "team_code") \
+        .select("season", "fixture_id", "team_code")
