@@ -52,7 +52,8 @@ def _project(obj: Column, fields: dict, lenient: bool) -> list[Column]:
             c = c.getField(p)
         if cleaner is not None:
             c = cleaner(c)
-        cols.append(typed(c, dtype, lenient).alias(out))
+        c = dtype(c) if callable(dtype) else typed(c, dtype, lenient)
+        cols.append(c.alias(out))
     return cols
 
 
