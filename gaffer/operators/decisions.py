@@ -250,10 +250,36 @@ def net_points(gain, n_transfers, free_transfers, hit: int = 4):
     return gain - F.lit(hit) * F.greatest(F.col(n_transfers) - F.col(free_transfers), F.lit(0))
 
 
+def _frontier_parts(pool: DataFrame, lambdas: Sequence[float], keys: Sequence[str],
+                    score: str, code: str, position: str, club: str, price_t: str):
+    spark = pool.sparkSession
+    grid = bounded(spark.createDataFrame([(float(x),) for x in lambdas], "lam double"))
+    q = bounded(squad_quotas(spark))
+    adj = (F.col(score) - F.col("lam") * F.col(price_t) / 10.0)
+    p = pool.select(*keys, code, position, club, price_t, score).crossJoin(grid) \
+        .withColumn("adj", adj).join(q, position)
+    order = [F.col("adj").desc(), F.col(code)]
+    # club cap first (best 3 per club), then the quota per position
+    c3 = p.withColumn("__c", F.row_number().over(Window.partitionBy(*keys, "lam", club).orderBy(*order))) \
+        .where(F.col("__c") <= MAX_PER_CLUB)
+    chosen = c3.withColumn("__r", F.row_number().over(
+        Window.partitionBy(*keys, "lam", position).orderBy(*order))) \
+        .where(F.col("__r") <= F.col("squad_quota")).drop("__c", "__r")
+    squads = chosen.groupBy(*keys, "lam").agg(F.count(F.lit(1)).alias("n"), F.sum(score).alias("value"),
+                                              F.sum(price_t).alias("cost_t"))
+    # Lagrangian relaxation of budget and club cap: top quota per position
+    up = p.withColumn("__r", F.row_number().over(
+        Window.partitionBy(*keys, "lam", position).orderBy(*order))) \
+        .where(F.col("__r") <= F.col("squad_quota")) \
+        .groupBy(*keys, "lam").agg(F.sum("adj").alias("adj_sum"))
+    return p, chosen, squads, up
+
+
 def squad_frontier(pool: DataFrame, lambdas: Sequence[float], budget_tenths: int,
                    score: str = "score", code: str = "player_code",
                    position: str = "position_id", club: str = "team_code",
-                   price_t: str = "price_tenths") -> DataFrame:
+                   price_t: str = "price_tenths", keys: Sequence[str] = (),
+                   with_squad: bool = False):
     """DEC-14: squad construction under budget, quotas and the club cap.
 
     For each price weight ``l`` in the (bounded) grid, rank players by
@@ -261,36 +287,129 @@ def squad_frontier(pool: DataFrame, lambdas: Sequence[float], budget_tenths: int
     position; that squad is legal on quotas and clubs, and the best one within
     budget is the lower bound. Dropping the club cap gives the Lagrangian
     upper bound ``min_l (l * B + sum of top-quota(score - l * price))``.
-    One row: ``lower_value``, ``upper_bound``, ``gap``, ``best_lambda``,
-    ``squad_cost`` (NULLs and ``feasible`` false when no weight gives a legal
-    squad within budget).
+    One row per ``keys`` group (e.g. per period): ``lower_value``,
+    ``upper_bound``, ``gap``, ``best_lambda``, ``squad_cost`` (NULLs and
+    ``feasible`` false when no weight gives a legal squad within budget).
+    ``with_squad`` also returns the chosen squad's rows.
+    """
+    keys = list(keys)
+    _, chosen, squads, up = _frontier_parts(pool, lambdas, keys, score, code, position, club, price_t)
+    upper = up.groupBy(*keys).agg(F.min(F.col("lam") * budget_tenths / 10.0 + F.col("adj_sum"))
+                                  .alias("upper_bound"))
+    feas = squads.where((F.col("n") == SQUAD_SIZE) & (F.col("cost_t") <= budget_tenths))
+    w = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(1))
+    best = feas.withColumn("__b", F.row_number().over(w.orderBy(F.col("value").desc(), F.col("lam")))) \
+        .where(F.col("__b") == 1)
+    lower = best.select(*keys, F.col("value").alias("lower_value"), F.col("lam").alias("best_lambda"),
+                        (F.col("cost_t") / 10.0).alias("squad_cost"))
+    out = (upper.join(lower, keys, "left") if keys else upper.join(lower, how="left")).select(
+        *keys, F.lit(budget_tenths / 10.0).alias("budget"), "lower_value", "upper_bound",
+        (F.col("upper_bound") - F.col("lower_value")).alias("gap"), "best_lambda", "squad_cost",
+        F.col("lower_value").isNotNull().alias("feasible"))
+    if not with_squad:
+        return out
+    squad = chosen.join(lower.select(*keys, F.col("best_lambda").alias("lam")), [*keys, "lam"], "inner") \
+        .select(*keys, code, position, club, price_t, score)
+    return out, squad
+
+
+def free_hit(own_lineup: DataFrame, period_pool: DataFrame, lambdas: Sequence[float],
+             budget_tenths: int = 1000, entity: str = "entry_id", period: str = "gameweek_id",
+             score: str = "expected_points") -> DataFrame:
+    """DEC-18: Free Hit value per (manager, period) = XI total (captain
+    doubled) of the best any-15 squad for that period - the manager's own XI
+    total. The any-15 squad is DEC-14's lower-bound squad for the period (the
+    reference likewise takes the XI of the total-maximising 15); computed once
+    per period, then joined to every manager."""
+    _, fh_squad = squad_frontier(period_pool.withColumnRenamed(score, "score"), lambdas, budget_tenths,
+                                 keys=[period], with_squad=True)
+    rows = fh_squad.select(F.lit(0).alias("__e"), period, "player_code", "position_id",
+                           F.col("score").alias(score))
+    fh = best_lineup(rows, keys=["__e", period], score=score) \
+        .groupBy(period).agg(F.max("total_expected_points").alias("free_hit_points"))
+    own = own_lineup.groupBy(entity, period).agg(F.max("total_expected_points").alias("own_points"))
+    return own.join(fh, period, "left").select(
+        entity, period, "own_points", "free_hit_points",
+        (F.col("free_hit_points") - F.col("own_points")).alias("free_hit_value"))
+
+
+def wildcard_gain(squads: DataFrame, pool: DataFrame, bank_t: DataFrame, best_transfer: DataFrame,
+                  lambdas: Sequence[float], entity: str = "entry_id", score: str = "score",
+                  code: str = "player_code", position: str = "position_id",
+                  club: str = "team_code", price_t: str = "price_tenths",
+                  threshold: float = 4.0) -> DataFrame:
+    """DEC-19: Wildcard gain interval per manager.
+
+    ordinary = squad value + best single-transfer gain (if positive, one free
+    transfer). Wildcard: budget = bank + sum of sell values.
+    * lower: the best DEC-14 grid squad (current prices) within that budget;
+      at sell-value prices it is no dearer, so it is a feasible plan.
+    * upper: ``min_l (l * B + sum_pos top-quota adj)`` where the manager's own
+      players are re-priced at sell value. Re-pricing only raises their adj,
+      so the top quota of any position lies in the global top ``quota + 5``
+      list plus the manager's own players: a bounded candidate set per
+      manager, never the whole pool.
+    verdict: 'play' when lower - ordinary >= threshold, 'hold' when
+    upper - ordinary < threshold, else 'uncertain'.
     """
     spark = pool.sparkSession
+    p, _, squads_l, _ = _frontier_parts(pool, lambdas, [], score, code, position, club, price_t)
+    own = squads.join(pool.select(code, position, club, price_t, score), code, "inner") \
+        .withColumn("sell_t", sell_value_tenths(F.col(price_t), F.col("purchase_tenths")))
+    value = own.groupBy(entity).agg(F.sum(score).alias("squad_value"),
+                                    F.sum("sell_t").alias("sell_sum"))
+    budget = value.join(bank_t, entity).select(entity, "squad_value",
+                                               (F.col("bank_tenths") + F.col("sell_sum")).alias("wc_budget"))
+    ordinary = budget.join(best_transfer.select(entity, "gain"), entity, "left").select(
+        entity, "wc_budget",
+        (F.col("squad_value") + F.greatest(F.coalesce("gain", F.lit(0.0)), F.lit(0.0))).alias("ordinary"))
+    # lower bound: grid squads (bounded, broadcast) affordable within each budget
+    grid_sq = squads_l.where(F.col("n") == SQUAD_SIZE).select("lam", "value", "cost_t")
+    lower = ordinary.join(bounded(grid_sq), F.col("cost_t") <= F.col("wc_budget"), "left") \
+        .groupBy(entity).agg(F.max("value").alias("lower_value"))
+    # upper bound: global top (quota + 5) per (lambda, position), bounded
+    top = p.withColumn("__r", F.row_number().over(
+        Window.partitionBy("lam", position).orderBy(F.col("adj").desc(), F.col(code)))) \
+        .where(F.col("__r") <= F.col("squad_quota") + 5) \
+        .select("lam", position, code, "adj", "squad_quota")
     grid = bounded(spark.createDataFrame([(float(x),) for x in lambdas], "lam double"))
     q = bounded(squad_quotas(spark))
-    adj = (F.col(score) - F.col("lam") * F.col(price_t) / 10.0)
-    p = pool.select(code, position, club, price_t, score).crossJoin(grid) \
-        .withColumn("adj", adj).join(q, position)
-    order = [F.col("adj").desc(), F.col(code)]
-    # upper bound: top quota per (lambda, position), clubs relaxed
-    up = p.withColumn("__r", F.row_number().over(Window.partitionBy("lam", position).orderBy(*order))) \
+    own_adj = own.crossJoin(grid).join(q, position).select(
+        entity, "lam", position, code, "squad_quota",
+        (F.col(score) - F.col("lam") * F.col("sell_t") / 10.0).alias("adj"))
+    cand = ordinary.select(entity).crossJoin(bounded(top)) \
+        .join(own_adj.select(entity, code), [entity, code], "left_anti") \
+        .unionByName(own_adj)
+    up = cand.withColumn("__r", F.row_number().over(
+        Window.partitionBy(entity, "lam", position).orderBy(F.col("adj").desc(), F.col(code)))) \
         .where(F.col("__r") <= F.col("squad_quota")) \
-        .groupBy("lam").agg(F.sum("adj").alias("__s")) \
-        .select((F.col("lam") * budget_tenths / 10.0 + F.col("__s")).alias("bound"))
-    upper = up.agg(F.min("bound").alias("upper_bound"))
-    # lower bound: club cap, then quotas
-    c3 = p.withColumn("__c", F.row_number().over(Window.partitionBy("lam", club).orderBy(*order))) \
-        .where(F.col("__c") <= MAX_PER_CLUB)
-    sq = c3.withColumn("__r", F.row_number().over(Window.partitionBy("lam", position).orderBy(*order))) \
-        .where(F.col("__r") <= F.col("squad_quota")) \
-        .groupBy("lam").agg(F.count(F.lit(1)).alias("n"), F.sum(score).alias("value"),
-                            F.sum(price_t).alias("cost_t"))
-    feas = sq.where((F.col("n") == SQUAD_SIZE) & (F.col("cost_t") <= budget_tenths))
-    best = feas.withColumn("__b", F.row_number().over(
-        Window.partitionBy(F.lit(1)).orderBy(F.col("value").desc(), F.col("lam")))).where(F.col("__b") == 1)
-    lower = best.select(F.col("value").alias("lower_value"), F.col("lam").alias("best_lambda"),
-                        (F.col("cost_t") / 10.0).alias("squad_cost"))
-    return upper.join(lower, how="left").select(
-        F.lit(budget_tenths / 10.0).alias("budget"), "lower_value", "upper_bound",
-        (F.col("upper_bound") - F.col("lower_value")).alias("gap"), "best_lambda", "squad_cost",
-        F.col("lower_value").isNotNull().alias("feasible"))
+        .groupBy(entity, "lam").agg(F.sum("adj").alias("adj_sum")) \
+        .join(ordinary.select(entity, "wc_budget"), entity) \
+        .groupBy(entity).agg(F.min(F.col("lam") * F.col("wc_budget") / 10.0 + F.col("adj_sum"))
+                             .alias("upper_value"))
+    out = ordinary.join(lower, entity, "left").join(up, entity, "left")
+    lo, hi = F.col("lower_value") - F.col("ordinary"), F.col("upper_value") - F.col("ordinary")
+    return out.select(
+        entity, "ordinary", "lower_value", "upper_value", lo.alias("gain_lower"), hi.alias("gain_upper"),
+        F.when(lo >= threshold, "play").when(hi < threshold, "hold").otherwise("uncertain").alias("verdict"))
+
+
+def recommendation_rows(lineup: DataFrame, players: DataFrame, keys=("entry_id", "gameweek_id")) -> DataFrame:
+    """SNK-4: the rows of a squad recommendation batch (append with
+    ``landing.append_batch`` to stamp one ``generated_at``)."""
+    keys = list(keys)
+    j = lineup.join(players.select("player_code", "web_name", F.col("current_team_code").alias("team_code"),
+                                   F.col("current_price").cast("double").alias("price")),
+                    "player_code", "left")
+    tot = j.groupBy(*keys).agg(F.sum("price").alias("total_squad_cost"))
+    return j.join(tot, keys).select(
+        *keys, "player_code", "web_name", "position_id", "team_code", "price", "expected_points",
+        "squad_role", "bench_order", "is_captain", "is_vice_captain", "total_squad_cost",
+        "total_expected_points")
+
+
+def chip_rows(candidates: DataFrame, entity: str = "entry_id") -> DataFrame:
+    """SNK-5: one row per (manager, chip): the best period and its value."""
+    return candidates.where(F.col("chip_rank") == 1).select(
+        entity, "chip_name", "gameweek_id", "opportunity_value",
+        F.concat(F.lit("best of top 3 by "), F.col("chip_name")).alias("detail"))

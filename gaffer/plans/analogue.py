@@ -39,7 +39,7 @@ from gaffer.functions.scalars import season_label, sentinel_to_null, tenths
 from gaffer.functions.scalars import in_tenths
 from gaffer.operators.decisions import (
     bank, best_lineup, best_single_transfer, check_squad, chip_candidates, chip_values,
-    purchase_price, squad_frontier,
+    free_hit, purchase_price, squad_frontier, wildcard_gain,
 )
 from gaffer.operators.conform import dim_gameweeks, dim_players, dim_teams, resolve_codes
 from gaffer.operators.form import group_baseline_rates, recent_form, shrunk_form
@@ -439,5 +439,22 @@ class Analogue:
         return squad_frontier(self.pool, LAMBDAS, FRONTIER_BUDGET_TENTHS)
 
 
+    @cached_property
+    def free_hit(self) -> DataFrame:
+        """DEC-18 per (manager, period)."""
+        pp = self.by_period.select(
+            "player_code", "gameweek_id", "position_id", F.col("current_team_code").alias("team_code"),
+            in_tenths("current_price").alias("price_tenths"),
+            F.round("expected_points", SCORE_DIGITS).alias("expected_points"))
+        return free_hit(self.lineup, pp, LAMBDAS, FRONTIER_BUDGET_TENTHS)
+
+    @cached_property
+    def wildcard(self) -> DataFrame:
+        """DEC-19 per manager."""
+        sq = self.purchases.select("entry_id", "player_code",
+                                   in_tenths("purchase_price").alias("purchase_tenths"))
+        return wildcard_gain(sq, self.pool, self.bank, self.best_transfer, LAMBDAS)
+
+
 def current_season_label() -> str:
     return CURRENT_SEASON

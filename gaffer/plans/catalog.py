@@ -572,3 +572,84 @@ def q_dq_relationships(spark, d):
     cur = a.dim_teams.where(F.col("is_in_current_season"))
     return relationships(a.performance, "team_code", cur, "team_code") \
         .select("season", "fixture_id", "team_code")
+
+
+def _lam_values() -> str:
+    from gaffer.plans.analogue import LAMBDAS
+    return ", ".join(f"({x})" for x in LAMBDAS)
+
+
+@register("free_hit_bound", O.decisions_chain(O.LINEUP, f"grid(lam) AS (VALUES {_lam_values()})") + """
+  , pp AS (SELECT player_code, gameweek_id, position_id, current_team_code AS team_code,
+             CAST(round(current_price * 10) AS BIGINT) AS price_tenths, round(expected_points, 9) AS score
+           FROM by_period),
+  fp AS (SELECT pp.*, grid.lam, q.squad_quota, pp.score - grid.lam * pp.price_tenths / 10.0 AS adj
+         FROM pp CROSS JOIN grid JOIN quotas q ON pp.position_id = q.position_id),
+  fc3 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY gameweek_id, lam, team_code
+                                                      ORDER BY adj DESC, player_code) AS c FROM fp) WHERE c <= 3),
+  fchosen AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY gameweek_id, lam, position_id
+                                                          ORDER BY adj DESC, player_code) AS r FROM fc3)
+              WHERE r <= squad_quota),
+  fsq AS (SELECT gameweek_id, lam, count(*) AS n, sum(score) AS value, sum(price_tenths) AS cost_t
+          FROM fchosen GROUP BY gameweek_id, lam),
+  fbest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY gameweek_id ORDER BY value DESC, lam) AS b
+                           FROM fsq WHERE n = 15 AND cost_t <= 1000) WHERE b = 1),
+  fh_rows AS (SELECT c.gameweek_id, c.player_code, c.position_id, c.score AS expected_points
+              FROM fchosen c JOIN fbest b ON c.gameweek_id = b.gameweek_id AND c.lam = b.lam),
+  fr AS (SELECT *, row_number() OVER (PARTITION BY gameweek_id, position_id
+                                      ORDER BY expected_points DESC, player_code) AS pos_rank FROM fh_rows),
+  fper AS (SELECT r.gameweek_id, f.formation_id, sum(r.expected_points) AS xi, count(*) AS n
+           FROM fr r JOIN formations f ON r.position_id = f.position_id AND r.pos_rank <= f.starters
+           GROUP BY r.gameweek_id, f.formation_id),
+  fxi AS (SELECT gameweek_id, max(xi) AS xi FROM fper WHERE n = 11 GROUP BY gameweek_id),
+  fcap AS (SELECT gameweek_id, max(expected_points) AS cap FROM fh_rows GROUP BY gameweek_id),
+  fhv AS (SELECT x.gameweek_id, x.xi + c.cap AS free_hit_points FROM fxi x JOIN fcap c ON x.gameweek_id = c.gameweek_id),
+  own AS (SELECT entry_id, gameweek_id, max(total_expected_points) AS own_points FROM lineup
+          GROUP BY entry_id, gameweek_id)
+  SELECT o.entry_id, o.gameweek_id, o.own_points, f.free_hit_points,
+    f.free_hit_points - o.own_points AS free_hit_value
+  FROM own o LEFT JOIN fhv f ON o.gameweek_id = f.gameweek_id""")
+def q_free_hit(spark, d):
+    return Analogue(spark, d).free_hit
+
+
+@register("wildcard_gain_bound", O.decisions_chain(f"grid(lam) AS (VALUES {_lam_values()})") + _SQ + """
+  , p AS (SELECT pool.*, grid.lam, q.squad_quota, pool.score - grid.lam * pool.price_tenths / 10.0 AS adj
+          FROM pool CROSS JOIN grid JOIN quotas q ON pool.position_id = q.position_id),
+  c3 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lam, team_code ORDER BY adj DESC, player_code) AS c
+                        FROM p) WHERE c <= 3),
+  sqd AS (SELECT lam, count(*) AS n, sum(score) AS value, sum(price_tenths) AS cost_t FROM (
+            SELECT *, row_number() OVER (PARTITION BY lam, position_id ORDER BY adj DESC, player_code) AS r FROM c3)
+          WHERE r <= squad_quota GROUP BY lam),
+  own AS (SELECT k.entry_id, p0.player_code, p0.position_id, p0.score, p0.price_tenths,
+            CASE WHEN p0.price_tenths > CAST(round(pl.price * 10) AS BIGINT)
+                 THEN CAST(round(pl.price * 10) AS BIGINT) + floor((p0.price_tenths - CAST(round(pl.price * 10) AS BIGINT)) / 2)
+                 ELSE p0.price_tenths END AS sell_t
+          FROM picks k JOIN pool p0 ON k.player_code = p0.player_code JOIN players pl ON k.player_code = pl.player_code),
+  val AS (SELECT entry_id, sum(score) AS squad_value, sum(sell_t) AS sell_sum FROM own GROUP BY entry_id),
+  ord AS (SELECT v.entry_id, b.bank_tenths + v.sell_sum AS wc_budget,
+            v.squad_value + greatest(coalesce(bs.gain, 0.0), 0.0) AS ordinary
+          FROM val v JOIN bank_t b ON v.entry_id = b.entry_id LEFT JOIN best_swap bs ON v.entry_id = bs.entry_id),
+  lower_w AS (SELECT o.entry_id, max(s.value) AS lower_value FROM ord o
+              LEFT JOIN sqd s ON s.n = 15 AND s.cost_t <= o.wc_budget GROUP BY o.entry_id),
+  top AS (SELECT lam, position_id, player_code, adj, squad_quota FROM (
+            SELECT *, row_number() OVER (PARTITION BY lam, position_id ORDER BY adj DESC, player_code) AS r FROM p)
+          WHERE r <= squad_quota + 5),
+  own_adj AS (SELECT o.entry_id, g.lam, o.position_id, o.player_code, q.squad_quota,
+                o.score - g.lam * o.sell_t / 10.0 AS adj
+              FROM own o CROSS JOIN grid g JOIN quotas q ON o.position_id = q.position_id),
+  cand AS (SELECT o.entry_id, t.lam, t.position_id, t.player_code, t.squad_quota, t.adj FROM ord o CROSS JOIN top t
+           WHERE NOT EXISTS (SELECT 1 FROM own w WHERE w.entry_id = o.entry_id AND w.player_code = t.player_code)
+           UNION ALL SELECT entry_id, lam, position_id, player_code, squad_quota, adj FROM own_adj),
+  up AS (SELECT entry_id, lam, sum(adj) AS adj_sum FROM (
+           SELECT *, row_number() OVER (PARTITION BY entry_id, lam, position_id ORDER BY adj DESC, player_code) AS r
+           FROM cand) WHERE r <= squad_quota GROUP BY entry_id, lam),
+  upper_w AS (SELECT u.entry_id, min(u.lam * o.wc_budget / 10.0 + u.adj_sum) AS upper_value
+              FROM up u JOIN ord o ON u.entry_id = o.entry_id GROUP BY u.entry_id)
+  SELECT o.entry_id, o.ordinary, l.lower_value, u.upper_value, l.lower_value - o.ordinary AS gain_lower,
+    u.upper_value - o.ordinary AS gain_upper,
+    CASE WHEN l.lower_value - o.ordinary >= 4 THEN 'play' WHEN u.upper_value - o.ordinary < 4 THEN 'hold'
+         ELSE 'uncertain' END AS verdict
+  FROM ord o LEFT JOIN lower_w l ON o.entry_id = l.entry_id LEFT JOIN upper_w u ON o.entry_id = u.entry_id""")
+def q_wildcard(spark, d):
+    return Analogue(spark, d).wildcard

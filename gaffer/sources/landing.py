@@ -83,6 +83,12 @@ def land_csv(spark: SparkSession, path: str | Sequence[str], season: str | None
         .agg(F.to_json(F.collect_list("__r")).alias("payload")).drop("__cell")
 
 
+def first_n(df: DataFrame, key: str, n: int | None) -> DataFrame:
+    """SRC-7: the first ``n`` entities by key (``--limit``); the limit is the
+    feature here. ``None`` keeps everything."""
+    return df if n is None else df.orderBy(key).limit(n)
+
+
 def append_snapshot(df: DataFrame, path: str, partition_by: Sequence[str] = ("ingest_date",)) -> None:
     """SNK-1: append a batch of snapshots, partitioned by ingest date."""
     out = df
