@@ -50,22 +50,24 @@ def best_lineup(rows: DataFrame, keys: Sequence[str] = ("entry_id", "gameweek_id
     """
     keys = list(keys)
     spark = rows.sparkSession
-    # one shuffle on the key; every later window/aggregate is clustered by it
+    # One shuffle on the key. Every later step is a window partitioned by the
+    # key (or the key plus a column), which that hash partitioning satisfies,
+    # so there is no aggregate-and-join-back and no second exchange.
     r = rows.repartition(*keys).withColumn(
         "pos_rank", F.row_number().over(Window.partitionBy(*keys, position)
                                         .orderBy(*_score_order(score, code))))
-    f = bounded(formations(spark))
-    per_f = r.join(f, position).where(F.col("pos_rank") <= F.col("starters")) \
-        .groupBy(*keys, "formation_id", "formation") \
-        .agg(F.sum(score).alias("xi_points"), F.count(F.lit(1)).alias("n_xi"))
-    best = per_f.where(F.col("n_xi") == XI_SIZE).withColumn(
-        "__b", F.row_number().over(Window.partitionBy(*keys).orderBy(
-            F.col("xi_points").desc(), F.col("formation_id")))).where(F.col("__b") == 1)
-    starters = f.select(F.col("formation_id").alias("__fid"), F.col(position).alias("__pos"), "starters")
-    lined = r.join(best.select(*keys, "formation_id", "formation", "xi_points"), keys, "inner") \
-        .join(starters, (F.col("formation_id") == F.col("__fid")) & (F.col(position) == F.col("__pos"))) \
-        .withColumn("is_starter", F.col("pos_rank") <= F.col("starters")) \
-        .drop("__fid", "__pos", "starters")
+    # each player against each of the 8 legal formations (bounded fan-out)
+    rf = r.join(bounded(formations(spark)), position) \
+        .withColumn("__in", F.col("pos_rank") <= F.col("starters"))
+    wf = Window.partitionBy(*keys, "formation_id")
+    rf = rf.withColumn("xi_points", F.sum(F.when(F.col("__in"), F.col(score))).over(wf)) \
+        .withColumn("__n", F.sum(F.when(F.col("__in"), 1).otherwise(0)).over(wf)) \
+        .where(F.col("__n") == XI_SIZE)
+    # ties between formations (or weights) compare on values rounded past
+    # float noise, so the choice does not depend on the order of addition
+    best = Window.partitionBy(*keys).orderBy(F.round("xi_points", 9).desc(), F.col("formation_id"))
+    lined = rf.withColumn("__fr", F.dense_rank().over(best)).where(F.col("__fr") == 1) \
+        .withColumn("is_starter", F.col("__in"))
     w_start = Window.partitionBy(*keys).orderBy(
         F.col("is_starter").desc(), F.col(score).desc(), F.col(code))
     w_bench = Window.partitionBy(*keys).orderBy(
@@ -102,7 +104,7 @@ def chip_candidates(values: DataFrame, entity: str = "entry_id", period: str = "
         part = values.select(entity, period, F.lit(c.replace("_value", "")).alias("chip_name"),
                              F.col(c).alias("opportunity_value"))
         long = part if long is None else long.unionByName(part)
-    w = Window.partitionBy(entity, "chip_name").orderBy(F.col("opportunity_value").desc(), F.col(period))
+    w = Window.partitionBy(entity, "chip_name").orderBy(F.round("opportunity_value", 9).desc(), F.col(period))
     return long.withColumn("chip_rank", F.row_number().over(w)).where(F.col("chip_rank") <= k)
 
 
@@ -213,31 +215,32 @@ def best_single_transfer(squads: DataFrame, pool: DataFrame, bank_t: DataFrame,
     Output per manager: out/in codes, ``gain`` (score in - score out) and the
     bank after the swap; no row when no legal swap exists.
     """
-    own = squads.join(pool, code, "inner").join(bank_t, entity, "inner")
+    # one shuffle: the squads by manager; everything after is a broadcast
+    # join (bounded ladder) or a per-manager window/aggregate on that layout
+    own = squads.join(pool, code, "inner").join(bank_t, entity, "inner").repartition(entity)
     own = own.withColumn("budget_tenths", F.col("bank_tenths")
-                         + sell_value_tenths(F.col("price_tenths"), F.col("purchase_tenths")))
+                         + sell_value_tenths(F.col(price_t), F.col("purchase_tenths")))
     # budget levels: every tenth of the price range (bounded by the price
     # domain, not by the data volume)
     span = pool.agg(F.min(price_t).alias("__lo"), F.max(price_t).alias("__hi"))
     levels = span.select(F.explode(F.sequence("__lo", "__hi")).alias("level_tenths"))
-    ladder = price_ladder(pool, levels, score, code, position, club)
+    ladder = price_ladder(pool, levels, score, code, position, club, price_t)
     # a budget above the dearest player buys what the top level buys
     own = own.crossJoin(bounded(span.select("__hi"))) \
         .withColumn("__lv", F.least(F.col("budget_tenths"), F.col("__hi")))
-    clubs = squads.join(pool.select(code, club), code).groupBy(entity, club) \
-        .agg(F.count(F.lit(1)).alias("n_club"))
+    # per-squad state, bounded by the squad size (15): owned codes and clubs
+    state = own.groupBy(entity).agg(F.collect_list(code).alias("__owned"),
+                                    F.collect_list(club).alias("__clubs"))
     o = own.select(entity, F.col(code).alias("out_code"), F.col(position),
                    F.col(club).alias("out_club"), F.col(score).alias("out_score"),
                    F.col("__lv").alias("level_tenths"), "budget_tenths")
     cand = ladder.select(F.col(code).alias("in_code"), position, F.col(club).alias("in_club"),
-                         F.col(score).alias("in_score"), F.col("price_tenths").alias("in_price"),
+                         F.col(score).alias("in_score"), F.col(price_t).alias("in_price"),
                          "level_tenths")
-    pairs = o.join(cand, [position, "level_tenths"], "inner")
-    owned = squads.select(entity, F.col(code).alias("in_code"))
-    pairs = pairs.join(owned, [entity, "in_code"], "left_anti") \
-        .join(clubs.select(entity, F.col(club).alias("in_club"), "n_club"), [entity, "in_club"], "left")
-    after = F.coalesce(F.col("n_club"), F.lit(0)) - F.when(F.col("in_club") == F.col("out_club"), 1).otherwise(0) + 1
-    pairs = pairs.where(after <= MAX_PER_CLUB)
+    pairs = o.join(bounded(cand), [position, "level_tenths"], "inner").join(state, entity, "inner")
+    n_club = F.size(F.filter("__clubs", lambda c: c == F.col("in_club")))
+    after = n_club - F.when(F.col("in_club") == F.col("out_club"), 1).otherwise(0) + 1
+    pairs = pairs.where(~F.array_contains("__owned", F.col("in_code")) & (after <= MAX_PER_CLUB))
     gain = F.col("in_score") - F.col("out_score")
     w = Window.partitionBy(entity).orderBy(gain.desc(), F.col("out_code"), F.col("in_code"))
     return pairs.withColumn("__b", F.row_number().over(w)).where(F.col("__b") == 1).select(
@@ -298,7 +301,7 @@ def squad_frontier(pool: DataFrame, lambdas: Sequence[float], budget_tenths: int
                                   .alias("upper_bound"))
     feas = squads.where((F.col("n") == SQUAD_SIZE) & (F.col("cost_t") <= budget_tenths))
     w = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(1))
-    best = feas.withColumn("__b", F.row_number().over(w.orderBy(F.col("value").desc(), F.col("lam")))) \
+    best = feas.withColumn("__b", F.row_number().over(w.orderBy(F.round("value", 9).desc(), F.col("lam")))) \
         .where(F.col("__b") == 1)
     lower = best.select(*keys, F.col("value").alias("lower_value"), F.col("lam").alias("best_lambda"),
                         (F.col("cost_t") / 10.0).alias("squad_cost"))

@@ -428,7 +428,7 @@ class Analogue:
     def bank(self) -> DataFrame:
         return bank(self.purchases, budget_tenths=SQUAD_BUDGET_TENTHS)
 
-    @cached_property
+    @mart
     def best_transfer(self) -> DataFrame:
         sq = self.purchases.select("entry_id", "player_code",
                                    in_tenths("purchase_price").alias("purchase_tenths"))

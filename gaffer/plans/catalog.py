@@ -368,7 +368,7 @@ def q_triple_captain(spark, d):
     SELECT entry_id, gameweek_id, 'triple_captain', triple_captain_value FROM chips)
   SELECT * FROM (
     SELECT *, row_number() OVER (PARTITION BY entry_id, chip_name
-                                 ORDER BY opportunity_value DESC, gameweek_id) AS chip_rank
+                                 ORDER BY round(opportunity_value, 9) DESC, gameweek_id) AS chip_rank
     FROM chip_long) WHERE chip_rank <= 3""")
 def q_chip_candidates(spark, d):
     return Analogue(spark, d).chip_candidates
@@ -469,7 +469,7 @@ def _frontier_sql() -> str:
             SELECT *, row_number() OVER (PARTITION BY lam, position_id ORDER BY adj DESC, player_code) AS r FROM c3)
           WHERE r <= squad_quota GROUP BY lam),
   lower_b AS (SELECT value AS lower_value, lam AS best_lambda, cost_t / 10.0 AS squad_cost FROM (
-                SELECT *, row_number() OVER (ORDER BY value DESC, lam) AS b FROM sqd
+                SELECT *, row_number() OVER (ORDER BY round(value, 9) DESC, lam) AS b FROM sqd
                 WHERE n = 15 AND cost_t <= {b}) WHERE b = 1)
   SELECT {b} / 10.0 AS budget, lower_value, upper_bound, upper_bound - lower_value AS gap, best_lambda,
     squad_cost, lower_value IS NOT NULL AS feasible
@@ -592,7 +592,7 @@ def _lam_values() -> str:
               WHERE r <= squad_quota),
   fsq AS (SELECT gameweek_id, lam, count(*) AS n, sum(score) AS value, sum(price_tenths) AS cost_t
           FROM fchosen GROUP BY gameweek_id, lam),
-  fbest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY gameweek_id ORDER BY value DESC, lam) AS b
+  fbest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY gameweek_id ORDER BY round(value, 9) DESC, lam) AS b
                            FROM fsq WHERE n = 15 AND cost_t <= 1000) WHERE b = 1),
   fh_rows AS (SELECT c.gameweek_id, c.player_code, c.position_id, c.score AS expected_points
               FROM fchosen c JOIN fbest b ON c.gameweek_id = b.gameweek_id AND c.lam = b.lam),
