@@ -28,6 +28,7 @@ from gaffer.operators.joins import bounded
 from gaffer.sources.seed import MAX_PER_CLUB, SQUAD_SIZE, XI_SIZE, formations, squad_quotas
 
 GK = 1
+MAX_QUOTA = 5   # the largest position quota: a literal bound lets Spark limit map-side
 # A squad owns at most 5 players of one position (the largest quota), so the
 # 6 best of a (position, club) within a budget always include an unowned one.
 CLUB_LADDER_DEPTH = 6
@@ -265,15 +266,16 @@ def _frontier_parts(pool: DataFrame, lambdas: Sequence[float], keys: Sequence[st
     # club cap first (best 3 per club), then the quota per position
     c3 = p.withColumn("__c", F.row_number().over(Window.partitionBy(*keys, "lam", club).orderBy(*order))) \
         .where(F.col("__c") <= MAX_PER_CLUB)
+    # literal bound first (a map-side group limit), then the per-position quota
     chosen = c3.withColumn("__r", F.row_number().over(
         Window.partitionBy(*keys, "lam", position).orderBy(*order))) \
-        .where(F.col("__r") <= F.col("squad_quota")).drop("__c", "__r")
+        .where(F.col("__r") <= MAX_QUOTA).where(F.col("__r") <= F.col("squad_quota")).drop("__c", "__r")
     squads = chosen.groupBy(*keys, "lam").agg(F.count(F.lit(1)).alias("n"), F.sum(score).alias("value"),
                                               F.sum(price_t).alias("cost_t"))
     # Lagrangian relaxation of budget and club cap: top quota per position
     up = p.withColumn("__r", F.row_number().over(
         Window.partitionBy(*keys, "lam", position).orderBy(*order))) \
-        .where(F.col("__r") <= F.col("squad_quota")) \
+        .where(F.col("__r") <= MAX_QUOTA).where(F.col("__r") <= F.col("squad_quota")) \
         .groupBy(*keys, "lam").agg(F.sum("adj").alias("adj_sum"))
     return p, chosen, squads, up
 
@@ -373,6 +375,7 @@ def wildcard_gain(squads: DataFrame, pool: DataFrame, bank_t: DataFrame, best_tr
     # upper bound: global top (quota + 5) per (lambda, position), bounded
     top = p.withColumn("__r", F.row_number().over(
         Window.partitionBy("lam", position).orderBy(F.col("adj").desc(), F.col(code)))) \
+        .where(F.col("__r") <= MAX_QUOTA + SQUAD_SIZE) \
         .where(F.col("__r") <= F.col("squad_quota") + 5) \
         .select("lam", position, code, "adj", "squad_quota")
     grid = bounded(spark.createDataFrame([(float(x),) for x in lambdas], "lam double"))
