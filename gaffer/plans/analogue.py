@@ -348,7 +348,7 @@ class Analogue:
     def shrunk(self) -> DataFrame:
         return shrunk_form(self.dim_players, self.recent_form, self.baseline)
 
-    @cached_property
+    @mart
     def periods(self) -> DataFrame:
         return target_periods(self.dim_gameweeks, CURRENT_SEASON, HORIZON)
 

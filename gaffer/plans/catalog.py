@@ -653,3 +653,82 @@ def q_free_hit(spark, d):
   FROM ord o LEFT JOIN lower_w l ON o.entry_id = l.entry_id LEFT JOIN upper_w u ON o.entry_id = u.entry_id""")
 def q_wildcard(spark, d):
     return Analogue(spark, d).wildcard
+
+
+# ---------------------------------------------------------------- more marts and sinks
+@register("dim_positions", O.chain() + """
+  , rules(position_id, position_name, squad_select, squad_min_play, squad_max_play) AS (VALUES
+      (1, 'Goalkeeper', 2, 1, 1), (2, 'Defender', 5, 3, 5), (3, 'Midfielder', 5, 2, 5), (4, 'Forward', 3, 1, 3))
+  SELECT r.position_id, r.position_name, upper(left(r.position_name, 3)) AS position_name_short,
+    r.squad_select, r.squad_min_play, r.squad_max_play
+  FROM rules r WHERE r.position_id IN (SELECT DISTINCT position_id FROM players)""")
+def q_dim_positions(spark, d):
+    """MRT-3 / PRJ-4: the positions present among current players with their
+    squad rules (the staging positions table of the analogue)."""
+    from gaffer.sources.seed import SQUAD_RULES, scoring_rules
+    rules = spark.createDataFrame(SQUAD_RULES, "position_id int, squad_select int, squad_min_play int, "
+                                               "squad_max_play int") \
+        .join(scoring_rules(spark).select("position_id", "position_name"), "position_id")
+    present = Analogue(spark, d).players.select("position_id").distinct()
+    return rules.join(present, "position_id", "left_semi").select(
+        "position_id", "position_name", F.upper(F.substring("position_name", 1, 3)).alias("position_name_short"),
+        "squad_select", "squad_min_play", "squad_max_play")
+
+
+@register("entry_gameweek_performance", f"""
+  WITH h AS (
+    SELECT l_suppkey AS entry_id, {O.period_sql('l_shipdate')} AS gameweek_id,
+      CAST(sum(l_quantity) AS BIGINT) AS points, count(DISTINCT l_orderkey) AS transfers_made
+    FROM lineitem WHERE year(l_shipdate) = {O.CY} GROUP BY 1, 2),
+  ps AS (
+    SELECT l_suppkey AS entry_id, {O.period_sql('l_shipdate')} AS gameweek_id,
+      CASE WHEN count(*) >= 3 THEN 'bboost' ELSE '3xc' END AS active_chip
+    FROM lineitem WHERE year(l_shipdate) = {O.CY} AND l_returnflag = 'R' GROUP BY 1, 2)
+  SELECT h.entry_id, h.gameweek_id, h.points, h.transfers_made, ps.active_chip
+  FROM h LEFT JOIN ps ON h.entry_id = ps.entry_id AND h.gameweek_id = ps.gameweek_id""")
+def q_entry_gw_perf(spark, d):
+    """MRT-8 / JN-8: per (manager, period) history left-joined to the picks
+    summary on both keys (the analogue: a supplier's shipments per period,
+    and a chip marker from its returned lines)."""
+    li = _t(spark, d, "lineitem").where(F.year("l_shipdate") == CURRENT_YEAR) \
+        .select(F.col("l_suppkey").alias("entry_id"), period_of(F.col("l_shipdate")).alias("gameweek_id"),
+                "l_quantity", "l_orderkey", "l_returnflag")
+    h = li.groupBy("entry_id", "gameweek_id").agg(F.sum("l_quantity").cast("bigint").alias("points"),
+                                                  F.countDistinct("l_orderkey").alias("transfers_made"))
+    ps = li.where(F.col("l_returnflag") == "R").groupBy("entry_id", "gameweek_id").agg(
+        F.when(F.count(F.lit(1)) >= 3, "bboost").otherwise("3xc").alias("active_chip"))
+    return h.join(ps, ["entry_id", "gameweek_id"], "left")
+
+
+@register("recommendation_batch", O.decisions_chain(O.LINEUP) + """
+  , j AS (SELECT l.*, d.web_name, d.current_team_code AS team_code, d.current_price AS price
+          FROM lineup l LEFT JOIN dim_players d ON l.player_code = d.player_code
+          WHERE l.gameweek_id = (SELECT min(gameweek_id) FROM lineup))
+  SELECT j.entry_id, j.gameweek_id, j.player_code, j.web_name, j.position_id, j.team_code, j.price,
+    j.expected_points, j.squad_role, j.bench_order, j.is_captain, j.is_vice_captain,
+    t.total_squad_cost, j.total_expected_points
+  FROM j JOIN (SELECT entry_id, gameweek_id, sum(price) AS total_squad_cost FROM j GROUP BY 1, 2) t
+    ON j.entry_id = t.entry_id AND j.gameweek_id = t.gameweek_id""")
+def q_recommendation_batch(spark, d):
+    """SNK-4: the recommendation rows for the next period (append them with
+    ``landing.append_batch`` to stamp one ``generated_at`` per run)."""
+    from gaffer.operators.decisions import recommendation_rows
+    a = Analogue(spark, d)
+    nxt = a.lineup.join(a.periods.where(F.col("weeks_ahead") == 0).select("gameweek_id"), "gameweek_id")
+    return recommendation_rows(nxt, a.dim_players)
+
+
+@register("chip_opportunities", O.decisions_chain(O.LINEUP) + """
+  , chip_long AS (
+    SELECT entry_id, gameweek_id, 'bench_boost' AS chip_name, bench_boost_value AS opportunity_value FROM chips
+    UNION ALL
+    SELECT entry_id, gameweek_id, 'triple_captain', triple_captain_value FROM chips),
+  chip_ranked AS (SELECT *, row_number() OVER (PARTITION BY entry_id, chip_name
+                                               ORDER BY round(opportunity_value, 9) DESC, gameweek_id) AS chip_rank
+                  FROM chip_long)
+  SELECT entry_id, chip_name, gameweek_id, opportunity_value, 'best of top 3 by ' || chip_name AS detail
+  FROM chip_ranked WHERE chip_rank = 1""")
+def q_chip_opportunities(spark, d):
+    """SNK-5: one chip row per (manager, chip)."""
+    from gaffer.operators.decisions import chip_rows
+    return chip_rows(Analogue(spark, d).chip_candidates)

@@ -24,3 +24,11 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() >= 0 and "horizon_expected_points" in df.columns
+
+
+def test_oracle_types_recorded_for_every_sql_query():
+    from gaffer.plans.catalog import QUERIES
+    from gaffer.plans.oracle_types import _types
+    recorded = _types()
+    missing = [n for n, (_, sql) in QUERIES.items() if sql is not None and n not in recorded]
+    assert not missing, f"run tools/gen_oracle_types.py: {missing}"
