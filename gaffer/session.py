@@ -56,19 +56,26 @@ def apply_conf(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_CKPT: str | None = None
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
     ``spark.checkpoint.dir`` is read from the session; a private folder is only
     created when the setting is absent (local tests).
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    global _CKPT
+    if _CKPT is not None:
+        return _CKPT
+    d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) \
+        or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="gaffer-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if spark.sparkContext.getCheckpointDir() is None:
+        # RDD checkpoints (``DataFrame.checkpoint``) go to a subfolder of it
+        spark.sparkContext.setCheckpointDir(os.path.join(d, "rdd"))
+    _CKPT = d
     return d
 
 
