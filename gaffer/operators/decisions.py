@@ -232,6 +232,11 @@ def best_single_transfer(squads: DataFrame, pool: DataFrame, bank_t: DataFrame,
     # per-squad state, bounded by the squad size (15): owned codes and clubs
     state = own.groupBy(entity).agg(F.collect_list(code).alias("__owned"),
                                     F.collect_list(club).alias("__clubs"))
+    # club -> count map, built once per squad (higher-order functions over 15
+    # elements); each candidate pair then does a plain, code-generated lookup
+    clubs = F.array_compact(F.array_distinct("__clubs"))
+    state = state.select(entity, "__owned", F.map_from_arrays(
+        clubs, F.transform(clubs, lambda c: F.size(F.filter("__clubs", lambda x: x == c)))).alias("__cmap"))
     o = own.select(entity, F.col(code).alias("out_code"), F.col(position),
                    F.col(club).alias("out_club"), F.col(score).alias("out_score"),
                    F.col("__lv").alias("level_tenths"), "budget_tenths")
@@ -239,7 +244,7 @@ def best_single_transfer(squads: DataFrame, pool: DataFrame, bank_t: DataFrame,
                          F.col(score).alias("in_score"), F.col(price_t).alias("in_price"),
                          "level_tenths")
     pairs = o.join(bounded(cand), [position, "level_tenths"], "inner").join(state, entity, "inner")
-    n_club = F.size(F.filter("__clubs", lambda c: c == F.col("in_club")))
+    n_club = F.coalesce(F.col("__cmap")[F.col("in_club")], F.lit(0))
     after = n_club - F.when(F.col("in_club") == F.col("out_club"), 1).otherwise(0) + 1
     pairs = pairs.where(~F.array_contains("__owned", F.col("in_code")) & (after <= MAX_PER_CLUB))
     gain = F.col("in_score") - F.col("out_score")
