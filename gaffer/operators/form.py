@@ -22,12 +22,14 @@ from gaffer.operators.aggregates import group_baseline
 
 
 def recent_form(perf: DataFrame, current_season: str, key: str = "player_code",
-                season: str = "season") -> DataFrame:
+                season: str = "season", starts_known_only: bool = False) -> DataFrame:
     """INT-2: recency-weighted per-90 rates per entity.
 
     ``w = 0.55 ** max(year(current) - year(season), 0)``; rates are weighted
     sums over weighted minutes x 90; start rate over the weight; clean sheets
-    per weighted start.
+    per weighted start. A NULL ``starts`` still counts in the weight (T7, as
+    the reference does); ``starts_known_only`` divides the start rate by the
+    weight of rows whose ``starts`` is known instead.
     """
     back = (F.lit(int(current_season[:4])) - season_year(season)).alias("seasons_back")
     measures = ["minutes", "starts", "clean_sheets"] + [m for m, _ in PER90_MEASURES]
@@ -37,6 +39,7 @@ def recent_form(perf: DataFrame, current_season: str, key: str = "player_code",
     w = recency_weight("seasons_back").cast("decimal(20,12)")
     agg = base.groupBy(key).agg(
         F.sum(w).alias("total_weight"),
+        F.sum(F.when(F.col("starts").isNotNull(), w)).alias("__known_w"),
         F.count(F.lit(1)).alias("gameweek_rows"),
         F.bool_or((F.col("seasons_back") == 0) & (F.col("minutes") > 0)).alias("has_current_season_minutes"),
         *[F.sum(F.col(m) * w).alias(f"weighted_{m}") for m in measures],
@@ -44,7 +47,8 @@ def recent_form(perf: DataFrame, current_season: str, key: str = "player_code",
     def d(c):
         return F.col(c).cast("double")
     rates = [
-        safe_div(d("weighted_starts"), d("total_weight")).alias("start_rate"),
+        safe_div(d("weighted_starts"), d("__known_w" if starts_known_only else "total_weight"))
+        .alias("start_rate"),
         safe_div(d("weighted_clean_sheets"), d("weighted_starts")).alias("clean_sheet_rate_per_start"),
     ] + [per_90(d(f"weighted_{m}"), d("weighted_minutes")).alias(out) for m, out in PER90_MEASURES]
     return agg.select(key, "total_weight", "gameweek_rows", "has_current_season_minutes", *rates)

@@ -215,6 +215,11 @@ class Warehouse:
              "fct_entry_picks", "fct_entry_transfers", "fct_player_expected_points",
              "fct_player_expected_points_by_gameweek", "fct_player_expected_points_horizon"]
 
+    def register_views(self, marts=None, prefix: str = "") -> None:
+        """SNK-2: expose models as temp views (lazy, like dbt views)."""
+        for m in marts or self.MARTS:
+            getattr(self, m).createOrReplaceTempView(prefix + m)
+
     def publish(self, root: str, marts=None) -> None:
         """SNK-3: full rebuild of every mart as a Parquet table under ``root``."""
         for m in marts or self.MARTS:

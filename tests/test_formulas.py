@@ -85,3 +85,22 @@ def test_availability(spark):
     r = spark.createDataFrame([("a", None), ("i", None), ("d", 75), ("a", 50)], "s string, c int") \
         .select(FM.availability("s", "c").alias("v")).collect()
     assert [x.v for x in r] == [1.0, 0.0, 0.75, 0.5]
+
+
+def test_start_rate_with_unknown_starts(spark):
+    cols = ["player_code", "season", "minutes", "starts", "clean_sheets", "total_points", "goals_scored",
+            "assists", "goals_conceded", "own_goals", "penalties_missed", "penalties_saved",
+            "yellow_cards", "red_cards", "saves", "bonus"]
+    rows = [(1, "2026-27", 90, 1, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0),
+            (1, "2026-27", 90, None, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0)]
+    df = spark.createDataFrame(rows, "player_code int, season string, minutes int, starts int, " +
+                               ", ".join(f"{c} int" for c in cols[4:]))
+    assert recent_form(df, "2026-27").collect()[0].start_rate == pytest.approx(0.5)      # T7 kept
+    assert recent_form(df, "2026-27", starts_known_only=True).collect()[0].start_rate == pytest.approx(1.0)
+
+
+def test_fixture_against_itself_counts_once(spark):
+    from gaffer.operators.joins import entity_fixtures
+    fx = spark.createDataFrame([(1, 5, 3, 3), (2, 5, 3, 7)], "fixture_id int, gameweek_id int, h int, a int")
+    rows = entity_fixtures(fx, "fixture_id", "h", "a", extra=["gameweek_id"]).collect()
+    assert sorted((r.fixture_id, r.team, r.is_home) for r in rows) == [(1, 3, True), (2, 3, True), (2, 7, False)]
