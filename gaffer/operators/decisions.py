@@ -229,21 +229,22 @@ def best_single_transfer(squads: DataFrame, pool: DataFrame, bank_t: DataFrame,
     # a budget above the dearest player buys what the top level buys
     own = own.crossJoin(bounded(span.select("__hi"))) \
         .withColumn("__lv", F.least(F.col("budget_tenths"), F.col("__hi")))
-    # per-squad state, bounded by the squad size (15): owned codes and clubs
-    state = own.groupBy(entity).agg(F.collect_list(code).alias("__owned"),
-                                    F.collect_list(club).alias("__clubs"))
-    # club -> count map, built once per squad (higher-order functions over 15
-    # elements); each candidate pair then does a plain, code-generated lookup
+    # per-squad state, bounded by the squad size (15): owned codes and a
+    # club -> count map, as window aggregates over the manager partitioning
+    # (no join back); each candidate pair then does plain lookups
+    w_sq = Window.partitionBy(entity)
+    own = own.withColumn("__owned", F.collect_list(code).over(w_sq)) \
+        .withColumn("__clubs", F.collect_list(club).over(w_sq))
     clubs = F.array_compact(F.array_distinct("__clubs"))
-    state = state.select(entity, "__owned", F.map_from_arrays(
-        clubs, F.transform(clubs, lambda c: F.size(F.filter("__clubs", lambda x: x == c)))).alias("__cmap"))
+    own = own.withColumn("__cmap", F.map_from_arrays(
+        clubs, F.transform(clubs, lambda c: F.size(F.filter("__clubs", lambda x: x == c)))))
     o = own.select(entity, F.col(code).alias("out_code"), F.col(position),
                    F.col(club).alias("out_club"), F.col(score).alias("out_score"),
-                   F.col("__lv").alias("level_tenths"), "budget_tenths")
+                   F.col("__lv").alias("level_tenths"), "budget_tenths", "__owned", "__cmap")
     cand = ladder.select(F.col(code).alias("in_code"), position, F.col(club).alias("in_club"),
                          F.col(score).alias("in_score"), F.col(price_t).alias("in_price"),
                          "level_tenths")
-    pairs = o.join(bounded(cand), [position, "level_tenths"], "inner").join(state, entity, "inner")
+    pairs = o.join(bounded(cand), [position, "level_tenths"], "inner")
     n_club = F.coalesce(F.col("__cmap")[F.col("in_club")], F.lit(0))
     after = n_club - F.when(F.col("in_club") == F.col("out_club"), 1).otherwise(0) + 1
     pairs = pairs.where(~F.array_contains("__owned", F.col("in_code")) & (after <= MAX_PER_CLUB))

@@ -30,7 +30,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from gaffer.sources.landing import publish_once, published
+from gaffer.plans.materialize import mart
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,26 +83,6 @@ def _r(x) -> "F.Column":
     return F.round(x).cast("int")
 
 
-def mart(fn):
-    """A model materialised as a table (SNK-3), as the reference's marts are:
-    built once per session into the shared checkpoint folder and read back,
-    which also cuts the lineage for everything downstream."""
-    name = fn.__name__
-
-    def get(self):
-        if name not in self.__dict__:
-            key = f"{self.tag}/{name}"
-            done = published(self.spark, key) if self.materialize else None
-            if done is not None:
-                self.__dict__[name] = done
-            else:
-                df = fn(self)
-                self.__dict__[name] = publish_once(self.spark, key, df) if self.materialize else df
-        return self.__dict__[name]
-    get.__doc__ = fn.__doc__
-    return property(get)
-
-
 class Analogue:
     """Frames over one scale-factor directory; marts are materialised."""
 

@@ -13,7 +13,11 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaffer.functions.scalars import typed_null
+from gaffer.functions.scalars import in_tenths, typed_null
+from gaffer.operators.decisions import (
+    bank, best_lineup, best_single_transfer, chip_candidates, chip_values, current_squad, free_hit,
+    purchase_price, wildcard_gain,
+)
 from gaffer.operators.conform import dim_gameweeks, dim_players, dim_teams
 from gaffer.operators.form import group_baseline_rates, recent_form, shrunk_form
 from gaffer.operators.forecast import (
@@ -23,6 +27,7 @@ from gaffer.operators.forecast import (
 from gaffer.operators.joins import enrich_roles
 from gaffer.operators.setops import union_current_historical
 from gaffer.plans import staging as stg
+from gaffer.plans.materialize import mart
 from gaffer.sources.landing import publish
 from gaffer.sources.seed import scoring_rules
 
@@ -42,8 +47,13 @@ PERF_TAIL = ["price_at_gameweek", "selected_by_count", "transfers_in", "transfer
 
 
 class Warehouse:
+    _seq = 0
+
     def __init__(self, spark: SparkSession, raw: dict[str, DataFrame], current_season: str,
-                 horizon: int = 8, rules: DataFrame | None = None):
+                 horizon: int = 8, rules: DataFrame | None = None, materialize: bool = True):
+        Warehouse._seq += 1
+        self.tag = f"warehouse-{Warehouse._seq}"
+        self.materialize = materialize
         self.spark = spark
         self.raw = raw
         self.season = current_season
@@ -51,11 +61,11 @@ class Warehouse:
         self.rules = rules if rules is not None else scoring_rules(spark)
 
     # ---------------------------------------------------------------- staging
-    @cached_property
+    @mart
     def players(self):
         return stg.stg_players(self.raw["bootstrap_static_snapshot"])
 
-    @cached_property
+    @mart
     def teams(self):
         return stg.stg_teams(self.raw["bootstrap_static_snapshot"])
 
@@ -88,7 +98,7 @@ class Warehouse:
         return stg.stg_historical_player_gameweek_stats(self.raw["historical_gw_stats_snapshot"])
 
     # ---------------------------------------------------------------- INT-1
-    @cached_property
+    @mart
     def performance(self) -> DataFrame:
         """fct_player_gameweek_performance (grain: player x fixture)."""
         h = self.history.join(self.players.select("player_id", "player_code", "web_name", "position_id",
@@ -115,13 +125,13 @@ class Warehouse:
         return union_current_historical(cur, hist)
 
     # ---------------------------------------------------------------- marts
-    @cached_property
+    @mart
     def dim_teams(self) -> DataFrame:
         hist = self.hist_teams.select("season", "team_code", "team_name", "team_short_name",
                                       *[c for c in self.hist_teams.columns if c.startswith("strength")])
         return dim_teams(self.teams, hist)
 
-    @cached_property
+    @mart
     def dim_players(self) -> DataFrame:
         cur = {c: c for c in ["player_code"]}
         cur.update({"current_player_id": "player_id", "first_name": "first_name",
@@ -143,11 +153,11 @@ class Warehouse:
         return self.positions.select("position_id", "position_name", "position_name_short",
                                      "squad_select", "squad_min_play", "squad_max_play")
 
-    @cached_property
+    @mart
     def dim_gameweeks(self) -> DataFrame:
         return dim_gameweeks(self.gameweeks, self.hist_stats, self.season)
 
-    @cached_property
+    @mart
     def fct_fixtures(self) -> DataFrame:
         f = enrich_roles(self.stg_fixtures, self.teams, "team_id",
                          {"home": "home_team_id", "away": "away_team_id"}, {"team_code": "team_code"})
@@ -160,21 +170,21 @@ class Warehouse:
     def fct_team_gameweek_fixtures(self) -> DataFrame:
         return fixture_density(self.dim_teams, self.dim_gameweeks, self.fct_fixtures, self.season)
 
-    @cached_property
+    @mart
     def fct_entry_gameweek_performance(self) -> DataFrame:
         h = stg.stg_entry_gameweek_history(self.raw["entry_history_snapshot"])
         ps = stg.stg_entry_picks_summary(self.raw["entry_picks_snapshot"]) \
             .select("entry_id", "gameweek_id", "active_chip")
         return h.join(ps, ["entry_id", "gameweek_id"], "left")
 
-    @cached_property
+    @mart
     def fct_entry_picks(self) -> DataFrame:
         p = stg.stg_entry_picks(self.raw["entry_picks_snapshot"])
         return p.join(self.players.select("player_id", "player_code"), "player_id", "left").select(
             "entry_id", "gameweek_id", "player_code", "squad_position", "multiplier", "is_captain",
             "is_vice_captain")
 
-    @cached_property
+    @mart
     def fct_entry_transfers(self) -> DataFrame:
         t = stg.stg_entry_transfers(self.raw["entry_transfers_snapshot"])
         t = enrich_roles(t, self.players, "player_id", {"player_in": "player_in_id",
@@ -183,7 +193,7 @@ class Warehouse:
         return t.select("entry_id", "gameweek_id", "player_in_code", "player_in_cost", "player_out_code",
                         "player_out_cost", "transferred_at")
 
-    @cached_property
+    @mart
     def recent_form(self) -> DataFrame:
         return recent_form(self.performance, self.season)
 
@@ -191,25 +201,92 @@ class Warehouse:
     def positional_baseline(self) -> DataFrame:
         return group_baseline_rates(self.recent_form, self.dim_players)
 
-    @cached_property
+    @mart
     def form_shrunk(self) -> DataFrame:
         return shrunk_form(self.dim_players, self.recent_form, self.positional_baseline)
 
-    @cached_property
+    @mart
     def fct_player_expected_points(self) -> DataFrame:
         return expected_points_next(self.form_shrunk, self.dim_gameweeks, self.fct_fixtures,
                                     self.dim_teams, self.rules, self.season)
 
-    @cached_property
+    @mart
     def fct_player_expected_points_by_gameweek(self) -> DataFrame:
         periods = target_periods(self.dim_gameweeks, self.season, self.horizon_n)
         return expected_points_by_period(self.form_shrunk, periods, self.fct_fixtures, self.dim_teams,
                                          self.rules)
 
-    @cached_property
+    @mart
     def fct_player_expected_points_horizon(self) -> DataFrame:
         return expected_points_horizon(self.fct_player_expected_points_by_gameweek)
 
+    # ---------------------------------------------------------------- decisions
+    LAMBDAS = [x / 4 for x in range(0, 17)]
+
+    def current_squads(self, recommendations: DataFrame | None = None) -> DataFrame:
+        """DEC-7 for every manager: latest real picks, else the latest
+        recommendation run (``entry_id, generated_at, player_code, price``)."""
+        if recommendations is None:
+            recommendations = self.spark.createDataFrame(
+                [], "entry_id int, generated_at timestamp, player_code int, price double")
+        picks = self.fct_entry_picks.where(F.col("player_code").isNotNull())
+        return current_squad(picks, recommendations).join(
+            self.dim_players.select("player_code", "position_id"), "player_code", "left")
+
+    @mart
+    def decision_pool(self) -> DataFrame:
+        """Every current player: horizon score, price in tenths, club."""
+        return self.fct_player_expected_points_horizon.select(
+            "player_code", "position_id", F.col("current_team_code").alias("team_code"),
+            in_tenths("current_price").alias("price_tenths"),
+            F.round("horizon_expected_points", 9).alias("score"))
+
+    def lineups(self, squads: DataFrame) -> DataFrame:
+        """DEC-1..5 for every (manager, period) of the horizon."""
+        ep = self.fct_player_expected_points_by_gameweek.select(
+            "player_code", "gameweek_id", F.round("expected_points", 9).alias("expected_points"))
+        return best_lineup(squads.select("entry_id", "player_code", "position_id").join(ep, "player_code"))
+
+    def chips(self, lineups: DataFrame) -> DataFrame:
+        """DEC-16/17/20: bench boost and triple captain, best 3 periods each."""
+        return chip_candidates(chip_values(lineups))
+
+    def purchases(self, squads: DataFrame, recommendations: DataFrame | None = None) -> DataFrame:
+        """DEC-8: last transfer-in cost, else recommended price, else current price."""
+        tr = self.fct_entry_transfers.select(
+            "entry_id", F.col("player_in_code").alias("player_code"),
+            F.col("player_in_cost").cast("double").alias("cost"), "transferred_at")
+        rec = None if recommendations is None else recommendations.select("entry_id", "player_code", "price")
+        cur = self.players.select("player_code", F.col("price").cast("double").alias("price"))
+        return purchase_price(squads.select("entry_id", "player_code"), tr, rec, cur)
+
+    def banks(self, purchases: DataFrame, budget_tenths: int = 1000) -> DataFrame:
+        """DEC-9: the real bank of each manager's latest period when present
+        (D3), else budget - purchases."""
+        real = self.fct_entry_gameweek_performance.select("entry_id", "gameweek_id", "bank")
+        from gaffer.operators.snapshots import latest_per_key
+        real = latest_per_key(real, ["entry_id"], ["gameweek_id"]).select(
+            "entry_id", F.col("bank").cast("double").alias("bank"))
+        return bank(purchases, budget_tenths=budget_tenths, override=real)
+
+    def transfers(self, squads: DataFrame, purchases: DataFrame, banks: DataFrame) -> DataFrame:
+        """DEC-11 (one transfer) for every manager."""
+        sq = purchases.select("entry_id", "player_code", in_tenths("purchase_price").alias("purchase_tenths"))
+        return best_single_transfer(sq, self.decision_pool, banks)
+
+    def free_hit(self, lineups: DataFrame, budget_tenths: int = 1000) -> DataFrame:
+        """DEC-18 for every (manager, period)."""
+        pp = self.fct_player_expected_points_by_gameweek.select(
+            "player_code", "gameweek_id", "position_id", F.col("current_team_code").alias("team_code"),
+            in_tenths("current_price").alias("price_tenths"),
+            F.round("expected_points", 9).alias("expected_points"))
+        return free_hit(lineups, pp, self.LAMBDAS, budget_tenths)
+
+    def wildcard(self, purchases: DataFrame, banks: DataFrame, transfers: DataFrame) -> DataFrame:
+        """DEC-19 for every manager."""
+        sq = purchases.select("entry_id", "player_code", in_tenths("purchase_price").alias("purchase_tenths"))
+        return wildcard_gain(sq, self.decision_pool, banks, transfers, self.LAMBDAS)
+
     MARTS = ["dim_players", "dim_teams", "dim_positions", "dim_gameweeks", "performance",
              "fct_fixtures", "fct_team_gameweek_fixtures", "fct_entry_gameweek_performance",
              "fct_entry_picks", "fct_entry_transfers", "fct_player_expected_points",
