@@ -116,7 +116,10 @@ def check_squad(squads: DataFrame, prices: DataFrame, entity: str = "entry_id",
     """DEC-10: squad rules per manager: 15 players, 2/5/5/3 by position, at
     most 3 per club, cost within budget. Two-level aggregate (club counts
     first), no collection of the squad."""
-    s = squads.select(entity, code, position).join(prices.select(code, club, price), code, "left")
+    # one shuffle by manager: the per-(manager, club) and per-(manager,
+    # position) counts and the final joins all reuse that partitioning
+    s = squads.select(entity, code, position).join(prices.select(code, club, price), code, "left") \
+        .repartition(entity)
     clubs = s.groupBy(entity, club).agg(F.count(F.lit(1)).alias("n_club")) \
         .groupBy(entity).agg(F.max("n_club").alias("max_per_club"))
     q = squad_quotas(squads.sparkSession)

@@ -96,7 +96,7 @@ class Analogue:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     # ------------------------------------------------------------ staging
-    @cached_property
+    @mart
     def teams(self) -> DataFrame:
         """STG-2 analogue: current clubs with (sometimes zero) strengths."""
         cust = self.t("customer").groupBy("c_nationkey").agg(
@@ -121,7 +121,7 @@ class Analogue:
             (k + 1).cast("int").alias("league_position"),
             (F.coalesce(F.col("n_cust"), F.lit(0)) % 60).cast("int").alias("points"))
 
-    @cached_property
+    @mart
     def historical_teams(self) -> DataFrame:
         """STG-15 analogue: (season, club) rows from past seasons' orders;
         clubs ``k % 12 = 0, k > 0`` are newly promoted (no history) and
@@ -149,7 +149,7 @@ class Analogue:
             ah.cast("int").alias("strength_attack_home"), (ah - 25).cast("int").alias("strength_attack_away"),
             dh.cast("int").alias("strength_defence_home"), (dh - 15).cast("int").alias("strength_defence_away"))
 
-    @cached_property
+    @mart
     def players(self) -> DataFrame:
         """STG-1 analogue: customers with an order in the current season."""
         cur = self.t("orders").where(F.year("o_orderdate") == CURRENT_YEAR).select(
@@ -165,7 +165,7 @@ class Analogue:
             tenths(F.lit(40) + key % 91).alias("price"),
             status.alias("status"), chance.alias("chance_of_playing_next_round"))
 
-    @cached_property
+    @mart
     def historical_players(self) -> DataFrame:
         """STG-14 analogue: one row per (past season, customer with orders);
         set-piece order arrives as text with ``''`` / ``'None'`` sentinels."""
@@ -399,12 +399,12 @@ class Analogue:
     def squad_check(self) -> DataFrame:
         return check_squad(self.picks, self.pool, budget_tenths=SQUAD_BUDGET_TENTHS)
 
-    @cached_property
+    @mart
     def purchases(self) -> DataFrame:
         cur = self.players.select("player_code", F.col("price").cast("double").alias("price"))
         return purchase_price(self.picks, None, None, cur)
 
-    @cached_property
+    @mart
     def bank(self) -> DataFrame:
         return bank(self.purchases, budget_tenths=SQUAD_BUDGET_TENTHS)
 
