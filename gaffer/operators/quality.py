@@ -31,7 +31,7 @@ def relationships(df: DataFrame, col: str, parent: DataFrame, field: str) -> Dat
 class Check:
     table: str
     column: str
-    kind: str                      # not_null | unique | relationships
+    kind: str                      # not_null | unique | relationships | json_array
     df: DataFrame
     parent: DataFrame | None = None
     field: str | None = None
@@ -43,6 +43,11 @@ class Check:
             return unique(self.df, self.column)
         if self.kind == "relationships":
             return relationships(self.df, self.column, self.parent, self.field)
+        if self.kind == "json_array":
+            # T10: payloads whose array (``field`` path, None = root) is absent
+            # or not an array; the reference's unnest raises on these
+            from gaffer.operators.nested import null_array_payloads
+            return null_array_payloads(self.df, self.column, self.field)
         raise ValueError(self.kind)
 
 

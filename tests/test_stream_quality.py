@@ -43,3 +43,10 @@ def test_quality_checks_fail_on_bad_input(spark):
         Check("child", "parent", "not_null", child), Check("child", "id", "unique", child),
         Check("child", "parent", "relationships", child, parent, "pid")]).collect()}
     assert s == {("parent", "not_null"): 1, ("id", "unique"): 1, ("parent", "relationships"): 1}
+
+
+def test_json_array_check(spark):
+    raw = spark.createDataFrame([('{"chips": []}',), ('{"chips": null}',), ('{"other": 1}',), ('{"chips": 3}',)],
+                                "payload string")
+    r = run_suite([Check("entry_history_snapshot", "payload", "json_array", raw, field="chips")]).collect()[0]
+    assert r.failures == 3
