@@ -293,7 +293,7 @@ class Warehouse:
              "fct_player_expected_points_by_gameweek", "fct_player_expected_points_horizon"]
 
     def register_views(self, marts=None, prefix: str = "") -> None:
-        """SNK-2: expose models as temp views (lazy, like dbt views)."""
+        """SNK-2: expose models as temp views (lazy, like view-materialised models)."""
         for m in marts or self.MARTS:
             getattr(self, m).createOrReplaceTempView(prefix + m)
 
