@@ -258,6 +258,46 @@ def best_single_transfer(squads: DataFrame, pool: DataFrame, bank_t: DataFrame,
         ((F.col("budget_tenths") - F.col("in_price")) / 10.0).alias("bank_after"))
 
 
+def best_two_transfers(squads: DataFrame, pool: DataFrame, bank_t: DataFrame, free_transfers: int = 1,
+                       hit: int = 4, entity: str = "entry_id", code: str = "player_code",
+                       price_t: str = "price_tenths") -> DataFrame:
+    """DEC-11 (k <= 2) / DEC-13: a transfer plan of 0, 1 or 2 moves per manager.
+
+    The first move is the exact best single swap; the second is the exact
+    best single swap on the squad and bank after the first (greedy). Net
+    points charge ``hit`` per move beyond ``free_transfers``; the plan with
+    the highest net wins (fewer moves on a tie). Exact for k <= 1; for two
+    moves it is a feasible plan, a lower bound on the joint optimum.
+    """
+    first = best_single_transfer(squads, pool, bank_t)
+    bought = first.join(pool.select(F.col(code).alias("in_code"), F.col(price_t).alias("__p")), "in_code") \
+        .select(entity, F.col("in_code").alias(code), F.col("__p").alias("purchase_tenths"))
+    sq2 = squads.join(first.select(entity, F.col("out_code").alias(code)), [entity, code], "left_anti") \
+        .select(entity, code, "purchase_tenths").unionByName(bought)
+    bank2 = first.select(entity, F.round(F.col("bank_after") * 10).cast("bigint").alias("bank_tenths"))
+    second = best_single_transfer(sq2, pool, bank2)
+    f = first.select(entity, F.col("out_code").alias("out_1"), F.col("in_code").alias("in_1"),
+                     F.col("gain").alias("gain_1"))
+    g = second.select(entity, F.col("out_code").alias("out_2"), F.col("in_code").alias("in_2"),
+                      F.col("gain").alias("gain_2"))
+    j = bank_t.select(entity).join(f, entity, "left").join(g, entity, "left")
+
+    def charge(n):
+        return F.lit(hit * max(0, n - free_transfers))
+    net1 = F.col("gain_1") - charge(1)
+    net2 = F.col("gain_1") + F.col("gain_2") - charge(2)
+    best = F.greatest(F.lit(0.0), F.coalesce(net1, F.lit(0.0)), F.coalesce(net2, F.lit(0.0)))
+    n = F.when(F.round(best, 9) <= 0, 0).when(F.round(net1, 9) >= F.round(best, 9), 1).otherwise(2)
+    return j.select(
+        entity, n.cast("int").alias("n_transfers"),
+        F.when(n >= 1, F.col("out_1")).alias("out_1"), F.when(n >= 1, F.col("in_1")).alias("in_1"),
+        F.when(n >= 2, F.col("out_2")).alias("out_2"), F.when(n >= 2, F.col("in_2")).alias("in_2"),
+        F.when(n == 0, 0.0).when(n == 1, F.col("gain_1")).otherwise(F.col("gain_1") + F.col("gain_2"))
+        .alias("gross_gain"),
+        F.when(n == 0, 0).when(n == 1, charge(1)).otherwise(charge(2)).alias("hit_cost"),
+        best.alias("net_gain"))
+
+
 def net_points(gain, n_transfers, free_transfers, hit: int = 4):
     """DEC-13: points after hits for transfers beyond the free ones."""
     return gain - F.lit(hit) * F.greatest(F.col(n_transfers) - F.col(free_transfers), F.lit(0))

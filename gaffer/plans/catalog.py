@@ -732,3 +732,47 @@ def q_chip_opportunities(spark, d):
     """SNK-5: one chip row per (manager, chip)."""
     from gaffer.operators.decisions import chip_rows
     return chip_rows(Analogue(spark, d).chip_candidates)
+
+
+_SQ2 = """
+  , first_swap AS (SELECT * FROM best_swap),
+  sq2 AS (
+    SELECT s.entry_id, s.player_code, s.position_id, s.team_code, s.price_tenths, s.score FROM sq s
+    WHERE NOT EXISTS (SELECT 1 FROM first_swap f WHERE f.entry_id = s.entry_id AND f.out_code = s.player_code)
+    UNION ALL
+    SELECT f.entry_id, p.player_code, p.position_id, p.team_code, p.price_tenths, p.score
+    FROM first_swap f JOIN pool p ON p.player_code = f.in_code),
+  bank2 AS (SELECT entry_id, CAST(round(bank_after * 10) AS BIGINT) AS bank_tenths FROM first_swap),
+  club2 AS (SELECT entry_id, team_code, count(*) AS n_club FROM sq2 GROUP BY entry_id, team_code),
+  swaps2 AS (
+    SELECT o.entry_id, o.player_code AS out_code, i.player_code AS in_code, i.score - o.score AS gain
+    FROM sq2 o JOIN bank2 b ON o.entry_id = b.entry_id
+    JOIN pool i ON i.position_id = o.position_id AND i.price_tenths <= b.bank_tenths + o.price_tenths
+    LEFT JOIN club2 c ON c.entry_id = o.entry_id AND c.team_code = i.team_code
+    WHERE NOT EXISTS (SELECT 1 FROM sq2 s WHERE s.entry_id = o.entry_id AND s.player_code = i.player_code)
+      AND coalesce(c.n_club, 0) - (CASE WHEN i.team_code = o.team_code THEN 1 ELSE 0 END) + 1 <= 3),
+  second_swap AS (
+    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY entry_id ORDER BY gain DESC, out_code, in_code) AS rn
+                   FROM swaps2) WHERE rn = 1),
+  plan AS (
+    SELECT b.entry_id, f.out_code AS o1, f.in_code AS i1, f.gain AS g1, s.out_code AS o2, s.in_code AS i2,
+      s.gain AS g2, f.gain AS net1, f.gain + s.gain - 4 AS net2
+    FROM bank_t b LEFT JOIN first_swap f ON b.entry_id = f.entry_id
+    LEFT JOIN second_swap s ON b.entry_id = s.entry_id),
+  decided AS (
+    SELECT *, greatest(0.0, coalesce(net1, 0.0), coalesce(net2, 0.0)) AS best,
+      CASE WHEN round(greatest(0.0, coalesce(net1, 0.0), coalesce(net2, 0.0)), 9) <= 0 THEN 0
+           WHEN round(net1, 9) >= round(greatest(0.0, coalesce(net1, 0.0), coalesce(net2, 0.0)), 9) THEN 1
+           ELSE 2 END AS n
+    FROM plan)"""
+
+
+@register("best_two_transfers", O.decisions_chain() + _SQ + _SQ2 + """
+  SELECT entry_id, n AS n_transfers,
+    CASE WHEN n >= 1 THEN o1 END AS out_1, CASE WHEN n >= 1 THEN i1 END AS in_1,
+    CASE WHEN n >= 2 THEN o2 END AS out_2, CASE WHEN n >= 2 THEN i2 END AS in_2,
+    CASE WHEN n = 0 THEN 0.0 WHEN n = 1 THEN g1 ELSE g1 + g2 END AS gross_gain,
+    CASE WHEN n = 2 THEN 4 ELSE 0 END AS hit_cost, best AS net_gain
+  FROM decided""")
+def q_two_transfers(spark, d):
+    return Analogue(spark, d).transfer_plan

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from gaffer.functions.scalars import in_tenths, typed_null
 from gaffer.operators.decisions import (
-    bank, best_lineup, best_single_transfer, chip_candidates, chip_values, current_squad, free_hit,
+    bank, best_lineup, best_single_transfer, best_two_transfers, chip_candidates, chip_values, current_squad, free_hit,
     purchase_price, wildcard_gain,
 )
 from gaffer.operators.conform import dim_gameweeks, dim_players, dim_teams
@@ -274,6 +274,11 @@ class Warehouse:
         sq = purchases.select("entry_id", "player_code", in_tenths("purchase_price").alias("purchase_tenths"))
         return best_single_transfer(sq, self.decision_pool, banks)
 
+    def transfer_plan(self, purchases: DataFrame, banks: DataFrame, free_transfers: int = 1) -> DataFrame:
+        """DEC-11 (k <= 2) / DEC-13: 0, 1 or 2 moves with hits beyond the free ones."""
+        sq = purchases.select("entry_id", "player_code", in_tenths("purchase_price").alias("purchase_tenths"))
+        return best_two_transfers(sq, self.decision_pool, banks, free_transfers=free_transfers)
+
     def free_hit(self, lineups: DataFrame, budget_tenths: int = 1000) -> DataFrame:
         """DEC-18 for every (manager, period)."""
         pp = self.fct_player_expected_points_by_gameweek.select(

@@ -174,3 +174,21 @@ def test_check_squad_flags(spark):
     r = {x.entry_id: x for x in check_squad(sq, prices).collect()}
     assert r[1].size_ok and r[1].positions_ok and r[1].clubs_ok and r[1].budget_ok
     assert not r[2].positions_ok
+
+
+def test_two_transfer_plan_scenarios(spark):
+    from gaffer.operators.decisions import best_two_transfers
+    pool = [(1, 4, 0, 60, 10.0), (2, 4, 1, 60, 9.0), (3, 4, 2, 60, 1.0), (4, 4, 3, 60, 8.0),
+            (5, 4, 4, 60, 2.0), (6, 4, 5, 60, 7.5), (7, 4, 6, 60, 2.5)]
+    pl = spark.createDataFrame(pool, "player_code int, position_id int, team_code int, price_tenths int, "
+                                     "score double")
+    bk = spark.createDataFrame([(1, 0), (2, 0), (3, 0)], "entry_id int, bank_tenths int")
+    sq = spark.createDataFrame([(1, 1, 60), (1, 2, 60), (1, 4, 60),          # already optimal
+                                (2, 1, 60), (2, 3, 60), (2, 5, 60),          # two bad players
+                                (3, 1, 60), (3, 2, 60), (3, 7, 60)],         # one bad player
+                               "entry_id int, player_code int, purchase_tenths int")
+    r = {x.entry_id: x for x in best_two_transfers(sq, pl, bk, free_transfers=1).collect()}
+    assert r[1].n_transfers == 0 and r[1].net_gain == 0.0
+    assert r[2].n_transfers == 2 and r[2].hit_cost == 4            # 7 + 5.5 - 4 beats 7 alone
+    assert {r[2].in_1, r[2].in_2} == {2, 4} or {r[2].in_1, r[2].in_2} == {4, 6}
+    assert r[3].n_transfers == 1 and r[3].hit_cost == 0            # a second move would not pay the hit
