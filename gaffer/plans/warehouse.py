@@ -220,6 +220,19 @@ class Warehouse:
     def fct_player_expected_points_horizon(self) -> DataFrame:
         return expected_points_horizon(self.fct_player_expected_points_by_gameweek)
 
+    def player_snapshot_changes(self, cols=("price", "selected_by_percent", "total_points")) -> DataFrame:
+        """SEL-8: change of each player's price / ownership / points between
+        consecutive bootstrap snapshots (every snapshot, not only the latest)."""
+        from gaffer.operators.nested import unnest_json
+        from gaffer.operators.snapshots import snapshot_changes
+        from gaffer.sources import schemas as S
+        raw = self.raw["bootstrap_static_snapshot"]
+        tie = ["id"] if "id" in raw.columns else []
+        spec = {k: v for k, v in S.PLAYERS.items() if k in ("player_code", *cols)}
+        rows = unnest_json(raw, "payload", spec, path="elements", carry=["fetched_at", *tie])
+        return snapshot_changes(rows, ["player_code"], "fetched_at", list(cols),
+                                tiebreak=tie[0] if tie else None)
+
     # ---------------------------------------------------------------- decisions
     LAMBDAS = [x / 4 for x in range(0, 17)]
 

@@ -170,3 +170,8 @@ def test_empty_missing_and_null_arrays_give_no_rows(spark):
             ({"chips": [{"name": "wildcard", "event": 3, "time": "2026-09-01T10:00:00Z"}]}, 0, 4, 4)]
     c = stg_entry_chips(raw(spark, rows, keys=[("entry_id", "int")])).collect()
     assert [(r.entry_id, r.chip_name, r.gameweek_id) for r in c] == [(4, "wildcard", 3)]
+
+
+def test_player_snapshot_changes(wh):
+    ch = {r.player_code: r for r in wh.player_snapshot_changes().collect() if r.prev_price is not None}
+    assert float(ch[100].prev_price) == 7.0 and float(ch[100].delta_price) == 0.5
