@@ -207,6 +207,40 @@ def price_ladder(pool: DataFrame, levels: DataFrame, score: str, code: str = "pl
         .where(F.col("ladder_rank") <= depth)
 
 
+def prune_pool(pool: DataFrame, score: str = "score", code: str = "player_code",
+               position: str = "position_id", club: str = "team_code",
+               price_t: str = "price_tenths") -> DataFrame:
+    """DEC-15: drop players dominated (same position, price <=, better score;
+    ties by code) by players of at least ``floor((15 - 1) / 3) + quota``
+    distinct clubs; no optimal squad needs them (at most 4 clubs can be full
+    and quota - 1 dominators already chosen, so a legal swap remains).
+
+    Exact without pairing players: a club dominates ``x`` iff its best player
+    other than ``x`` at ``x``'s own price level does, and the price ladder
+    gives each club's two best per level, so each player meets at most
+    ``2 x clubs`` rows. Output: the kept players with ``dominating_clubs``.
+    """
+    spark = pool.sparkSession
+    span = pool.agg(F.min(price_t).alias("__lo"), F.max(price_t).alias("__hi"))
+    levels = span.select(F.explode(F.sequence("__lo", "__hi")).alias("level_tenths"))
+    ladder = price_ladder(pool, levels, score, code, position, club, price_t, depth=2) \
+        .select(F.col(position), F.col(club).alias("__c"), F.col("level_tenths"),
+                F.col(code).alias("__y"), F.col(score).alias("__ys"), "ladder_rank")
+    x = pool.select(code, position, club, price_t, score)
+    j = x.join(bounded(ladder), (x[position] == ladder[position])
+               & (x[price_t] == ladder["level_tenths"]), "left").drop(ladder[position])
+    # per (player, club): the best candidate that is not the player itself
+    j = j.where(F.col("__y") != F.col(code)).withColumn("__r", F.row_number().over(
+        Window.partitionBy(code, "__c").orderBy("ladder_rank"))).where(F.col("__r") == 1)
+    beats = (F.col("__ys") > F.col(score)) | ((F.col("__ys") == F.col(score)) & (F.col("__y") < F.col(code)))
+    dom = j.where(beats).groupBy(code).agg(F.countDistinct("__c").alias("dominating_clubs"))
+    q = bounded(squad_quotas(spark))
+    keep = x.join(dom, code, "left").join(q, position) \
+        .withColumn("dominating_clubs", F.coalesce("dominating_clubs", F.lit(0)))
+    limit = F.lit((SQUAD_SIZE - 1) // MAX_PER_CLUB) + F.col("squad_quota")
+    return keep.where(F.col("dominating_clubs") < limit).drop("squad_quota")
+
+
 def best_single_transfer(squads: DataFrame, pool: DataFrame, bank_t: DataFrame,
                          entity: str = "entry_id", score: str = "score",
                          code: str = "player_code", position: str = "position_id",

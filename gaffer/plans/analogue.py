@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from gaffer.functions.scalars import season_label, sentinel_to_null, tenths
 from gaffer.functions.scalars import in_tenths
 from gaffer.operators.decisions import (
-    bank, best_lineup, best_single_transfer, best_two_transfers, check_squad, chip_candidates, chip_values,
+    bank, best_lineup, best_single_transfer, best_two_transfers, check_squad, prune_pool, chip_candidates, chip_values,
     free_hit, purchase_price, squad_frontier, wildcard_gain,
 )
 from gaffer.operators.conform import dim_gameweeks, dim_players, dim_teams, resolve_codes
@@ -414,6 +414,10 @@ class Analogue:
                                    in_tenths("purchase_price").alias("purchase_tenths"))
         return best_single_transfer(sq, self.pool, self.bank)
 
+    @cached_property
+    def pruned_pool(self) -> DataFrame:
+        return prune_pool(self.pool)
+
     @cached_property
     def transfer_plan(self) -> DataFrame:
         """DEC-11 k <= 2 with one free transfer."""

@@ -776,3 +776,16 @@ _SQ2 = """
   FROM decided""")
 def q_two_transfers(spark, d):
     return Analogue(spark, d).transfer_plan
+
+
+@register("pruned_pool", O.decisions_chain() + """
+  SELECT x.player_code, x.position_id, x.team_code, x.price_tenths, x.score, d.dominating_clubs
+  FROM pool x JOIN quotas q ON x.position_id = q.position_id
+  JOIN (SELECT x2.player_code, (SELECT count(DISTINCT y.team_code) FROM pool y
+                                WHERE y.position_id = x2.position_id AND y.price_tenths <= x2.price_tenths
+                                  AND (y.score > x2.score OR (y.score = x2.score AND y.player_code < x2.player_code)))
+                               AS dominating_clubs
+        FROM pool x2) d ON x.player_code = d.player_code
+  WHERE d.dominating_clubs < 4 + q.squad_quota""")
+def q_pruned_pool(spark, d):
+    return Analogue(spark, d).pruned_pool

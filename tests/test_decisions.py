@@ -192,3 +192,20 @@ def test_two_transfer_plan_scenarios(spark):
     assert r[2].n_transfers == 2 and r[2].hit_cost == 4            # 7 + 5.5 - 4 beats 7 alone
     assert {r[2].in_1, r[2].in_2} == {2, 4} or {r[2].in_1, r[2].in_2} == {4, 6}
     assert r[3].n_transfers == 1 and r[3].hit_cost == 0            # a second move would not pay the hit
+
+
+def test_prune_pool_equals_pairwise_dominance(spark):
+    from gaffer.operators.decisions import prune_pool
+    rnd = random.Random(21)
+    pool = [(c, rnd.randrange(1, 5), rnd.randrange(20), rnd.randrange(40, 60), float(rnd.randrange(30)))
+            for c in range(1, 301)]
+    want = set()
+    for c, p, cl, pr, s in pool:
+        clubs = {ycl for yc, yp, ycl, ypr, ys in pool
+                 if yp == p and yc != c and ypr <= pr and (ys > s or (ys == s and yc < c))}
+        if len(clubs) < 4 + QUOTA[p]:
+            want.add(c)
+    pl = spark.createDataFrame(pool, "player_code int, position_id int, team_code int, price_tenths int, "
+                                     "score double")
+    got = {r.player_code for r in prune_pool(pl).collect()}
+    assert got == want and 0 < len(got) < len(pool)
