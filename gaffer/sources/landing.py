@@ -10,6 +10,7 @@ unnesting.
 from __future__ import annotations
 
 import os
+import threading
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -114,6 +115,7 @@ def append_batch(df: DataFrame, path: str, run_ts: str | None = None) -> None:
 
 
 _PUBLISHED: dict[tuple[str, str], str] = {}
+_LOCK = threading.Lock()
 
 
 def published(spark: SparkSession, name: str) -> DataFrame | None:
@@ -127,8 +129,9 @@ def publish_once(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
     (``spark.checkpoint.dir``) and return the table read back."""
     app = spark.sparkContext.applicationId
     key = (app, name)
-    if key not in _PUBLISHED:
-        path = os.path.join(checkpoint_dir(spark), "marts", app, name)
-        publish(df, path)
-        _PUBLISHED[key] = path
+    with _LOCK:                      # one build per mart even if callers race
+        if key not in _PUBLISHED:
+            path = os.path.join(checkpoint_dir(spark), "marts", app, name)
+            publish(df, path)
+            _PUBLISHED[key] = path
     return spark.read.parquet(_PUBLISHED[key])
