@@ -294,16 +294,19 @@ def best_single_transfer(squads: DataFrame, pool: DataFrame, bank_t: DataFrame,
 
 def best_two_transfers(squads: DataFrame, pool: DataFrame, bank_t: DataFrame, free_transfers: int = 1,
                        hit: int = 4, entity: str = "entry_id", code: str = "player_code",
-                       price_t: str = "price_tenths") -> DataFrame:
+                       price_t: str = "price_tenths", first: DataFrame | None = None) -> DataFrame:
     """DEC-11 (k <= 2) / DEC-13: a transfer plan of 0, 1 or 2 moves per manager.
 
     The first move is the exact best single swap; the second is the exact
     best single swap on the squad and bank after the first (greedy). Net
     points charge ``hit`` per move beyond ``free_transfers``; the plan with
     the highest net wins (fewer moves on a tie). Exact for k <= 1; for two
-    moves it is a feasible plan, a lower bound on the joint optimum.
+    moves it is a feasible plan, a lower bound on the joint optimum. Pass a
+    materialised ``first`` (the single-transfer table) to reuse it; it is
+    read four times here.
     """
-    first = best_single_transfer(squads, pool, bank_t)
+    if first is None:
+        first = best_single_transfer(squads, pool, bank_t)
     bought = first.join(pool.select(F.col(code).alias("in_code"), F.col(price_t).alias("__p")), "in_code") \
         .select(entity, F.col("in_code").alias(code), F.col("__p").alias("purchase_tenths"))
     sq2 = squads.join(first.select(entity, F.col("out_code").alias(code)), [entity, code], "left_anti") \

@@ -423,7 +423,7 @@ class Analogue:
         """DEC-11 k <= 2 with one free transfer."""
         sq = self.purchases.select("entry_id", "player_code",
                                    in_tenths("purchase_price").alias("purchase_tenths"))
-        return best_two_transfers(sq, self.pool, self.bank, free_transfers=1)
+        return best_two_transfers(sq, self.pool, self.bank, free_transfers=1, first=self.best_transfer)
 
     @cached_property
     def frontier(self) -> DataFrame:
