@@ -62,7 +62,7 @@ SEASON_ID_STRIDE = 1_000_000
 SQUAD_BUDGET_TENTHS = 1500        # the analogue's prices run 4.0 .. 13.0
 FRONTIER_BUDGET_TENTHS = 1000
 LAMBDAS = [x / 4 for x in range(0, 17)]   # price weights 0 .. 4 in steps of 0.25
-SCORE_DIGITS = 9                  # scores compared after rounding off float noise
+SCORE_DIGITS = 6                  # scores as exact 6-digit values: sums of them never sit on a rounding half-point
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",

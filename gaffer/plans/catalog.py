@@ -581,7 +581,7 @@ def _lam_values() -> str:
 
 @register("free_hit_bound", O.decisions_chain(O.LINEUP, f"grid(lam) AS (VALUES {_lam_values()})") + """
   , pp AS (SELECT player_code, gameweek_id, position_id, current_team_code AS team_code,
-             CAST(round(current_price * 10) AS BIGINT) AS price_tenths, round(expected_points, 9) AS score
+             CAST(round(current_price * 10) AS BIGINT) AS price_tenths, round(expected_points, 6) AS score
            FROM by_period),
   fp AS (SELECT pp.*, grid.lam, q.squad_quota, pp.score - grid.lam * pp.price_tenths / 10.0 AS adj
          FROM pp CROSS JOIN grid JOIN quotas q ON pp.position_id = q.position_id),

@@ -252,12 +252,12 @@ class Warehouse:
         return self.fct_player_expected_points_horizon.select(
             "player_code", "position_id", F.col("current_team_code").alias("team_code"),
             in_tenths("current_price").alias("price_tenths"),
-            F.round("horizon_expected_points", 9).alias("score"))
+            F.round("horizon_expected_points", 6).alias("score"))
 
     def lineups(self, squads: DataFrame) -> DataFrame:
         """DEC-1..5 for every (manager, period) of the horizon."""
         ep = self.fct_player_expected_points_by_gameweek.select(
-            "player_code", "gameweek_id", F.round("expected_points", 9).alias("expected_points"))
+            "player_code", "gameweek_id", F.round("expected_points", 6).alias("expected_points"))
         return best_lineup(squads.select("entry_id", "player_code", "position_id").join(ep, "player_code"))
 
     def chips(self, lineups: DataFrame) -> DataFrame:
@@ -297,7 +297,7 @@ class Warehouse:
         pp = self.fct_player_expected_points_by_gameweek.select(
             "player_code", "gameweek_id", "position_id", F.col("current_team_code").alias("team_code"),
             in_tenths("current_price").alias("price_tenths"),
-            F.round("expected_points", 9).alias("expected_points"))
+            F.round("expected_points", 6).alias("expected_points"))
         return free_hit(lineups, pp, self.LAMBDAS, budget_tenths)
 
     def wildcard(self, purchases: DataFrame, banks: DataFrame, transfers: DataFrame) -> DataFrame:
