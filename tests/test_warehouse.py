@@ -175,3 +175,16 @@ def test_empty_missing_and_null_arrays_give_no_rows(spark):
 def test_player_snapshot_changes(wh):
     ch = {r.player_code: r for r in wh.player_snapshot_changes().collect() if r.prev_price is not None}
     assert float(ch[100].prev_price) == 7.0 and float(ch[100].delta_price) == 0.5
+
+
+def test_views_and_publish(spark, wh):
+    import tempfile
+    from gaffer.sources.landing import table
+    wh.register_views(["dim_teams", "fct_team_gameweek_fixtures"], prefix="t_")
+    n = spark.sql("SELECT count(*) AS n FROM t_fct_team_gameweek_fixtures WHERE is_double_gameweek").collect()[0].n
+    assert n == 1
+    root = tempfile.mkdtemp(prefix="gaffer-marts-")
+    wh.publish(root, ["dim_teams", "dim_players"])
+    wh.publish(root, ["dim_teams"])                      # full rebuild, not append
+    assert table(spark, f"{root}/dim_teams").count() == 4
+    assert table(spark, f"{root}/dim_players").count() == 4
