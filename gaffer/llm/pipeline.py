@@ -11,6 +11,12 @@ from gaffer.llm.queries import tokenizer_path
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix that the source schedule takes: a document that its source's
+    schedule takes k times comes k times (whole copies), in parts not at all."""
+    raise NotImplementedError
+
+
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     out = bpe.encode_decode(docs, tokenizer_path())
     return out.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), "ids",

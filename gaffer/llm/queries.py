@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaffer.llm import bpe, mixing, rules
+from gaffer.llm import bpe, linededup, mixing, quality, rules, toxicity
 from gaffer.llm.common import load
 
 TOKENIZER_FILE = "byte_bpe_50k.json"
@@ -16,10 +16,22 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER_FILE)
 
 
+def op2_positive_unlabelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    out = quality.score(docs, quality.fit(docs, load(spark, sf_dir, "labels")))
+    return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op3_source_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.document_takes(load(spark, sf_dir, "documents"))
 
 
+def op4_boosted_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    out = toxicity.score(docs, toxicity.fit(docs, load(spark, sf_dir, "labels")))
+    return out.withColumn("predicted", (F.col("score") >= toxicity.REJECT_FROM).cast("int"))
+
+
 def op5_segment_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = bpe.encode_decode(load(spark, sf_dir, "documents"), tokenizer_path())
     return out.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
@@ -27,6 +39,11 @@ def op5_segment_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op7_three_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = linededup.dedup_lines(load(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
 def op10_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = rules.judge(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -34,7 +51,10 @@ def op10_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_positive_unlabelled": (op2_positive_unlabelled, None),
     "op3_source_schedule": (op3_source_schedule, None),
+    "op4_boosted_trees": (op4_boosted_trees, None),
     "op5_segment_tree_bpe": (op5_segment_tree_bpe, None),
+    "op7_three_line_windows": (op7_three_line_windows, linededup.ORACLE_SQL),
     "op10_risk_controlled_rules": (op10_risk_controlled_rules, None),
 }
