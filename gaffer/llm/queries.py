@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaffer.llm import bpe, linededup, mixing, quality, rules, toxicity
+from gaffer.llm import bpe, jaccard, linededup, mixing, quality, rules, toxicity
 from gaffer.llm.common import load
 
 TOKENIZER_FILE = "byte_bpe_50k.json"
@@ -44,6 +44,11 @@ def op7_three_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
 
 
+def op9_partition_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, _ = jaccard.similar_documents(load(spark, sf_dir, "documents"))
+    return documents
+
+
 def op10_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = rules.judge(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -56,5 +61,6 @@ QUERIES = {
     "op4_boosted_trees": (op4_boosted_trees, None),
     "op5_segment_tree_bpe": (op5_segment_tree_bpe, None),
     "op7_three_line_windows": (op7_three_line_windows, linededup.ORACLE_SQL),
+    "op9_partition_join": (op9_partition_join, None),
     "op10_risk_controlled_rules": (op10_risk_controlled_rules, None),
 }
