@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaffer.llm import bpe, jaccard, linededup, mixing, quality, rules, toxicity
+from gaffer.llm import ann, bpe, chat, jaccard, license, linededup, mixing, quality, rules, toxicity
 from gaffer.llm.common import load
 
 TOKENIZER_FILE = "byte_bpe_50k.json"
@@ -16,6 +16,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER_FILE)
 
 
+def op1_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.repair(load(spark, sf_dir, "conversations"))
+
+
 def op2_positive_unlabelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     out = quality.score(docs, quality.fit(docs, load(spark, sf_dir, "labels")))
@@ -39,11 +43,23 @@ def op5_segment_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op6_license_dice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = license.scan(load(spark, sf_dir, "documents"))
+    best = F.get("matches", F.lit(0))
+    return out.select("doc_id", "license", "dice", best["first_line"].alias("first_line"),
+                      best["last_line"].alias("last_line"), F.size("matches").alias("n_licenses"),
+                      F.array_join(F.transform("matches", lambda m: m["license"]), ",").alias("licenses"))
+
+
 def op7_three_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = linededup.dedup_lines(load(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
 
 
+def op8_int8_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(load(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
+
+
 def op9_partition_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, _ = jaccard.similar_documents(load(spark, sf_dir, "documents"))
     return documents
@@ -56,11 +72,14 @@ def op10_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_role_repair": (op1_role_repair, None),
     "op2_positive_unlabelled": (op2_positive_unlabelled, None),
     "op3_source_schedule": (op3_source_schedule, None),
     "op4_boosted_trees": (op4_boosted_trees, None),
     "op5_segment_tree_bpe": (op5_segment_tree_bpe, None),
+    "op6_license_dice": (op6_license_dice, None),
     "op7_three_line_windows": (op7_three_line_windows, linededup.ORACLE_SQL),
+    "op8_int8_tiles": (op8_int8_tiles, None),
     "op9_partition_join": (op9_partition_join, None),
     "op10_risk_controlled_rules": (op10_risk_controlled_rules, None),
 }
