@@ -11,11 +11,14 @@ from gaffer.llm import pipeline
 from gaffer.llm.common import load, stored
 
 STAGES = [
+    ("toxicity", pipeline.drop_toxic),
+    ("line_dedup", pipeline.drop_repeated_lines),
+    ("near_duplicates", pipeline.drop_similar),
     ("mix_sources", pipeline.mix_sources),
     ("bpe", pipeline.tokenise),
 ]
 
-# No stage of models, hashes and merges can be stated in SQL.
+# A learnt model, a seeded shuffle and merges of byte pairs can't be stated in SQL.
 ORACLE_SQL = None
 
 

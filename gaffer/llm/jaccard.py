@@ -518,3 +518,20 @@ def similar_documents(df: DataFrame, percent: int = PERCENT) -> tuple[DataFrame,
     unnamed = docs.where("doc_id is null").mapInArrow(_set_rows, "doc_id long, print binary, set binary").select(
         "doc_id", (F.length("set") / 8).cast("long").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"))
     return out.unionByName(unnamed), links
+
+
+def one_of_each(df: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``df`` without the documents that a smaller doc_id of their component
+    stands for. Of rows that repeat doc_id and text one stays; texts without
+    words and rows without a doc_id stay."""
+    found, _ = similar_documents(df, percent)
+    found = stored(found.where("doc_id is not null"), "near-found")
+    gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
+    if gone.count() <= BROADCAST_ROWS:
+        gone = F.broadcast(gone)
+    rest = df.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    # rows that repeat a doc_id are rare: only then are rows compared
+    if found.groupBy("doc_id").count().where("count > 1").isEmpty():
+        return rest
+    unnamed = rest.where("doc_id is null")
+    return rest.where("doc_id is not null").dropDuplicates(["doc_id", "text"]).unionByName(unnamed)

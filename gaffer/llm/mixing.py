@@ -158,16 +158,29 @@ def schedule_mix(df: DataFrame, weights=WEIGHTS, share: float = MIX_SHARE, epoch
 
 
 def document_takes(df: DataFrame, **options) -> DataFrame:
-    """doc_id, size, source_size, target, taken: one row per row of ``df``."""
+    """doc_id, source, size, source_size, target, taken: one row per row of ``df``."""
     sizes, targets, streams, pieces = schedule_mix(df, **options)
     place = ["source_no", "doc_id", "begin", "size"]
     taken = pieces.groupBy(*place).agg(F.sum(F.col("to_word") - F.col("from_word")).alias("taken"))
     # documents that no slot reaches come in with nothing taken
-    rows = streams.withColumn("taken", F.lit(0).cast("long")).unionByName(
-        taken.withColumns({"source_size": F.lit(None).cast("long"), "target": F.lit(None).cast("double")}))
-    used = rows.groupBy(*place).agg(F.max("source_size").alias("source_size"), F.max("target").alias("target"),
-                                    F.sum("taken").alias("taken")).drop("source_no", "begin")
-    s = targets.select(F.col("source").alias("s"), "source_size", "target")
-    blank = sizes.where("size = 0").join(s, F.col("source").eqNullSafe(F.col("s"))) \
-        .select("doc_id", "size", "source_size", "target", F.lit(0).cast("long").alias("taken"))
-    return used.select("doc_id", "size", "source_size", "target", "taken").unionByName(blank)
+    rows = streams.select(*place, F.lit(0).cast("long").alias("taken")).unionByName(taken)
+    used = rows.groupBy(*place).agg(F.sum("taken").alias("taken"))
+    blank = sizes.where("size = 0").join(targets, sizes["source"].eqNullSafe(targets["source"])).select(
+        "source_no", "doc_id", "size", F.lit(0).cast("long").alias("taken"))
+    return used.drop("begin").unionByName(blank).join(targets, "source_no").select(
+        "doc_id", "source", "size", "source_size", "target", "taken")
+
+
+def mixed_documents(df: DataFrame, **options) -> DataFrame:
+    """The mix as documents: every row of ``df`` as often as the mix takes it.
+
+    The slots of a source run through its stream without gaps, so all but the last
+    document of a stream are taken whole; that one comes along if at least half of
+    it is taken. Rows alike in doc_id, source and size share their takes evenly.
+    """
+    takes = document_takes(df, **options).where("taken > 0").groupBy("doc_id", "source", "size").agg(
+        F.floor(F.sum("taken") / F.sum("size") + 0.5).cast("int").alias("_copies")).where("_copies > 0") \
+        .toDF("_id", "_source", "_size", "_copies")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) \
+        & (word_count(F.col("text")) == F.col("_size"))
+    return df.join(takes, same).select(*df.columns, F.explode(F.sequence(F.lit(1), "_copies"))).select(*df.columns)

@@ -27,7 +27,8 @@ def op2_positive_unlabelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_source_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.document_takes(load(spark, sf_dir, "documents"))
+    out = mixing.document_takes(load(spark, sf_dir, "documents"))
+    return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op4_boosted_trees(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,8 +29,9 @@ import re
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaffer.llm.common import in_holdout, stored
@@ -307,16 +308,19 @@ def fit(documents: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> M
     return Model(lexicon, *fit_trees(x, y), float(y.mean()))
 
 
-def score(documents: DataFrame, model: Model) -> DataFrame:
-    """doc_id, held_out, score for every row."""
-    shared = documents.sparkSession.sparkContext.broadcast(model)
+def score_column(spark: SparkSession, model: Model, text: str = "text") -> Column:
+    """The score of a text column, for use in any select or filter."""
+    shared = spark.sparkContext.broadcast(model)
 
-    def run(batches):
-        for b in batches:
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(shared.value.predict(b.column(1).to_pylist()), pa.float64())],
-                names=["doc_id", "score"])
+    @F.pandas_udf("double")
+    def predict(texts: pd.Series) -> pd.Series:
+        return pd.Series(shared.value.predict(texts.tolist()), dtype="float64")
+
+    return predict(F.col(text).cast("string"))
 
+
+def score(documents: DataFrame, model: Model) -> DataFrame:
+    """doc_id, held_out, score for every row."""
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
-        .mapInArrow(run, "doc_id long, score double") \
-        .select("doc_id", F.coalesce(in_holdout(), F.lit(False)).alias("held_out"), "score")
+        .select("doc_id", F.coalesce(in_holdout(), F.lit(False)).alias("held_out"),
+                score_column(documents.sparkSession, model).alias("score"))
