@@ -297,15 +297,7 @@ def q_availability(spark, d):
 
 
 # ---------------------------------------------------------------- forecast
-@register("fixture_density", O.chain() + f"""
-  , season_gameweeks AS (SELECT DISTINCT gameweek_id FROM dim_gameweeks WHERE season = '{O.CS}'),
-  team_gameweeks AS (SELECT t.team_code, gw.gameweek_id FROM dim_teams t CROSS JOIN season_gameweeks gw
-                     WHERE t.is_in_current_season = true)
-  SELECT tg.team_code, tg.gameweek_id, count(f.fixture_id) AS fixture_count,
-    count(f.fixture_id) = 0 AS is_blank_gameweek, count(f.fixture_id) >= 2 AS is_double_gameweek
-  FROM team_gameweeks tg LEFT JOIN fct_fixtures f ON f.gameweek_id = tg.gameweek_id
-    AND (f.home_team_code = tg.team_code OR f.away_team_code = tg.team_code)
-  GROUP BY tg.team_code, tg.gameweek_id""")
+@register("fixture_density", O.chain() + O.DENSITY)
 def q_density(spark, d):
     return Analogue(spark, d).density
 
