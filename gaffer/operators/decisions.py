@@ -9,11 +9,14 @@ Exactness:
   position has at least one starter); vice = second; bench outfield by score,
   goalkeeper last.
 * ``best_single_transfer``: exact. Candidates are pruned with a per-club
-  price ladder: at any budget, only the 6 best players of each (position,
-  club) priced within it can be the best buy (a squad owns at most 5 of a
-  position), so each (manager, sold player) meets at most ``6 x clubs`` rows.
+  price ladder: at any budget, only the best players of each (position, club)
+  priced within it, one more than a squad may own of the position, can be the
+  best buy.
+* ``transfer_plan``: greedy by exact best swaps, any number of moves up to the
+  squad size, the best prefix taken; reported with an upper bound and the gap.
 * ``squad_frontier``: a feasible lower bound and a Lagrangian upper bound
   over a grid of price weights; the gap is an output column.
+* ``free_hit`` and ``wildcard_gain`` are built on these bounds and say so.
 """
 
 from __future__ import annotations
@@ -25,13 +28,16 @@ from pyspark.sql import functions as F
 
 from gaffer.functions.scalars import in_tenths, sell_value_tenths
 from gaffer.operators.joins import bounded
-from gaffer.sources.seed import MAX_PER_CLUB, SQUAD_SIZE, XI_SIZE, formations, squad_quotas
+from gaffer.sources.landing import materialized
+from gaffer.sources.seed import MAX_PER_CLUB, SQUAD_RULES, SQUAD_SIZE, XI_SIZE, formations, squad_quotas
 
 GK = 1
-MAX_QUOTA = 5   # the largest position quota: a literal bound lets Spark limit map-side
-# A squad owns at most 5 players of one position (the largest quota), so the
-# 6 best of a (position, club) within a budget always include an unowned one.
-CLUB_LADDER_DEPTH = 6
+# Bounds that follow from the squad rules.
+MAX_QUOTA = max(q for _, q, _, _ in SQUAD_RULES)
+# A legal squad owns at most MAX_QUOTA players of one position, so one more of a
+# (position, club) within a budget always includes an unowned one.
+CLUB_LADDER_DEPTH = MAX_QUOTA + 1
+HIT = 4  # points charged for a transfer beyond the free ones
 
 
 def _score_order(score: str, code: str):
@@ -97,14 +103,14 @@ def chip_values(lineup: DataFrame, keys: Sequence[str] = ("entry_id", "gameweek_
 
 
 def chip_candidates(values: DataFrame, entity: str = "entry_id", period: str = "gameweek_id",
-                    chips: Sequence[str] = ("bench_boost_value", "triple_captain_value"),
+                    chips: Sequence[str] = ("bench_boost_value", "triple_captain_value", "free_hit_value"),
                     k: int = 3) -> DataFrame:
     """DEC-20: the best ``k`` periods per (entity, chip), rank 1 = best."""
-    long = None
-    for c in chips:
-        part = values.select(entity, period, F.lit(c.replace("_value", "")).alias("chip_name"),
-                             F.col(c).alias("opportunity_value"))
-        long = part if long is None else long.unionByName(part)
+    parts = [values.select(entity, period, F.lit(c.replace("_value", "")).alias("chip_name"),
+                           F.col(c).alias("opportunity_value")) for c in chips if c in values.columns]
+    long = parts[0]
+    for part in parts[1:]:
+        long = long.unionByName(part)
     w = Window.partitionBy(entity, "chip_name").orderBy(F.round("opportunity_value", 9).desc(), F.col(period))
     return long.withColumn("chip_rank", F.row_number().over(w)).where(F.col("chip_rank") <= k)
 
@@ -142,18 +148,27 @@ def check_squad(squads: DataFrame, prices: DataFrame, entity: str = "entry_id",
 def purchase_price(squad: DataFrame, transfers_in: DataFrame | None, recommended: DataFrame | None,
                    current: DataFrame, entity: str = "entry_id", code: str = "player_code") -> DataFrame:
     """DEC-8: last transfer-in cost, else the recommended price, else the
-    current price. ``transfers_in``: entity, code, cost, transferred_at
-    (latest wins, NULL time first as in PostgreSQL ``desc``)."""
+    current price; one row per squad row.
+
+    ``transfers_in``: entity, code, cost, transferred_at. The latest wins, a NULL
+    time first as in PostgreSQL ``desc``, equal times by cost. ``recommended``:
+    entity, code, price and, when runs are appended, ``generated_at``: only the
+    latest run's price counts, equal times by price."""
     s = squad.select(entity, code)
+
+    def last(rows: DataFrame, order: list, value: str, alias: str) -> DataFrame:
+        w = Window.partitionBy(entity, code).orderBy(*order, F.col(value).desc_nulls_last())
+        return rows.withColumn("__n", F.row_number().over(w)).where(F.col("__n") == 1) \
+            .select(entity, code, F.col(value).alias(alias))
+
     if transfers_in is not None:
-        w = Window.partitionBy(entity, code).orderBy(F.col("transferred_at").desc_nulls_first())
-        last = transfers_in.withColumn("__r", F.row_number().over(w)).where(F.col("__r") == 1) \
-            .select(entity, code, F.col("cost").alias("__t"))
-        s = s.join(last, [entity, code], "left")
+        s = s.join(last(transfers_in, [F.col("transferred_at").desc_nulls_first()], "cost", "__t"),
+                   [entity, code], "left")
     else:
         s = s.withColumn("__t", F.lit(None).cast("double"))
     if recommended is not None:
-        s = s.join(recommended.select(entity, code, F.col("price").alias("__r")), [entity, code], "left")
+        run = [F.col("generated_at").desc_nulls_last()] if "generated_at" in recommended.columns else []
+        s = s.join(last(recommended, run, "price", "__r"), [entity, code], "left")
     else:
         s = s.withColumn("__r", F.lit(None).cast("double"))
     s = s.join(current.select(code, F.col("price").alias("__c")), code, "left")
@@ -186,7 +201,12 @@ def current_squad(picks: DataFrame, recommendations: DataFrame, entity: str = "e
     return real.unionByName(recs)
 
 
-def price_ladder(pool: DataFrame, levels: DataFrame, score: str, code: str = "player_code",
+def price_levels(pool: DataFrame, price_t: str = "price_tenths") -> DataFrame:
+    """The distinct prices of the pool: the only budgets that differ in what they buy."""
+    return pool.where(F.col(price_t).isNotNull()).select(F.col(price_t).alias("level_tenths")).distinct()
+
+
+def price_ladder(pool: DataFrame, score: str = "score", code: str = "player_code",
                  position: str = "position_id", club: str = "team_code",
                  price_t: str = "price_tenths", depth: int = CLUB_LADDER_DEPTH) -> DataFrame:
     """DEC-15 (exact pruning): for every (position, club, budget level) the
@@ -194,14 +214,14 @@ def price_ladder(pool: DataFrame, levels: DataFrame, score: str, code: str = "pl
 
     First the ``depth`` best per (position, club, price) (a map-side group
     limit, so a hot club is cut before the shuffle), then each survivor is
-    attached to the budget levels at or above its price (levels are the
-    bounded price domain) and limited again per level.
+    attached to the budget levels at or above its price and limited again.
     """
     order = [F.col(score).desc(), F.col(code).asc()]
     per_price = pool.withColumn("__r", F.row_number().over(
         Window.partitionBy(position, club, price_t).orderBy(*order))).where(F.col("__r") <= depth).drop("__r")
-    lv = bounded(levels.select(F.col("level_tenths")))
-    spread = per_price.join(lv, F.col(price_t) <= F.col("level_tenths"))
+    all_levels = price_levels(pool, price_t).agg(F.sort_array(F.collect_list("level_tenths")).alias("__levels"))
+    spread = per_price.crossJoin(bounded(all_levels)).withColumn(
+        "level_tenths", F.explode(F.filter("__levels", lambda x: x >= F.col(price_t)))).drop("__levels")
     return spread.withColumn("ladder_rank", F.row_number().over(
         Window.partitionBy(position, club, "level_tenths").orderBy(*order))) \
         .where(F.col("ladder_rank") <= depth)
@@ -221,13 +241,11 @@ def prune_pool(pool: DataFrame, score: str = "score", code: str = "player_code",
     ``2 x clubs`` rows. Output: the kept players with ``dominating_clubs``.
     """
     spark = pool.sparkSession
-    span = pool.agg(F.min(price_t).alias("__lo"), F.max(price_t).alias("__hi"))
-    levels = span.select(F.explode(F.sequence("__lo", "__hi")).alias("level_tenths"))
-    ladder = price_ladder(pool, levels, score, code, position, club, price_t, depth=2) \
+    ladder = price_ladder(pool, score, code, position, club, price_t, depth=2) \
         .select(F.col(position), F.col(club).alias("__c"), F.col("level_tenths"),
                 F.col(code).alias("__y"), F.col(score).alias("__ys"), "ladder_rank")
     x = pool.select(code, position, club, price_t, score)
-    j = x.join(bounded(ladder), (x[position] == ladder[position])
+    j = x.join(ladder, (x[position] == ladder[position])
                & (x[price_t] == ladder["level_tenths"]), "left").drop(ladder[position])
     # per (player, club): the best candidate that is not the player itself
     j = j.where(F.col("__y") != F.col(code)).withColumn("__r", F.row_number().over(
@@ -244,44 +262,43 @@ def prune_pool(pool: DataFrame, score: str = "score", code: str = "player_code",
 def best_single_transfer(squads: DataFrame, pool: DataFrame, bank_t: DataFrame,
                          entity: str = "entry_id", score: str = "score",
                          code: str = "player_code", position: str = "position_id",
-                         club: str = "team_code", price_t: str = "price_tenths") -> DataFrame:
+                         club: str = "team_code", price_t: str = "price_tenths",
+                         ladder: DataFrame | None = None) -> DataFrame:
     """DEC-11 (k = 1) / DEC-13: the best swap per manager.
 
     ``squads``: entity, code, purchase_tenths. ``pool``: code, position, club,
     price_tenths, score (every current player). ``bank_t``: entity,
     bank_tenths. Budget after the sale = bank + sell value (50% sell-on fee).
+    ``ladder``: a stored :func:`price_ladder` of the pool, to reuse. Squad members
+    absent from the pool cannot be sold but stay owned (D2).
     Output per manager: out/in codes, ``gain`` (score in - score out) and the
     bank after the swap; no row when no legal swap exists.
     """
-    # one shuffle: the squads by manager; everything after is a broadcast
-    # join (bounded ladder) or a per-manager window/aggregate on that layout
-    own = squads.join(pool, code, "inner").join(bank_t, entity, "inner").repartition(entity)
+    if ladder is None:
+        ladder = price_ladder(pool, score, code, position, club, price_t)
+    own = squads.join(pool, code, "left").join(bank_t, entity, "inner").repartition(entity)
     own = own.withColumn("budget_tenths", F.col("bank_tenths")
                          + sell_value_tenths(F.col(price_t), F.col("purchase_tenths")))
-    # budget levels: every tenth of the price range (bounded by the price
-    # domain, not by the data volume)
-    span = pool.agg(F.min(price_t).alias("__lo"), F.max(price_t).alias("__hi"))
-    levels = span.select(F.explode(F.sequence("__lo", "__hi")).alias("level_tenths"))
-    ladder = price_ladder(pool, levels, score, code, position, club, price_t)
-    # a budget above the dearest player buys what the top level buys
-    own = own.crossJoin(bounded(span.select("__hi"))) \
-        .withColumn("__lv", F.least(F.col("budget_tenths"), F.col("__hi")))
-    # per-squad state, bounded by the squad size (15): owned codes and a
-    # club -> count map, as window aggregates over the manager partitioning
-    # (no join back); each candidate pair then does plain lookups
+    # a budget buys what the dearest price level within it buys
+    levels = price_levels(pool, price_t).agg(F.sort_array(F.collect_list("level_tenths")).alias("__levels"))
+    own = own.crossJoin(bounded(levels)).withColumn("level_tenths", F.array_max(
+        F.filter("__levels", lambda x: x <= F.col("budget_tenths")))).drop("__levels")
+    # per-squad state, bounded by the squad size: owned codes and a club ->
+    # count map, as window aggregates over the manager partitioning
     w_sq = Window.partitionBy(entity)
     own = own.withColumn("__owned", F.collect_list(code).over(w_sq)) \
         .withColumn("__clubs", F.collect_list(club).over(w_sq))
     clubs = F.array_compact(F.array_distinct("__clubs"))
     own = own.withColumn("__cmap", F.map_from_arrays(
         clubs, F.transform(clubs, lambda c: F.size(F.filter("__clubs", lambda x: x == c)))))
-    o = own.select(entity, F.col(code).alias("out_code"), F.col(position),
-                   F.col(club).alias("out_club"), F.col(score).alias("out_score"),
-                   F.col("__lv").alias("level_tenths"), "budget_tenths", "__owned", "__cmap")
+    o = own.where(F.col("level_tenths").isNotNull()).select(
+        entity, F.col(code).alias("out_code"), F.col(position), F.col(club).alias("out_club"),
+        F.col(score).alias("out_score"), "level_tenths", "budget_tenths", "__owned", "__cmap")
     cand = ladder.select(F.col(code).alias("in_code"), position, F.col(club).alias("in_club"),
                          F.col(score).alias("in_score"), F.col(price_t).alias("in_price"),
                          "level_tenths")
-    pairs = o.join(bounded(cand), [position, "level_tenths"], "inner")
+    # no hint: the planner broadcasts the ladder only if its size allows
+    pairs = o.join(cand, [position, "level_tenths"], "inner")
     n_club = F.coalesce(F.col("__cmap")[F.col("in_club")], F.lit(0))
     after = n_club - F.when(F.col("in_club") == F.col("out_club"), 1).otherwise(0) + 1
     pairs = pairs.where(~F.array_contains("__owned", F.col("in_code")) & (after <= MAX_PER_CLUB))
@@ -292,47 +309,103 @@ def best_single_transfer(squads: DataFrame, pool: DataFrame, bank_t: DataFrame,
         ((F.col("budget_tenths") - F.col("in_price")) / 10.0).alias("bank_after"))
 
 
-def best_two_transfers(squads: DataFrame, pool: DataFrame, bank_t: DataFrame, free_transfers: int = 1,
-                       hit: int = 4, entity: str = "entry_id", code: str = "player_code",
-                       price_t: str = "price_tenths", first: DataFrame | None = None) -> DataFrame:
-    """DEC-11 (k <= 2) / DEC-13: a transfer plan of 0, 1 or 2 moves per manager.
+def transfer_plan(squads: DataFrame, pool: DataFrame, bank_t: DataFrame, free_transfers: int = 1,
+                  hit: int = HIT, entity: str = "entry_id", code: str = "player_code",
+                  price_t: str = "price_tenths", score: str = "score", position: str = "position_id",
+                  ladder: DataFrame | None = None, max_rounds: int = SQUAD_SIZE) -> DataFrame:
+    """DEC-11 (any number of transfers) / DEC-13: a plan per manager. Greedy.
 
-    The first move is the exact best single swap; the second is the exact
-    best single swap on the squad and bank after the first (greedy). Net
-    points charge ``hit`` per move beyond ``free_transfers``; the plan with
-    the highest net wins (fewer moves on a tie). Exact for k <= 1; for two
-    moves it is a feasible plan, a lower bound on the joint optimum. Pass a
-    materialised ``first`` (the single-transfer table) to reuse it; it is
-    read four times here.
+    Each round makes the exact best swap of every manager on the squad and bank
+    that the rounds before left, while it gains anything, for at most as many
+    rounds as a squad has players. Of all prefixes, including none, the one with
+    the best net wins (fewer transfers on a tie): net = gross gain - ``hit`` for
+    every original player gone beyond ``free_transfers``; a player bought and
+    sold again costs nothing. The plan is feasible, at least as good as the best
+    single swap, and a lower bound of the optimum; ``upper_net_gain`` bounds
+    the optimum from above (see :func:`transfer_upper_bound`), ``gap`` is between.
+
+    Rounds are stored, so each reads the one before, and the ladder is built once.
     """
-    if first is None:
-        first = best_single_transfer(squads, pool, bank_t)
-    bought = first.join(pool.select(F.col(code).alias("in_code"), F.col(price_t).alias("__p")), "in_code") \
-        .select(entity, F.col("in_code").alias(code), F.col("__p").alias("purchase_tenths"))
-    sq2 = squads.join(first.select(entity, F.col("out_code").alias(code)), [entity, code], "left_anti") \
-        .select(entity, code, "purchase_tenths").unionByName(bought)
-    bank2 = first.select(entity, F.round(F.col("bank_after") * 10).cast("bigint").alias("bank_tenths"))
-    second = best_single_transfer(sq2, pool, bank2)
-    f = first.select(entity, F.col("out_code").alias("out_1"), F.col("in_code").alias("in_1"),
-                     F.col("gain").alias("gain_1"))
-    g = second.select(entity, F.col("out_code").alias("out_2"), F.col("in_code").alias("in_2"),
-                      F.col("gain").alias("gain_2"))
-    j = bank_t.select(entity).join(f, entity, "left").join(g, entity, "left")
-
-    def charge(n):
-        return F.lit(hit * max(0, n - free_transfers))
-    net1 = F.col("gain_1") - charge(1)
-    net2 = F.col("gain_1") + F.col("gain_2") - charge(2)
-    best = F.greatest(F.lit(0.0), F.coalesce(net1, F.lit(0.0)), F.coalesce(net2, F.lit(0.0)))
-    n = F.when(F.round(best, 9) <= 0, 0).when(F.round(net1, 9) >= F.round(best, 9), 1).otherwise(2)
-    return j.select(
-        entity, n.cast("int").alias("n_transfers"),
-        F.when(n >= 1, F.col("out_1")).alias("out_1"), F.when(n >= 1, F.col("in_1")).alias("in_1"),
-        F.when(n >= 2, F.col("out_2")).alias("out_2"), F.when(n >= 2, F.col("in_2")).alias("in_2"),
-        F.when(n == 0, 0.0).when(n == 1, F.col("gain_1")).otherwise(F.col("gain_1") + F.col("gain_2"))
-        .alias("gross_gain"),
-        F.when(n == 0, 0).when(n == 1, charge(1)).otherwise(charge(2)).alias("hit_cost"),
-        best.alias("net_gain"))
+    if ladder is None:
+        ladder = materialized(price_ladder(pool, score, code, price_t=price_t), "ladder")
+    held = squads.select(entity, code, "purchase_tenths", F.lit(True).alias("__first"))
+    money, moves = bank_t, None
+    original = squads.select(entity, F.col(code).alias("in_code"), F.lit(True).alias("__back"))
+    for step in range(1, max_rounds + 1):
+        swap = best_single_transfer(held.drop("__first"), pool, money, entity, ladder=ladder) \
+            .where(F.round("gain", 9) > 0)
+        swap = materialized(swap.join(original, [entity, "in_code"], "left").select(
+            entity, F.lit(step).alias("step"), "out_code", "in_code", "gain", "bank_after",
+            F.coalesce("__back", F.lit(False)).alias("__back")), f"plan-{step}")
+        if swap.isEmpty():
+            break
+        moves = swap if moves is None else moves.unionByName(swap)
+        bought = swap.join(pool.select(F.col(code).alias("in_code"), F.col(price_t).alias("__p")), "in_code") \
+            .select(entity, F.col("in_code").alias(code), F.col("__p").alias("purchase_tenths"),
+                    F.col("__back").alias("__first"))
+        stay = held.join(swap.select(entity), entity, "left_semi") \
+            .join(swap.select(entity, F.col("out_code").alias(code)), [entity, code], "left_anti")
+        held = materialized(stay.unionByName(bought), f"squad-{step}")
+        money = swap.select(entity, F.round(F.col("bank_after") * 10).cast("bigint").alias("bank_tenths"))
+    start = bank_t.select(entity)
+    if moves is None:
+        moves = start.limit(0).select(
+            entity, F.lit(0).alias("step"), F.lit(None).cast("bigint").alias("out_code"),
+            F.lit(None).cast("bigint").alias("in_code"), F.lit(0.0).alias("gain"), F.lit(False).alias("__back"))
+    # every move in order: state after each prefix, from the manager's few moves
+    flat = moves.join(squads.select(entity, F.col(code).alias("out_code"), F.lit(1).alias("__own")),
+                      [entity, "out_code"], "left")
+    w = Window.partitionBy(entity).orderBy("step")
+    gone = F.sum(F.coalesce("__own", F.lit(0)) - F.col("__back").cast("int")).over(w)
+    steps = flat.withColumn("n", gone).withColumn("gross", F.sum("gain").over(w)) \
+        .withColumn("cost", hit * F.greatest(F.col("n") - free_transfers, F.lit(0))) \
+        .withColumn("net", F.col("gross") - F.col("cost"))
+    best = steps.withColumn("__b", F.row_number().over(Window.partitionBy(entity).orderBy(
+        F.round("net", 9).desc(), F.col("step")))).where((F.col("__b") == 1) & (F.round("net", 9) > 0)) \
+        .select(entity, F.col("step").alias("rounds"), F.col("n").alias("n_transfers"), F.col("gross").alias("gross_gain"),
+                F.col("cost").alias("hit_cost"), F.col("net").alias("net_gain"))
+    taken = moves.join(best.select(entity, "rounds"), entity).where(F.col("step") <= F.col("rounds"))
+    listed = taken.groupBy(entity).agg(F.sort_array(F.collect_list("out_code")).alias("__o"),
+                                       F.sort_array(F.collect_list("in_code")).alias("__i")).select(
+        entity, F.array_join(F.array_except("__o", "__i").cast("array<string>"), ",").alias("out_codes"),
+        F.array_join(F.array_except("__i", "__o").cast("array<string>"), ",").alias("in_codes"))
+    upper = transfer_upper_bound(squads, pool, free_transfers, hit, entity, code, score, position)
+    zero = F.lit(0.0)
+    return start.join(best, entity, "left").join(listed, entity, "left").join(upper, entity, "left").select(
+        entity, F.coalesce("n_transfers", F.lit(0)).cast("int").alias("n_transfers"),
+        F.coalesce("out_codes", F.lit("")).alias("out_codes"), F.coalesce("in_codes", F.lit("")).alias("in_codes"),
+        F.coalesce("gross_gain", zero).alias("gross_gain"),
+        F.coalesce("hit_cost", F.lit(0)).cast("double").alias("hit_cost"),
+        F.coalesce("net_gain", zero).alias("net_gain"), "upper_net_gain",
+        (F.col("upper_net_gain") - F.coalesce("net_gain", zero)).alias("gap"))
+
+
+def transfer_upper_bound(squads: DataFrame, pool: DataFrame, free_transfers: int = 1, hit: int = HIT,
+                         entity: str = "entry_id", code: str = "player_code", score: str = "score",
+                         position: str = "position_id") -> DataFrame:
+    """An upper bound of any transfer plan's net gain per manager, by leaving the
+    budget and the club cap out: selling j players of a position gains at most the
+    j best unowned minus the j worst owned, so the n-th best of these differences
+    over all positions bounds the n-th transfer. ``upper_net_gain`` is the best
+    total over n after hits. The best unowned of a position lie in its global top
+    2 x MAX_QUOTA, a list bounded by the squad rules."""
+    order = Window.partitionBy(position).orderBy(F.col(score).desc(), F.col(code))
+    top = pool.withColumn("__r", F.row_number().over(order)).where(F.col("__r") <= 2 * MAX_QUOTA) \
+        .groupBy(position).agg(F.sort_array(F.collect_list(F.struct(
+            F.col(score).alias("s"), F.col(code).alias("c"))), asc=False).alias("__top"))
+    own = squads.select(entity, code).join(pool.select(code, position, score), code) \
+        .groupBy(entity, position).agg(F.sort_array(F.collect_list(score)).alias("__low"),
+                                       F.collect_list(code).alias("__codes"))
+    both = own.join(bounded(top), position, "left")
+    free = F.transform(F.filter("__top", lambda t: ~F.array_contains("__codes", t["c"])), lambda t: t["s"])
+    pairs = F.zip_with(free, F.col("__low"), lambda t, o: t - o)
+    per = both.select(entity, F.filter(pairs, lambda d: d > 0).alias("__d"))
+    gains = per.groupBy(entity).agg(F.sort_array(F.flatten(F.collect_list("__d")), asc=False).alias("__d"))
+    n = F.size("__d")
+    # prefix totals after hits, starting from no transfer
+    totals = F.aggregate("__d", F.array(F.lit(0.0)), lambda acc, d: F.concat(acc, F.array(F.element_at(acc, -1) + d)))
+    net = F.transform(totals, lambda t, i: t - hit * F.greatest(i - free_transfers, F.lit(0)))
+    return gains.select(entity, F.when(n == 0, F.lit(0.0)).otherwise(F.array_max(net)).alias("upper_net_gain"))
 
 
 def net_points(gain, n_transfers, free_transfers, hit: int = 4):
@@ -340,30 +413,42 @@ def net_points(gain, n_transfers, free_transfers, hit: int = 4):
     return gain - F.lit(hit) * F.greatest(F.col(n_transfers) - F.col(free_transfers), F.lit(0))
 
 
-def _frontier_parts(pool: DataFrame, lambdas: Sequence[float], keys: Sequence[str],
-                    score: str, code: str, position: str, club: str, price_t: str):
+def _weighted(pool: DataFrame, lambdas: Sequence[float], keys: Sequence[str], score: str, code: str,
+              position: str, club: str, price_t: str) -> DataFrame:
+    """The pool at every price weight: adj = score - weight * price."""
     spark = pool.sparkSession
     grid = bounded(spark.createDataFrame([(float(x),) for x in lambdas], "lam double"))
-    q = bounded(squad_quotas(spark))
     adj = (F.col(score) - F.col("lam") * F.col(price_t) / 10.0)
-    p = pool.select(*keys, code, position, club, price_t, score).crossJoin(grid) \
-        .withColumn("adj", adj).join(q, position)
+    return pool.select(*keys, code, position, club, price_t, score).crossJoin(grid) \
+        .withColumn("adj", adj).join(bounded(squad_quotas(spark)), position)
+
+
+def _filled_squads(p: DataFrame, keys: Sequence[str], score: str, code: str, position: str, club: str,
+                   price_t: str) -> DataFrame:
+    """Per (keys, weight) a squad filled in order of adj, both limits checked as it
+    fills: position quota and club cap. At most SQUAD_SIZE // MAX_PER_CLUB clubs
+    can be full, so a position's picks lie in the best quota + SQUAD_SIZE of its
+    clubs' best MAX_PER_CLUB: a list bounded by the squad rules, folded in a row."""
     order = [F.col("adj").desc(), F.col(code)]
-    # club cap first (best 3 per club), then the quota per position
-    c3 = p.withColumn("__c", F.row_number().over(Window.partitionBy(*keys, "lam", club).orderBy(*order))) \
-        .where(F.col("__c") <= MAX_PER_CLUB)
-    # literal bound first (a map-side group limit), then the per-position quota
-    chosen = c3.withColumn("__r", F.row_number().over(
-        Window.partitionBy(*keys, "lam", position).orderBy(*order))) \
-        .where(F.col("__r") <= MAX_QUOTA).where(F.col("__r") <= F.col("squad_quota")).drop("__c", "__r")
-    squads = chosen.groupBy(*keys, "lam").agg(F.count(F.lit(1)).alias("n"), F.sum(score).alias("value"),
-                                              F.sum(price_t).alias("cost_t"))
-    # Lagrangian relaxation of budget and club cap: top quota per position
-    up = p.withColumn("__r", F.row_number().over(
-        Window.partitionBy(*keys, "lam", position).orderBy(*order))) \
-        .where(F.col("__r") <= MAX_QUOTA).where(F.col("__r") <= F.col("squad_quota")) \
-        .groupBy(*keys, "lam").agg(F.sum("adj").alias("adj_sum"))
-    return p, chosen, squads, up
+    few = p.withColumn("__c", F.row_number().over(
+        Window.partitionBy(*keys, "lam", position, club).orderBy(*order))).where(F.col("__c") <= MAX_PER_CLUB)
+    few = few.withColumn("__r", F.row_number().over(Window.partitionBy(*keys, "lam", position).orderBy(*order))) \
+        .where(F.col("__r") <= MAX_QUOTA + SQUAD_SIZE).where(F.col("__r") <= F.col("squad_quota") + SQUAD_SIZE)
+    entry = F.struct((-F.col("adj")).alias("rank"), F.col(code).alias("code"), F.col(position).alias("position"),
+                     F.col(club).alias("club"), F.col(price_t).cast("bigint").alias("price"),
+                     F.col(score).cast("double").alias("score"), F.col("squad_quota").alias("quota"))
+    lists = few.groupBy(*keys, "lam").agg(F.sort_array(F.collect_list(entry)).alias("cands"))
+
+    def add(acc, x):
+        open_position = F.size(F.filter(acc, lambda a: a["position"] == x["position"])) < x["quota"]
+        open_club = F.size(F.filter(acc, lambda a: a["club"].eqNullSafe(x["club"]))) < MAX_PER_CLUB
+        return F.when(open_position & open_club, F.concat(acc, F.array(x))).otherwise(acc)
+
+    picked = lists.select(*keys, "lam", F.aggregate("cands", F.slice("cands", 1, 0), add).alias("squad"))
+    return picked.select(
+        *keys, "lam", "squad", F.size("squad").alias("n"),
+        F.aggregate("squad", F.lit(0.0), lambda t, x: t + x["score"]).alias("value"),
+        F.aggregate("squad", F.lit(0).cast("bigint"), lambda t, x: t + x["price"]).alias("cost_t"))
 
 
 def squad_frontier(pool: DataFrame, lambdas: Sequence[float], budget_tenths: int,
@@ -373,18 +458,23 @@ def squad_frontier(pool: DataFrame, lambdas: Sequence[float], budget_tenths: int
                    with_squad: bool = False):
     """DEC-14: squad construction under budget, quotas and the club cap.
 
-    For each price weight ``l`` in the (bounded) grid, rank players by
-    ``score - l * price``: keep the best 3 per club, then the quota per
-    position; that squad is legal on quotas and clubs, and the best one within
-    budget is the lower bound. Dropping the club cap gives the Lagrangian
-    upper bound ``min_l (l * B + sum of top-quota(score - l * price))``.
-    One row per ``keys`` group (e.g. per period): ``lower_value``,
-    ``upper_bound``, ``gap``, ``best_lambda``, ``squad_cost`` (NULLs and
-    ``feasible`` false when no weight gives a legal squad within budget).
-    ``with_squad`` also returns the chosen squad's rows.
+    For each price weight ``l`` in the (bounded) grid, players are taken in
+    order of ``score - l * price`` while their position and club have room; the
+    best such squad within budget is the lower bound. Dropping the club cap
+    gives the Lagrangian upper bound ``min_l (l * B + sum of top-quota(score -
+    l * price))``; any grid gives valid bounds. One row per ``keys`` group (e.g.
+    per period): ``lower_value``, ``upper_bound``, ``gap``, ``best_lambda``,
+    ``squad_cost`` (NULLs and ``feasible`` false when no weight gives a legal
+    squad within budget). ``with_squad`` also returns the chosen squad's rows.
     """
     keys = list(keys)
-    _, chosen, squads, up = _frontier_parts(pool, lambdas, keys, score, code, position, club, price_t)
+    p = _weighted(pool, lambdas, keys, score, code, position, club, price_t)
+    squads = _filled_squads(p, keys, score, code, position, club, price_t)
+    # Lagrangian relaxation of budget and club cap: top quota per position
+    up = p.withColumn("__r", F.row_number().over(
+        Window.partitionBy(*keys, "lam", position).orderBy(F.col("adj").desc(), F.col(code)))) \
+        .where(F.col("__r") <= MAX_QUOTA).where(F.col("__r") <= F.col("squad_quota")) \
+        .groupBy(*keys, "lam").agg(F.sum("adj").alias("adj_sum"))
     upper = up.groupBy(*keys).agg(F.min(F.col("lam") * budget_tenths / 10.0 + F.col("adj_sum"))
                                   .alias("upper_bound"))
     feas = squads.where((F.col("n") == SQUAD_SIZE) & (F.col("cost_t") <= budget_tenths))
@@ -399,90 +489,98 @@ def squad_frontier(pool: DataFrame, lambdas: Sequence[float], budget_tenths: int
         F.col("lower_value").isNotNull().alias("feasible"))
     if not with_squad:
         return out
-    squad = chosen.join(lower.select(*keys, F.col("best_lambda").alias("lam")), [*keys, "lam"], "inner") \
-        .select(*keys, code, position, club, price_t, score)
-    return out, squad
+    rows = best.select(*keys, F.explode("squad").alias("x")).select(
+        *keys, F.col("x.code").alias(code), F.col("x.position").alias(position), F.col("x.club").alias(club),
+        F.col("x.price").alias(price_t), F.col("x.score").alias(score))
+    return out, rows
 
 
 def free_hit(own_lineup: DataFrame, period_pool: DataFrame, lambdas: Sequence[float],
              budget_tenths: int = 1000, entity: str = "entry_id", period: str = "gameweek_id",
              score: str = "expected_points") -> DataFrame:
-    """DEC-18: Free Hit value per (manager, period) = XI total (captain
-    doubled) of the best any-15 squad for that period - the manager's own XI
-    total. The any-15 squad is DEC-14's lower-bound squad for the period (the
-    reference likewise takes the XI of the total-maximising 15); computed once
-    per period, then joined to every manager."""
+    """DEC-18: Free Hit value per (manager, period) = best XI of any legal 15 for
+    that period - the manager's own best XI, the captain counted once on both
+    sides. The 15 are DEC-14's feasible squad for the period, so ``free_hit_xi``
+    and ``free_hit_value`` are lower bounds of the exact ones; computed once per
+    period, then joined to every manager."""
     _, fh_squad = squad_frontier(period_pool.withColumnRenamed(score, "score"), lambdas, budget_tenths,
                                  keys=[period], with_squad=True)
     rows = fh_squad.select(F.lit(0).alias("__e"), period, "player_code", "position_id",
                            F.col("score").alias(score))
     fh = best_lineup(rows, keys=["__e", period], score=score) \
-        .groupBy(period).agg(F.max("total_expected_points").alias("free_hit_points"))
-    own = own_lineup.groupBy(entity, period).agg(F.max("total_expected_points").alias("own_points"))
+        .groupBy(period).agg(F.max("xi_points").alias("free_hit_xi"))
+    own = own_lineup.groupBy(entity, period).agg(F.max("xi_points").alias("own_xi"))
     return own.join(fh, period, "left").select(
-        entity, period, "own_points", "free_hit_points",
-        (F.col("free_hit_points") - F.col("own_points")).alias("free_hit_value"))
+        entity, period, "own_xi", "free_hit_xi",
+        (F.col("free_hit_xi") - F.col("own_xi")).alias("free_hit_value"))
 
 
-def wildcard_gain(squads: DataFrame, pool: DataFrame, bank_t: DataFrame, best_transfer: DataFrame,
-                  lambdas: Sequence[float], entity: str = "entry_id", score: str = "score",
+def wildcard_gain(squads: DataFrame, pool: DataFrame, bank_t: DataFrame, plan: DataFrame,
+                  lambdas: Sequence[float], free_transfers: int = 1, hit: int = HIT,
+                  entity: str = "entry_id", score: str = "score",
                   code: str = "player_code", position: str = "position_id",
                   club: str = "team_code", price_t: str = "price_tenths",
                   threshold: float = 4.0) -> DataFrame:
-    """DEC-19: Wildcard gain interval per manager.
-
-    ordinary = squad value + best single-transfer gain (if positive, one free
-    transfer). Wildcard: budget = bank + sum of sell values.
-    * lower: the best DEC-14 grid squad (current prices) within that budget;
-      at sell-value prices it is no dearer, so it is a feasible plan.
-    * upper: ``min_l (l * B + sum_pos top-quota adj)`` where the manager's own
-      players are re-priced at sell value. Re-pricing only raises their adj,
-      so the top quota of any position lies in the global top ``quota + 5``
-      list plus the manager's own players: a bounded candidate set per
-      manager, never the whole pool.
-    verdict: 'play' when lower - ordinary >= threshold, 'hold' when
-    upper - ordinary < threshold, else 'uncertain'.
+    """DEC-19: an interval that holds the Wildcard gain of every manager.
+
+    gain = value of the best squad with unlimited transfers - value of the best
+    ordinary plan after hits. Both are bounded:
+    * Wildcard: budget = bank + sum of sell values. Lower: the best DEC-14 grid
+      squad (current prices) within it, or the ordinary plan before hits, which
+      a Wildcard may copy. Upper: ``min_l (l * B + sum_pos top-quota adj)`` with
+      the manager's own players priced at sell value; the top quota of a position
+      lies in the global top quota + squad size of it plus the own players.
+    * ordinary (``plan``, a :func:`transfer_plan`): lower = squad value +
+      net_gain, upper = squad value + upper_net_gain, and no more than Wildcard's
+      upper.
+    ``gain_lower`` subtracts the ordinary upper bound, ``gain_upper`` the lower
+    one. Copying the Wildcard squad costs at most ``hit`` for all transfers but
+    the free ones, so the gain lies in [0, hit * (squad size - free_transfers)].
+    verdict: 'play' when gain_lower >= threshold, 'hold' when gain_upper <
+    threshold, else 'uncertain'.
     """
-    spark = pool.sparkSession
-    p, _, squads_l, _ = _frontier_parts(pool, lambdas, [], score, code, position, club, price_t)
+    p = _weighted(pool, lambdas, [], score, code, position, club, price_t)
     own = squads.join(pool.select(code, position, club, price_t, score), code, "inner") \
         .withColumn("sell_t", sell_value_tenths(F.col(price_t), F.col("purchase_tenths")))
-    value = own.groupBy(entity).agg(F.sum(score).alias("squad_value"),
-                                    F.sum("sell_t").alias("sell_sum"))
-    budget = value.join(bank_t, entity).select(entity, "squad_value",
-                                               (F.col("bank_tenths") + F.col("sell_sum")).alias("wc_budget"))
-    ordinary = budget.join(best_transfer.select(entity, "gain"), entity, "left").select(
-        entity, "wc_budget",
-        (F.col("squad_value") + F.greatest(F.coalesce("gain", F.lit(0.0)), F.lit(0.0))).alias("ordinary"))
-    # lower bound: grid squads (bounded, broadcast) affordable within each budget
-    grid_sq = squads_l.where(F.col("n") == SQUAD_SIZE).select("lam", "value", "cost_t")
-    lower = ordinary.join(bounded(grid_sq), F.col("cost_t") <= F.col("wc_budget"), "left") \
-        .groupBy(entity).agg(F.max("value").alias("lower_value"))
-    # upper bound: global top (quota + 5) per (lambda, position), bounded
+    held = own.groupBy(entity).agg(
+        F.sum(score).alias("squad_value"), F.sum("sell_t").alias("sell_sum"),
+        F.collect_list(F.struct(F.col(code).alias("code"), F.col(position).alias("position"),
+                                F.col(score).alias("score"), F.col("sell_t").alias("sell"))).alias("own"))
+    held = held.join(bank_t, entity).withColumn("wc_budget", F.col("bank_tenths") + F.col("sell_sum")) \
+        .join(plan.select(entity, "net_gain", "gross_gain", "upper_net_gain"), entity, "left")
+    # grid squads and top lists: rows bounded by the grid and the squad rules
+    grid = _filled_squads(p, [], score, code, position, club, price_t).where(F.col("n") == SQUAD_SIZE) \
+        .agg(F.collect_list(F.struct("value", "cost_t")).alias("grid"))
     top = p.withColumn("__r", F.row_number().over(
         Window.partitionBy("lam", position).orderBy(F.col("adj").desc(), F.col(code)))) \
-        .where(F.col("__r") <= MAX_QUOTA + SQUAD_SIZE) \
-        .where(F.col("__r") <= F.col("squad_quota") + 5) \
-        .select("lam", position, code, "adj", "squad_quota")
-    grid = bounded(spark.createDataFrame([(float(x),) for x in lambdas], "lam double"))
-    q = bounded(squad_quotas(spark))
-    own_adj = own.crossJoin(grid).join(q, position).select(
-        entity, "lam", position, code, "squad_quota",
-        (F.col(score) - F.col("lam") * F.col("sell_t") / 10.0).alias("adj"))
-    cand = ordinary.select(entity).crossJoin(bounded(top)) \
-        .join(own_adj.select(entity, code), [entity, code], "left_anti") \
-        .unionByName(own_adj)
-    up = cand.withColumn("__r", F.row_number().over(
-        Window.partitionBy(entity, "lam", position).orderBy(F.col("adj").desc(), F.col(code)))) \
-        .where(F.col("__r") <= F.col("squad_quota")) \
-        .groupBy(entity, "lam").agg(F.sum("adj").alias("adj_sum")) \
-        .join(ordinary.select(entity, "wc_budget"), entity) \
-        .groupBy(entity).agg(F.min(F.col("lam") * F.col("wc_budget") / 10.0 + F.col("adj_sum"))
-                             .alias("upper_value"))
-    out = ordinary.join(lower, entity, "left").join(up, entity, "left")
-    lo, hi = F.col("lower_value") - F.col("ordinary"), F.col("upper_value") - F.col("ordinary")
+        .where(F.col("__r") <= MAX_QUOTA + SQUAD_SIZE).where(F.col("__r") <= F.col("squad_quota") + SQUAD_SIZE) \
+        .groupBy("lam", F.col(position).alias("position"), F.col("squad_quota").alias("quota")) \
+        .agg(F.collect_list(F.struct("adj", F.col(code).alias("code"))).alias("list")) \
+        .groupBy("lam").agg(F.collect_list(F.struct("position", "quota", "list")).alias("tops")) \
+        .agg(F.collect_list(F.struct("lam", "tops")).alias("weights"))
+    rows = held.crossJoin(bounded(grid)).crossJoin(bounded(top)) \
+        .withColumn("owned", F.transform("own", lambda x: x["code"]))
+
+    def best_of(w, t):
+        mine = F.transform(F.filter("own", lambda x: x["position"] == t["position"]),
+                           lambda x: x["score"] - w["lam"] * x["sell"] / 10.0)
+        others = F.transform(F.filter(t["list"], lambda y: ~F.array_contains("owned", y["code"])), lambda y: y["adj"])
+        return F.aggregate(F.slice(F.sort_array(F.concat(mine, others), asc=False), 1, t["quota"]),
+                           F.lit(0.0), lambda a, v: a + v)
+
+    bounds = F.transform("weights", lambda w: w["lam"] * F.col("wc_budget") / 10.0 + F.aggregate(
+        w["tops"], F.lit(0.0), lambda a, t: a + best_of(w, t)))
+    affordable = F.transform(F.filter("grid", lambda g: g["cost_t"] <= F.col("wc_budget")), lambda g: g["value"])
+    out = rows.withColumn("upper_value", F.array_min(bounds)) \
+        .withColumn("lower_value", F.greatest(F.array_max(affordable), F.col("squad_value") + F.col("gross_gain"))) \
+        .withColumn("ordinary_lower", F.col("squad_value") + F.col("net_gain")) \
+        .withColumn("ordinary_upper", F.least(F.col("squad_value") + F.col("upper_net_gain"), F.col("upper_value")))
+    most = float(hit * max(0, SQUAD_SIZE - free_transfers))
+    lo = F.least(F.greatest(F.col("lower_value") - F.col("ordinary_upper"), F.lit(0.0)), F.lit(most))
+    hi = F.least(F.greatest(F.col("upper_value") - F.col("ordinary_lower"), F.lit(0.0)), F.lit(most))
     return out.select(
-        entity, "ordinary", "lower_value", "upper_value", lo.alias("gain_lower"), hi.alias("gain_upper"),
+        entity, "ordinary_lower", "ordinary_upper", "lower_value", "upper_value",
+        lo.alias("gain_lower"), hi.alias("gain_upper"),
         F.when(lo >= threshold, "play").when(hi < threshold, "hold").otherwise("uncertain").alias("verdict"))
 
 
@@ -500,8 +598,21 @@ def recommendation_rows(lineup: DataFrame, players: DataFrame, keys=("entry_id",
         "total_expected_points")
 
 
-def chip_rows(candidates: DataFrame, entity: str = "entry_id") -> DataFrame:
-    """SNK-5: one row per (manager, chip): the best period and its value."""
-    return candidates.where(F.col("chip_rank") == 1).select(
-        entity, "chip_name", "gameweek_id", "opportunity_value",
-        F.concat(F.lit("best of top 3 by "), F.col("chip_name")).alias("detail"))
+# The texts of the chip report.
+HORIZON_DETAIL = "best candidate within visible horizon"
+WILDCARD_DETAIL = "extra points vs. ordinary hit-costed transfers, if played now"
+
+
+def chip_rows(candidates: DataFrame, values: DataFrame, wildcard: DataFrame, players: DataFrame,
+              entity: str = "entry_id", period: str = "gameweek_id") -> DataFrame:
+    """SNK-5: four rows per manager. Bench boost, triple captain and free hit with
+    their best period, the captain's name in ``detail``; the wildcard has no
+    period, and its value is the lower bound of its gain (DEC-19)."""
+    names = values.select(entity, period, F.col("triple_captain_code").alias("player_code")) \
+        .join(players.select("player_code", "web_name"), "player_code", "left").drop("player_code")
+    best = candidates.where(F.col("chip_rank") == 1).join(names, [entity, period], "left").select(
+        entity, "chip_name", F.col(period).cast("int").alias(period), "opportunity_value",
+        F.when(F.col("chip_name") == "triple_captain", F.col("web_name")).otherwise(F.lit(HORIZON_DETAIL)).alias("detail"))
+    wild = wildcard.select(entity, F.lit("wildcard").alias("chip_name"), F.lit(None).cast("int").alias(period),
+                           F.col("gain_lower").alias("opportunity_value"), F.lit(WILDCARD_DETAIL).alias("detail"))
+    return best.unionByName(wild)

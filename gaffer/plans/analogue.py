@@ -38,8 +38,8 @@ from pyspark.sql import functions as F
 from gaffer.functions.scalars import season_label, sentinel_to_null, tenths
 from gaffer.functions.scalars import in_tenths
 from gaffer.operators.decisions import (
-    bank, best_lineup, best_single_transfer, best_two_transfers, check_squad, prune_pool, chip_candidates, chip_values,
-    free_hit, purchase_price, squad_frontier, wildcard_gain,
+    bank, best_lineup, best_single_transfer, check_squad, chip_candidates, chip_rows, chip_values, free_hit,
+    price_ladder, prune_pool, purchase_price, squad_frontier, transfer_plan, wildcard_gain,
 )
 from gaffer.operators.conform import dim_gameweeks, dim_players, dim_teams, resolve_codes
 from gaffer.operators.form import group_baseline_rates, recent_form, shrunk_form
@@ -393,7 +393,7 @@ class Analogue:
 
     @cached_property
     def chip_candidates(self) -> DataFrame:
-        return chip_candidates(self.chips)
+        return chip_candidates(self.all_chips)
 
     @cached_property
     def squad_check(self) -> DataFrame:
@@ -412,25 +412,36 @@ class Analogue:
     def best_transfer(self) -> DataFrame:
         sq = self.purchases.select("entry_id", "player_code",
                                    in_tenths("purchase_price").alias("purchase_tenths"))
-        return best_single_transfer(sq, self.pool, self.bank)
+        return best_single_transfer(sq, self.pool, self.bank, ladder=self.ladder)
+
+    @mart
+    def ladder(self) -> DataFrame:
+        return price_ladder(self.pool, "score")
 
     @cached_property
     def pruned_pool(self) -> DataFrame:
         return prune_pool(self.pool)
 
-    @cached_property
+    @property
+    def plan_squads(self) -> DataFrame:
+        return self.purchases.select("entry_id", "player_code", in_tenths("purchase_price").alias("purchase_tenths"))
+
+    @mart
     def transfer_plan(self) -> DataFrame:
-        """DEC-11 k <= 2 with one free transfer."""
-        sq = self.purchases.select("entry_id", "player_code",
-                                   in_tenths("purchase_price").alias("purchase_tenths"))
-        return best_two_transfers(sq, self.pool, self.bank, free_transfers=1, first=self.best_transfer)
+        """DEC-11, any number of moves, one free transfer."""
+        return transfer_plan(self.plan_squads, self.pool, self.bank, free_transfers=1, ladder=self.ladder)
+
+    @cached_property
+    def two_transfers(self) -> DataFrame:
+        """DEC-11 stopped after two moves."""
+        return transfer_plan(self.plan_squads, self.pool, self.bank, free_transfers=1, ladder=self.ladder, max_rounds=2)
 
     @cached_property
     def frontier(self) -> DataFrame:
         return squad_frontier(self.pool, LAMBDAS, FRONTIER_BUDGET_TENTHS)
 
 
-    @cached_property
+    @mart
     def free_hit(self) -> DataFrame:
         """DEC-18 per (manager, period)."""
         pp = self.by_period.select(
@@ -439,13 +450,17 @@ class Analogue:
             F.round("expected_points", SCORE_DIGITS).alias("expected_points"))
         return free_hit(self.lineup, pp, LAMBDAS, FRONTIER_BUDGET_TENTHS)
 
-    @cached_property
+    @mart
     def wildcard(self) -> DataFrame:
         """DEC-19 per manager."""
-        sq = self.purchases.select("entry_id", "player_code",
-                                   in_tenths("purchase_price").alias("purchase_tenths"))
-        return wildcard_gain(sq, self.pool, self.bank, self.best_transfer, LAMBDAS)
+        return wildcard_gain(self.plan_squads, self.pool, self.bank, self.transfer_plan, LAMBDAS)
 
+    @cached_property
+    def all_chips(self) -> DataFrame:
+        """The three per-period chips of every manager."""
+        return self.chips.join(self.free_hit.select("entry_id", "gameweek_id", "free_hit_value"),
+                               ["entry_id", "gameweek_id"], "left")
 
-def current_season_label() -> str:
-    return CURRENT_SEASON
+    @cached_property
+    def chip_report(self) -> DataFrame:
+        return chip_rows(self.chip_candidates, self.chips, self.wildcard, self.dim_players)

@@ -6,6 +6,7 @@ over whole driver tables, with its DuckDB oracle SQL.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,8 @@ from gaffer.functions.scalars import (
 )
 from gaffer.operators import nested, snapshots
 from gaffer.plans import oracle as O
-from gaffer.plans.analogue import CURRENT_YEAR, Analogue, period_of
+from gaffer.operators.decisions import HORIZON_DETAIL, WILDCARD_DETAIL
+from gaffer.plans.analogue import CURRENT_YEAR, FRONTIER_BUDGET_TENTHS, LAMBDAS, Analogue, period_of
 from gaffer.plans.normalize import normalize
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -353,19 +355,6 @@ def q_triple_captain(spark, d):
                                            "triple_captain_code")
 
 
-@register("chip_candidates", O.decisions_chain(O.LINEUP) + """
-  , chip_long AS (
-    SELECT entry_id, gameweek_id, 'bench_boost' AS chip_name, bench_boost_value AS opportunity_value FROM chips
-    UNION ALL
-    SELECT entry_id, gameweek_id, 'triple_captain', triple_captain_value FROM chips)
-  SELECT * FROM (
-    SELECT *, row_number() OVER (PARTITION BY entry_id, chip_name
-                                 ORDER BY round(opportunity_value, 9) DESC, gameweek_id) AS chip_rank
-    FROM chip_long) WHERE chip_rank <= 3""")
-def q_chip_candidates(spark, d):
-    return Analogue(spark, d).chip_candidates
-
-
 @register("squad_rule_check", O.decisions_chain() + """
   , s AS (SELECT k.entry_id, k.player_code, k.position_id, p.team_code, p.price
           FROM picks k LEFT JOIN pool p ON k.player_code = p.player_code),
@@ -444,25 +433,52 @@ def q_transfer_diff(spark, d):
     return transfer_diff(before, after, ["entry_id"], "player_code", pair_by="position_id")
 
 
+def _lam_values() -> str:
+    return ", ".join(f"({x})" for x in LAMBDAS)
+
+
+def _fold_sql(pool: str, key: str) -> str:
+    """CTEs that fill a squad per (key, price weight) by walking ``pool`` in order
+    of score - weight * price, one player a step, until 15 are in."""
+    return f"""
+  , weighed AS (SELECT x.*, x.{key} AS k, g.lam, q.squad_quota, x.score - g.lam * x.price_tenths / 10.0 AS adj
+                FROM {pool} x CROSS JOIN grid g JOIN quotas q ON x.position_id = q.position_id),
+  line AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY k, lam ORDER BY adj DESC, player_code) AS turn
+                        FROM weighed),
+  walk AS (
+    SELECT k, lam, CAST(0 AS BIGINT) AS turn, CAST([] AS BIGINT[]) AS codes, CAST([] AS BIGINT[]) AS jobs,
+      CAST([] AS BIGINT[]) AS clubs
+    FROM (SELECT DISTINCT k, lam FROM line)
+    UNION ALL
+    SELECT w.k, w.lam, w.turn + 1,
+      CASE WHEN fits THEN list_append(w.codes, CAST(l.player_code AS BIGINT)) ELSE w.codes END,
+      CASE WHEN fits THEN list_append(w.jobs, CAST(l.position_id AS BIGINT)) ELSE w.jobs END,
+      CASE WHEN fits THEN list_append(w.clubs, CAST(coalesce(l.team_code, -1) AS BIGINT)) ELSE w.clubs END
+    FROM walk w JOIN line l ON l.k = w.k AND l.lam = w.lam AND l.turn = w.turn + 1,
+      LATERAL (SELECT len(list_filter(w.jobs, lambda j: j = l.position_id)) < l.squad_quota
+                 AND len(list_filter(w.clubs, lambda c: c = coalesce(l.team_code, -1))) < 3 AS fits)
+    WHERE len(w.codes) < 15),
+  done AS (SELECT * FROM walk WHERE len(codes) = 15),
+  member AS (SELECT d.k, d.lam, l.player_code, l.position_id, l.score, l.price_tenths
+             FROM (SELECT k, lam, unnest(codes) AS code FROM done) d
+             JOIN line l ON l.k = d.k AND l.lam = d.lam AND l.player_code = d.code),
+  filled AS (SELECT k, lam, sum(score) AS value, sum(price_tenths) AS cost_t FROM member GROUP BY k, lam)"""
+
+
+def _recursive(sql: str) -> str:
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
 def _frontier_sql() -> str:
-    from gaffer.plans.analogue import FRONTIER_BUDGET_TENTHS, LAMBDAS
-    lam = ", ".join(f"({x})" for x in LAMBDAS)
     b = FRONTIER_BUDGET_TENTHS
-    return O.decisions_chain(f"grid(lam) AS (VALUES {lam})") + f"""
-  , p AS (SELECT pool.*, grid.lam, q.squad_quota, pool.score - grid.lam * pool.price_tenths / 10.0 AS adj
-          FROM pool CROSS JOIN grid JOIN quotas q ON pool.position_id = q.position_id),
-  up AS (SELECT lam, sum(adj) AS s FROM (
-           SELECT *, row_number() OVER (PARTITION BY lam, position_id ORDER BY adj DESC, player_code) AS r FROM p)
+    return _recursive(O.decisions_chain(f"grid(lam) AS (VALUES {_lam_values()})",
+                                        "one_pool AS (SELECT *, 0 AS g FROM pool)") + _fold_sql("one_pool", "g")) + f"""
+  , relaxed AS (SELECT lam, sum(adj) AS s FROM (
+           SELECT *, row_number() OVER (PARTITION BY lam, position_id ORDER BY adj DESC, player_code) AS r FROM weighed)
          WHERE r <= squad_quota GROUP BY lam),
-  upper_b AS (SELECT min(lam * {b} / 10.0 + s) AS upper_bound FROM up),
-  c3 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lam, team_code ORDER BY adj DESC, player_code) AS c
-                        FROM p) WHERE c <= 3),
-  sqd AS (SELECT lam, count(*) AS n, sum(score) AS value, sum(price_tenths) AS cost_t FROM (
-            SELECT *, row_number() OVER (PARTITION BY lam, position_id ORDER BY adj DESC, player_code) AS r FROM c3)
-          WHERE r <= squad_quota GROUP BY lam),
-  lower_b AS (SELECT value AS lower_value, lam AS best_lambda, cost_t / 10.0 AS squad_cost FROM (
-                SELECT *, row_number() OVER (ORDER BY round(value, 9) DESC, lam) AS b FROM sqd
-                WHERE n = 15 AND cost_t <= {b}) WHERE b = 1)
+  upper_b AS (SELECT min(lam * {b} / 10.0 + s) AS upper_bound FROM relaxed),
+  lower_b AS (SELECT value AS lower_value, lam AS best_lambda, cost_t / 10.0 AS squad_cost FROM filled
+              WHERE cost_t <= {b} QUALIFY row_number() OVER (ORDER BY round(value, 9) DESC, lam) = 1)
   SELECT {b} / 10.0 AS budget, lower_value, upper_bound, upper_bound - lower_value AS gap, best_lambda,
     squad_cost, lower_value IS NOT NULL AS feasible
   FROM upper_b LEFT JOIN lower_b ON true"""
@@ -566,83 +582,139 @@ def q_dq_relationships(spark, d):
         .select("season", "fixture_id", "team_code")
 
 
-def _lam_values() -> str:
-    from gaffer.plans.analogue import LAMBDAS
-    return ", ".join(f"({x})" for x in LAMBDAS)
-
-
-@register("free_hit_bound", O.decisions_chain(O.LINEUP, f"grid(lam) AS (VALUES {_lam_values()})") + """
-  , pp AS (SELECT player_code, gameweek_id, position_id, current_team_code AS team_code,
-             CAST(round(current_price * 10) AS BIGINT) AS price_tenths, round(expected_points, 6) AS score
-           FROM by_period),
-  fp AS (SELECT pp.*, grid.lam, q.squad_quota, pp.score - grid.lam * pp.price_tenths / 10.0 AS adj
-         FROM pp CROSS JOIN grid JOIN quotas q ON pp.position_id = q.position_id),
-  fc3 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY gameweek_id, lam, team_code
-                                                      ORDER BY adj DESC, player_code) AS c FROM fp) WHERE c <= 3),
-  fchosen AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY gameweek_id, lam, position_id
-                                                          ORDER BY adj DESC, player_code) AS r FROM fc3)
-              WHERE r <= squad_quota),
-  fsq AS (SELECT gameweek_id, lam, count(*) AS n, sum(score) AS value, sum(price_tenths) AS cost_t
-          FROM fchosen GROUP BY gameweek_id, lam),
-  fbest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY gameweek_id ORDER BY round(value, 9) DESC, lam) AS b
-                           FROM fsq WHERE n = 15 AND cost_t <= 1000) WHERE b = 1),
-  fh_rows AS (SELECT c.gameweek_id, c.player_code, c.position_id, c.score AS expected_points
-              FROM fchosen c JOIN fbest b ON c.gameweek_id = b.gameweek_id AND c.lam = b.lam),
-  fr AS (SELECT *, row_number() OVER (PARTITION BY gameweek_id, position_id
-                                      ORDER BY expected_points DESC, player_code) AS pos_rank FROM fh_rows),
-  fper AS (SELECT r.gameweek_id, f.formation_id, sum(r.expected_points) AS xi, count(*) AS n
-           FROM fr r JOIN formations f ON r.position_id = f.position_id AND r.pos_rank <= f.starters
-           GROUP BY r.gameweek_id, f.formation_id),
-  fxi AS (SELECT gameweek_id, max(xi) AS xi FROM fper WHERE n = 11 GROUP BY gameweek_id),
-  fcap AS (SELECT gameweek_id, max(expected_points) AS cap FROM fh_rows GROUP BY gameweek_id),
-  fhv AS (SELECT x.gameweek_id, x.xi + c.cap AS free_hit_points FROM fxi x JOIN fcap c ON x.gameweek_id = c.gameweek_id),
-  own AS (SELECT entry_id, gameweek_id, max(total_expected_points) AS own_points FROM lineup
-          GROUP BY entry_id, gameweek_id)
-  SELECT o.entry_id, o.gameweek_id, o.own_points, f.free_hit_points,
-    f.free_hit_points - o.own_points AS free_hit_value
-  FROM own o LEFT JOIN fhv f ON o.gameweek_id = f.gameweek_id""")
+_FREE_HIT = _recursive(O.decisions_chain(O.LINEUP, f"grid(lam) AS (VALUES {_lam_values()})", """
+  week_pool AS (SELECT player_code, gameweek_id, position_id, current_team_code AS team_code,
+                  CAST(round(current_price * 10) AS BIGINT) AS price_tenths, round(expected_points, 6) AS score
+                FROM by_period)""") + _fold_sql("week_pool", "gameweek_id")) + """
+  , chosen AS (SELECT k, lam FROM filled WHERE cost_t <= 1000
+               QUALIFY row_number() OVER (PARTITION BY k ORDER BY round(value, 9) DESC, lam) = 1),
+  fifteen AS (SELECT m.*, row_number() OVER (PARTITION BY m.k, m.position_id ORDER BY m.score DESC, m.player_code) AS r
+              FROM member m JOIN chosen c ON c.k = m.k AND c.lam = m.lam),
+  eleven AS (SELECT x.k, f.formation_id, sum(x.score) AS xi FROM fifteen x
+             JOIN formations f ON f.position_id = x.position_id AND x.r <= f.starters
+             GROUP BY x.k, f.formation_id HAVING count(*) = 11),
+  hit AS (SELECT k AS gameweek_id, max(xi) AS free_hit_xi FROM eleven GROUP BY k),
+  own AS (SELECT entry_id, gameweek_id, max(xi_points) AS own_xi FROM lineup GROUP BY entry_id, gameweek_id),
+  free_hits AS (SELECT o.entry_id, o.gameweek_id, o.own_xi, h.free_hit_xi, h.free_hit_xi - o.own_xi AS free_hit_value
+                FROM own o LEFT JOIN hit h USING (gameweek_id))"""
+
+
+@register("free_hit_bound", _FREE_HIT + "\n SELECT * FROM free_hits")
 def q_free_hit(spark, d):
     return Analogue(spark, d).free_hit
 
 
-@register("wildcard_gain_bound", O.decisions_chain(f"grid(lam) AS (VALUES {_lam_values()})") + _SQ + """
-  , p AS (SELECT pool.*, grid.lam, q.squad_quota, pool.score - grid.lam * pool.price_tenths / 10.0 AS adj
-          FROM pool CROSS JOIN grid JOIN quotas q ON pool.position_id = q.position_id),
-  c3 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lam, team_code ORDER BY adj DESC, player_code) AS c
-                        FROM p) WHERE c <= 3),
-  sqd AS (SELECT lam, count(*) AS n, sum(score) AS value, sum(price_tenths) AS cost_t FROM (
-            SELECT *, row_number() OVER (PARTITION BY lam, position_id ORDER BY adj DESC, player_code) AS r FROM c3)
-          WHERE r <= squad_quota GROUP BY lam),
-  own AS (SELECT k.entry_id, p0.player_code, p0.position_id, p0.score, p0.price_tenths,
-            CASE WHEN p0.price_tenths > CAST(round(pl.price * 10) AS BIGINT)
-                 THEN CAST(round(pl.price * 10) AS BIGINT) + floor((p0.price_tenths - CAST(round(pl.price * 10) AS BIGINT)) / 2)
-                 ELSE p0.price_tenths END AS sell_t
-          FROM picks k JOIN pool p0 ON k.player_code = p0.player_code JOIN players pl ON k.player_code = pl.player_code),
-  val AS (SELECT entry_id, sum(score) AS squad_value, sum(sell_t) AS sell_sum FROM own GROUP BY entry_id),
-  ord AS (SELECT v.entry_id, b.bank_tenths + v.sell_sum AS wc_budget,
-            v.squad_value + greatest(coalesce(bs.gain, 0.0), 0.0) AS ordinary
-          FROM val v JOIN bank_t b ON v.entry_id = b.entry_id LEFT JOIN best_swap bs ON v.entry_id = bs.entry_id),
-  lower_w AS (SELECT o.entry_id, max(s.value) AS lower_value FROM ord o
-              LEFT JOIN sqd s ON s.n = 15 AND s.cost_t <= o.wc_budget GROUP BY o.entry_id),
-  top AS (SELECT lam, position_id, player_code, adj, squad_quota FROM (
-            SELECT *, row_number() OVER (PARTITION BY lam, position_id ORDER BY adj DESC, player_code) AS r FROM p)
-          WHERE r <= squad_quota + 5),
-  own_adj AS (SELECT o.entry_id, g.lam, o.position_id, o.player_code, q.squad_quota,
-                o.score - g.lam * o.sell_t / 10.0 AS adj
-              FROM own o CROSS JOIN grid g JOIN quotas q ON o.position_id = q.position_id),
-  cand AS (SELECT o.entry_id, t.lam, t.position_id, t.player_code, t.squad_quota, t.adj FROM ord o CROSS JOIN top t
-           WHERE NOT EXISTS (SELECT 1 FROM own w WHERE w.entry_id = o.entry_id AND w.player_code = t.player_code)
-           UNION ALL SELECT entry_id, lam, position_id, player_code, squad_quota, adj FROM own_adj),
-  up AS (SELECT entry_id, lam, sum(adj) AS adj_sum FROM (
-           SELECT *, row_number() OVER (PARTITION BY entry_id, lam, position_id ORDER BY adj DESC, player_code) AS r
-           FROM cand) WHERE r <= squad_quota GROUP BY entry_id, lam),
-  upper_w AS (SELECT u.entry_id, min(u.lam * o.wc_budget / 10.0 + u.adj_sum) AS upper_value
-              FROM up u JOIN ord o ON u.entry_id = o.entry_id GROUP BY u.entry_id)
-  SELECT o.entry_id, o.ordinary, l.lower_value, u.upper_value, l.lower_value - o.ordinary AS gain_lower,
-    u.upper_value - o.ordinary AS gain_upper,
-    CASE WHEN l.lower_value - o.ordinary >= 4 THEN 'play' WHEN u.upper_value - o.ordinary < 4 THEN 'hold'
-         ELSE 'uncertain' END AS verdict
-  FROM ord o LEFT JOIN lower_w l ON o.entry_id = l.entry_id LEFT JOIN upper_w u ON o.entry_id = u.entry_id""")
+def _plan_sql(rounds: int) -> str:
+    """CTEs of the greedy transfer plan: one set per round (the exact best swap by
+    brute force over squads x pool), then the best prefix and the upper bound."""
+    sql = """
+  , h0 AS (SELECT entry_id, player_code, position_id, team_code, price_tenths, score FROM sq),
+  m0 AS (SELECT entry_id, bank_tenths FROM bank_t)"""
+    for k in range(1, rounds + 1):
+        sql += f"""
+  , c{k} AS (SELECT entry_id, team_code, count(*) AS n FROM h{k - 1} GROUP BY entry_id, team_code),
+  s{k} AS MATERIALIZED (
+    SELECT * FROM (
+      SELECT o.entry_id, {k} AS step, o.player_code AS out_code, i.player_code AS in_code, i.score - o.score AS gain,
+        m.bank_tenths + o.price_tenths - i.price_tenths AS money
+      FROM h{k - 1} o JOIN m{k - 1} m USING (entry_id)
+      JOIN pool i ON i.position_id = o.position_id AND i.price_tenths <= m.bank_tenths + o.price_tenths
+      ANTI JOIN h{k - 1} own ON own.entry_id = o.entry_id AND own.player_code = i.player_code
+      LEFT JOIN c{k} c ON c.entry_id = o.entry_id AND c.team_code = i.team_code
+      WHERE coalesce(c.n, 0) + CASE WHEN i.team_code = o.team_code THEN 0 ELSE 1 END <= 3
+      QUALIFY row_number() OVER (PARTITION BY o.entry_id ORDER BY i.score - o.score DESC, o.player_code, i.player_code) = 1)
+    WHERE round(gain, 9) > 0),
+  h{k} AS MATERIALIZED (
+    SELECT h.* FROM h{k - 1} h JOIN s{k} s ON s.entry_id = h.entry_id AND s.out_code <> h.player_code
+    UNION ALL
+    SELECT s.entry_id, p.player_code, p.position_id, p.team_code, p.price_tenths, p.score
+    FROM s{k} s JOIN pool p ON p.player_code = s.in_code),
+  m{k} AS (SELECT entry_id, money AS bank_tenths FROM s{k})"""
+    moves = " UNION ALL ".join(f"SELECT entry_id, step, out_code, in_code, gain FROM s{k}" for k in range(1, rounds + 1))
+    return sql + f"""
+  , moves AS ({moves}),
+  prefix AS (
+    SELECT v.*, sum(gain) OVER w AS gross,
+      sum((a.entry_id IS NOT NULL)::INT - (b.entry_id IS NOT NULL)::INT) OVER w AS n
+    FROM moves v LEFT JOIN picks a ON a.entry_id = v.entry_id AND a.player_code = v.out_code
+    LEFT JOIN picks b ON b.entry_id = v.entry_id AND b.player_code = v.in_code
+    WINDOW w AS (PARTITION BY v.entry_id ORDER BY step)),
+  taken AS (
+    SELECT entry_id, step AS rounds, n, gross, 4 * greatest(n - 1, 0) AS hits FROM prefix
+    QUALIFY row_number() OVER (PARTITION BY entry_id ORDER BY round(gross - 4 * greatest(n - 1, 0), 9) DESC, step) = 1),
+  lists AS (
+    SELECT v.entry_id, list(v.out_code) AS o, list(v.in_code) AS i FROM moves v
+    JOIN taken t ON t.entry_id = v.entry_id AND v.step <= t.rounds AND round(t.gross - t.hits, 9) > 0 GROUP BY v.entry_id),
+  rest AS (SELECT b.entry_id, p.position_id, p.score,
+             row_number() OVER (PARTITION BY b.entry_id, p.position_id ORDER BY p.score DESC) AS r
+           FROM bank_t b CROSS JOIN pool p ANTI JOIN sq s ON s.entry_id = b.entry_id AND s.player_code = p.player_code),
+  worst AS (SELECT entry_id, position_id, score, row_number() OVER (PARTITION BY entry_id, position_id ORDER BY score) AS r
+            FROM sq),
+  better AS (SELECT w.entry_id, x.score - w.score AS d FROM worst w JOIN rest x USING (entry_id, position_id, r)
+             WHERE x.score > w.score),
+  stacked AS (SELECT entry_id, sum(d) OVER (PARTITION BY entry_id ORDER BY d DESC ROWS UNBOUNDED PRECEDING)
+                - 4 * (row_number() OVER (PARTITION BY entry_id ORDER BY d DESC) - 1) AS net FROM better),
+  ceiling_of AS (SELECT entry_id, greatest(0.0, max(net)) AS upper_net_gain FROM stacked GROUP BY entry_id),
+  planned AS (
+    SELECT b.entry_id, CASE WHEN l.entry_id IS NULL THEN 0 ELSE t.n END AS n_transfers,
+      coalesce(array_to_string(list_sort(list_filter(l.o, lambda x: NOT list_contains(l.i, x))), ','), '') AS out_codes,
+      coalesce(array_to_string(list_sort(list_filter(l.i, lambda x: NOT list_contains(l.o, x))), ','), '') AS in_codes,
+      CASE WHEN l.entry_id IS NULL THEN 0.0 ELSE t.gross END AS gross_gain,
+      CAST(CASE WHEN l.entry_id IS NULL THEN 0 ELSE t.hits END AS DOUBLE) AS hit_cost,
+      CASE WHEN l.entry_id IS NULL THEN 0.0 ELSE t.gross - t.hits END AS net_gain,
+      coalesce(c.upper_net_gain, 0.0) AS upper_net_gain
+    FROM bank_t b LEFT JOIN taken t USING (entry_id) LEFT JOIN lists l USING (entry_id)
+    LEFT JOIN ceiling_of c USING (entry_id))"""
+
+
+@register("transfer_plan", O.decisions_chain() + _SQ + _plan_sql(15) +
+          "\n SELECT *, upper_net_gain - net_gain AS gap FROM planned")
+def q_transfer_plan(spark, d):
+    return Analogue(spark, d).transfer_plan
+
+
+@register("best_two_transfers", O.decisions_chain() + _SQ + _plan_sql(2) +
+          "\n SELECT *, upper_net_gain - net_gain AS gap FROM planned")
+def q_two_transfers(spark, d):
+    return Analogue(spark, d).two_transfers
+
+
+def _wildcard_ctes() -> str:
+    """Wildcard bounds against the plan's, by definition: the value of unlimited
+    transfers lies in [lower_value, upper_value], that of ordinary ones in
+    [ordinary_lower, ordinary_upper]."""
+    return _SQ + _plan_sql(15) + """
+  , one_pool AS (SELECT *, 0 AS g FROM pool)""" + _fold_sql("one_pool", "g") + """
+  , mine AS (SELECT s.entry_id, s.player_code, s.position_id, s.score, s.price_tenths AS sell FROM sq s),
+  wealth AS (SELECT v.entry_id, sum(v.score) AS squad_value, any_value(b.bank_tenths) + sum(v.sell) AS money
+             FROM mine v JOIN bank_t b USING (entry_id) GROUP BY v.entry_id),
+  cheap AS (SELECT w.entry_id, max(f.value) AS value FROM wealth w JOIN filled f ON f.cost_t <= w.money GROUP BY w.entry_id),
+  option AS (
+    SELECT w.entry_id, x.lam, x.position_id, x.squad_quota, x.adj FROM wealth w CROSS JOIN weighed x
+    ANTI JOIN mine o ON o.entry_id = w.entry_id AND o.player_code = x.player_code
+    UNION ALL
+    SELECT o.entry_id, g.lam, o.position_id, q.squad_quota, o.score - g.lam * o.sell / 10.0
+    FROM mine o CROSS JOIN grid g JOIN quotas q ON q.position_id = o.position_id),
+  relaxed AS (
+    SELECT entry_id, lam, sum(adj) AS s FROM (
+      SELECT *, row_number() OVER (PARTITION BY entry_id, lam, position_id ORDER BY adj DESC) AS r FROM option)
+    WHERE r <= squad_quota GROUP BY entry_id, lam),
+  roof AS (SELECT r.entry_id, min(r.lam * w.money / 10.0 + r.s) AS value FROM relaxed r JOIN wealth w USING (entry_id)
+           GROUP BY r.entry_id),
+  judged AS (
+    SELECT w.entry_id, w.squad_value + p.net_gain AS ordinary_lower,
+      least(w.squad_value + p.upper_net_gain, u.value) AS ordinary_upper,
+      greatest(c.value, w.squad_value + p.gross_gain) AS lower_value, u.value AS upper_value
+    FROM wealth w JOIN planned p USING (entry_id) LEFT JOIN cheap c USING (entry_id) LEFT JOIN roof u USING (entry_id)),
+  wildcards AS (
+    SELECT *, least(greatest(lower_value - ordinary_upper, 0.0), 56.0) AS gain_lower,
+      least(greatest(upper_value - ordinary_lower, 0.0), 56.0) AS gain_upper FROM judged)"""
+
+
+@register("wildcard_gain_bound", _recursive(O.decisions_chain(f"grid(lam) AS (VALUES {_lam_values()})")
+                                            + _wildcard_ctes()) + """
+  SELECT *, CASE WHEN gain_lower >= 4 THEN 'play' WHEN gain_upper < 4 THEN 'hold' ELSE 'uncertain' END AS verdict
+  FROM wildcards""")
 def q_wildcard(spark, d):
     return Analogue(spark, d).wildcard
 
@@ -710,64 +782,42 @@ def q_recommendation_batch(spark, d):
     return recommendation_rows(nxt, a.dim_players)
 
 
-@register("chip_opportunities", O.decisions_chain(O.LINEUP) + """
+_CHIPS = """
   , chip_long AS (
     SELECT entry_id, gameweek_id, 'bench_boost' AS chip_name, bench_boost_value AS opportunity_value FROM chips
     UNION ALL
-    SELECT entry_id, gameweek_id, 'triple_captain', triple_captain_value FROM chips),
+    SELECT entry_id, gameweek_id, 'triple_captain', triple_captain_value FROM chips
+    UNION ALL
+    SELECT entry_id, gameweek_id, 'free_hit', free_hit_value FROM free_hits),
   chip_ranked AS (SELECT *, row_number() OVER (PARTITION BY entry_id, chip_name
                                                ORDER BY round(opportunity_value, 9) DESC, gameweek_id) AS chip_rank
-                  FROM chip_long)
-  SELECT entry_id, chip_name, gameweek_id, opportunity_value, 'best of top 3 by ' || chip_name AS detail
-  FROM chip_ranked WHERE chip_rank = 1""")
-def q_chip_opportunities(spark, d):
-    """SNK-5: one chip row per (manager, chip)."""
-    from gaffer.operators.decisions import chip_rows
-    return chip_rows(Analogue(spark, d).chip_candidates)
+                  FROM chip_long)"""
 
 
-_SQ2 = """
-  , first_swap AS (SELECT * FROM best_swap),
-  sq2 AS (
-    SELECT s.entry_id, s.player_code, s.position_id, s.team_code, s.price_tenths, s.score FROM sq s
-    WHERE NOT EXISTS (SELECT 1 FROM first_swap f WHERE f.entry_id = s.entry_id AND f.out_code = s.player_code)
-    UNION ALL
-    SELECT f.entry_id, p.player_code, p.position_id, p.team_code, p.price_tenths, p.score
-    FROM first_swap f JOIN pool p ON p.player_code = f.in_code),
-  bank2 AS (SELECT entry_id, CAST(round(bank_after * 10) AS BIGINT) AS bank_tenths FROM first_swap),
-  club2 AS (SELECT entry_id, team_code, count(*) AS n_club FROM sq2 GROUP BY entry_id, team_code),
-  swaps2 AS (
-    SELECT o.entry_id, o.player_code AS out_code, i.player_code AS in_code, i.score - o.score AS gain
-    FROM sq2 o JOIN bank2 b ON o.entry_id = b.entry_id
-    JOIN pool i ON i.position_id = o.position_id AND i.price_tenths <= b.bank_tenths + o.price_tenths
-    LEFT JOIN club2 c ON c.entry_id = o.entry_id AND c.team_code = i.team_code
-    WHERE NOT EXISTS (SELECT 1 FROM sq2 s WHERE s.entry_id = o.entry_id AND s.player_code = i.player_code)
-      AND coalesce(c.n_club, 0) - (CASE WHEN i.team_code = o.team_code THEN 1 ELSE 0 END) + 1 <= 3),
-  second_swap AS (
-    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY entry_id ORDER BY gain DESC, out_code, in_code) AS rn
-                   FROM swaps2) WHERE rn = 1),
-  plan AS (
-    SELECT b.entry_id, f.out_code AS o1, f.in_code AS i1, f.gain AS g1, s.out_code AS o2, s.in_code AS i2,
-      s.gain AS g2, f.gain AS net1, f.gain + s.gain - 4 AS net2
-    FROM bank_t b LEFT JOIN first_swap f ON b.entry_id = f.entry_id
-    LEFT JOIN second_swap s ON b.entry_id = s.entry_id),
-  decided AS (
-    SELECT *, greatest(0.0, coalesce(net1, 0.0), coalesce(net2, 0.0)) AS best,
-      CASE WHEN round(greatest(0.0, coalesce(net1, 0.0), coalesce(net2, 0.0)), 9) <= 0 THEN 0
-           WHEN round(net1, 9) >= round(greatest(0.0, coalesce(net1, 0.0), coalesce(net2, 0.0)), 9) THEN 1
-           ELSE 2 END AS n
-    FROM plan)"""
-
-
-@register("best_two_transfers", O.decisions_chain() + _SQ + _SQ2 + """
-  SELECT entry_id, n AS n_transfers,
-    CASE WHEN n >= 1 THEN o1 END AS out_1, CASE WHEN n >= 1 THEN i1 END AS in_1,
-    CASE WHEN n >= 2 THEN o2 END AS out_2, CASE WHEN n >= 2 THEN i2 END AS in_2,
-    CASE WHEN n = 0 THEN 0.0 WHEN n = 1 THEN g1 ELSE g1 + g2 END AS gross_gain,
-    CASE WHEN n = 2 THEN 4 ELSE 0 END AS hit_cost, best AS net_gain
-  FROM decided""")
-def q_two_transfers(spark, d):
-    return Analogue(spark, d).transfer_plan
+@register("chip_candidates", _FREE_HIT + _CHIPS + """
+  SELECT * FROM chip_ranked WHERE chip_rank <= 3""")
+def q_chip_candidates(spark, d):
+    return Analogue(spark, d).chip_candidates
+
+
+def _chip_report_sql() -> str:
+    # two folds in one statement: the wildcard's names get a prefix of their own
+    wild = _wildcard_ctes()
+    for name in ("weighed", "line", "walk", "done", "member", "filled", "chosen", "relaxed"):
+        wild = re.sub(rf"\b{name}\b", f"wild_{name}", wild)
+    return _FREE_HIT + _CHIPS + wild + f"""
+  SELECT r.entry_id, r.chip_name, r.gameweek_id, r.opportunity_value,
+    CASE r.chip_name WHEN 'triple_captain' THEN d.web_name ELSE '{HORIZON_DETAIL}' END AS detail
+  FROM chip_ranked r JOIN chips c USING (entry_id, gameweek_id)
+  LEFT JOIN dim_players d ON d.player_code = c.triple_captain_code WHERE r.chip_rank = 1
+  UNION ALL
+  SELECT entry_id, 'wildcard', NULL, gain_lower, '{WILDCARD_DETAIL}' FROM wildcards"""
+
+
+@register("chip_opportunities", _chip_report_sql())
+def q_chip_opportunities(spark, d):
+    """SNK-5: four chip rows per manager."""
+    return Analogue(spark, d).chip_report
 
 
 @register("pruned_pool", O.decisions_chain() + """

@@ -1,62 +1,76 @@
 """STG-1..16: latest snapshot -> unnested, typed staging frames.
 
-Each raw table is ``(key columns..., fetched_at, payload[, id])``; ``id`` (when
-present) is the declared tie-break for equal ``fetched_at`` (T1).
+Each raw table is ``(key columns..., fetched_at, payload)`` plus either
+
+* ``run_id``: rows of one landing call share it. A payload may then be landed in
+  any number of rows or cells; staging keeps ALL rows of each key's newest run
+  (greatest ``fetched_at``, then ``run_id``); or
+* ``id`` only (one payload per row): ``id`` is the declared tie-break for equal
+  ``fetched_at`` (T1), and staging keeps that one row.
+
+With neither, all rows of a key's greatest ``fetched_at`` are one run. A payload
+that holds one whole array explodes inside one task; land it in cells, or pass
+``partitions`` to spread its rows again.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaffer.operators.nested import parse_json, unnest_json
-from gaffer.operators.snapshots import latest, latest_per_key
+from gaffer.operators.snapshots import latest, latest_per_key, newest_run
 from gaffer.sources import schemas as S
 
 
-def _order(raw: DataFrame) -> list[str]:
-    return ["fetched_at", "id"] if "id" in raw.columns else ["fetched_at"]
+def newest(raw: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """The payload rows that staging reads: each key's newest run."""
+    if "id" in raw.columns and "run_id" not in raw.columns:
+        order = ["fetched_at", "id"]
+        return latest_per_key(raw, list(keys), order) if keys else latest(raw, order)
+    return newest_run(raw, list(keys), [c for c in ("fetched_at", "run_id") if c in raw.columns])
 
 
 def _spread(df: DataFrame, partitions: int | None) -> DataFrame:
-    """A whole array in one cell explodes inside one task; spread it again."""
     return df.repartition(partitions) if partitions else df
 
 
 def stg_players(bootstrap: DataFrame, partitions: int | None = None) -> DataFrame:
-    return _spread(unnest_json(latest(bootstrap, _order(bootstrap)), "payload", S.PLAYERS,
+    return _spread(unnest_json(newest(bootstrap), "payload", S.PLAYERS,
                                path="elements"), partitions)
 
 
 def stg_teams(bootstrap: DataFrame) -> DataFrame:
-    return unnest_json(latest(bootstrap, _order(bootstrap)), "payload", S.TEAMS, path="teams")
+    return unnest_json(newest(bootstrap), "payload", S.TEAMS, path="teams")
 
 
 def stg_gameweeks(bootstrap: DataFrame) -> DataFrame:
-    return unnest_json(latest(bootstrap, _order(bootstrap)), "payload", S.GAMEWEEKS, path="events")
+    return unnest_json(newest(bootstrap), "payload", S.GAMEWEEKS, path="events")
 
 
 def stg_positions(bootstrap: DataFrame) -> DataFrame:
-    return unnest_json(latest(bootstrap, _order(bootstrap)), "payload", S.POSITIONS, path="element_types")
+    return unnest_json(newest(bootstrap), "payload", S.POSITIONS, path="element_types")
 
 
 def stg_fixtures(fixtures: DataFrame) -> DataFrame:
-    return unnest_json(latest(fixtures, _order(fixtures)), "payload", S.FIXTURES)
+    return unnest_json(newest(fixtures), "payload", S.FIXTURES)
 
 
 def stg_player_gameweek_history(element_summary: DataFrame) -> DataFrame:
-    snap = latest_per_key(element_summary, ["element_id"], _order(element_summary)) \
+    snap = newest(element_summary, ["element_id"]) \
         .withColumn("player_id", F.col("element_id").cast("int"))
     return unnest_json(snap, "payload", S.PLAYER_GAMEWEEK_HISTORY, path="history", carry=["player_id"])
 
 
 def stg_entries(entry: DataFrame) -> DataFrame:
-    snap = latest_per_key(entry, ["entry_id"], _order(entry))
+    snap = newest(entry, ["entry_id"])
     return parse_json(snap, "payload", S.ENTRIES, carry=["entry_id", "fetched_at"])
 
 
 def _entry_history(history: DataFrame, spec: dict, path: str) -> DataFrame:
-    snap = latest_per_key(history, ["entry_id"], _order(history))
+    snap = newest(history, ["entry_id"])
     return unnest_json(snap, "payload", spec, path=path, carry=["entry_id"])
 
 
@@ -73,24 +87,24 @@ def stg_entry_chips(history: DataFrame) -> DataFrame:
 
 
 def stg_entry_picks(picks: DataFrame) -> DataFrame:
-    snap = latest_per_key(picks, ["entry_id", "event_id"], _order(picks)) \
+    snap = newest(picks, ["entry_id", "event_id"]) \
         .withColumn("gameweek_id", F.col("event_id").cast("int"))
     return unnest_json(snap, "payload", S.ENTRY_PICKS, path="picks", carry=["entry_id", "gameweek_id"])
 
 
 def stg_entry_picks_summary(picks: DataFrame) -> DataFrame:
-    snap = latest_per_key(picks, ["entry_id", "event_id"], _order(picks)) \
+    snap = newest(picks, ["entry_id", "event_id"]) \
         .withColumn("gameweek_id", F.col("event_id").cast("int"))
     return parse_json(snap, "payload", S.ENTRY_PICKS_SUMMARY, carry=["entry_id", "gameweek_id"])
 
 
 def stg_entry_transfers(transfers: DataFrame) -> DataFrame:
-    snap = latest_per_key(transfers, ["entry_id"], _order(transfers))
+    snap = newest(transfers, ["entry_id"])
     return unnest_json(snap, "payload", S.ENTRY_TRANSFERS, carry=["entry_id"])
 
 
 def _by_season(raw: DataFrame, spec: dict) -> DataFrame:
-    snap = latest_per_key(raw, ["season"], _order(raw))
+    snap = newest(raw, ["season"])
     return unnest_json(snap, "payload", spec, carry=["season"])
 
 

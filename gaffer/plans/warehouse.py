@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from gaffer.functions.scalars import in_tenths, typed_null
 from gaffer.operators.decisions import (
-    bank, best_lineup, best_single_transfer, best_two_transfers, chip_candidates, chip_values, current_squad, free_hit,
-    purchase_price, wildcard_gain,
+    bank, best_lineup, best_single_transfer, chip_candidates, chip_rows, chip_values, current_squad, free_hit,
+    price_ladder, purchase_price, transfer_plan, wildcard_gain,
 )
 from gaffer.operators.conform import dim_gameweeks, dim_players, dim_teams
 from gaffer.operators.form import group_baseline_rates, recent_form, shrunk_form
@@ -26,6 +26,7 @@ from gaffer.operators.forecast import (
 )
 from gaffer.operators.joins import enrich_roles
 from gaffer.operators.setops import union_current_historical
+from gaffer.operators.snapshots import latest_per_key
 from gaffer.plans import staging as stg
 from gaffer.plans.materialize import mart
 from gaffer.sources.landing import publish
@@ -255,21 +256,39 @@ class Warehouse:
             F.round("horizon_expected_points", 6).alias("score"))
 
     def lineups(self, squads: DataFrame) -> DataFrame:
-        """DEC-1..5 for every (manager, period) of the horizon."""
+        """DEC-1..5 for every (manager, period) of the horizon. A squad member
+        without a score in a period counts 0 there (``scored`` false, D2)."""
         ep = self.fct_player_expected_points_by_gameweek.select(
             "player_code", "gameweek_id", F.round("expected_points", 6).alias("expected_points"))
-        return best_lineup(squads.select("entry_id", "player_code", "position_id").join(ep, "player_code"))
-
-    def chips(self, lineups: DataFrame) -> DataFrame:
-        """DEC-16/17/20: bench boost and triple captain, best 3 periods each."""
-        return chip_candidates(chip_values(lineups))
+        periods = ep.select("gameweek_id").distinct()  # at most the horizon
+        grid = squads.select("entry_id", "player_code", "position_id").crossJoin(F.broadcast(periods))
+        rows = grid.join(ep, ["player_code", "gameweek_id"], "left") \
+            .withColumn("scored", F.col("expected_points").isNotNull()) \
+            .withColumn("expected_points", F.coalesce("expected_points", F.lit(0.0)))
+        return best_lineup(rows)
+
+    def chips(self, lineups: DataFrame, free_hits: DataFrame | None = None) -> DataFrame:
+        """DEC-16/17/18/20: the best 3 periods of each chip."""
+        values = chip_values(lineups)
+        if free_hits is not None:
+            values = values.join(free_hits.select("entry_id", "gameweek_id", "free_hit_value"),
+                                 ["entry_id", "gameweek_id"], "left")
+        return chip_candidates(values)
+
+    def chip_report(self, lineups: DataFrame, free_hits: DataFrame, wildcards: DataFrame) -> DataFrame:
+        """SNK-5: four rows per manager, to append with ``landing.append_batch``."""
+        return chip_rows(self.chips(lineups, free_hits), chip_values(lineups), wildcards, self.dim_players)
 
     def purchases(self, squads: DataFrame, recommendations: DataFrame | None = None) -> DataFrame:
-        """DEC-8: last transfer-in cost, else recommended price, else current price."""
+        """DEC-8: last transfer-in cost, else the latest recommended price, else
+        the current price."""
         tr = self.fct_entry_transfers.select(
             "entry_id", F.col("player_in_code").alias("player_code"),
             F.col("player_in_cost").cast("double").alias("cost"), "transferred_at")
-        rec = None if recommendations is None else recommendations.select("entry_id", "player_code", "price")
+        rec = None
+        if recommendations is not None:
+            run = [c for c in ("generated_at",) if c in recommendations.columns]
+            rec = recommendations.select("entry_id", "player_code", "price", *run)
         cur = self.players.select("player_code", F.col("price").cast("double").alias("price"))
         return purchase_price(squads.select("entry_id", "player_code"), tr, rec, cur)
 
@@ -277,20 +296,26 @@ class Warehouse:
         """DEC-9: the real bank of each manager's latest period when present
         (D3), else budget - purchases."""
         real = self.fct_entry_gameweek_performance.select("entry_id", "gameweek_id", "bank")
-        from gaffer.operators.snapshots import latest_per_key
         real = latest_per_key(real, ["entry_id"], ["gameweek_id"]).select(
             "entry_id", F.col("bank").cast("double").alias("bank"))
         return bank(purchases, budget_tenths=budget_tenths, override=real)
 
+    @mart
+    def transfer_ladder(self) -> DataFrame:
+        return price_ladder(self.decision_pool)
+
+    @staticmethod
+    def _owned(purchases: DataFrame) -> DataFrame:
+        return purchases.select("entry_id", "player_code", in_tenths("purchase_price").alias("purchase_tenths"))
+
     def transfers(self, squads: DataFrame, purchases: DataFrame, banks: DataFrame) -> DataFrame:
         """DEC-11 (one transfer) for every manager."""
-        sq = purchases.select("entry_id", "player_code", in_tenths("purchase_price").alias("purchase_tenths"))
-        return best_single_transfer(sq, self.decision_pool, banks)
+        return best_single_transfer(self._owned(purchases), self.decision_pool, banks, ladder=self.transfer_ladder)
 
     def transfer_plan(self, purchases: DataFrame, banks: DataFrame, free_transfers: int = 1) -> DataFrame:
-        """DEC-11 (k <= 2) / DEC-13: 0, 1 or 2 moves with hits beyond the free ones."""
-        sq = purchases.select("entry_id", "player_code", in_tenths("purchase_price").alias("purchase_tenths"))
-        return best_two_transfers(sq, self.decision_pool, banks, free_transfers=free_transfers)
+        """DEC-11 / DEC-13: any number of moves, hits beyond the free ones."""
+        return transfer_plan(self._owned(purchases), self.decision_pool, banks, free_transfers=free_transfers,
+                             ladder=self.transfer_ladder)
 
     def free_hit(self, lineups: DataFrame, budget_tenths: int = 1000) -> DataFrame:
         """DEC-18 for every (manager, period)."""
@@ -300,10 +325,10 @@ class Warehouse:
             F.round("expected_points", 6).alias("expected_points"))
         return free_hit(lineups, pp, self.LAMBDAS, budget_tenths)
 
-    def wildcard(self, purchases: DataFrame, banks: DataFrame, transfers: DataFrame) -> DataFrame:
-        """DEC-19 for every manager."""
-        sq = purchases.select("entry_id", "player_code", in_tenths("purchase_price").alias("purchase_tenths"))
-        return wildcard_gain(sq, self.decision_pool, banks, transfers, self.LAMBDAS)
+    def wildcard(self, purchases: DataFrame, banks: DataFrame, plan: DataFrame,
+                 free_transfers: int = 1) -> DataFrame:
+        """DEC-19 for every manager, against a :meth:`transfer_plan`."""
+        return wildcard_gain(self._owned(purchases), self.decision_pool, banks, plan, self.LAMBDAS, free_transfers)
 
     MARTS = ["dim_players", "dim_teams", "dim_positions", "dim_gameweeks", "performance",
              "fct_fixtures", "fct_team_gameweek_fixtures", "fct_entry_gameweek_performance",

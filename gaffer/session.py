@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Settings every plan in the package relies on.
 DEFAULT_CONF = {
@@ -60,36 +60,32 @@ def apply_conf(spark: SparkSession) -> SparkSession:
     return spark
 
 
-_CKPT: str | None = None
+_FOLDERS: dict[str, str] = {}  # application id -> folder
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
-    ``spark.checkpoint.dir`` is read from the session; a private folder is only
-    created when the setting is absent (local tests).
+    ``spark.checkpoint.dir`` is read from the session. A private folder is only
+    made when it is unset and the master is local (tests): on a cluster every
+    machine would write to its own disk, so that is refused.
     """
-    global _CKPT
-    if _CKPT is not None:
-        return _CKPT
+    app = spark.sparkContext.applicationId
+    if app in _FOLDERS:
+        return _FOLDERS[app]
     d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) \
         or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         d = tempfile.mkdtemp(prefix="gaffer-ckpt-")
     if spark.sparkContext.getCheckpointDir() is None:
         # RDD checkpoints (``DataFrame.checkpoint``) go to a subfolder of it
         spark.sparkContext.setCheckpointDir(os.path.join(d, "rdd"))
-    _CKPT = d
+    _FOLDERS[app] = d
     return d
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (never a local checkpoint),
-    so a lost executor does not force recomputation from the sources."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
-    base = checkpoint_dir(spark)
-    return os.path.join(base, "tables", name)
+    return os.path.join(checkpoint_dir(spark), "tables", name)

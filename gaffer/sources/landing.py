@@ -11,41 +11,57 @@ from __future__ import annotations
 
 import os
 import threading
+import time
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaffer.session import checkpoint_dir
+from gaffer.session import checkpoint_dir, scratch_path
 
-ENVELOPE = ["fetched_at", "payload"]
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path, or a pattern, names anything."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(conf).exists(p)
+    found = p.getFileSystem(conf).globStatus(p)
+    return found is not None and len(found) > 0
+
+
+def new_run_id() -> str:
+    """The id that all rows of one landing call share; later calls sort after."""
+    return f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
 
 
 def empty_snapshot(spark: SparkSession, keys: dict[str, str]) -> DataFrame:
     schema = T.StructType([T.StructField(k, T._parse_datatype_string(t), True) for k, t in keys.items()]
                           + [T.StructField("fetched_at", T.TimestampType(), True),
-                             T.StructField("payload", T.StringType(), True)])
+                             T.StructField("payload", T.StringType(), True),
+                             T.StructField("run_id", T.StringType(), True),
+                             T.StructField("id", T.LongType(), True)])
     return spark.createDataFrame([], schema)
 
 
 def land_json(spark: SparkSession, path: str | Sequence[str], keys: dict[str, str] | None = None,
               key_paths: dict[str, str] | None = None, fetched_at: str | None = None,
-              whole_file: bool = False, missing_ok: bool = False) -> DataFrame:
-    """SRC-1/6: wrap JSON payloads with key columns and ``fetched_at``.
+              whole_file: bool = False, missing_ok: bool = False,
+              path_keys: dict[str, str] | None = None, run_id: str | None = None) -> DataFrame:
+    """SRC-1/6: wrap JSON payloads with key columns, ``fetched_at``, ``run_id``
+    and ``id``.
 
     ``whole_file``: each file is one payload (the reference's cell form);
-    otherwise each line is one payload. ``key_paths`` maps key column -> JSON
-    path inside the payload (``$.entry_id``); ``keys`` gives their types.
-    ``fetched_at`` defaults to the file's modification time. A missing path
-    yields no rows when ``missing_ok`` (a best-effort source).
+    otherwise each line is one payload. ``keys`` names the key columns and their
+    types. A key comes from the request when the payload lacks it: ``path_keys``
+    maps key column -> regular expression with one group over the file path
+    (``element_(\\d+)``), ``key_paths`` maps it to a JSON path (``$.entry_id``);
+    without either it is read from ``$.<key>``. ``fetched_at`` defaults to the
+    file's modification time. ``id`` numbers the rows of the call in file order,
+    for payloads of one row each; staging prefers ``run_id`` where both are kept.
+    A missing path yields no rows when ``missing_ok`` (a best-effort source).
     """
     keys = keys or {}
     paths = [path] if isinstance(path, str) else list(path)
@@ -53,41 +69,72 @@ def land_json(spark: SparkSession, path: str | Sequence[str], keys: dict[str, st
         paths = [p for p in paths if _exists(spark, p)]
         if not paths:
             return empty_snapshot(spark, keys)
-    raw = spark.read.text(paths, wholetext=whole_file) \
-        .select(F.col("value").alias("payload"), F.col("_metadata.file_modification_time").alias("__mtime"))
+    raw = spark.read.text(paths, wholetext=whole_file).select(
+        F.col("value").alias("payload"), F.col("_metadata.file_modification_time").alias("__mtime"),
+        F.col("_metadata.file_path").alias("__path"))
     ts = F.lit(fetched_at).cast("timestamp") if fetched_at else F.col("__mtime")
-    cols = [F.get_json_object("payload", (key_paths or {}).get(k, f"$.{k}")).cast(t).alias(k)
-            for k, t in keys.items()]
-    return raw.where(F.length(F.trim("payload")) > 0).select(*cols, ts.alias("fetched_at"), "payload")
 
+    def key(name: str, kind: str):
+        if name in (path_keys or {}):
+            found = F.regexp_extract("__path", path_keys[name], 1)
+            return F.when(found != "", found).cast(kind).alias(name)
+        return F.get_json_object("payload", (key_paths or {}).get(name, f"$.{name}")).cast(kind).alias(name)
+
+    return raw.where(F.length(F.trim("payload")) > 0).select(
+        *[key(k, t) for k, t in keys.items()], ts.alias("fetched_at"), "payload",
+        F.lit(run_id or new_run_id()).alias("run_id"), F.monotonically_increasing_id().alias("id"))
 
-def land_csv(spark: SparkSession, path: str | Sequence[str], season: str | None = None,
-             fetched_at: str | None = None, as_cell: bool = False, cell_rows: int = 50_000) -> DataFrame:
+
+def land_csv(spark: SparkSession, path: str | Sequence[str] | dict[str, str | Sequence[str]],
+             season: str | None = None, fetched_at: str | None = None, as_cell: bool = False,
+             cell_rows: int = 50_000, seasons: Sequence[str] | None = None,
+             run_id: str | None = None) -> DataFrame:
     """SRC-2/3: CSV rows landed as all-string JSON objects (no inference).
 
-    ``season`` defaults to a ``season=`` directory partition when present.
-    With ``as_cell`` rows are packed into bounded JSON-array cells of
-    ``cell_rows`` rows (the reference stores a whole season per cell).
+    ``path`` is a file, pattern or folder, several, or one per season
+    (``{"2024-25": path, ...}``). ``season`` defaults to a ``season=`` directory
+    partition; ``seasons`` keeps a list of seasons. All rows of one call share
+    ``run_id`` and ``fetched_at``, so a season may come from any number of files,
+    rows or cells. With ``as_cell`` rows are packed into JSON-array cells of at
+    most ``cell_rows`` rows (the reference stores a whole season per cell).
     """
-    df = spark.read.csv(path, header=True, inferSchema=False)
+    run_id = run_id or new_run_id()
+    ts = F.lit(fetched_at).cast("timestamp") if fetched_at else \
+        F.timestamp_micros(F.lit(time.time_ns() // 1000))
+    if isinstance(path, dict):
+        wanted = {k: v for k, v in path.items() if seasons is None or k in seasons}
+        parts = [land_csv(spark, v, k, fetched_at, as_cell, cell_rows, None, run_id) for k, v in wanted.items()]
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        # one landing time for all of the call's seasons
+        return out.withColumn("fetched_at", ts)
+    reader = spark.read.option("recursiveFileLookup", "false")
+    df = reader.csv(path if isinstance(path, str) else list(path), header=True, inferSchema=False)
     data_cols = [c for c in df.columns if c != "season"]
-    season_col = F.lit(season) if season else F.col("season")
-    ts = F.lit(fetched_at).cast("timestamp") if fetched_at else F.current_timestamp()
+    season_col = (F.lit(season) if season else F.col("season")).cast("string")
     rows = df.select(season_col.alias("season"), ts.alias("fetched_at"),
                      F.struct(*[F.col(f"`{c}`") for c in data_cols]).alias("__r"))
+    if seasons is not None:
+        rows = rows.where(F.col("season").isin(list(seasons)))
+    run = F.lit(run_id).alias("run_id")
     if not as_cell:
-        return rows.select("season", "fetched_at", F.to_json("__r").alias("payload"))
+        return rows.select("season", "fetched_at", F.to_json("__r").alias("payload"), run)
     # bounded cells: the row id is (partition << 33) + row number in the
     # partition, so each cell holds at most ``cell_rows`` consecutive rows
     cell = F.floor(F.monotonically_increasing_id() / F.lit(cell_rows)).alias("__cell")
     return rows.select("*", cell).groupBy("season", "fetched_at", "__cell") \
-        .agg(F.to_json(F.collect_list("__r")).alias("payload")).drop("__cell")
+        .agg(F.to_json(F.collect_list("__r")).alias("payload")).drop("__cell").withColumn("run_id", run)
 
 
-def first_n(df: DataFrame, key: str, n: int | None) -> DataFrame:
-    """SRC-7: the first ``n`` entities by key (``--limit``); the limit is the
-    feature here. ``None`` keeps everything."""
-    return df if n is None else df.orderBy(key).limit(n)
+def first_n(df: DataFrame, key: str, n: int | None = None, include: Sequence | None = None,
+            skip: bool = False) -> DataFrame:
+    """SRC-7: ``include`` keeps those entities only, ``n`` the first ``n`` by key
+    (``--limit``; the limit is the feature here), ``skip`` leaves the source out."""
+    if skip:
+        return df.limit(0)
+    out = df if include is None else df.where(F.col(key).isin(list(include)))
+    return out if n is None else out.orderBy(key).limit(n)
 
 
 def append_snapshot(df: DataFrame, path: str, partition_by: Sequence[str] = ("ingest_date",)) -> None:
@@ -103,6 +150,15 @@ def publish(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def materialized(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once under the shared folder and read back: cuts lineage for
+    steps that read each other, and survives the loss of an executor."""
+    path = scratch_path(df.sparkSession, f"{label}-{uuid.uuid4().hex}")
+    schema = df.schema
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(schema).parquet(path)
+
+
 def table(spark: SparkSession, path: str) -> DataFrame:
     """SRC-5: read a table by path."""
     return spark.read.parquet(path)

@@ -176,22 +176,115 @@ def test_check_squad_flags(spark):
     assert not r[2].positions_ok
 
 
-def test_two_transfer_plan_scenarios(spark):
-    from gaffer.operators.decisions import best_two_transfers
+POOL_SCHEMA = "player_code int, position_id int, team_code int, price_tenths int, score double"
+SQUAD_SCHEMA = "entry_id int, player_code int, purchase_tenths int"
+
+
+def test_transfer_plan_scenarios(spark):
+    from gaffer.operators.decisions import transfer_plan
     pool = [(1, 4, 0, 60, 10.0), (2, 4, 1, 60, 9.0), (3, 4, 2, 60, 1.0), (4, 4, 3, 60, 8.0),
             (5, 4, 4, 60, 2.0), (6, 4, 5, 60, 7.5), (7, 4, 6, 60, 2.5)]
-    pl = spark.createDataFrame(pool, "player_code int, position_id int, team_code int, price_tenths int, "
-                                     "score double")
+    pl = spark.createDataFrame(pool, POOL_SCHEMA)
     bk = spark.createDataFrame([(1, 0), (2, 0), (3, 0)], "entry_id int, bank_tenths int")
     sq = spark.createDataFrame([(1, 1, 60), (1, 2, 60), (1, 4, 60),          # already optimal
                                 (2, 1, 60), (2, 3, 60), (2, 5, 60),          # two bad players
-                                (3, 1, 60), (3, 2, 60), (3, 7, 60)],         # one bad player
-                               "entry_id int, player_code int, purchase_tenths int")
-    r = {x.entry_id: x for x in best_two_transfers(sq, pl, bk, free_transfers=1).collect()}
-    assert r[1].n_transfers == 0 and r[1].net_gain == 0.0
-    assert r[2].n_transfers == 2 and r[2].hit_cost == 4            # 7 + 5.5 - 4 beats 7 alone
-    assert {r[2].in_1, r[2].in_2} == {2, 4} or {r[2].in_1, r[2].in_2} == {4, 6}
+                                (3, 1, 60), (3, 2, 60), (3, 7, 60)], SQUAD_SCHEMA)   # one bad player
+    r = {x.entry_id: x for x in transfer_plan(sq, pl, bk, free_transfers=1).collect()}
+    assert r[1].n_transfers == 0 and r[1].net_gain == 0.0 and r[1].out_codes == ""
+    assert r[2].n_transfers == 2 and r[2].hit_cost == 4            # 8 + 6 - 4 beats 8 alone
+    assert (r[2].out_codes, r[2].in_codes) == ("3,5", "2,4") and r[2].net_gain == 10.0
     assert r[3].n_transfers == 1 and r[3].hit_cost == 0            # a second move would not pay the hit
+    assert all(x.gap >= -1e-9 for x in r.values())
+
+
+def small_league(seed, n_squad=(2, 2), n_pool=5):
+    """A two-position game small enough to enumerate every squad of a manager."""
+    rnd = random.Random(seed)
+    pool, code = [], 0
+    for pos in (1, 2):
+        for _ in range(n_pool):
+            code += 1
+            pool.append((code, pos, rnd.randrange(3), rnd.randrange(40, 60), float(rnd.randrange(4, 40))))
+    squad = [p[0] for pos, k in zip((1, 2), n_squad) for p in rnd.sample([x for x in pool if x[1] == pos], k)]
+    return pool, squad, rnd.randrange(0, 15)
+
+
+def all_plans(pool, squad, bank_t):
+    """(transfers, gross gain) of every legal squad within the budget."""
+    by = {p[0]: p for p in pool}
+    shape = [sum(by[c][1] == pos for c in squad) for pos in (1, 2)]
+    worth = sum(by[c][3] for c in squad) + bank_t
+    base = sum(by[c][4] for c in squad)
+    out = []
+    for a in itertools.combinations([p for p in pool if p[1] == 1], shape[0]):
+        for b in itertools.combinations([p for p in pool if p[1] == 2], shape[1]):
+            new = a + b
+            clubs = [p[2] for p in new]
+            if sum(p[3] for p in new) <= worth and max(clubs.count(c) for c in clubs) <= 3:
+                out.append((len({p[0] for p in new} - set(squad)), sum(p[4] for p in new) - base))
+    return out
+
+
+def test_transfer_plan_is_bracketed_by_brute_force(spark):
+    from gaffer.operators.decisions import transfer_plan
+    squads, banks, pools, best, k2 = [], [], None, {}, {}
+    rnd = random.Random(11)
+    pool, _, _ = small_league(2, n_pool=6)
+    for e in range(1, 13):
+        squad = [p[0] for pos in (1, 2) for p in rnd.sample([x for x in pool if x[1] == pos], 2)]
+        bank_t = rnd.randrange(0, 15)
+        plans = all_plans(pool, squad, bank_t)
+        net = {n: max(g for m, g in plans if m == n) - 4 * max(0, n - 1) for n in {m for m, _ in plans}}
+        best[e], k2[e] = max([0.0, *net.values()]), max([0.0, *(v for n, v in net.items() if n <= 1)])
+        squads += [(e, c, next(p[3] for p in pool if p[0] == c)) for c in squad]
+        banks.append((e, bank_t))
+    got = {r.entry_id: r for r in transfer_plan(
+        spark.createDataFrame(squads, SQUAD_SCHEMA), spark.createDataFrame(pool, POOL_SCHEMA),
+        spark.createDataFrame(banks, "entry_id int, bank_tenths int")).collect()}
+    for e, r in got.items():
+        assert k2[e] - 1e-9 <= r.net_gain <= best[e] + 1e-9 <= r.upper_net_gain + 2e-9
+
+
+def test_wildcard_interval_holds_the_true_gain(spark, monkeypatch):
+    """Brute force on a game of two positions: quotas 2 and 2, squads of four."""
+    from gaffer.operators import decisions as D
+    from gaffer.sources import seed as S
+    quotas = spark.createDataFrame([(1, 2), (2, 2)], "position_id int, squad_quota int")
+    monkeypatch.setattr(D, "squad_quotas", lambda _: quotas)
+    monkeypatch.setattr(D, "SQUAD_SIZE", 4)
+    assert S.SQUAD_SIZE == 15
+    rnd = random.Random(5)
+    pool, _, _ = small_league(4, n_pool=6)
+    squads, banks, truth = [], [], {}
+    for e in range(1, 11):
+        squad = [p[0] for pos in (1, 2) for p in rnd.sample([x for x in pool if x[1] == pos], 2)]
+        bank_t = rnd.randrange(0, 15)
+        plans = all_plans(pool, squad, bank_t)
+        ordinary = max([0.0, *(g - 4 * max(0, n - 1) for n, g in plans)])
+        truth[e] = max([0.0, *(g for _, g in plans)]) - ordinary
+        squads += [(e, c, next(p[3] for p in pool if p[0] == c)) for c in squad]
+        banks.append((e, bank_t))
+    sq, pl = spark.createDataFrame(squads, SQUAD_SCHEMA), spark.createDataFrame(pool, POOL_SCHEMA)
+    bk = spark.createDataFrame(banks, "entry_id int, bank_tenths int")
+    plan = D.transfer_plan(sq, pl, bk)
+    got = {r.entry_id: r for r in D.wildcard_gain(sq, pl, bk, plan, [x / 4 for x in range(17)]).collect()}
+    assert set(got) == set(truth)
+    for e, r in got.items():
+        assert 0.0 <= r.gain_lower <= truth[e] + 1e-9 and truth[e] <= r.gain_upper + 1e-9 <= 12.0 + 2e-9
+
+
+def test_free_hit_leaves_the_captain_out_on_both_sides(spark):
+    from gaffer.operators.decisions import best_lineup, free_hit
+    shape = [1, 1] + [2] * 5 + [3] * 5 + [4] * 3
+    pool = [(c, 1, shape[c % 15], c // 2, 50, float(10 + c)) for c in range(30)]  # two squads' worth, cheap
+    own = [(7, 1, c, shape[c], float(10 + c)) for c in range(15)]
+    lu = best_lineup(spark.createDataFrame(
+        own, "entry_id int, gameweek_id int, player_code int, position_id int, expected_points double"))
+    pp = spark.createDataFrame(pool, "player_code int, gameweek_id int, position_id int, team_code int, "
+                                     "price_tenths int, expected_points double")
+    r = free_hit(lu, pp, [0.0], 1000).collect()[0]
+    # the best 15 are codes 15..29: each position scores 15 more than the own squad
+    assert r.free_hit_value == 11 * 15.0 and r.own_xi == lu.first().xi_points
 
 
 def test_prune_pool_equals_pairwise_dominance(spark):

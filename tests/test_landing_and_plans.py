@@ -21,8 +21,8 @@ def test_land_json_lines_and_missing_ok(spark):
             f.write(json.dumps({"entry_id": e, "name": name}) + "\n")
     raw = land_json(spark, os.path.join(d, "entries.jsonl"), keys={"entry_id": "int"},
                     fetched_at="2026-08-01 10:00:00")
-    assert raw.count() == 3 and set(raw.columns) == {"entry_id", "fetched_at", "payload"}
-    raw = raw.withColumn("id", F.monotonically_increasing_id())
+    assert raw.count() == 3 and set(raw.columns) == {"entry_id", "fetched_at", "payload", "run_id", "id"}
+    raw = raw.drop("run_id")  # one payload per row: the landing id decides
     assert sorted(r.team_name for r in stg_entries(raw).collect()) == ["b", "c"]
     empty = land_json(spark, os.path.join(d, "nope.json"), keys={"entry_id": "int"}, missing_ok=True)
     assert empty.count() == 0 and "payload" in empty.columns
@@ -36,10 +36,75 @@ def test_land_csv_rows_and_cells_then_stage(spark):
     rows = land_csv(spark, d, fetched_at="2026-08-01 00:00:00")
     assert rows.count() == 2 and rows.select("season").distinct().collect()[0].season == "2024-25"
     cells = land_csv(spark, d, fetched_at="2026-08-01 00:00:00", as_cell=True)
-    staged = {r.team_code: r for r in stg_historical_teams(cells.withColumn("id", F.lit(1))).collect()}
+    staged = {r.team_code: r for r in stg_historical_teams(cells).collect()}
     assert staged[3].strength == 4 and staged[7].strength is None     # '' -> NULL
 
 
+def _season_files(d, season, names):
+    folder = os.path.join(d, f"season={season}")
+    os.makedirs(folder, exist_ok=True)
+    for k, part in enumerate(names):
+        with open(os.path.join(folder, f"part-{k}.csv"), "w") as f:
+            f.write("id,code,name\n" + "".join(f"{i},{i + 100},{n}\n" for i, n in part))
+
+
+def test_every_row_of_the_newest_landing_run_is_staged(spark):
+    """Rows, cells and files of one run all survive; an older run does not."""
+    d = tempfile.mkdtemp(prefix="gaffer-runs-")
+    _season_files(d, "2023-24", [[(i, f"a{i}") for i in range(7)], [(i, f"b{i}") for i in range(7, 10)]])
+    _season_files(d, "2024-25", [[(i, f"c{i}") for i in range(4)]])
+    old = tempfile.mkdtemp(prefix="gaffer-old-")
+    _season_files(old, "2023-24", [[(1, "stale")]])
+    for kw in ({}, {"as_cell": True}, {"as_cell": True, "cell_rows": 4}):
+        stale = land_csv(spark, old, fetched_at="2026-08-01 00:00:00", **kw)
+        fresh = land_csv(spark, d, fetched_at="2026-08-02 00:00:00", **kw)
+        got = sorted((r.season, r.season_team_id, r.team_name)
+                     for r in stg_historical_teams(stale.unionByName(fresh)).collect())
+        assert len(got) == 14 and got[0] == ("2023-24", 0, "a0") and got[-1] == ("2024-25", 3, "c3")
+    # equal times: the later run wins
+    one = land_csv(spark, old, fetched_at="2026-08-02 00:00:00")
+    two = land_csv(spark, d, fetched_at="2026-08-02 00:00:00")
+    assert stg_historical_teams(one.unionByName(two)).where("season = '2023-24'").count() == 10
+    # a path per season, a list of seasons
+    by = land_csv(spark, {"2023-24": os.path.join(d, "season=2023-24"), "2024-25": os.path.join(d, "season=2024-25")},
+                  seasons=["2023-24"])
+    assert {(r.season, r.n) for r in stg_historical_teams(by).groupBy("season").agg(F.count("*").alias("n")).collect()} \
+        == {("2023-24", 10)}
+
+
+def test_snapshot_keys_from_the_path_and_globs(spark):
+    d = tempfile.mkdtemp(prefix="gaffer-keys-")
+    for i in (11, 12):
+        with open(os.path.join(d, f"element_{i}.json"), "w") as f:
+            json.dump({"history": [{"fixture": i, "round": 1}]}, f)
+    pattern = os.path.join(d, "element_*.json")
+    raw = land_json(spark, pattern, keys={"element_id": "int"}, path_keys={"element_id": r"element_(\d+)"},
+                    whole_file=True, missing_ok=True)
+    assert sorted(r.element_id for r in raw.collect()) == [11, 12]
+    from gaffer.plans.staging import stg_player_gameweek_history
+    assert sorted((r.player_id, r.fixture_id) for r in stg_player_gameweek_history(raw).collect()) == [(11, 11), (12, 12)]
+    assert land_json(spark, os.path.join(d, "none_*.json"), missing_ok=True).count() == 0
+
+
+def test_purchase_price_with_two_recommendation_runs(spark):
+    squad = spark.createDataFrame([(1, 10), (1, 11)], "entry_id int, player_code int")
+    runs = spark.createDataFrame(
+        [(1, 10, 5.0, dt.datetime(2026, 8, 1)), (1, 11, 6.0, dt.datetime(2026, 8, 1)),
+         (1, 10, 5.5, dt.datetime(2026, 8, 8)), (1, 11, 6.5, dt.datetime(2026, 8, 8))],
+        "entry_id int, player_code int, price double, generated_at timestamp")
+    same_time = spark.createDataFrame([(1, 11, 7.0, dt.datetime(2026, 8, 3)), (1, 11, 7.2, dt.datetime(2026, 8, 3))],
+                                      "entry_id int, player_code int, cost double, transferred_at timestamp")
+    current = spark.createDataFrame([(10, 5.6), (11, 6.6)], "player_code int, price double")
+    got = sorted((r.player_code, r.purchase_price) for r in purchase_price(squad, same_time, runs, current).collect())
+    assert got == [(10, 5.5), (11, 7.2)]
+
+
+def test_first_n_include_and_skip(spark):
+    df = spark.range(5).withColumnRenamed("id", "entry_id")
+    assert [r.entry_id for r in first_n(df, "entry_id", 2, include=[4, 1, 3]).orderBy("entry_id").collect()] == [1, 3]
+    assert first_n(df, "entry_id", skip=True).count() == 0
+
+
 def test_sinks_append_publish_first_n(spark):
     d = tempfile.mkdtemp(prefix="gaffer-sink-")
     df = spark.createDataFrame([(1, dt.datetime(2026, 8, 1, 9), "{}"), (2, dt.datetime(2026, 8, 2, 9), "{}")],

@@ -140,14 +140,33 @@ def test_transfers_use_real_prices_and_bank(setup):
             assert (got.gain, -got.out_code, -got.in_code) == pytest.approx(truth)
 
 
-def test_free_hit_and_wildcard_report(setup):
+def test_chip_report_has_four_rows_per_manager(setup):
     wh, squads, _ = setup
     lu = wh.lineups(squads)
-    fh = wh.free_hit(lu).collect()
-    assert len(fh) == 8 and all(r.free_hit_value is None or r.free_hit_value >= -1e-9 for r in fh)
+    fh = wh.free_hit(lu)
+    rows = fh.collect()
+    assert len(rows) == 8 and all(r.free_hit_value is None or r.free_hit_value >= -1e-9 for r in rows)
     pur = wh.purchases(squads)
     b = wh.banks(pur)
-    wc = {r.entry_id: r for r in wh.wildcard(pur, b, wh.transfers(squads, pur, b)).collect()}
-    for r in wc.values():
-        if r.lower_value is not None:
-            assert r.gain_lower <= r.gain_upper + 1e-9
+    wc = wh.wildcard(pur, b, wh.transfer_plan(pur, b))
+    for r in wc.collect():
+        assert 0 <= r.gain_lower <= r.gain_upper <= 56 and r.ordinary_lower <= r.ordinary_upper + 1e-9
+    report = wh.chip_report(lu, fh, wc).collect()
+    assert sorted((r.entry_id, r.chip_name) for r in report) == sorted(
+        (e, c) for e in (1, 2) for c in ("bench_boost", "triple_captain", "free_hit", "wildcard"))
+    names = {r.web_name for r in wh.dim_players.collect()}
+    assert all(r.detail in names for r in report if r.chip_name == "triple_captain")
+    assert all(r.gameweek_id is None for r in report if r.chip_name == "wildcard")
+
+
+def test_squad_member_without_a_score_counts_zero(spark, setup):
+    from pyspark.sql import functions as F
+    wh, squads, _ = setup
+    stranger = squads.where("entry_id = 1 and position_id = 4").limit(1) \
+        .withColumn("player_code", F.lit(999999).cast("int"))
+    some = squads.where("entry_id = 1").join(
+        squads.where("entry_id = 1 and position_id = 4").limit(1).select("player_code"), "player_code", "left_anti")
+    lu = wh.lineups(some.unionByName(stranger.select(some.columns))).collect()
+    assert len(lu) == 15 * 4
+    lost = [r for r in lu if r.player_code == 999999]
+    assert len(lost) == 4 and all(not r.scored and r.expected_points == 0 for r in lost)
