@@ -6,8 +6,9 @@ class prior p, the model minimises the non-negative unbiased risk
 
     p * R+(positives)  +  max(0, R-(unlabelled) - p * R-(positives))
 
-where R+ and R- are mean logistic losses towards either class. When the second
-part falls below zero the model has overfitted, and a step raises it instead.
+where R+ and R- are mean sigmoid losses towards either class (bounded, so that a few
+confident texts don't outweigh the rest). When the second part falls below zero
+the model has overfitted, and a step raises it again, by a discounted gradient.
 
 The prior is estimated, not given: a first model is fitted to tell positives
 from unlabelled on one half of the sample; on the other half the best-bin bound,
@@ -45,6 +46,7 @@ BINS = 24
 STEPS = 400
 RATE = 0.05
 RIDGE = 1e-4
+DISCOUNT = 0.2
 FEATURES = ("log_words", "log_lines", "word_length", "upper", "digits", "symbols", "bangs", "punctuation", "blanks",
             "distinct_words", "adjacent_repeats", "repeat_windows", "dup_lines", "top_word", "ends_sentence")
 SYMBOLS = np.frombuffer(b"#*$%&|<>@^_~=+\\{}[]", np.uint8)
@@ -101,10 +103,6 @@ class Model:
         return 1 / (1 + np.exp(-self.margin(np.array([doc_features(t) for t in texts]))))
 
 
-def _loss(z: np.ndarray) -> np.ndarray:
-    return np.logaddexp(0, -z)
-
-
 def nn_pu(pos: np.ndarray, unl: np.ndarray, width: int, prior: float, steps: int = STEPS) -> np.ndarray:
     """Weights minimising the non-negative risk; rows are lists of bin columns."""
     w = np.zeros(width)
@@ -117,11 +115,12 @@ def nn_pu(pos: np.ndarray, unl: np.ndarray, width: int, prior: float, steps: int
         return g
 
     for t in range(1, steps + 1):
-        zp, zu = w[pos].sum(1) + w[-1], w[unl].sum(1) + w[-1]
-        sp, su = 1 / (1 + np.exp(-zp)), 1 / (1 + np.exp(-zu))
-        negative = _loss(-zu).mean() - prior * _loss(-zp).mean()
-        g_negative = gradient(unl, su / len(unl)) - gradient(pos, prior * sp / len(pos))
-        g = gradient(pos, prior * (sp - 1) / len(pos)) + g_negative if negative >= 0 else -g_negative
+        # the sigmoid loss towards the negative class is s(z), towards the positive s(-z)
+        sp, su = (1 / (1 + np.exp(-(w[rows].sum(1) + w[-1]))) for rows in (pos, unl))
+        negative = su.mean() - prior * sp.mean()
+        slope_p, slope_u = sp * (1 - sp) * prior / len(pos), su * (1 - su) / len(unl)
+        g_negative = gradient(unl, slope_u) - gradient(pos, slope_p)
+        g = gradient(pos, -slope_p) + g_negative if negative >= 0 else -DISCOUNT * g_negative
         g = g + RIDGE * w
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w = w - RATE * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
