@@ -75,21 +75,16 @@ def dim_players(players: DataFrame, teams: DataFrame, historical: DataFrame,
 
 
 def dim_gameweeks(current: DataFrame, historical_stats: DataFrame, season: str) -> DataFrame:
-    """MRT-4: the current season calendar with flags, plus every distinct
-    historical (season, period) seen in the stats, finished by definition."""
-    cur = current.select(F.lit(season).alias("season"), "gameweek_id", "gameweek_name",
-                         "is_finished", "is_current", "is_next")
+    """MRT-4: the current season calendar with flags and scores, plus every
+    distinct historical (season, period) seen in the stats, finished by definition."""
+    cur = current.select(F.lit(season).alias("season"), "gameweek_id", "gameweek_name", "deadline_time",
+                         "is_finished", "is_current", "is_next", "average_entry_score", "highest_score")
     hist = historical_stats.where(F.col("gameweek_id").isNotNull()) \
         .select("season", "gameweek_id").distinct().select(
             "season", "gameweek_id",
             F.concat(F.lit("Gameweek "), F.col("gameweek_id").cast("string")).alias("gameweek_name"),
+            typed_null("timestamp").alias("deadline_time"),
             F.lit(True).alias("is_finished"), F.lit(False).alias("is_current"),
-            F.lit(False).alias("is_next"))
+            F.lit(False).alias("is_next"), typed_null("int").alias("average_entry_score"),
+            typed_null("int").alias("highest_score"))
     return union_current_historical(cur, hist)
-
-
-def resolve_codes(rows: DataFrame, dim: DataFrame, on, code: str, alias: str,
-                  how: str = "inner") -> DataFrame:
-    """JN-1/2/5/7: replace a season-specific id (or a name) by a stable code."""
-    keys = [on] if isinstance(on, str) else list(on)
-    return rows.join(dim.select(*keys, F.col(code).alias(alias)), keys, how)

@@ -28,29 +28,24 @@ plans of the real payload tables (``gaffer.plans.staging``).
 
 from __future__ import annotations
 
+import hashlib
 from functools import cached_property
 
-from gaffer.plans.materialize import mart
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaffer.functions.scalars import season_label, sentinel_to_null, tenths
-from gaffer.functions.scalars import in_tenths
+from gaffer.functions.scalars import in_tenths, season_label, tenths
 from gaffer.operators.decisions import (
     bank, best_lineup, best_single_transfer, check_squad, chip_candidates, chip_rows, chip_values, free_hit,
     price_ladder, prune_pool, purchase_price, squad_frontier, transfer_plan, wildcard_gain,
 )
-from gaffer.operators.conform import dim_gameweeks, dim_players, dim_teams, resolve_codes
-from gaffer.operators.form import group_baseline_rates, recent_form, shrunk_form
-from gaffer.operators.forecast import (
-    expected_points_by_period, expected_points_horizon, expected_points_next,
-    fixture_density, target_periods,
-)
-from gaffer.operators.joins import enrich_roles
-from gaffer.operators.setops import union_current_historical
+from gaffer.operators.forecast import target_periods
 from gaffer.operators.windows import top_k
-from gaffer.sources.seed import scoring_rules, squad_quotas
+from gaffer.plans.materialize import mart
+from gaffer.plans.payloads import Payloads
+from gaffer.plans.warehouse import Warehouse
+from gaffer.sources.landing import input_state
+from gaffer.sources.seed import squad_quotas
 
 # Fixed values of the analogue (run parameters, like the reference's vars).
 CURRENT_YEAR = 2001
@@ -90,15 +85,20 @@ class Analogue:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self.materialize = materialize
-        self.tag = "analogue-" + "".join(ch if ch.isalnum() else "_" for ch in self.sf_dir)
+        # marts belong to one state of the input files: a name of its own for every
+        # path, and another one when files change
+        state = f"{self.sf_dir} {input_state(spark, self.sf_dir)}"
+        self.tag = "analogue-" + hashlib.sha256(state.encode()).hexdigest()[:16]
 
     def t(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     # ------------------------------------------------------------ staging
     @mart
-    def teams(self) -> DataFrame:
-        """STG-2 analogue: current clubs with (sometimes zero) strengths."""
+    def source_teams(self) -> DataFrame:
+        """Current clubs with (sometimes zero) strengths. The nations of region 4
+        play no part in the current season, so that clubs of the archive are absent
+        from it (a property of the modelled season, not a cut of the tables)."""
         cust = self.t("customer").groupBy("c_nationkey").agg(
             F.avg("c_acctbal").alias("avg_bal"), F.count(F.lit(1)).alias("n_cust"))
         n = self.t("nation").where(F.col("n_regionkey") != 4) \
@@ -122,7 +122,7 @@ class Analogue:
             (F.coalesce(F.col("n_cust"), F.lit(0)) % 60).cast("int").alias("points"))
 
     @mart
-    def historical_teams(self) -> DataFrame:
+    def source_historical_teams(self) -> DataFrame:
         """STG-15 analogue: (season, club) rows from past seasons' orders;
         clubs ``k % 12 = 0, k > 0`` are newly promoted (no history) and
         club 23's code is missing in the archive (NULL code, T12)."""
@@ -150,7 +150,7 @@ class Analogue:
             dh.cast("int").alias("strength_defence_home"), (dh - 15).cast("int").alias("strength_defence_away"))
 
     @mart
-    def players(self) -> DataFrame:
+    def source_players(self) -> DataFrame:
         """STG-1 analogue: customers with an order in the current season."""
         cur = self.t("orders").where(F.year("o_orderdate") == CURRENT_YEAR).select(
             F.col("o_custkey").alias("c_custkey"))
@@ -166,7 +166,7 @@ class Analogue:
             status.alias("status"), chance.alias("chance_of_playing_next_round"))
 
     @mart
-    def historical_players(self) -> DataFrame:
+    def source_historical_players(self) -> DataFrame:
         """STG-14 analogue: one row per (past season, customer with orders);
         set-piece order arrives as text with ``''`` / ``'None'`` sentinels."""
         seen = self.t("orders").where(F.year("o_orderdate") < CURRENT_YEAR) \
@@ -182,7 +182,7 @@ class Analogue:
             (key + 1 + (F.lit(CURRENT_YEAR) - yr) * SEASON_ID_STRIDE).alias("player_id"),
             key.alias("player_code"), F.col("c_name").alias("web_name"),
             position_of("c_mktsegment").alias("position_id"), F.col("n_name").alias("team_name"),
-            sentinel_to_null(raw_order).cast("int").alias("penalties_order"))
+            raw_order.alias("raw_order"))
 
     @cached_property
     def order_measures(self) -> DataFrame:
@@ -216,64 +216,52 @@ class Analogue:
             "penalties_missed", "penalties_saved", "yellow_cards",
             red.cast("int").alias("red_cards"), "saves", bonus.cast("int").alias("bonus"))
 
-    # ------------------------------------------------------------ INT-1
     @mart
-    def performance(self) -> DataFrame:
-        """INT-1: performance rows of both id spaces resolved to stable codes
-        and unioned (grain: entity x fixture)."""
+    def source_performance(self) -> DataFrame:
+        """One row per order with its measures, in season-specific ids."""
         o = self.t("orders").select(
             "o_orderkey", "o_custkey", F.year("o_orderdate").alias("yr"),
             period_of(F.col("o_orderdate")).alias("gameweek_id"))
         o = o.join(self.order_measures, F.col("o_orderkey") == F.col("l_orderkey")).drop("l_orderkey")
-        o = o.select("*", season_label(F.col("yr")).alias("season"),
-                     (F.col("o_custkey") + 1 + (F.lit(CURRENT_YEAR) - F.col("yr")) * SEASON_ID_STRIDE)
-                     .alias("element"),
-                     (F.col("o_orderkey") % ROUNDS + 1).cast("int").alias("opponent_id"),
-                     (F.col("o_orderkey") % 2 == 0).alias("was_home"))
         measures = [c for c in self.order_measures.columns if c != "l_orderkey"]
-        # Resolve both id spaces on the (small) dimension side and union the
-        # maps, so the fact is scanned and joined once:
-        #   current season: season id -> code; club via today's club id (JN-1/5)
-        #   past seasons:   (season, id) -> code; club by (season, name) (JN-2/7)
-        cur_ids = enrich_roles(self.players.select("player_id", "player_code", "team_id"),
-                               self.teams, "team_id", {"own": "team_id"}, {"team_code": "code"}) \
-            .select(F.lit(CURRENT_SEASON).alias("season"), F.col("player_id").alias("element"),
-                    "player_code", F.col("own_code").alias("team_code"))
-        ht = self.historical_teams
-        hist_ids = resolve_codes(self.historical_players.select(
-            "season", F.col("player_id").alias("element"), "player_code", "team_name"),
-            ht, ["season", "team_name"], "team_code", "team_code", "left").drop("team_name")
-        ids = union_current_historical(cur_ids, hist_ids)
-        clubs = union_current_historical(
-            self.teams.select(F.lit(CURRENT_SEASON).alias("season"),
-                              F.col("team_id").alias("opponent_id"),
-                              F.col("team_code").alias("opponent_team_code")),
-            ht.select("season", F.col("team_id").alias("opponent_id"),
-                      F.col("team_code").alias("opponent_team_code")))
-        rows = o.join(ids, ["season", "element"], "inner") \
-            .join(clubs, ["season", "opponent_id"], "left")
-        return rows.select("season", "gameweek_id", "player_code", "team_code", "opponent_team_code",
-                           "was_home", F.col("o_orderkey").alias("fixture_id"), *measures)
-
-    # ------------------------------------------------------------ marts
-    @mart
+        return o.select(
+            season_label(F.col("yr")).alias("season"), (F.col("yr") == CURRENT_YEAR).alias("is_current"), "gameweek_id",
+            (F.col("o_custkey") + 1 + (F.lit(CURRENT_YEAR) - F.col("yr")) * SEASON_ID_STRIDE).alias("element"),
+            (F.col("o_orderkey") % ROUNDS + 1).cast("int").alias("opponent_id"),
+            (F.col("o_orderkey") % 2 == 0).alias("was_home"), F.col("o_orderkey").alias("fixture_id"), *measures) \
+            .where(F.col("yr") <= CURRENT_YEAR)
+
+    @cached_property
+    def source_manager_weeks(self) -> DataFrame:
+        """Weeks of the current season per manager: a supplier's shipments per period."""
+        li = self.t("lineitem").where(F.year("l_shipdate") == CURRENT_YEAR) \
+            .select(F.col("l_suppkey").alias("entry_id"), period_of(F.col("l_shipdate")).alias("gameweek_id"),
+                    "l_quantity", "l_orderkey")
+        return li.groupBy("entry_id", "gameweek_id").agg(F.sum("l_quantity").cast("bigint").alias("points"),
+                                                         F.countDistinct("l_orderkey").alias("transfers_made"))
+
+    # ------------------------------------------------------------ the models, over landed payloads
+    @cached_property
+    def warehouse(self) -> Warehouse:
+        w = Warehouse(self.spark, Payloads(self).raw, CURRENT_SEASON, HORIZON, materialize=self.materialize)
+        w.tag = self.tag + "-warehouse"
+        return w
+
+    @property
+    def performance(self) -> DataFrame:
+        """INT-1 / MRT-5."""
+        return self.warehouse.performance
+
+    @property
     def dim_teams(self) -> DataFrame:
-        return dim_teams(self.teams, self.historical_teams)
+        return self.warehouse.dim_teams
 
-    @mart
+    @property
     def dim_players(self) -> DataFrame:
-        cur = {"player_code": "player_code", "current_player_id": "player_id", "web_name": "web_name",
-               "current_team_code": "current_team_code", "position_id": "position_id",
-               "current_price": "price", "status": "status",
-               "chance_of_playing_next_round": "chance_of_playing_next_round",
-               "penalties_order": "penalties_order"}
-        hist = {"player_code": "player_code", "web_name": "web_name", "position_id": "position_id",
-                "penalties_order": "penalties_order"}
-        players = self.players.withColumn("penalties_order", F.lit(None).cast("int"))
-        return dim_players(players, self.teams, self.historical_players, cur, hist)
+        return self.warehouse.dim_players
 
     @cached_property
-    def gameweeks(self) -> DataFrame:
+    def source_gameweeks(self) -> DataFrame:
         """STG-3 analogue: the current season's periods seen in shipments;
         finished up to the last period with an order, next = the one after."""
         li = self.t("lineitem").where(F.year("l_shipdate") == CURRENT_YEAR) \
@@ -287,15 +275,14 @@ class Analogue:
             F.coalesce(gw == F.col("__last"), F.lit(False)).alias("is_current"),
             F.coalesce(gw == F.col("__last") + 1, F.lit(False)).alias("is_next"))
 
-    @mart
+    @property
     def dim_gameweeks(self) -> DataFrame:
-        hist = self.performance.where(F.col("season") != CURRENT_SEASON)
-        return dim_gameweeks(self.gameweeks, hist, CURRENT_SEASON)
+        return self.warehouse.dim_gameweeks
 
     @cached_property
-    def stg_fixtures(self) -> DataFrame:
+    def source_fixtures(self) -> DataFrame:
         """STG-5 analogue: round robin over the current clubs (season ids)."""
-        t = self.teams.select((F.col("team_id") - 1).alias("k"))
+        t = self.source_teams.select((F.col("team_id") - 1).alias("k"))
         a, b = t.alias("a"), t.alias("b")
         # bounded: the league has at most 25 clubs (nation table), <= 300 pairs
         pairs = a.join(b, F.col("a.k") < F.col("b.k")).select(
@@ -308,47 +295,42 @@ class Analogue:
             F.when(home_first, i + 1).otherwise(j + 1).cast("int").alias("home_team_id"),
             F.when(home_first, j + 1).otherwise(i + 1).cast("int").alias("away_team_id"))
 
-    @mart
+    @property
     def fixtures(self) -> DataFrame:
-        """MRT-6: fixtures with both clubs resolved to codes (JN-6)."""
-        f = enrich_roles(self.stg_fixtures, self.teams, "team_id",
-                         {"home": "home_team_id", "away": "away_team_id"}, {"team_code": "team_code"})
-        return f.select("fixture_id", F.lit(CURRENT_SEASON).alias("season"), "gameweek_id",
-                        "home_team_code", "away_team_code")
+        """MRT-6."""
+        return self.warehouse.fct_fixtures
 
-    @mart
+    @property
     def recent_form(self) -> DataFrame:
-        return recent_form(self.performance, CURRENT_SEASON)
+        return self.warehouse.recent_form
 
-    @cached_property
+    @property
     def baseline(self) -> DataFrame:
-        return group_baseline_rates(self.recent_form, self.dim_players)
+        return self.warehouse.positional_baseline
 
-    @mart
+    @property
     def shrunk(self) -> DataFrame:
-        return shrunk_form(self.dim_players, self.recent_form, self.baseline)
+        return self.warehouse.form_shrunk
 
     @mart
     def periods(self) -> DataFrame:
         return target_periods(self.dim_gameweeks, CURRENT_SEASON, HORIZON)
 
-    @mart
+    @property
     def by_period(self) -> DataFrame:
-        return expected_points_by_period(self.shrunk, self.periods, self.fixtures, self.dim_teams,
-                                         scoring_rules(self.spark))
+        return self.warehouse.fct_player_expected_points_by_gameweek
 
-    @cached_property
+    @property
     def next_period(self) -> DataFrame:
-        return expected_points_next(self.shrunk, self.dim_gameweeks, self.fixtures, self.dim_teams,
-                                    scoring_rules(self.spark), CURRENT_SEASON)
+        return self.warehouse.fct_player_expected_points
 
-    @mart
+    @property
     def horizon(self) -> DataFrame:
-        return expected_points_horizon(self.by_period)
+        return self.warehouse.fct_player_expected_points_horizon
 
-    @cached_property
+    @property
     def density(self) -> DataFrame:
-        return fixture_density(self.dim_teams, self.dim_gameweeks, self.fixtures, CURRENT_SEASON)
+        return self.warehouse.fct_team_gameweek_fixtures
 
     # ------------------------------------------------------------ squads
     @mart
@@ -360,7 +342,7 @@ class Analogue:
         served = li.join(o, F.col("l_orderkey") == F.col("o_orderkey")) \
             .groupBy(F.col("l_suppkey").alias("entry_id"), F.col("o_custkey").alias("player_code")) \
             .agg(F.max("l_shipdate").alias("last_served"))
-        cand = served.join(self.players.select("player_code", "position_id"), "player_code") \
+        cand = served.join(self.source_players.select("player_code", "position_id"), "player_code") \
             .join(F.broadcast(squad_quotas(self.spark)), "position_id")
         ranked = top_k(cand, ["entry_id", "position_id"],
                        [F.col("last_served").desc(), F.col("player_code")], 5, "slot")
@@ -401,7 +383,7 @@ class Analogue:
 
     @mart
     def purchases(self) -> DataFrame:
-        cur = self.players.select("player_code", F.col("price").cast("double").alias("price"))
+        cur = self.source_players.select("player_code", F.col("price").cast("double").alias("price"))
         return purchase_price(self.picks, None, None, cur)
 
     @mart

@@ -727,41 +727,9 @@ def q_wildcard(spark, d):
     r.squad_select, r.squad_min_play, r.squad_max_play
   FROM rules r WHERE r.position_id IN (SELECT DISTINCT position_id FROM players)""")
 def q_dim_positions(spark, d):
-    """MRT-3 / PRJ-4: the positions present among current players with their
-    squad rules (the staging positions table of the analogue)."""
-    from gaffer.sources.seed import SQUAD_RULES, scoring_rules
-    rules = spark.createDataFrame(SQUAD_RULES, "position_id int, squad_select int, squad_min_play int, "
-                                               "squad_max_play int") \
-        .join(scoring_rules(spark).select("position_id", "position_name"), "position_id")
-    present = Analogue(spark, d).players.select("position_id").distinct()
-    return rules.join(present, "position_id", "left_semi").select(
-        "position_id", "position_name", F.upper(F.substring("position_name", 1, 3)).alias("position_name_short"),
-        "squad_select", "squad_min_play", "squad_max_play")
-
-
-@register("entry_gameweek_performance", f"""
-  WITH h AS (
-    SELECT l_suppkey AS entry_id, {O.period_sql('l_shipdate')} AS gameweek_id,
-      CAST(sum(l_quantity) AS BIGINT) AS points, count(DISTINCT l_orderkey) AS transfers_made
-    FROM lineitem WHERE year(l_shipdate) = {O.CY} GROUP BY 1, 2),
-  ps AS (
-    SELECT l_suppkey AS entry_id, {O.period_sql('l_shipdate')} AS gameweek_id,
-      CASE WHEN count(*) >= 3 THEN 'bboost' ELSE '3xc' END AS active_chip
-    FROM lineitem WHERE year(l_shipdate) = {O.CY} AND l_returnflag = 'R' GROUP BY 1, 2)
-  SELECT h.entry_id, h.gameweek_id, h.points, h.transfers_made, ps.active_chip
-  FROM h LEFT JOIN ps ON h.entry_id = ps.entry_id AND h.gameweek_id = ps.gameweek_id""")
-def q_entry_gw_perf(spark, d):
-    """MRT-8 / JN-8: per (manager, period) history left-joined to the picks
-    summary on both keys (the analogue: a supplier's shipments per period,
-    and a chip marker from its returned lines)."""
-    li = _t(spark, d, "lineitem").where(F.year("l_shipdate") == CURRENT_YEAR) \
-        .select(F.col("l_suppkey").alias("entry_id"), period_of(F.col("l_shipdate")).alias("gameweek_id"),
-                "l_quantity", "l_orderkey", "l_returnflag")
-    h = li.groupBy("entry_id", "gameweek_id").agg(F.sum("l_quantity").cast("bigint").alias("points"),
-                                                  F.countDistinct("l_orderkey").alias("transfers_made"))
-    ps = li.where(F.col("l_returnflag") == "R").groupBy("entry_id", "gameweek_id").agg(
-        F.when(F.count(F.lit(1)) >= 3, "bboost").otherwise("3xc").alias("active_chip"))
-    return h.join(ps, ["entry_id", "gameweek_id"], "left")
+    """MRT-3 / STG-4: the positions of the bootstrap payload (those that current
+    players hold, with their squad rules)."""
+    return Analogue(spark, d).warehouse.dim_positions
 
 
 @register("recommendation_batch", O.decisions_chain(O.LINEUP) + """
@@ -831,3 +799,228 @@ def q_chip_opportunities(spark, d):
   WHERE d.dominating_clubs < 4 + q.squad_quota""")
 def q_pruned_pool(spark, d):
     return Analogue(spark, d).pruned_pool
+
+
+# ---------------------------------------------------------------- the Warehouse's staging models and entry marts
+def _wh(spark, d):
+    return Analogue(spark, d).warehouse
+
+
+_WEEKS = f"""
+  WITH weeks AS (
+    SELECT l_suppkey AS entry_id, {O.period_sql('l_shipdate')} AS gameweek_id,
+      CAST(sum(l_quantity) AS BIGINT) AS points, count(DISTINCT l_orderkey) AS transfers
+    FROM lineitem WHERE year(l_shipdate) = {O.CY} GROUP BY 1, 2),
+  history AS (
+    SELECT entry_id, gameweek_id, points, points AS total_points, points * 11 AS gameweek_rank,
+      points * 13 AS overall_rank, (points % 50) / 10.0 AS bank, (points % 200 + 900) / 10.0 AS team_value,
+      transfers AS transfers_made, transfers * 4 AS transfers_cost, points % 20 AS points_on_bench FROM weeks)"""
+
+
+@register("stg_players", O.chain() + """
+  SELECT player_id, player_code, first_name, second_name, web_name, team_id, position_id, price, total_points, form,
+    selected_by_percent, status, news, chance_of_playing_next_round, chance_of_playing_this_round, penalties_order,
+    direct_freekicks_order, corners_order AS corners_and_indirect_freekicks_order FROM players""")
+def q_stg_players(spark, d):
+    return _wh(spark, d).players.select(
+        "player_id", "player_code", "first_name", "second_name", "web_name", "team_id", "position_id", "price",
+        "total_points", "form", "selected_by_percent", "status", "news", "chance_of_playing_next_round",
+        "chance_of_playing_this_round", "penalties_order", "direct_freekicks_order", "corners_and_indirect_freekicks_order")
+
+
+@register("stg_teams", O.chain() + "\n SELECT team_id, team_code, team_name, team_short_name, "
+          + ", ".join(O.STRENGTHS) + ", CAST(NULL AS INTEGER) AS played, league_position, points FROM teams")
+def q_stg_teams(spark, d):
+    return _wh(spark, d).teams
+
+
+@register("stg_gameweeks", O.chain() + f"""
+  SELECT gameweek_id, gameweek_name, deadline_time, is_finished, is_current, is_next, average_entry_score, highest_score
+  FROM dim_gameweeks WHERE season = '{O.CS}'""")
+def q_stg_gameweeks(spark, d):
+    return _wh(spark, d).gameweeks
+
+
+@register("stg_fixtures", O.chain() + """
+  SELECT s.fixture_id, s.gameweek_id, s.home_team_id, s.away_team_id, f.home_team_difficulty, f.away_team_difficulty,
+    f.home_team_score, f.away_team_score, f.kickoff_time, f.is_started, f.is_finished, f.is_finished_provisional
+  FROM stg_fixtures s JOIN fct_fixtures f USING (fixture_id)""")
+def q_stg_fixtures(spark, d):
+    return _wh(spark, d).stg_fixtures
+
+
+_PLAYED = ", ".join(f"o.{m}" for m in O.MEASURES)
+
+
+@register("stg_player_gameweek_history", O.chain() + f"""
+  SELECT o.element AS player_id, o.o_orderkey AS fixture_id, o.gameweek_id, o.opponent_id AS opponent_team_id, o.was_home,
+    {_PLAYED}, o.o_orderkey % 100000 AS selected_by_count, (o.o_orderkey % 130 + 40) / 10.0 AS price_at_gameweek
+  FROM o WHERE o.yr = {O.CY}""")
+def q_stg_history(spark, d):
+    return _wh(spark, d).history.select("player_id", "fixture_id", "gameweek_id", "opponent_team_id", "was_home", *O.MEASURES,
+                                        "selected_by_count", "price_at_gameweek")
+
+
+@register("stg_entries", """
+  SELECT s_suppkey AS entry_id, 'M' || s_suppkey AS manager_first_name, s_name AS manager_last_name,
+    'Team ' || s_suppkey AS team_name, s_nationkey + 1 AS favourite_team_id,
+    CAST(floor(s_acctbal) AS BIGINT) AS overall_points, s_suppkey * 7919 AS overall_rank, 15 AS current_event FROM supplier""")
+def q_stg_entries(spark, d):
+    from gaffer.plans import staging
+    w = _wh(spark, d)
+    return staging.stg_entries(w.raw["entry_snapshot"]).drop("fetched_at")
+
+
+@register("stg_entry_gameweek_history", _WEEKS + "\n SELECT * FROM history")
+def q_stg_entry_history(spark, d):
+    from gaffer.plans import staging
+    return staging.stg_entry_gameweek_history(_wh(spark, d).raw["entry_history_snapshot"])
+
+
+@register("stg_entry_season_history", _WEEKS + """
+  SELECT e.entry_id, y || '/' || lpad(CAST((y + 1) % 100 AS VARCHAR), 2, '0') AS season_name,
+    e.entry_id * 3 + y AS total_points, e.entry_id * 5 + y AS season_rank
+  FROM (SELECT DISTINCT entry_id FROM weeks) e CROSS JOIN (VALUES (1999), (2000)) v(y)""")
+def q_stg_entry_seasons(spark, d):
+    from gaffer.plans import staging
+    return staging.stg_entry_season_history(_wh(spark, d).raw["entry_history_snapshot"])
+
+
+@register("stg_entry_chips", _WEEKS + """
+  SELECT DISTINCT entry_id, 'wildcard' AS chip_name, entry_id % 15 + 1 AS gameweek_id,
+    TIMESTAMP '2001-03-01 10:00:00' AS played_at FROM weeks""")
+def q_stg_entry_chips(spark, d):
+    from gaffer.plans import staging
+    return staging.stg_entry_chips(_wh(spark, d).raw["entry_history_snapshot"])
+
+
+_ENTRY_PICKS = O.decisions_chain() + """
+  , weekly AS (SELECT p.*, 15 AS gameweek_id FROM picks p UNION ALL SELECT p.*, 14 FROM picks p WHERE slot > 1)"""
+
+
+@register("stg_entry_picks", _ENTRY_PICKS + """
+  SELECT w.entry_id, w.gameweek_id, pl.player_id, w.slot AS squad_position, CASE WHEN w.slot = 1 THEN 2 ELSE 1 END AS multiplier,
+    w.slot = 1 AS is_captain, w.slot = 2 AS is_vice_captain FROM weekly w JOIN players pl USING (player_code)""")
+def q_stg_entry_picks(spark, d):
+    from gaffer.plans import staging
+    return staging.stg_entry_picks(_wh(spark, d).raw["entry_picks_snapshot"])
+
+
+@register("stg_entry_picks_summary", _ENTRY_PICKS + """
+  SELECT DISTINCT entry_id, gameweek_id, CASE WHEN entry_id % 4 = 0 THEN 'bboost' END AS active_chip,
+    (entry_id % 30) / 10.0 AS bank, (entry_id % 90 + 950) / 10.0 AS team_value, entry_id % 3 AS transfers_made,
+    0 AS transfers_cost, entry_id % 25 AS points_on_bench, entry_id % 99 AS gameweek_points, entry_id * 2 AS total_points,
+    entry_id * 17 AS overall_rank FROM weekly""")
+def q_stg_entry_picks_summary(spark, d):
+    from gaffer.plans import staging
+    return staging.stg_entry_picks_summary(_wh(spark, d).raw["entry_picks_snapshot"])
+
+
+_MOVES = O.decisions_chain() + """
+  , moved AS (
+    SELECT a.entry_id, a.position_id + 10 AS gameweek_id, pa.player_id AS player_in_id, a.player_code AS player_in_code,
+      round(pa.price - a.position_id / 10, 1) AS player_in_cost, pb.player_id AS player_out_id,
+      b.player_code AS player_out_code, pb.price AS player_out_cost,
+      TIMESTAMP '2001-05-01 10:00:00' + to_days(CAST(a.position_id - 1 AS INTEGER)) AS transferred_at
+    FROM picks a JOIN picks b ON b.entry_id = a.entry_id AND b.position_id = a.position_id AND b.slot = 2
+    JOIN players pa ON pa.player_code = a.player_code JOIN players pb ON pb.player_code = b.player_code WHERE a.slot = 1)"""
+
+
+@register("stg_entry_transfers", _MOVES + """
+  SELECT entry_id, gameweek_id, player_in_id, player_in_cost, player_out_id, player_out_cost, transferred_at FROM moved""")
+def q_stg_entry_transfers(spark, d):
+    from gaffer.plans import staging
+    return staging.stg_entry_transfers(_wh(spark, d).raw["entry_transfers_snapshot"])
+
+
+@register("stg_historical_players", O.chain() + """
+  SELECT season, player_id AS season_player_id, player_code, 'F' || (player_code % 50) AS first_name,
+    'S' || (player_code % 70) AS second_name, web_name, position_id, (player_code % 91 + 40) / 10.0 AS end_of_season_price,
+    CASE WHEN player_code % 5 <> 0 THEN player_code % 200 END AS total_points, penalties_order FROM hplayers""")
+def q_stg_hist_players(spark, d):
+    """SRC-2 -> STG-14: CSV files per season, landed as rows."""
+    return _wh(spark, d).hist_players.select(
+        "season", "season_player_id", "player_code", "first_name", "second_name", "web_name", "position_id",
+        "end_of_season_price", "total_points", "penalties_order")
+
+
+@register("stg_historical_teams", O.chain() + "\n SELECT season, team_id AS season_team_id, team_code, team_name, "
+          "team_short_name, " + ", ".join(O.STRENGTHS) + " FROM hteams")
+def q_stg_hist_teams(spark, d):
+    """SRC-2 -> STG-15: CSV files per season, landed as cells of a few rows."""
+    return _wh(spark, d).hist_teams
+
+
+@register("stg_historical_gw_stats", O.chain() + f"""
+  SELECT o.season, o.element AS season_player_id, h.web_name AS player_name, h.team_name, o.gameweek_id,
+    o.o_orderkey AS fixture_id, o.opponent_id AS opponent_team_id, o.was_home, {_PLAYED},
+    (o.o_orderkey % 130 + 40) / 10.0 AS price_at_gameweek, o.o_orderkey % 100000 AS selected_by_count
+  FROM o JOIN hplayers h ON h.season = o.season AND h.player_id = o.element WHERE o.yr < {O.CY}""")
+def q_stg_hist_stats(spark, d):
+    """SRC-2 -> STG-16: CSV files per season, several each, landed as rows."""
+    return _wh(spark, d).hist_stats.select(
+        "season", "season_player_id", "player_name", "team_name", "gameweek_id", "fixture_id", "opponent_team_id", "was_home",
+        *O.MEASURES, "price_at_gameweek", "selected_by_count")
+
+
+@register("entry_gameweek_performance", _WEEKS + """
+  SELECT h.*, CASE WHEN h.entry_id % 4 = 0 AND h.gameweek_id IN (14, 15) THEN 'bboost' END AS active_chip
+  FROM history h""")
+def q_entry_gw_perf(spark, d):
+    """MRT-8 / JN-8 over the landed payloads: weekly history left-joined to the
+    picks summary on both keys (a payload holds one season; here 2001)."""
+    return _wh(spark, d).fct_entry_gameweek_performance
+
+
+@register("fct_entry_picks", _ENTRY_PICKS + """
+  SELECT entry_id, gameweek_id, player_code, slot AS squad_position, CASE WHEN slot = 1 THEN 2 ELSE 1 END AS multiplier,
+    slot = 1 AS is_captain, slot = 2 AS is_vice_captain FROM weekly""")
+def q_fct_entry_picks(spark, d):
+    """MRT-9."""
+    return _wh(spark, d).fct_entry_picks
+
+
+@register("fct_entry_transfers", _MOVES + """
+  SELECT entry_id, gameweek_id, player_in_code, player_in_cost, player_out_code, player_out_cost, transferred_at FROM moved""")
+def q_fct_entry_transfers(spark, d):
+    """MRT-10."""
+    return _wh(spark, d).fct_entry_transfers
+
+
+@register("current_squad", O.decisions_chain() + """
+  SELECT entry_id, player_code, 'picks' AS source FROM picks WHERE entry_id % 2 = 0
+  UNION ALL
+  SELECT entry_id, player_code, 'recommendation' FROM picks WHERE entry_id % 2 = 1 AND slot > 1""")
+def q_current_squad(spark, d):
+    """DEC-7: the latest real picks of even managers; odd ones have only two
+    recommendation runs, the later without the first of each position."""
+    from gaffer.operators.decisions import current_squad
+    w = _wh(spark, d)
+    real = w.fct_entry_picks.where("player_code is not null")
+    odd = real.where("entry_id % 2 = 1 and gameweek_id = 15")
+
+    def run(rows, ts):
+        return rows.select("entry_id", F.lit(ts).cast("timestamp").alias("generated_at"), "player_code")
+    runs = run(odd, "2001-06-01 00:00:00").unionByName(run(odd.where("squad_position > 1"), "2001-06-08 00:00:00"))
+    return current_squad(real.where("entry_id % 2 = 0"), runs)
+
+
+@register("purchase_price", _MOVES + """
+  , runs AS (SELECT entry_id, player_code, pl.price + 0.2 AS price FROM picks JOIN players pl USING (player_code) WHERE slot < 4)
+  SELECT k.entry_id, k.player_code, round(coalesce(m.player_in_cost, r.price, pl.price), 1) AS purchase_price,
+    pl.price AS current_price
+  FROM picks k JOIN players pl USING (player_code)
+  LEFT JOIN moved m ON m.entry_id = k.entry_id AND m.player_in_code = k.player_code
+  LEFT JOIN runs r ON r.entry_id = k.entry_id AND r.player_code = k.player_code""")
+def q_purchase_price(spark, d):
+    """DEC-8 with both sources: the managers' transfers, then two appended
+    recommendation runs (the later, 0.2 dearer, for the first three of a position)."""
+    a = Analogue(spark, d)
+    priced = a.picks.join(a.source_players.select("player_code", "price"), "player_code").where("slot < 4")
+
+    def run(extra, ts):
+        return priced.select("entry_id", "player_code", (F.col("price").cast("double") + extra).alias("price"),
+                             F.lit(ts).cast("timestamp").alias("generated_at"))
+    runs = run(0.1, "2001-06-01 00:00:00").unionByName(run(0.2, "2001-06-08 00:00:00"))
+    out = a.warehouse.purchases(a.picks, runs)
+    return out.select("entry_id", "player_code", F.round("purchase_price", 1).alias("purchase_price"), "current_price")

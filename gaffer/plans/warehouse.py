@@ -51,10 +51,12 @@ class Warehouse:
     _seq = 0
 
     def __init__(self, spark: SparkSession, raw: dict[str, DataFrame], current_season: str,
-                 horizon: int = 8, rules: DataFrame | None = None, materialize: bool = True):
+                 horizon: int = 8, rules: DataFrame | None = None, materialize: bool = True,
+                 partitions: int | None = None):
         Warehouse._seq += 1
         self.tag = f"warehouse-{Warehouse._seq}"
         self.materialize = materialize
+        self.partitions = partitions  # spread players again when a payload is one cell
         self.spark = spark
         self.raw = raw
         self.season = current_season
@@ -64,7 +66,7 @@ class Warehouse:
     # ---------------------------------------------------------------- staging
     @mart
     def players(self):
-        return stg.stg_players(self.raw["bootstrap_static_snapshot"])
+        return stg.stg_players(self.raw["bootstrap_static_snapshot"], self.partitions)
 
     @mart
     def teams(self):
@@ -82,19 +84,19 @@ class Warehouse:
     def stg_fixtures(self):
         return stg.stg_fixtures(self.raw["fixtures_snapshot"])
 
-    @cached_property
+    @mart
     def history(self):
         return stg.stg_player_gameweek_history(self.raw["element_summary_snapshot"])
 
-    @cached_property
+    @mart
     def hist_players(self):
         return stg.stg_historical_players(self.raw["historical_players_snapshot"])
 
-    @cached_property
+    @mart
     def hist_teams(self):
         return stg.stg_historical_teams(self.raw["historical_teams_snapshot"])
 
-    @cached_property
+    @mart
     def hist_stats(self):
         return stg.stg_historical_player_gameweek_stats(self.raw["historical_gw_stats_snapshot"])
 

@@ -32,6 +32,18 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return found is not None and len(found) > 0
 
 
+def input_state(spark: SparkSession, path: str) -> str:
+    """Names, sizes and times of the files under a folder: changes when they do."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    files = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(p, True)
+    out = []
+    while files.hasNext():
+        f = files.next()
+        out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return str(sorted(out))
+
+
 def new_run_id() -> str:
     """The id that all rows of one landing call share; later calls sort after."""
     return f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
@@ -109,11 +121,11 @@ def land_csv(spark: SparkSession, path: str | Sequence[str] | dict[str, str | Se
             out = out.unionByName(p)
         # one landing time for all of the call's seasons
         return out.withColumn("fetched_at", ts)
-    reader = spark.read.option("recursiveFileLookup", "false")
-    df = reader.csv(path if isinstance(path, str) else list(path), header=True, inferSchema=False)
+    df = spark.read.csv(path if isinstance(path, str) else list(path), header=True, inferSchema=False)
     data_cols = [c for c in df.columns if c != "season"]
-    season_col = (F.lit(season) if season else F.col("season")).cast("string")
-    rows = df.select(season_col.alias("season"), ts.alias("fetched_at"),
+    # the folder's name as it is: as a partition column 2000-01 might be read as a date
+    folder = F.regexp_extract("_metadata.file_path", r"season=([^/]+)", 1)
+    rows = df.select((F.lit(season) if season else folder).alias("season"), ts.alias("fetched_at"),
                      F.struct(*[F.col(f"`{c}`") for c in data_cols]).alias("__r"))
     if seasons is not None:
         rows = rows.where(F.col("season").isin(list(seasons)))

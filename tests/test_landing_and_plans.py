@@ -152,7 +152,7 @@ def test_latest_per_key_is_limited_map_side(spark):
 def test_scan_prunes_columns_and_pushes_filters(spark):
     from gaffer.plans.analogue import Analogue
     a = Analogue(spark, "/root/testdata/sf0.001", materialize=False)
-    plan = a.teams._jdf.queryExecution().executedPlan().toString()
+    plan = a.source_teams._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<c_nationkey:int,c_acctbal:double>" in plan
-    plan = a.historical_players._jdf.queryExecution().executedPlan().toString()
+    plan = a.source_historical_players._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(o_orderdate)" in plan
