@@ -1,6 +1,7 @@
 """Helpers shared by the training-data operators: tables, shared storage, components."""
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,8 @@ ARROW_ROWS = 500
 
 def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    # adaptive execution takes the cluster's own limit for measured broadcasts
+    spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
     return spark
 
 
@@ -25,13 +28,20 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, release: bool = False) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back: cuts
-    lineage, and a lost executor rereads the table instead of recomputing."""
+    lineage, and a lost executor rereads the table instead of recomputing.
+    ``release`` then lets Spark's cleaner drop the shuffle files that led to it,
+    which it does when the driver collects its garbage."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm/{label}-{uuid.uuid4().hex}"
+    schema = df.schema
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if release:
+        del df
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path)
 
 
 def in_holdout(id_col: str = "doc_id"):

@@ -51,9 +51,10 @@ SHINGLE_WORDS = 5
 PERCENT = 80
 BLOCK_KEYS = 2_000_000      # keys of one block of documents in the survivors' filter
 BUCKET_KEYS = 4_000_000     # keys aimed at in one key range
-COSTLY = 8                  # mean number of other sets from which deletions are weighed
+COSTLY = 24                 # mean number of other sets from which deletions are weighed
 BROADCAST_ROWS = 1_000_000  # survivors up to this many are broadcast (8 MB), else joined
-SKETCH_BITS_PER_SHINGLE = 3
+NARROW, WIDE = 1, 4         # bits of a parity sketch per shingle
+CROWDED = 32                # sets under a key from which wide sketches are compared
 CACHE_WORDS = 500_000
 SHARED_IN_BLOCK = 0xFFFF
 U64 = np.uint64
@@ -144,11 +145,11 @@ def deletion_keys(h: np.ndarray, at: np.ndarray, band: int) -> tuple[np.ndarray,
         return seg, mix(total[seg] - token)
 
 
-def parity_sketch(h: np.ndarray, percent: int, band: int) -> np.ndarray:
+def parity_sketch(h: np.ndarray, percent: int, band: int, bits: int = WIDE) -> np.ndarray:
     """Bits toggled by the shingles' hashes: two sketches differ in no more bits
     than their sets differ in shingles."""
     largest = band_starts(percent)[band + 1]
-    words = max(1, largest * SKETCH_BITS_PER_SHINGLE // 64)
+    words = max(1, largest * bits // 64)
     bit = mix(h ^ U64(0xA5A5A5A5A5A5A5A5)) % U64(words * 64)
     odd = (np.bincount(bit.astype(np.int64), minlength=words * 64) & 1).astype(np.uint8)
     return np.packbits(odd, bitorder="little").view("<i8")
@@ -156,14 +157,14 @@ def parity_sketch(h: np.ndarray, percent: int, band: int) -> np.ndarray:
 
 # --- 1. survivors ------------------------------------------------------------
 
-FILTER_SCHEMA = "bucket int, block long, header boolean, a binary, b binary, c binary, d binary"
+FILTER_SCHEMA = "bucket int, block long, header boolean, a binary, b binary, c binary, d binary, e binary"
 
 
 def _filter_rows(percent: int, buckets: int):
     """Blocks of documents as packed rows: per key range the keys and the
     document roles they belong to; one header row with ids, sizes and needs."""
 
-    def rows_of(ids, sizes, parts, owners):
+    def rows_of(ids, sizes, marks, parts, owners):
         doc = np.array(ids, np.int64)
         block = xxhash.xxh3_64_intdigest(doc.tobytes() + np.array(sizes, np.int64).tobytes()) >> 1
         need = np.array([o[1] for o in owners], np.int64)
@@ -177,23 +178,24 @@ def _filter_rows(percent: int, buckets: int):
         cut = np.searchsorted(distinct, np.array([(b << 64) // buckets for b in range(buckets)], U64))
         cut = np.append(cut, len(distinct))
         yield (block % buckets, block, True, doc.tobytes(), np.array(sizes, np.int64).tobytes(),
-               np.array([o[0] for o in owners], np.int64).tobytes(), (alone - need).astype(np.int64).tobytes())
+               np.array([o[0] for o in owners], np.int64).tobytes(), (alone - need).astype(np.int64).tobytes(),
+               b"".join(marks))
         low = distinct.astype(np.uint32)  # within a key range 32 bits tell keys apart well enough
         for b in range(buckets):
             s = slice(cut[b], cut[b + 1])
             if cut[b + 1] > cut[b]:
-                yield b, block, False, low[s].tobytes(), who[s].tobytes(), None, None
+                yield b, block, False, low[s].tobytes(), who[s].tobytes(), None, None, None
 
     def run(batches):
-        ids, sizes, parts, owners, n_keys = [], [], [], [], 0
+        ids, sizes, marks, parts, owners, n_keys = [], [], [], [], [], 0
         out: list[tuple] = []
 
         def batch():
             cols = list(zip(*out))
             out.clear()
-            types = [pa.int32(), pa.int64(), pa.bool_()] + [pa.binary()] * 4
+            types = [pa.int32(), pa.int64(), pa.bool_()] + [pa.binary()] * 5
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
-                                              names=["bucket", "block", "header", "a", "b", "c", "d"])
+                                              names=["bucket", "block", "header", "a", "b", "c", "d", "e"])
 
         for b in batches:
             for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
@@ -205,12 +207,13 @@ def _filter_rows(percent: int, buckets: int):
                     n_keys += len(parts[-1])
                 ids.append(i)
                 sizes.append(len(h))
+                marks.append(xxhash.xxh3_128_digest(h.tobytes()))
                 if n_keys >= BLOCK_KEYS or len(owners) >= SHARED_IN_BLOCK - 4:
-                    out.extend(rows_of(ids, sizes, parts, owners))
-                    ids, sizes, parts, owners, n_keys = [], [], [], [], 0
+                    out.extend(rows_of(ids, sizes, marks, parts, owners))
+                    ids, sizes, marks, parts, owners, n_keys = [], [], [], [], [], 0
                     yield batch()
         if ids:
-            out.extend(rows_of(ids, sizes, parts, owners))
+            out.extend(rows_of(ids, sizes, marks, parts, owners))
             yield batch()
 
     return run
@@ -236,7 +239,7 @@ def _count_bucket(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def _finish_block(pdf: pd.DataFrame) -> pd.DataFrame:
-    """(doc_id, n_shingles, survives) of a block's documents."""
+    """(doc_id, n_shingles, print, survives) of a block's documents."""
     head = pdf[pdf["header"]].iloc[0]
     doc, sizes, owner, spare = (np.frombuffer(head[c], np.int64) for c in "abcd")
     lost = np.zeros(len(owner), np.int64)
@@ -244,18 +247,20 @@ def _finish_block(pdf: pd.DataFrame) -> pd.DataFrame:
         lost += np.bincount(np.frombuffer(x, np.uint16), minlength=len(owner))
     survives = np.zeros(len(doc), bool)
     survives[owner[spare - lost < 0]] = True
-    return pd.DataFrame({"doc_id": doc, "n_shingles": sizes, "survives": survives})
+    marks = [head["e"][k:k + 16] for k in range(0, 16 * len(doc), 16)]
+    return pd.DataFrame({"doc_id": doc, "n_shingles": sizes, "print": marks, "survives": survives})
 
 
 def survivors(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, survives) for docs(doc_id, text) without null ids."""
+    """(doc_id, n_shingles, print, survives) for docs(doc_id, text) without null
+    ids; ``print`` is a 128-bit hash of the whole set."""
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # about 6.5 bytes a word and 0.55 keys a shingle
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size * 0.085 / BUCKET_KEYS))
     rows = docs.mapInArrow(_filter_rows(percent, buckets), FILTER_SCHEMA)
     counted = rows.groupBy("bucket").applyInPandas(_count_bucket, FILTER_SCHEMA)
-    return counted.groupBy("block").applyInPandas(_finish_block, "doc_id long, n_shingles long, survives boolean")
+    return counted.groupBy("block").applyInPandas(_finish_block, "doc_id long, n_shingles long, print binary, survives boolean")
 
 
 # --- 2. allocation -----------------------------------------------------------
@@ -264,52 +269,51 @@ def _as_long(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
+def _packed(names: str, types, columns):
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)).cast(t) for c, t in zip(columns, types)],
+                                      names=names.split())
+
+
 def _segment_rows(percent: int):
-    """Every segment of every role of sets(sid, set): key, whether it is empty."""
+    """Every filled segment of every role of sets(sid, set): its key, and how many
+    filled segments the role has beyond its need."""
 
     def run(batches):
         for b in batches:
-            cols: list[list[np.ndarray]] = [[] for _ in range(7)]
+            cols: list[list[np.ndarray]] = [[] for _ in range(4)]
             for sid, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 h = np.frombuffer(raw, U64)
                 for band, up, need in roles(len(h), percent):
                     keys, at = segments(h, percent, band)
-                    full = np.flatnonzero(np.diff(at) > 0)
-                    for c, v in zip(cols, (sid, band, up, need, len(full), full, _as_long(keys[full]))):
-                        c.append(v if isinstance(v, np.ndarray) else np.full(len(full), v))
+                    full = _as_long(keys[np.diff(at) > 0])
+                    for c, v in zip(cols, (sid, up, len(full) - need)):
+                        c.append(np.full(len(full), v))
+                    cols[3].append(full)
             if cols[0]:
-                types = [pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.int32(), pa.int32(), pa.int64()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(c)).cast(t) for c, t in zip(cols, types)],
-                    names=["sid", "band", "up", "need", "filled", "seg", "key"])
+                yield _packed("sid up spare key", (pa.int64(), pa.bool_(), pa.int32(), pa.int64()), cols)
 
     return run
 
 
-SEGMENT_SCHEMA = "sid long, band int, up boolean, need int, filled int, seg int, key long"
-
-
 def _deletion_rows(percent: int):
-    """Look-ups of the costly sets (sid, bands, set): kind 0 a segment as it is (an
+    """Look-ups of the costly roles (sid, up, set): kind 0 a segment as it is (an
     empty one too), kind 1 one with a shingle left out."""
 
     def run(batches):
         for b in batches:
-            cols: list[list[np.ndarray]] = [[] for _ in range(7)]
-            for sid, band, up, need, raw in zip(*(c.to_pylist() for c in b.columns)):
+            cols: list[list[np.ndarray]] = [[] for _ in range(5)]
+            for sid, up, raw in zip(*(c.to_pylist() for c in b.columns)):
                 h = np.frombuffer(raw, U64)
+                band = next(x[0] for x in roles(len(h), percent) if x[1] == up)
                 keys, at = segments(h, percent, band)
                 seg, less = deletion_keys(h, at, band)
                 k = np.concatenate([_as_long(keys), _as_long(less)])
-                s = np.concatenate([np.arange(len(keys)), seg])
-                kind = np.repeat([0, 1], [len(keys), len(less)])
-                for c, v in zip(cols, (sid, band, up, need, s, kind, k)):
-                    c.append(v if isinstance(v, np.ndarray) else np.full(len(k), v))
+                for c, v in zip(cols, (np.full(len(k), sid), np.full(len(k), up),
+                                       np.concatenate([np.arange(len(keys)), seg]),
+                                       np.repeat([0, 1], [len(keys), len(less)]), k)):
+                    c.append(v)
             if cols[0]:
-                types = [pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.int32(), pa.int32(), pa.int64()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(c)).cast(t) for c, t in zip(cols, types)],
-                    names=["sid", "band", "up", "need", "seg", "kind", "key"])
+                yield _packed("sid up seg kind key", (pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.int64()), cols)
 
     return run
 
@@ -329,74 +333,79 @@ def cheapest_allocation(need: int, plain: dict[int, int], loose: dict[int, int])
     return taken
 
 
-def _allocate_rows(batches):
-    """Costs of each costly set's look-ups -> its probes: (key, kind) chosen."""
-    for b in batches:
-        out: list[list] = [[] for _ in range(5)]
-        for sid, band, up, need, looks in zip(*(c.to_pylist() for c in b.columns)):
-            plain: dict[int, int] = {}
-            extra: dict[int, int] = {}
-            for x in looks:
-                if x["kind"] == 0:
-                    plain[x["seg"]] = x["exact"] - 1
-                    extra[x["seg"]] = extra.get(x["seg"], 0) + x["less"]
-                else:
-                    extra[x["seg"]] = extra.get(x["seg"], 0) + x["exact"]
-            taken = cheapest_allocation(need, plain, {s: plain[s] + extra[s] for s in plain})
-            for x in looks:
-                level = taken.get(x["seg"])
-                # allocation 0: the key among keys; 1: also among the others' deletions,
-                # and the own deletions among keys
-                ways = [] if level is None else [0] if x["kind"] == 0 and level == 0 else \
-                    [0, 1] if x["kind"] == 0 else [0] if level == 1 else []
-                for way in ways:
-                    if (x["exact"] - (x["kind"] == 0) if way == 0 else x["less"]) > 0:
-                        for c, v in zip(out, (x["key"], way, sid, up, band)):
-                            c.append(v)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.int32()))],
-            names=["key", "way", "sid", "up", "band"])
+# Name spaces of look-ups: keys among all sets (plain), and among costly sets their
+# keys (0) and one-deletion neighbourhoods (1).
+SPACE = (0x2545F4914F6CDD1D, 0x5851F42D4C957F2D)
 
 
-POSTING = ["key", "way", "sid", "up", "band", "probe", "indexed", "score"]
+def _allocate_rows(percent: int):
+    """Costs of each costly role's look-ups -> (sid, up, probes, index): the
+    folded keys that it looks under and is found under."""
+
+    def run(batches):
+        for b in batches:
+            out: list[list] = [[] for _ in range(4)]
+            for sid, up, n, looks in zip(*(c.to_pylist() for c in b.columns)):
+                need = next(x[2] for x in roles(n, percent) if x[1] == up)
+                plain: dict[int, int] = {}
+                extra: dict[int, int] = {}
+                for x in looks:
+                    if x["kind"] == 0:
+                        plain[x["seg"]] = x["exact"] - 1
+                        extra[x["seg"]] = extra.get(x["seg"], 0) + x["less"]
+                    else:
+                        extra[x["seg"]] = extra.get(x["seg"], 0) + x["exact"]
+                taken = cheapest_allocation(need, plain, {s: plain[s] + extra[s] for s in plain})
+                probes = []
+                for x in looks:
+                    level = taken.get(x["seg"])
+                    # allocation 0: the key among keys; 1: also among the others'
+                    # deletions, and the own deletions among keys
+                    ways = [] if level is None else [0] if x["kind"] == 0 and level == 0 else \
+                        [0, 1] if x["kind"] == 0 else [0] if level == 1 else []
+                    probes += [x["key"] ^ SPACE[way] for way in ways
+                               if (x["exact"] - (x["kind"] == 0) if way == 0 else x["less"]) > 0]
+                for c, v in zip(out, (sid, up, probes, [x["key"] ^ SPACE[x["kind"]] for x in looks])):
+                    c.append(v)
+            types = (pa.int64(), pa.bool_(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)],
+                                             names=["sid", "up", "probes", "index"])
+
+    return run
 
 
 def allocate(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Postings (key, way, sid, up, band, probe, indexed, score) of the distinct
-    sets(sid, set): who looks under a key, who is found there. ``way`` keeps the
-    three name spaces apart: 2 for sets with cheap segments only; 0 and 1 for
-    keys and deletions among costly sets."""
-    rows = sets.select("sid", "set").mapInArrow(_segment_rows(percent), SEGMENT_SCHEMA)
-    often = rows.groupBy("key").agg(F.count("*").alias("sets")).where("sets > 1")
-    held = rows.join(often, "key").groupBy("sid", "band", "up").agg(
-        F.max("need").alias("need"), F.max("filled").alias("filled"),
-        (F.sum(F.log("sets")) / F.max("filled")).alias("score"),
+    """(sid, up, score, probes, index) of every role of the distinct sets(sid, n,
+    set) that may have a similar set: the keys that it looks under, the keys that
+    it is found under, and how central it is (mean log of its keys' counts)."""
+    rows = sets.select("sid", "set").mapInArrow(_segment_rows(percent), "sid long, up boolean, spare int, key long")
+    often = rows.groupBy("key").agg(F.count("*").cast("int").alias("sets")).where("sets > 1")
+    held = rows.join(often, "key").groupBy("sid", "up").agg(
+        F.max("spare").alias("spare"), F.avg(F.log("sets")).alias("score"),
         F.sort_array(F.collect_list(F.struct("sets", "key"))).alias("keys"))  # at most its segments
-    left = F.col("need") - (F.col("filled") - F.size("keys"))
-    held = held.withColumn("left", left).where("left > 0")
+    # a role whose unshared segments meet the need has no similar set in the band
+    held = held.withColumn("left", F.size("keys") - F.col("spare")).where("left > 0")
     chosen = F.slice("keys", 1, F.greatest(F.least(F.col("left"), F.size("keys")), F.lit(1)))
     cost = F.aggregate(chosen, F.lit(0).cast("long"), lambda t, x: t + x["sets"] - 1)
-    held = stored(held.withColumn("costly", (F.col("left") > F.size("keys")) | (cost > F.col("left") * COSTLY)), "near-held")
+    held = held.withColumn("costly", (F.col("left") > F.size("keys")) | (cost > F.col("left") * COSTLY))
+    held = stored(held.select("sid", "up", "left", "score", "costly", F.transform("keys", lambda k: k["key"]).alias("keys")),
+                  "near-held", release=True)
+    looks = stored(held.where("costly").select("sid", "up").join(sets, "sid").select("sid", "up", "set").mapInArrow(
+        _deletion_rows(percent), "sid long, up boolean, seg int, kind int, key long"), "near-looks")
+    counts = looks.groupBy("key").agg(F.sum((F.col("kind") == 0).cast("int")).cast("int").alias("exact"),
+                                      F.sum("kind").cast("int").alias("less"))
+    weighed = looks.join(counts, "key").groupBy("sid", "up").agg(
+        F.collect_list(F.struct("key", "seg", "kind", "exact", "less")).alias("looks"))  # bounded by the set
+    own = weighed.join(sets.select("sid", "n"), "sid").select("sid", "up", "n", "looks").mapInArrow(
+        _allocate_rows(percent), "sid long, up boolean, probes array<long>, index array<long>")
     # every set is found by the cheap ones; costly ones also look for each other
-    cheap = held.select("sid", "up", "band", "score", "costly", "left", F.posexplode("keys").alias("at", "k")).select(
-        F.col("k.key").alias("key"), F.lit(2).alias("way"), "sid", "up", "band",
-        (~F.col("costly") & (F.col("at") < F.col("left"))).alias("probe"), F.lit(True).alias("indexed"), "score")
-    costly = held.where("costly").select("sid", "band", "up", "need", "score")
-    looks = stored(costly.drop("score").join(sets.select("sid", "set"), "sid")
-                   .select("sid", "band", "up", "need", "set").mapInArrow(
-                       _deletion_rows(percent), "sid long, band int, up boolean, need int, seg int, kind int, key long"),
-                   "near-looks")
-    counts = looks.groupBy("key").agg(F.sum((F.col("kind") == 0).cast("int")).alias("exact"),
-                                      F.sum("kind").alias("less"))
-    probes = looks.join(counts, "key").groupBy("sid", "band", "up").agg(
-        F.max("need").alias("need"), F.collect_list(F.struct("key", "seg", "kind", "exact", "less")).alias("looks")) \
-        .select("sid", "band", "up", "need", "looks").mapInArrow(
-            _allocate_rows, "key long, way int, sid long, up boolean, band int")
-    found = looks.select("key", F.col("kind").alias("way"), "sid", "up", "band", F.lit(False).alias("probe"),
-                         F.lit(True).alias("indexed"))
-    own = probes.select("key", "way", "sid", "up", "band", F.lit(True).alias("probe"), F.lit(False).alias("indexed"))
-    own = own.unionByName(found).join(costly.select("sid", "band", "up", "score"), ["sid", "band", "up"])
-    return cheap.select(*POSTING).unionByName(own.select(*POSTING))
+    both = held.join(own.withColumnsRenamed({"probes": "own_probes", "index": "own_index"}), ["sid", "up"], "left")
+    empty = F.array().cast("array<long>")
+    return stored(both.select(
+        "sid", "up", "score",
+        F.when(F.col("costly"), F.coalesce("own_probes", empty)).otherwise(
+            F.slice("keys", 1, F.greatest("left", F.lit(1)))).alias("probes"),
+        F.concat("keys", F.coalesce("own_index", empty)).alias("index")), "near-roles", release=True)
 
 
 # --- 3. and 4. pairs -----------------------------------------------------------
@@ -404,43 +413,67 @@ def allocate(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
 LEADERS = 3
 
 
-def star_pairs(postings: DataFrame) -> DataFrame:
-    """(a, b): probes with the most central of the sets found under their key."""
-    leaders = postings.groupBy("key", "way").agg(
-        F.max("probe").alias("probed"),
-        *[F.max_by(F.when(F.col("indexed"), F.col("sid")), F.when(
-            F.col("indexed") & (F.pmod(F.xxhash64("sid"), F.lit(LEADERS)) == j), F.struct("score", "sid"))).alias(f"l{j}")
-          for j in range(LEADERS)]).where("probed").drop("probed")
-    pairs = postings.where("probe").select("key", "way", "sid").join(leaders, ["key", "way"]).select(
-        "sid", F.explode(F.array_distinct(F.array_compact(F.array(*[f"l{j}" for j in range(LEADERS)])))).alias("l"))
+def star_pairs(allocated: DataFrame) -> DataFrame:
+    """(a, b): every probe with the most central sets that look under its key."""
+    probes = allocated.select("sid", "score", F.explode("probes").alias("key"))
+    leaders = probes.groupBy("key").agg(*[
+        F.max(F.when(F.pmod(F.xxhash64("sid"), F.lit(LEADERS)) == j, F.struct("score", "sid"))).alias(f"l{j}")
+        for j in range(LEADERS)])
+    pairs = probes.select("key", "sid").join(leaders, "key").select(
+        "sid", F.explode(F.array_compact(F.array(*[F.col(f"l{j}.sid") for j in range(LEADERS)]))).alias("l"))
     return pairs.where("sid <> l").select(F.least("sid", "l").alias("a"), F.greatest("sid", "l").alias("b")).distinct()
 
 
-def cross_pairs(postings: DataFrame, sketches: DataFrame, component: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(a, b): what the index pairs across components and sketches don't exclude."""
-    named = postings.join(component.withColumnRenamed("node", "sid"), "sid", "left") \
-        .withColumn("component", F.coalesce("component", "sid"))
-    open_keys = named.groupBy("key", "way").agg(
-        F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("probe").alias("probed")) \
-        .where("lo < hi and probed").select("key", "way")
-    rows = named.join(open_keys, ["key", "way"], "left_semi").join(sketches, ["sid", "band"])
-    rows = stored(rows.select("key", "way", "sid", "up", "probe", "indexed", "component", "n", "sketch"), "near-open")
-
-    def side(flag: str, x: str) -> DataFrame:
-        return rows.where(flag).select("key", "way", *[F.col(c).alias(c + x) for c in ("component", "sid", "up", "n", "sketch")])
-
-    p, i = side("probe", "_p"), side("indexed", "_i")
-    # components that meet under a key, so that members of one never meet each other
-    met = p.select("key", "way", "component_p").distinct().join(
-        i.select("key", "way", "component_i").distinct(), ["key", "way"]).where("component_p <> component_i")
+def _may_be_similar(percent: int):
+    """Size and parity bounds of two sides n_p, sketch_p and n_i, sketch_i."""
     differing = F.aggregate(F.zip_with("sketch_p", "sketch_i", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
                             F.lit(0), lambda t, x: t + x)
-    may = ~(F.col("up_p") & F.col("up_i")) \
-        & (F.greatest("n_p", "n_i") * percent <= F.least("n_p", "n_i") * 100) \
+    return (F.greatest("n_p", "n_i") * percent <= F.least("n_p", "n_i") * 100) \
         & (differing * (100 + percent) <= (F.col("n_p") + F.col("n_i")) * (100 - percent))
-    out = met.join(p, ["key", "way", "component_p"]).join(i, ["key", "way", "component_i"]).where(may)
-    return out.select(F.least("sid_p", "sid_i").alias("a"), F.greatest("sid_p", "sid_i").alias("b")) \
-        .where("a <> b").distinct()
+
+
+def plausible(pairs: DataFrame, sketches: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The pairs (a, b) that their sizes and some common band's sketches allow."""
+    p = sketches.select(F.col("sid").alias("a"), "band", F.col("n").alias("n_p"), F.col("wide").alias("sketch_p"))
+    i = sketches.select(F.col("sid").alias("b"), "band", F.col("n").alias("n_i"), F.col("wide").alias("sketch_i"))
+    return pairs.join(p, "a").join(i, ["b", "band"]).where(_may_be_similar(percent)).select("a", "b").distinct()
+
+
+def cross_pairs(allocated: DataFrame, sketches: DataFrame, component: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(a, b): what the index pairs across components and sketches don't exclude.
+
+    Under each key the largest component's members ("big") meet the other ones,
+    and these meet each other, but the big ones never meet among themselves.
+    """
+    of = component.select(F.col("node").alias("sid"), "component")
+    named = allocated.join(of, "sid", "left").withColumn("component", F.coalesce("component", "sid"))
+    every = named.select("component", F.lit(False).alias("probe"), F.explode("index").alias("key")).unionByName(
+        named.select("component", F.lit(True).alias("probe"), F.explode("probes").alias("key")))
+    met = every.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                   F.max("probe").alias("probed"), F.count("*").alias("rows")) \
+        .where("probed and lo < hi").select("key", (F.col("rows") >= CROWDED).alias("crowded"))
+    met = stored(met, "near-met", release=True)
+    if met.count() <= BROADCAST_ROWS:
+        met = F.broadcast(met)
+    drawn = named.join(sketches.select("sid", "up", "n", "narrow", "wide"), ["sid", "up"])
+    what = ["sid", "up", "component", "n", "narrow", "wide"]
+    rows = drawn.select(*what, F.lit(False).alias("probe"), F.explode("index").alias("key")).unionByName(
+        drawn.select(*what, F.lit(True).alias("probe"), F.explode("probes").alias("key"))).join(met, "key").select(
+        "key", "sid", "up", "component", "n", "probe", F.when(F.col("crowded"), F.col("wide")).otherwise(
+            F.col("narrow")).alias("sketch"))
+    big = rows.where("not probe").groupBy("key", "component").count().groupBy("key").agg(
+        F.max_by("component", F.struct("count", "component")).alias("big"))
+    tagged = rows.join(big, "key", "left").withColumn("is_big", F.coalesce(F.col("component") == F.col("big"), F.lit(False)))
+
+    def side(x: str, *more):
+        return [F.col(c).alias(c + x) for c in ("component", "sid", "up", "n", "sketch")] + list(more)
+
+    p = tagged.where("probe").select("key", *side("_p"), F.explode(
+        F.when(F.col("is_big"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))).alias("is_big"))
+    i = tagged.where("not probe").select("key", "is_big", *side("_i"))
+    may = (F.col("component_p") != F.col("component_i")) & ~(F.col("up_p") & F.col("up_i")) & _may_be_similar(percent)
+    out = p.join(i, (p["key"] == i["key"]) & (p["is_big"] == i["is_big"]) & may)
+    return out.select(F.least("sid_p", "sid_i").alias("a"), F.greatest("sid_p", "sid_i").alias("b")).distinct()
 
 
 def _verify_rows(percent: int):
@@ -470,22 +503,22 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
 def _set_rows(batches):
     for b in batches:
         found = [shingles(t) for t in b.column(1).to_pylist()]
-        marks = [xxhash.xxh3_128_digest(h.tobytes()) for h in found]
         yield pa.RecordBatch.from_arrays(
-            [b.column(0), pa.array(marks, pa.binary()), pa.array([h.tobytes() for h in found], pa.binary())],
-            names=["doc_id", "print", "set"])
+            [b.column(0), pa.array([len(h) for h in found], pa.int64()),
+             pa.array([h.tobytes() for h in found], pa.binary())], names=["sid", "n", "set"])
 
 
 def _sketch_rows(percent: int):
     def run(batches):
         for b in batches:
-            rows = [(sid, band, len(raw) // 8, parity_sketch(np.frombuffer(raw, U64), percent, band))
+            rows = [(sid, up, band, len(raw) // 8, *(parity_sketch(np.frombuffer(raw, U64), percent, band, bits)
+                                                     for bits in (NARROW, WIDE)))
                     for sid, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist())
-                    for band, _, _ in roles(len(raw) // 8, percent)]
-            cols = list(zip(*rows)) or [[]] * 4
-            types = (pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()))
+                    for band, up, _ in roles(len(raw) // 8, percent)]
+            cols = list(zip(*rows)) or [[]] * 6
+            types = (pa.int64(), pa.bool_(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types)],
-                                             names=["sid", "band", "n", "sketch"])
+                                             names=["sid", "up", "band", "n", "narrow", "wide"])
 
     return run
 
@@ -497,26 +530,29 @@ def similar_documents(df: DataFrame, percent: int = PERCENT) -> tuple[DataFrame,
     documents that similarity connects (not every similar pair is listed)."""
     docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     named = docs.where("doc_id is not null")
-    sizes = stored(survivors(named, percent), "near-sizes")
-    ids = sizes.where("survives").select("doc_id").distinct()
+    sizes = stored(survivors(named, percent), "near-sizes", release=True)
+    alive = sizes.where("survives").select("doc_id", "print")
+    classes = stored(alive.groupBy("print").agg(F.min("doc_id").alias("sid")), "near-classes")
+    copies = alive.join(classes, "print").where("doc_id <> sid") \
+        .select(F.col("sid").alias("a"), F.col("doc_id").alias("b")).distinct()
+    ids = classes.select(F.col("sid").alias("doc_id")).distinct()
     if ids.count() <= BROADCAST_ROWS:
         ids = F.broadcast(ids)
-    prints = stored(named.join(ids, "doc_id").mapInArrow(_set_rows, "doc_id long, print binary, set binary")
-                    .where(F.length("set") > 0), "near-sets")
-    classes = stored(prints.groupBy("print").agg(F.min("doc_id").alias("sid")), "near-classes")
-    sets = stored(prints.join(classes, "print").where("doc_id = sid").select("sid", "set"), "near-distinct")
-    copies = prints.select("doc_id", "print").join(classes, "print").where("doc_id <> sid") \
-        .select(F.col("sid").alias("a"), F.col("doc_id").alias("b")).distinct()
-    postings = stored(allocate(sets, percent), "near-postings")
-    links = stored(verified(star_pairs(postings), sets, percent), "near-links")
-    sketches = sets.mapInArrow(_sketch_rows(percent), "sid long, band int, n long, sketch array<long>")
-    more = verified(cross_pairs(postings, sketches, components(links), percent), sets, percent)
-    links = stored(links.unionByName(more).unionByName(copies), "near-all-links")
+    # a doc_id may name several rows: all their sets go by that id
+    sets = stored(named.join(ids, "doc_id").mapInArrow(_set_rows, "sid long, n long, set binary").where("n > 0"),
+                  "near-sets", release=True)
+    allocated = allocate(sets, percent)
+    sketches = stored(sets.select("sid", "set").mapInArrow(
+        _sketch_rows(percent), "sid long, up boolean, band int, n long, narrow array<long>, wide array<long>"), "near-sketches")
+    stars = stored(plausible(star_pairs(allocated), sketches, percent), "near-stars", release=True)
+    links = stored(verified(stars, sets, percent), "near-links", release=True)
+    rest = stored(cross_pairs(allocated, sketches, components(links), percent), "near-rest", release=True)
+    links = stored(links.unionByName(verified(rest, sets, percent)).unionByName(copies), "near-all-links", release=True)
     of = components(links)
     out = sizes.join(of, sizes["doc_id"] == of["node"], "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
-    unnamed = docs.where("doc_id is null").mapInArrow(_set_rows, "doc_id long, print binary, set binary").select(
-        "doc_id", (F.length("set") / 8).cast("long").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"))
+    unnamed = docs.where("doc_id is null").mapInArrow(_set_rows, "sid long, n long, set binary").select(
+        F.col("sid").alias("doc_id"), F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"))
     return out.unionByName(unnamed), links
 
 
