@@ -64,10 +64,6 @@ def decay(base: float, n) -> Column:
     return F.pow(F.lit(float(base)), _c(n))
 
 
-def at_least(col, value) -> Column:
-    return F.greatest(_c(col), F.lit(value))
-
-
 def season_year(col) -> Column:
     """Start year of a season label such as ``'2026-27'``."""
     return F.substring(_c(col), 1, 4).cast("int")
@@ -80,10 +76,6 @@ def season_label(year_col) -> Column:
                     F.lpad(((y + 1) % 100).cast("string"), 2, "0"))
 
 
-def period_name(col, prefix: str = "Gameweek ") -> Column:
-    return F.concat(F.lit(prefix), _c(col).cast("string"))
-
-
 def typed_null(dtype: DataType | str) -> Column:
     """Typed NULL so that set-operation schemas line up."""
     return F.lit(None).cast(dtype)

@@ -1,5 +1,5 @@
-"""Aggregation operators. All are hash aggregates with a map-side partial
-step, so a hot key is combined before the shuffle."""
+"""Weighted group rates: a hash aggregate with a map-side partial step, so a hot
+group is combined before the shuffle."""
 
 from __future__ import annotations
 
@@ -11,48 +11,8 @@ from pyspark.sql import functions as F
 from gaffer.functions.scalars import default, safe_div
 
 
-def weighted_sums(df: DataFrame, keys: Sequence[str], measures: dict[str, str],
-                  weight: str, total_name: str = "total_weight",
-                  count_name: str = "row_count", extra=()) -> DataFrame:
-    """AGG-1: ``sum(x * w)`` per key for each measure, plus ``sum(w)`` and
-    ``count(*)``. ``measures`` maps input column -> output name."""
-    aggs = [F.sum(weight).alias(total_name), F.count(F.lit(1)).alias(count_name)]
-    aggs += [F.sum(F.col(c) * F.col(weight)).alias(out) for c, out in measures.items()]
-    return df.groupBy(*keys).agg(*aggs, *extra)
-
-
-def any_true(cond) -> "F.Column":
-    """AGG-2: ``bool_or``."""
-    return F.bool_or(cond)
-
-
 def group_baseline(df: DataFrame, group: Sequence[str], rates: Sequence[str],
                    weight: str) -> DataFrame:
     """AGG-3 / FRM-5: ``sum(coalesce(rate,0) * w) / nullif(sum(w), 0)`` per group."""
     aggs = [safe_div(F.sum(default(r, 0) * F.col(weight)), F.sum(weight)).alias(r) for r in rates]
     return df.groupBy(*group).agg(*aggs)
-
-
-def league_average(df: DataFrame, cols: dict[str, str]) -> DataFrame:
-    """AGG-5: one-row global average (a row even on empty input)."""
-    return df.agg(*[F.avg(c).alias(out) for c, out in cols.items()])
-
-
-def match_count(col: str):
-    """AGG-6: ``count(nullable)`` over a left join = number of matches."""
-    return F.count(F.col(col))
-
-
-def sum_or_zero(col: str):
-    """AGG-7."""
-    return F.coalesce(F.sum(col), F.lit(0.0))
-
-
-def max_of(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
-    """AGG-11: scalar max as a one-row relation."""
-    return df.agg(F.max(col).alias(name or f"max_{col}"))
-
-
-def subset_total(df: DataFrame, keys: Sequence[str], col: str, name: str) -> DataFrame:
-    """AGG-13: sum over a chosen subset (squad cost, XI points)."""
-    return df.groupBy(*keys).agg(F.sum(col).alias(name))

@@ -81,9 +81,3 @@ def shrunk_form(dim: DataFrame, form: DataFrame, baseline: DataFrame,
         conf.alias("confidence_weight"),
         *[shrink(f"__r_{r}", f"__b_{r}", conf).alias(r) for r in SHRUNK_RATES],
     )
-
-
-def raw_confidence_rows(form: DataFrame) -> DataFrame:
-    """FRM-4 alone: confidence per entity."""
-    return form.select("player_code", default("total_weight", 0).alias("total_weight"),
-                       confidence("total_weight").alias("confidence_weight"))

@@ -1,4 +1,4 @@
-"""Join operators: enrichment, role-playing dimensions, anti/semi, grids.
+"""Join operators: role-playing dimensions, one-row relations, fixture sides.
 
 Broadcast policy: a side is hinted for broadcast only when its size is bounded
 by construction (a one-row aggregate, a literal table, a grid of at most
@@ -22,18 +22,6 @@ def bounded(df: DataFrame) -> DataFrame:
     return F.broadcast(df)
 
 
-def enrich(df: DataFrame, dim: DataFrame, on, how: str = "left",
-           prefix: str | None = None, keep: Sequence[str] | None = None) -> DataFrame:
-    """JN-3/5/7/8: fact -> dimension equi join (one or more keys)."""
-    if keep is not None:
-        keys = [on] if isinstance(on, str) else list(on)
-        dim = dim.select(*keys, *[c for c in keep if c not in keys])
-    if prefix:
-        keys = [on] if isinstance(on, str) else list(on)
-        dim = dim.select(*[F.col(c).alias(c if c in keys else f"{prefix}{c}") for c in dim.columns])
-    return df.join(dim, on, how)
-
-
 def enrich_roles(df: DataFrame, dim: DataFrame, dim_key: str,
                  roles: dict[str, str], take: dict[str, str],
                  how: str = "left") -> DataFrame:
@@ -50,31 +38,11 @@ def enrich_roles(df: DataFrame, dim: DataFrame, dim_key: str,
     return out
 
 
-def absent_from(a: DataFrame, b: DataFrame, on) -> DataFrame:
-    """JN-12: ``not exists`` -> left anti join."""
-    return a.join(b, on, "left_anti")
-
-
-def members(a: DataFrame, b: DataFrame, on) -> DataFrame:
-    """JN-13: membership -> left semi join."""
-    return a.join(b, on, "left_semi")
-
-
-def non_members(a: DataFrame, b: DataFrame, on) -> DataFrame:
-    return a.join(b, on, "left_anti")
-
-
 def with_scalar_row(df: DataFrame, row: DataFrame) -> DataFrame:
     """JN-10: attach a one-row relation (a global aggregate) to every row."""
     return df.crossJoin(bounded(row))
 
 
-def dense_grid(entities: DataFrame, periods: DataFrame) -> DataFrame:
-    """JN-11: entity x period grid; ``periods`` is bounded (a horizon or a
-    season calendar), so it is broadcast and the entities never shuffle."""
-    return entities.crossJoin(bounded(periods))
-
-
 def entity_fixtures(fixtures: DataFrame, fixture_id: str, home: str, away: str,
                     extra: Sequence[str] = ()) -> DataFrame:
     """JN-9 rewrite: one row per (fixture, team side) with the opponent and a

@@ -112,12 +112,6 @@ def pack_json(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
     return grouped.select(*keys, "__cell", F.to_json(value).alias(payload))
 
 
-def row_to_json(df: DataFrame, keys: Sequence[str], cols: Sequence[str],
-                payload: str = "payload") -> DataFrame:
-    """JSN-6 row form: each row's fields as one JSON object."""
-    return df.select(*keys, F.to_json(F.struct(*cols)).alias(payload))
-
-
 def array_sizes(df: DataFrame, payload: str, paths: Sequence[str | None]) -> DataFrame:
     """SRC-8: element count of each named array per snapshot row."""
     out = []

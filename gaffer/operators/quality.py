@@ -51,15 +51,37 @@ class Check:
         raise ValueError(self.kind)
 
 
+def _in_one_pass(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """Failures of all not_null and relationships checks of one table: one scan,
+    each parent's keys joined on, one aggregate."""
+    counts, rows = [], df
+    for i, c in enumerate(checks):
+        if c.kind == "not_null":
+            bad = F.col(c.column).isNull()
+        else:
+            keys = c.parent.select(F.col(c.field).alias(f"__k{i}")).where(F.col(f"__k{i}").isNotNull()).distinct()
+            rows = rows.join(keys, F.col(c.column) == F.col(f"__k{i}"), "left")
+            bad = F.col(c.column).isNotNull() & F.col(f"__k{i}").isNull()
+        counts.append(F.count(F.when(bad, 1)).alias(f"__n{i}"))
+    total = rows.agg(*counts)
+    return total.select(F.inline(F.array(*[
+        F.struct(F.lit(c.table).alias("table_name"), F.lit(c.column).alias("column_name"),
+                 F.lit(c.kind).alias("check_name"), F.col(f"__n{i}").alias("failures")) for i, c in enumerate(checks)])))
+
+
 def run_suite(checks: Sequence[Check]) -> DataFrame:
     """DQ-4: one row per check (table, column, check, failures); a unique
-    check counts duplicated values, the others failing rows."""
-    parts = []
+    check counts duplicated values, the others failing rows. Checks of one table
+    that need no grouping share one scan."""
+    parts, tables = [], {}
     for c in checks:
-        f = c.failures()
-        parts.append(f.agg(F.count(F.lit(1)).alias("failures")).select(
-            F.lit(c.table).alias("table_name"), F.lit(c.column).alias("column_name"),
-            F.lit(c.kind).alias("check_name"), "failures"))
+        if c.kind in ("not_null", "relationships"):
+            tables.setdefault(id(c.df), []).append(c)
+        else:
+            parts.append(c.failures().agg(F.count(F.lit(1)).alias("failures")).select(
+                F.lit(c.table).alias("table_name"), F.lit(c.column).alias("column_name"),
+                F.lit(c.kind).alias("check_name"), "failures"))
+    parts = [_in_one_pass(group[0].df, group) for group in tables.values()] + parts
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

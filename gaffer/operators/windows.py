@@ -20,17 +20,3 @@ def top_k(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int,
     """SRT-4: top ``k`` rows per key (planned with a map-side group limit).
     The limit is the feature here: a top-k report."""
     return rank_within(df, keys, order, name).filter(F.col(name) <= k)
-
-
-def weeks_ahead(df: DataFrame, partition: Sequence[str], order: str,
-                name: str = "weeks_ahead") -> DataFrame:
-    """WIN-1: ``row_number() - 1`` over the period order, partitioned (e.g. by
-    season) so it never becomes a single-partition window."""
-    w = Window.partitionBy(*partition).orderBy(F.col(order))
-    return df.withColumn(name, (F.row_number().over(w) - 1).cast("int"))
-
-
-def next_n(df: DataFrame, partition: Sequence[str], order: str, n: int,
-           name: str = "weeks_ahead") -> DataFrame:
-    """SRT-3: the first ``n`` periods from the start (``order by k limit n``)."""
-    return weeks_ahead(df, partition, order, name).filter(F.col(name) < n)

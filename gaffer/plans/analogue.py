@@ -243,8 +243,9 @@ class Analogue:
     # ------------------------------------------------------------ the models, over landed payloads
     @cached_property
     def warehouse(self) -> Warehouse:
-        w = Warehouse(self.spark, Payloads(self).raw, CURRENT_SEASON, HORIZON, materialize=self.materialize)
-        w.tag = self.tag + "-warehouse"
+        payloads = Payloads(self)
+        w = Warehouse(self.spark, payloads.raw, CURRENT_SEASON, HORIZON, materialize=self.materialize)
+        w.tag, w.payloads = self.tag + "-warehouse", payloads
         return w
 
     @property
@@ -446,3 +447,24 @@ class Analogue:
     @cached_property
     def chip_report(self) -> DataFrame:
         return chip_rows(self.chip_candidates, self.chips, self.wildcard, self.dim_players)
+
+
+# Tables in the order of a rebuild: payloads, models, decisions.
+PAYLOAD_MARTS = ["bootstrap", "fixtures", "element_summary", "entry", "entry_history", "entry_picks", "entry_transfers",
+                 "historical_players", "historical_teams", "historical_stats"]
+MODEL_MARTS = ["players", "teams", "history", "hist_players", "hist_teams", "hist_stats", "performance", "dim_teams",
+               "dim_players", "dim_gameweeks", "fct_fixtures", "fct_entry_gameweek_performance", "fct_entry_picks",
+               "fct_entry_transfers", "recent_form", "form_shrunk", "fct_player_expected_points",
+               "fct_player_expected_points_by_gameweek", "fct_player_expected_points_horizon"]
+DECISION_MARTS = ["pool", "picks", "lineup", "purchases", "bank", "ladder", "best_transfer", "transfer_plan", "free_hit",
+                  "wildcard"]
+
+
+def build_marts(spark: SparkSession, sf_dir: str):
+    """(name, build) of every table, in order."""
+    a = Analogue(spark, sf_dir)
+    w = a.warehouse
+    payloads = w.payloads
+    for owner, group, names in ((payloads, "payload", PAYLOAD_MARTS), (w, "model", MODEL_MARTS), (a, "decision", DECISION_MARTS)):
+        for name in names:
+            yield f"{group}:{name}", lambda owner=owner, name=name: getattr(owner, name)

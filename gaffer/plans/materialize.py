@@ -12,6 +12,10 @@ from __future__ import annotations
 from gaffer.sources.landing import publish_once, published
 
 
+# Set to a dict by tools/plan_report.py: the plan that each mart is built with.
+PLANS: dict[str, str] | None = None
+
+
 def mart(fn):
     name = fn.__name__
 
@@ -23,6 +27,8 @@ def mart(fn):
                 self.__dict__[name] = done
             else:
                 df = fn(self)
+                if PLANS is not None:
+                    PLANS[key] = df._jdf.queryExecution().executedPlan().toString()
                 self.__dict__[name] = publish_once(self.spark, key, df) if self.materialize else df
         return self.__dict__[name]
     get.__doc__ = fn.__doc__

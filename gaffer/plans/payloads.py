@@ -13,6 +13,7 @@ can be run and checked over whole driver tables:
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -247,11 +248,27 @@ class Payloads:
         return self._csv(rows, "stats")
 
     @cached_property
-    def raw(self) -> dict[str, DataFrame]:
-        return {"bootstrap_static_snapshot": self.bootstrap, "fixtures_snapshot": self.fixtures,
-                "element_summary_snapshot": self.element_summary, "entry_snapshot": self.entry,
-                "entry_history_snapshot": self.entry_history, "entry_picks_snapshot": self.entry_picks,
-                "entry_transfers_snapshot": self.entry_transfers,
-                "historical_gw_stats_snapshot": self.historical_stats,
-                "historical_players_snapshot": self.historical_players,
-                "historical_teams_snapshot": self.historical_teams}
+    def raw(self) -> Mapping[str, DataFrame]:
+        return _Lazy({"bootstrap_static_snapshot": "bootstrap", "fixtures_snapshot": "fixtures",
+                      "element_summary_snapshot": "element_summary", "entry_snapshot": "entry",
+                      "entry_history_snapshot": "entry_history", "entry_picks_snapshot": "entry_picks",
+                      "entry_transfers_snapshot": "entry_transfers",
+                      "historical_gw_stats_snapshot": "historical_stats",
+                      "historical_players_snapshot": "historical_players",
+                      "historical_teams_snapshot": "historical_teams"}, self)
+
+
+class _Lazy(Mapping):
+    """Raw tables that are built when a model first asks for them."""
+
+    def __init__(self, names: dict[str, str], owner: Payloads):
+        self.names, self.owner = names, owner
+
+    def __getitem__(self, key):
+        return getattr(self.owner, self.names[key])
+
+    def __iter__(self):
+        return iter(self.names)
+
+    def __len__(self):
+        return len(self.names)

@@ -5,8 +5,10 @@ Plan: a streaming aggregation keeps, per key, the maximum of the struct
 a hot key costs one state row, not its history); update mode emits only the
 keys a micro-batch touched. The sink appends those changed rows to
 ``<table>/epoch=N`` (overwrite of that one folder, so a replayed epoch after an
-executor or driver loss is idempotent). Readers take the latest row per key
-across epochs, which equals the batch operator on the same files: a late
+executor or driver loss is idempotent). Every ``compact_every`` epochs the table so
+far is written to ``<table>/upto=N`` and the folders it covers are deleted, so a
+reader meets at most that many epochs. Readers take the latest row per key
+across what is left, which equals the batch operator on the same files: a late
 snapshot with an older ``fetched_at`` never replaces a newer one because
 ordering is by the snapshot's own columns, not by arrival.
 """
@@ -37,7 +39,7 @@ def start_stream_latest(spark: SparkSession, source: str, schema: StructType,
                         keys: Sequence[str], order: Sequence[str], values: Sequence[str],
                         table: str, checkpoint: str, glob: str | None = None,
                         max_files_per_trigger: int | None = None,
-                        available_now: bool = True) -> StreamingQuery:
+                        available_now: bool = True, compact_every: int = 20) -> StreamingQuery:
     """Start the incremental operator over parquet files arriving in ``source``."""
     reader = spark.readStream.schema(schema)
     if glob:
@@ -48,6 +50,8 @@ def start_stream_latest(spark: SparkSession, source: str, schema: StructType,
 
     def sink(batch: DataFrame, epoch_id: int) -> None:
         batch.write.mode("overwrite").parquet(os.path.join(table, f"epoch={epoch_id}"))
+        if (epoch_id + 1) % compact_every == 0:
+            compact(spark, table, keys, order, epoch_id)
 
     w = agg.writeStream.outputMode("update").foreachBatch(sink) \
         .option("checkpointLocation", checkpoint)
@@ -55,22 +59,49 @@ def start_stream_latest(spark: SparkSession, source: str, schema: StructType,
     return w.start()
 
 
+def _folders(spark: SparkSession, table: str) -> dict[str, dict[int, str]]:
+    """The table's epoch and compacted folders that are complete."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(table)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out: dict[str, dict[int, str]] = {"epoch": {}, "upto": {}}
+    for f in fs.listStatus(root):
+        kind, _, n = f.getPath().getName().partition("=")
+        done = jvm.org.apache.hadoop.fs.Path(f.getPath(), "_SUCCESS")
+        if kind in out and fs.exists(done):
+            out[kind][int(n)] = f.getPath().toString()
+    return out
+
+
+def compact(spark: SparkSession, table: str, keys: Sequence[str], order: Sequence[str], epoch: int) -> None:
+    """Write the table up to ``epoch`` as one folder, then drop what it covers."""
+    read_latest(spark, table, keys, order).write.mode("overwrite").parquet(os.path.join(table, f"upto={epoch}"))
+    jvm = spark.sparkContext._jvm
+    for kind, found in _folders(spark, table).items():
+        for n, path in found.items():
+            if n < epoch or (n == epoch and kind == "epoch"):
+                p = jvm.org.apache.hadoop.fs.Path(path)
+                p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def read_latest(spark: SparkSession, table: str, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The current table: latest row per key over all emitted epochs."""
-    df = spark.read.parquet(table)
-    if "epoch" in df.columns:
-        df = df.drop("epoch")
-    return latest_per_key(df, keys, list(order))
+    """The current table: latest row per key over the newest compacted folder and
+    the epochs after it."""
+    found = _folders(spark, table)
+    paths = [found["upto"][max(found["upto"])]] if found["upto"] else []
+    paths += [p for n, p in sorted(found["epoch"].items()) if not found["upto"] or n > max(found["upto"])]
+    return latest_per_key(spark.read.parquet(*paths), keys, list(order))
 
 
 def stream_latest(spark: SparkSession, source: str, schema: StructType, keys: Sequence[str],
                   order: Sequence[str], values: Sequence[str], name: str,
-                  glob: str | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
+                  glob: str | None = None, max_files_per_trigger: int | None = None,
+                  compact_every: int = 20) -> DataFrame:
     """Run the stream over everything available and return the current table.
     State and output live under the shared checkpoint folder."""
     base = os.path.join(checkpoint_dir(spark), "streams", spark.sparkContext.applicationId, name)
     table, ckpt = os.path.join(base, "table"), os.path.join(base, "checkpoint")
     q = start_stream_latest(spark, source, schema, keys, order, values, table, ckpt, glob,
-                            max_files_per_trigger)
+                            max_files_per_trigger, compact_every=compact_every)
     q.awaitTermination()
     return read_latest(spark, table, keys, order)

@@ -50,3 +50,66 @@ def test_json_array_check(spark):
                                 "payload string")
     r = run_suite([Check("entry_history_snapshot", "payload", "json_array", raw, field="chips")]).collect()[0]
     assert r.failures == 3
+
+
+def test_stream_compacts_its_epochs(spark):
+    import glob
+    import os
+    import tempfile
+
+    from gaffer.operators.snapshots import latest_per_key
+    from gaffer.streaming.latest import read_latest, start_stream_latest
+    d = tempfile.mkdtemp(prefix="gaffer-compact-")
+    rows = [(i % 5, i, float(i)) for i in range(40)]
+    for k in range(8):
+        spark.createDataFrame(rows[5 * k:5 * k + 5], "user_id int, ts int, value double").coalesce(1) \
+            .write.mode("append").parquet(os.path.join(d, "in"))
+    schema = spark.read.parquet(os.path.join(d, "in")).schema
+    q = start_stream_latest(spark, os.path.join(d, "in"), schema, ["user_id"], ["ts"], ["value"], os.path.join(d, "table"),
+                            os.path.join(d, "ckpt"), max_files_per_trigger=1, compact_every=3)
+    q.awaitTermination()
+    left = sorted(os.path.basename(p) for p in glob.glob(os.path.join(d, "table", "*=*")))
+    assert [x for x in left if x.startswith("upto")] == ["upto=5"] and "epoch=0" not in left and len(left) <= 4
+    got = read_latest(spark, os.path.join(d, "table"), ["user_id"], ["ts"])
+    want = latest_per_key(spark.read.parquet(os.path.join(d, "in")), ["user_id"], ["ts"])
+    assert sorted(map(tuple, got.select("user_id", "ts", "value").collect())) == \
+        sorted(map(tuple, want.select("user_id", "ts", "value").collect()))
+
+
+def test_suite_counts_one_table_in_one_pass(spark):
+    from gaffer.operators.quality import Check, run_suite
+    child = spark.createDataFrame([(1, 10), (2, None), (None, 99), (1, 77)], "a int, b int")
+    parent = spark.createDataFrame([(10,), (10,), (77,), (None,)], "k int")
+    checks = [Check("t", "a", "not_null", child), Check("t", "b", "relationships", child, parent, "k"),
+              Check("t", "a", "relationships", child, parent, "k"), Check("t", "a", "unique", child)]
+    got = sorted((r.column_name, r.check_name, r.failures) for r in run_suite(checks).collect())
+    assert got == [("a", "not_null", 1), ("a", "relationships", 3), ("a", "unique", 1), ("b", "relationships", 1)]
+
+
+def test_newest_run_overall_and_per_key(spark):
+    from gaffer.operators.snapshots import newest_run
+    df = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (1, 2, "c"), (2, 1, "d"), (None, 5, "e")], "k int, ts int, p string")
+    assert sorted(r.p for r in newest_run(df, ["k"], ["ts"]).collect()) == ["b", "c", "d", "e"]
+    assert [r.p for r in newest_run(df, [], ["ts"]).collect()] == ["e"]
+
+
+def test_shared_folder_is_required_off_local_mode(monkeypatch):
+    import pytest
+
+    from gaffer import session
+
+    class Conf:
+        def get(self, _, default=None):
+            return default
+
+    class Fake:
+        conf = Conf()
+
+        class sparkContext:  # noqa: N801
+            applicationId, master = "app-x", "spark://host:7077"
+
+            @staticmethod
+            def getConf():
+                return Conf()
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_dir(Fake())
