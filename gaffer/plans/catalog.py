@@ -22,6 +22,7 @@ from gaffer.plans import oracle as O
 from gaffer.operators.decisions import HORIZON_DETAIL, WILDCARD_DETAIL
 from gaffer.plans.analogue import CURRENT_YEAR, FRONTIER_BUDGET_TENTHS, LAMBDAS, Analogue, period_of
 from gaffer.plans.normalize import normalize
+from gaffer.plans.warehouse import DATA_TESTS
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -1024,3 +1025,35 @@ def q_purchase_price(spark, d):
     runs = run(0.1, "2001-06-01 00:00:00").unionByName(run(0.2, "2001-06-08 00:00:00"))
     out = a.warehouse.purchases(a.picks, runs)
     return out.select("entry_id", "player_code", F.round("purchase_price", 1).alias("purchase_price"), "current_price")
+
+
+# ---------------------------------------------------------------- declared data tests
+_MODEL_SQL = {
+    "players": "players", "teams": "teams", "gameweeks": f"(SELECT * FROM dim_gameweeks WHERE season = '{O.CS}')",
+    "positions": "held_positions", "dim_positions": "held_positions", "stg_fixtures": "stg_fixtures",
+    "entries": "(SELECT s_suppkey AS entry_id FROM supplier)", "recent_form": "recent_form",
+    "positional_baseline": "baseline", "dim_players": "dim_players", "dim_teams": "dim_teams",
+    "fct_fixtures": "fct_fixtures", "performance": "perf", "dim_gameweeks": "dim_gameweeks",
+    "fct_entry_gameweek_performance": "weeks", "fct_team_gameweek_fixtures": "density", "form_shrunk": "shrunk",
+    "fct_player_expected_points": "(SELECT * FROM by_period WHERE weeks_ahead = 0)",
+    "fct_player_expected_points_horizon": "horizon", "fct_entry_picks": "weekly",
+    "fct_player_expected_points_by_gameweek": "by_period",
+    "history": f"(SELECT element AS player_id FROM o WHERE yr = {O.CY})",
+}
+
+
+def _data_test_sql(model, column, kind, parent=None, field=None) -> str:
+    rows = {
+        "not_null": f"SELECT 1 FROM {_MODEL_SQL[model]} m WHERE m.{column} IS NULL",
+        "unique": f"SELECT {column} FROM {_MODEL_SQL[model]} WHERE {column} IS NOT NULL GROUP BY 1 HAVING count(*) > 1",
+        "relationships": f"SELECT 1 FROM {_MODEL_SQL[model]} m ANTI JOIN {_MODEL_SQL.get(parent)} p "
+                         f"ON p.{field} = m.{column} WHERE m.{column} IS NOT NULL"}[kind]
+    return f"SELECT '{model}' AS table_name, '{column}' AS column_name, '{kind}' AS check_name, count(*) AS failures FROM ({rows})"
+
+
+@register("data_tests", _ENTRY_PICKS + ", " + _WEEKS.split("WITH", 1)[1] + """
+  , held_positions AS (SELECT DISTINCT position_id FROM players), density AS (""" + O.DENSITY + ")\n"
+          + " UNION ALL ".join(_data_test_sql(*t) for t in DATA_TESTS))
+def q_data_tests(spark, d):
+    """DQ-1..4: the data tests declared on the Warehouse models."""
+    return _wh(spark, d).data_tests()

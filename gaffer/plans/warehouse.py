@@ -25,6 +25,7 @@ from gaffer.operators.forecast import (
     target_periods,
 )
 from gaffer.operators.joins import enrich_roles
+from gaffer.operators.quality import Check, run_suite
 from gaffer.operators.setops import union_current_historical
 from gaffer.operators.snapshots import latest_per_key
 from gaffer.plans import staging as stg
@@ -47,6 +48,31 @@ PERF_MEASURES = [
 PERF_TAIL = ["price_at_gameweek", "selected_by_count", "transfers_in", "transfers_out"]
 
 
+# The data tests declared on the models, (model, column, test[, parent, field]).
+DATA_TESTS = [
+    *[(m, c, t) for m, c in [
+        ("players", "player_id"), ("teams", "team_id"), ("gameweeks", "gameweek_id"), ("positions", "position_id"),
+        ("stg_fixtures", "fixture_id"), ("entries", "entry_id"), ("recent_form", "player_code"),
+        ("positional_baseline", "position_id"), ("dim_players", "player_code"), ("dim_teams", "team_code"),
+        ("dim_positions", "position_id"), ("fct_fixtures", "fixture_id")] for t in ("unique", "not_null")],
+    *[(m, c, "not_null") for m, c in [
+        ("performance", "player_code"), ("performance", "season"), ("performance", "gameweek_id"),
+        ("dim_gameweeks", "season"), ("dim_gameweeks", "gameweek_id"),
+        ("fct_entry_gameweek_performance", "entry_id"), ("fct_entry_gameweek_performance", "gameweek_id"),
+        ("fct_team_gameweek_fixtures", "gameweek_id")]],
+    *[(m, "player_code", "unique") for m in ("form_shrunk", "fct_player_expected_points", "fct_player_expected_points_horizon")],
+    *[(m, "player_code", "relationships", "dim_players", "player_code") for m in (
+        "form_shrunk", "performance", "fct_entry_picks", "fct_player_expected_points",
+        "fct_player_expected_points_by_gameweek", "fct_player_expected_points_horizon")],
+    ("fct_fixtures", "home_team_code", "relationships", "dim_teams", "team_code"),
+    ("fct_fixtures", "away_team_code", "relationships", "dim_teams", "team_code"),
+    ("fct_team_gameweek_fixtures", "team_code", "relationships", "dim_teams", "team_code"),
+    ("players", "team_id", "relationships", "teams", "team_id"),
+    ("players", "position_id", "relationships", "positions", "position_id"),
+    ("history", "player_id", "relationships", "players", "player_id"),
+]
+
+
 class Warehouse:
     _seq = 0
 
@@ -80,6 +106,10 @@ class Warehouse:
     def positions(self):
         return stg.stg_positions(self.raw["bootstrap_static_snapshot"])
 
+    @cached_property
+    def entries(self):
+        return stg.stg_entries(self.raw["entry_snapshot"])
+
     @cached_property
     def stg_fixtures(self):
         return stg.stg_fixtures(self.raw["fixtures_snapshot"])
@@ -337,6 +367,15 @@ class Warehouse:
              "fct_entry_picks", "fct_entry_transfers", "fct_player_expected_points",
              "fct_player_expected_points_by_gameweek", "fct_player_expected_points_horizon"]
 
+    def data_tests(self, tests=None) -> DataFrame:
+        """DQ-4: failures of every declared data test, one pass per table where a
+        test needs no grouping."""
+        checks = []
+        for model, column, kind, *parent in tests or DATA_TESTS:
+            of = (getattr(self, parent[0]), parent[1]) if parent else (None, None)
+            checks.append(Check(model, column, kind, getattr(self, model), *of))
+        return run_suite(checks)
+
     def register_views(self, marts=None, prefix: str = "") -> None:
         """SNK-2: expose models as temp views (lazy, like view-materialised models)."""
         for m in marts or self.MARTS:
