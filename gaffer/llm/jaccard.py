@@ -49,13 +49,13 @@ from gaffer.llm.common import components, stored
 
 SHINGLE_WORDS = 5
 PERCENT = 80
-BLOCK_KEYS = 2_000_000      # keys of one block of documents in the survivors' filter
+BLOCK_KEYS = 1_000_000      # keys of one block of documents in the survivors' filter
 BUCKET_KEYS = 4_000_000     # keys aimed at in one key range
 COSTLY = 24                 # mean number of other sets from which deletions are weighed
 BROADCAST_ROWS = 1_000_000  # survivors up to this many are broadcast (8 MB), else joined
 NARROW, WIDE = 1, 4         # bits of a parity sketch per shingle
 CROWDED = 32                # sets under a key from which wide sketches are compared
-CACHE_WORDS = 500_000
+CACHE_WORDS = 250_000
 SHARED_IN_BLOCK = 0xFFFF
 U64 = np.uint64
 MULTIPLIER = U64(0x9E3779B97F4A7C15)
@@ -563,9 +563,8 @@ def one_of_each(df: DataFrame, percent: int = PERCENT) -> DataFrame:
     found, _ = similar_documents(df, percent)
     found = stored(found.where("doc_id is not null"), "near-found")
     gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    if gone.count() <= BROADCAST_ROWS:
-        gone = F.broadcast(gone)
-    rest = df.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    few = gone.count() <= BROADCAST_ROWS
+    rest = df.join(F.broadcast(gone) if few else gone, df["doc_id"].cast("long") == gone["_gone"], "left_anti")
     # rows that repeat a doc_id are rare: only then are rows compared
     if found.groupBy("doc_id").count().where("count > 1").isEmpty():
         return rest

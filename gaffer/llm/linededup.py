@@ -66,7 +66,9 @@ def dedup_lines(df: DataFrame) -> DataFrame:
     """``df`` with its text cut, plus n_lines (lines with a word before) and
     n_removed."""
     given = [c for c in df.columns if c not in ("n_lines", "n_removed")]
-    rows = df.select(*given).withColumn("text", F.coalesce(F.col("text").cast("string"), F.lit(""))) \
+    # other columns travel packed, so that their names can't clash with those used here
+    rest = F.struct(*[df[c] for c in given if c not in ("doc_id", "text")], F.lit(0).alias("doc_id")).alias("_rest")
+    rows = df.select(df["doc_id"], F.coalesce(df["text"].cast("string"), F.lit("")).alias("text"), rest) \
         .withColumn("_hash", F.xxhash64("text"))
     cut = later_positions(windows(rows.select("doc_id", "_hash", F.split("text", "\n", -1).alias("_lines")))) \
         .select(F.col("doc_id").alias("_id"), F.col("_hash").alias("_h"), "_places")
@@ -78,8 +80,9 @@ def dedup_lines(df: DataFrame) -> DataFrame:
     n_lines, n_removed = F.size("_at"), F.coalesce(F.size("_gone"), F.lit(0))
     text = F.when(F.col("_gone").isNull(), F.col("text")).when(n_removed == n_lines, F.lit("")) \
         .otherwise(F.array_join(F.transform("_stay", lambda i: F.get("_lines", i)), "\n"))
+    own = {"doc_id": F.col("doc_id"), "text": text.alias("text")}
     return both.withColumn("_stay", F.when(F.col("_gone").isNotNull(), stay)).select(
-        *[(text.alias("text") if c == "text" else F.col(c)) for c in given],
+        *[own[c] if c in own else F.col("_rest").getField(c).alias(c) for c in given],
         n_lines.cast("long").alias("n_lines"), n_removed.cast("long").alias("n_removed"))
 
 

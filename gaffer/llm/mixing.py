@@ -181,6 +181,8 @@ def mixed_documents(df: DataFrame, **options) -> DataFrame:
     takes = document_takes(df, **options).where("taken > 0").groupBy("doc_id", "source", "size").agg(
         F.floor(F.sum("taken") / F.sum("size") + 0.5).cast("int").alias("_copies")).where("_copies > 0") \
         .toDF("_id", "_source", "_size", "_copies")
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) \
-        & (word_count(F.col("text")) == F.col("_size"))
-    return df.join(takes, same).select(*df.columns, F.explode(F.sequence(F.lit(1), "_copies"))).select(*df.columns)
+    rows = df.select(F.struct(*[df[c] for c in df.columns]).alias("_row"))  # names inside can't clash
+    doc = F.col("_row")
+    same = doc["doc_id"].cast("long").eqNullSafe(F.col("_id")) & doc["source"].cast("string").eqNullSafe(F.col("_source")) \
+        & (word_count(doc["text"].cast("string")) == F.col("_size"))
+    return rows.join(takes, same).select("_row", F.explode(F.sequence(F.lit(1), "_copies"))).select("_row.*")

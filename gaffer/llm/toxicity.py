@@ -44,7 +44,7 @@ MIN_LOG_ODDS = 2.5
 MAX_LOG_ODDS = 6.0
 PREFIXES = (4, 5, 6, 7, 8)
 NEAR = 5  # words
-CACHE_WORDS = 500_000
+CACHE_WORDS = 250_000
 # Second-person words of the four languages.
 SECOND_PERSON = frozenset(
     "you your yours yourself u ur du dich dir dein deine ihr euch euer tu te toi ton ta tes vous votre vos "
