@@ -15,7 +15,7 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", list(E.queries()))
+@pytest.mark.parametrize("name", list(E.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
     res = compare(spark, con, SF, name)
     assert res[1] in ("ok", "no-oracle"), res
