@@ -95,12 +95,35 @@ def last_event(events: DataFrame, keys: Sequence[str], order: Sequence) -> DataF
 
 
 def snapshot_changes(df: DataFrame, keys: Sequence[str], ts: str,
-                     cols: Sequence[str], tiebreak: str | None = None) -> DataFrame:
-    """SEL-8: change of each column since the entity's previous snapshot."""
+                     cols: Sequence[str], tiebreak: str | None = None, chunk: Column | None = None) -> DataFrame:
+    """SEL-8: change of each column since the entity's previous snapshot.
+
+    An entity may hold a large part of all rows, so its history is cut into chunks
+    of time (``chunk``, a column that grows with ``ts``; by default its month) that
+    are ordered apart. A chunk's first row takes the values before it from the
+    chunks' last rows, of which each entity has one per chunk.
+    """
     order = [F.col(ts)] + ([F.col(tiebreak)] if tiebreak else [])
-    w = Window.partitionBy(*keys).orderBy(*order)
-    out = df
+    if chunk is None:
+        kind = dict(df.dtypes)[ts]
+        chunk = F.date_trunc("month", F.col(ts)) if kind.startswith(("timestamp", "date")) else F.lit(0)
+    rows = df.withColumn("__chunk", chunk)
+    values = F.struct(*[F.col(c).alias(c) for c in cols])
+    inside = Window.partitionBy(*keys, "__chunk").orderBy(*order)
+    rows = rows.withColumn("__first", F.row_number().over(inside) == 1).withColumn("__lag", F.lag(values).over(inside))
+    # the greatest order is the chunk's last row; NULLs come first in both
+    last = df.withColumn("__chunk", chunk).groupBy(
+        *[F.col(k).alias(f"__k_{k}") for k in keys], F.col("__chunk").alias("__c")).agg(
+        F.max_by(values, F.struct(*order)).alias("__last"))
+    over_chunks = Window.partitionBy(*[f"__k_{k}" for k in keys]).orderBy("__c")
+    before = last.withColumn("__before", F.lag("__last").over(over_chunks)).drop("__last")
+    same = F.col("__chunk").eqNullSafe(F.col("__c"))
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
+    out = rows.join(before, same)
+    prev = F.when(F.col("__first"), F.col("__before")).otherwise(F.col("__lag"))
+    out = out.withColumn("__prev", prev)
+    extra = []
     for c in cols:
-        prev = F.lag(c).over(w)
-        out = out.withColumn(f"prev_{c}", prev).withColumn(f"delta_{c}", F.col(c) - F.col(f"prev_{c}"))
-    return out
+        extra += [F.col("__prev")[c].alias(f"prev_{c}"), (F.col(c) - F.col("__prev")[c]).alias(f"delta_{c}")]
+    return out.select(*df.columns, *extra)

@@ -113,3 +113,21 @@ def test_shared_folder_is_required_off_local_mode(monkeypatch):
                 return Conf()
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.checkpoint_dir(Fake())
+
+
+def test_snapshot_changes_across_chunks(spark):
+    import datetime as dt
+    import random
+
+    from gaffer.operators.snapshots import snapshot_changes
+    rnd = random.Random(1)
+    rows = [(rnd.choice([1, 1, 1, 2, None]), dt.datetime(2026, 1, 1) + dt.timedelta(hours=rnd.randrange(5000)), i,
+             rnd.choice([None, 1.0, 2.0, 5.0])) for i in range(300)]
+    df = spark.createDataFrame(rows, "k int, ts timestamp, id int, v double")
+    got = {r.id: (r.prev_v, r.delta_v) for r in snapshot_changes(df, ["k"], "ts", ["v"], tiebreak="id").collect()}
+    last, want = {}, {}
+    for k, t, i, v in sorted(rows, key=lambda r: (r[1], r[2])):
+        p = last.get(k)
+        want[i] = (p, None if p is None or v is None else v - p)
+        last[k] = v
+    assert got == want
