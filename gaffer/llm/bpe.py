@@ -28,13 +28,15 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gaffer.llm.common import worker_cache
+
 # Fixed value: the byte-level pre-token pattern of the vocabulary.
 PRETOKEN = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 # A space is a certain pre-token border unless it stands inside a run of blanks
 # and is followed by one (or by the end).
 UNSAFE_SPACE = re.compile(r"\s (?:\s|$)")
-CACHE_ENTRIES = 1_000_000
+CACHE_ENTRIES = 700_000
 TREE_WIDTHS = (4, 8, 16, 32, 64)  # longer pre-tokens take the tree one by one
 TREE_ROWS = 4096
 NO_PAIR = 1 << 62
@@ -126,7 +128,12 @@ class ByteBpe:
             if self.added else None
         self.byte_table = np.array([self.byte_ids[b] for b in range(256)], np.int64)
         self._rank_keys()
-        self.cache: dict[str, bytes] = {t: np.array([i], "<u4").tobytes() for t, i in self.added.items()}
+        self.use_cache({})
+
+    def use_cache(self, cache: dict[str, bytes]) -> None:
+        """Ids of pieces of text; the added tokens are always among them."""
+        self.cache = cache
+        cache |= {t: np.array([i], "<u4").tobytes() for t, i in self.added.items()}
 
     def _rank_keys(self) -> None:
         items = sorted((a << 32 | b, rank) for (a, b), (rank, _) in self.ranks.items())
@@ -228,7 +235,7 @@ class ByteBpe:
                                                   else [])] for pieces in cut]
         if len(self.cache) > CACHE_ENTRIES:
             self.cache.clear()
-            self.cache |= {t: np.array([i], "<u4").tobytes() for t, i in self.added.items()}
+            self.use_cache(self.cache)
         cache = self.cache
         fresh = {c for p in parts for c in p if c not in cache}
         if fresh:
@@ -258,6 +265,7 @@ def encode_decode(df: DataFrame, tokenizer_json: str) -> DataFrame:
 
     def run(batches):
         bpe = tokenizer(spec.value)
+        bpe.use_cache(worker_cache("bpe"))
         for b in batches:
             ids = bpe.encode_batch(b.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(

@@ -17,6 +17,21 @@ WORD_REGEX = r"[^\x20\x09-\x0D]+"
 ARROW_ROWS = 500
 
 
+_caches: dict[str, dict] = {}
+
+
+def worker_cache(name: str) -> dict:
+    """An operator's cache in this Python worker. Spark reuses workers between
+    stages, so what other operators have cached is dropped first: a worker holds
+    one bounded cache at a time."""
+    if name not in _caches:
+        for other in _caches.values():
+            other.clear()
+        _caches.clear()
+        _caches[name] = {}
+    return _caches[name]
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     # adaptive execution takes the cluster's own limit for measured broadcasts

@@ -45,12 +45,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaffer.llm.common import components, stored
+from gaffer.llm.common import components, stored, worker_cache
 
 SHINGLE_WORDS = 5
 PERCENT = 80
 BLOCK_KEYS = 1_000_000      # keys of one block of documents in the survivors' filter
 BUCKET_KEYS = 4_000_000     # keys aimed at in one key range
+LOOK_KEYS = 200_000         # look-ups of one block of costly sets
 COSTLY = 24                 # mean number of other sets from which deletions are weighed
 BROADCAST_ROWS = 1_000_000  # survivors up to this many are broadcast (8 MB), else joined
 NARROW, WIDE = 1, 4         # bits of a parity sketch per shingle
@@ -68,19 +69,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(33))
 
 
-_codes: dict[bytes, int] = {}
-
-
 def shingles(text: str | None) -> np.ndarray:
     """Sorted distinct hashes of the 5-word shingles of a text."""
     words = (text or "").encode("utf-8", "replace").lower().split()
     if not words:
         return np.zeros(0, U64)
-    if len(_codes) > CACHE_WORDS:
-        _codes.clear()
-    for w in set(words).difference(_codes):
-        _codes[w] = xxhash.xxh3_64_intdigest(w)
-    codes = np.fromiter(map(_codes.__getitem__, words), U64, len(words))
+    known = worker_cache("shingles")
+    if len(known) > CACHE_WORDS:
+        known.clear()
+    for w in set(words).difference(known):
+        known[w] = xxhash.xxh3_64_intdigest(w)
+    codes = np.fromiter(map(known.__getitem__, words), U64, len(words))
     width = min(SHINGLE_WORDS, len(words))
     h = np.full(len(words) - width + 1, U64(width))
     with np.errstate(over="ignore"):
@@ -295,29 +294,6 @@ def _segment_rows(percent: int):
     return run
 
 
-def _deletion_rows(percent: int):
-    """Look-ups of the costly roles (sid, up, set): kind 0 a segment as it is (an
-    empty one too), kind 1 one with a shingle left out."""
-
-    def run(batches):
-        for b in batches:
-            cols: list[list[np.ndarray]] = [[] for _ in range(5)]
-            for sid, up, raw in zip(*(c.to_pylist() for c in b.columns)):
-                h = np.frombuffer(raw, U64)
-                band = next(x[0] for x in roles(len(h), percent) if x[1] == up)
-                keys, at = segments(h, percent, band)
-                seg, less = deletion_keys(h, at, band)
-                k = np.concatenate([_as_long(keys), _as_long(less)])
-                for c, v in zip(cols, (np.full(len(k), sid), np.full(len(k), up),
-                                       np.concatenate([np.arange(len(keys)), seg]),
-                                       np.repeat([0, 1], [len(keys), len(less)]), k)):
-                    c.append(v)
-            if cols[0]:
-                yield _packed("sid up seg kind key", (pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.int64()), cols)
-
-    return run
-
-
 def cheapest_allocation(need: int, plain: dict[int, int], loose: dict[int, int]) -> dict[int, int]:
     """Allocations 0 or 1 by segment whose gains (allocation + 1) reach ``need``.
 
@@ -338,38 +314,115 @@ def cheapest_allocation(need: int, plain: dict[int, int], loose: dict[int, int])
 SPACE = (0x2545F4914F6CDD1D, 0x5851F42D4C957F2D)
 
 
-def _allocate_rows(percent: int):
-    """Costs of each costly role's look-ups -> (sid, up, probes, index): the
-    folded keys that it looks under and is found under."""
+LOOK_SCHEMA = "bucket int, block long, header boolean, " + ", ".join(f"{c} binary" for c in "abcdefg")
+
+
+def _look_rows(percent: int, buckets: int):
+    """Look-ups of costly roles (sid, up, set) in packed blocks: kind 0 a segment
+    as it is (an empty one too), kind 1 one with a shingle left out. A block sends
+    each of its keys once per key range, with counts by kind, so hot keys are
+    pre-aggregated; its own look-ups travel beside them in one header row."""
+
+    def rows_of(sids, ups, sizes, parts):
+        keys, kinds, segs = (np.concatenate([p[c] for p in parts]) for c in range(3))
+        owner = np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts])
+        ids = np.array(sids, np.int64).tobytes() + np.array(ups, np.uint8).tobytes()
+        block = xxhash.xxh3_64_intdigest(ids) >> 1
+        yield (block % buckets, block, True, np.array(sids, np.int64).tobytes(), np.array(ups, np.uint8).tobytes(),
+               np.array(sizes, np.int64).tobytes(), keys.tobytes(), kinds.astype(np.uint8).tobytes(),
+               segs.astype(np.uint32).tobytes(), owner.astype(np.uint32).tobytes())
+        distinct, at = np.unique(keys, return_inverse=True)
+        less = np.bincount(at, kinds, len(distinct)).astype(np.uint32)
+        exact = (np.bincount(at, minlength=len(distinct)) - less).astype(np.uint32)
+        cut = np.searchsorted(distinct, np.array([(b << 64) // buckets for b in range(buckets)], U64))
+        cut = np.append(cut, len(distinct))
+        for b in range(buckets):
+            s = slice(cut[b], cut[b + 1])
+            if cut[b + 1] > cut[b]:
+                yield (b, block, False, distinct[s].tobytes(), exact[s].tobytes(), less[s].tobytes(), *[None] * 4)
 
     def run(batches):
+        held: tuple[list, ...] = ([], [], [], [])
+        n_keys = 0
+
+        def batch():
+            cols = list(zip(*rows_of(*held)))
+            for h in held:
+                h.clear()
+            types = [pa.int32(), pa.int64(), pa.bool_()] + [pa.binary()] * 7
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
+                                              names=["bucket", "block", "header", *"abcdefg"])
+
         for b in batches:
-            out: list[list] = [[] for _ in range(4)]
-            for sid, up, n, looks in zip(*(c.to_pylist() for c in b.columns)):
-                need = next(x[2] for x in roles(n, percent) if x[1] == up)
-                plain: dict[int, int] = {}
-                extra: dict[int, int] = {}
-                for x in looks:
-                    if x["kind"] == 0:
-                        plain[x["seg"]] = x["exact"] - 1
-                        extra[x["seg"]] = extra.get(x["seg"], 0) + x["less"]
-                    else:
-                        extra[x["seg"]] = extra.get(x["seg"], 0) + x["exact"]
-                taken = cheapest_allocation(need, plain, {s: plain[s] + extra[s] for s in plain})
-                probes = []
-                for x in looks:
-                    level = taken.get(x["seg"])
-                    # allocation 0: the key among keys; 1: also among the others'
-                    # deletions, and the own deletions among keys
-                    ways = [] if level is None else [0] if x["kind"] == 0 and level == 0 else \
-                        [0, 1] if x["kind"] == 0 else [0] if level == 1 else []
-                    probes += [x["key"] ^ SPACE[way] for way in ways
-                               if (x["exact"] - (x["kind"] == 0) if way == 0 else x["less"]) > 0]
-                for c, v in zip(out, (sid, up, probes, [x["key"] ^ SPACE[x["kind"]] for x in looks])):
+            for sid, up, raw in zip(*(c.to_pylist() for c in b.columns)):
+                h = np.frombuffer(raw, U64)
+                band = next(x[0] for x in roles(len(h), percent) if x[1] == up)
+                keys, at = segments(h, percent, band)
+                seg, less = deletion_keys(h, at, band)
+                for c, v in zip(held, (sid, up, len(h), (np.concatenate([keys, less]), np.repeat(
+                        [0, 1], [len(keys), len(less)]), np.concatenate([np.arange(len(keys)), seg])))):
                     c.append(v)
-            types = (pa.int64(), pa.bool_(), pa.list_(pa.int64()), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)],
-                                             names=["sid", "up", "probes", "index"])
+                n_keys += len(keys) + len(less)
+                if n_keys >= LOOK_KEYS:
+                    n_keys = 0
+                    yield batch()
+        if held[0]:
+            yield batch()
+
+    return run
+
+
+def _count_looks(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Counts of a key range over all blocks, given back to each block."""
+    rows = pdf[~pdf["header"]]
+    out = [pdf[pdf["header"]]]
+    if len(rows):
+        keys = [np.frombuffer(x, U64) for x in rows["a"]]
+        distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
+        totals = [np.bincount(at, np.concatenate([np.frombuffer(x, np.uint32) for x in rows[c]]), len(distinct))
+                  .astype(np.int64) for c in "bc"]
+        where = [np.searchsorted(distinct, k) for k in keys]
+        out.append(rows.assign(b=[totals[0][w].tobytes() for w in where], c=[totals[1][w].tobytes() for w in where]))
+    return pd.concat(out)
+
+
+def _allocate_block(percent: int):
+    """(sid, up, probes, index) of a block's roles: the folded keys that each looks
+    under, by its cheapest allocation, and is found under."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        head = pdf[pdf["header"]].iloc[0]
+        rows = pdf[~pdf["header"]]
+        known = np.concatenate([np.frombuffer(x, U64) for x in rows["a"]])
+        order = np.argsort(known)
+        known = known[order]
+        exact, less = (np.concatenate([np.frombuffer(x, np.int64) for x in rows[c]])[order] for c in "bc")
+        sids, ups, sizes, keys, kinds, segs, owner = (np.frombuffer(head[c], t) for c, t in zip(
+            "abcdefg", (np.int64, np.uint8, np.int64, U64, np.uint8, np.uint32, np.uint32)))
+        at = np.searchsorted(known, keys)
+        exact, less = exact[at], less[at]
+        ends = np.append(np.searchsorted(owner, np.arange(len(sids))), len(owner))
+        out = []
+        for k, (sid, up, n) in enumerate(zip(sids.tolist(), ups.tolist(), sizes.tolist())):
+            s = slice(ends[k], ends[k + 1])
+            need = next(x[2] for x in roles(n, percent) if x[1] == bool(up))
+            kind, seg, ex, le = kinds[s], segs[s].astype(np.int64), exact[s], less[s]
+            # what allocation 0 and 1 of a segment would meet, itself left out
+            m = int(seg.max()) + 1
+            plain = np.bincount(seg, np.where(kind == 0, ex - 1, 0), m)
+            extra = np.bincount(seg, np.where(kind == 0, le, ex), m)
+            taken = cheapest_allocation(need, dict(enumerate(plain.tolist())), dict(enumerate((plain + extra).tolist())))
+            level = np.full(m, -1)
+            level[list(taken)] = list(taken.values())
+            level = level[seg]
+            # allocation 0: the key among keys; 1: also among the others' deletions,
+            # and the own deletions among keys
+            among_keys = (ex > (kind == 0)) & ((kind == 0) & (level >= 0) | (kind == 1) & (level == 1))
+            among_deletions = (kind == 0) & (level == 1) & (le > 0)
+            own = _as_long(keys[s])
+            probes = np.concatenate([own[among_keys] ^ SPACE[0], own[among_deletions] ^ SPACE[1]])
+            out.append((sid, bool(up), probes, own ^ np.where(kind == 0, SPACE[0], SPACE[1])))
+        return pd.DataFrame(out, columns=["sid", "up", "probes", "index"])
 
     return run
 
@@ -390,14 +443,11 @@ def allocate(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     held = held.withColumn("costly", (F.col("left") > F.size("keys")) | (cost > F.col("left") * COSTLY))
     held = stored(held.select("sid", "up", "left", "score", "costly", F.transform("keys", lambda k: k["key"]).alias("keys")),
                   "near-held", release=True)
-    looks = stored(held.where("costly").select("sid", "up").join(sets, "sid").select("sid", "up", "set").mapInArrow(
-        _deletion_rows(percent), "sid long, up boolean, seg int, kind int, key long"), "near-looks")
-    counts = looks.groupBy("key").agg(F.sum((F.col("kind") == 0).cast("int")).cast("int").alias("exact"),
-                                      F.sum("kind").cast("int").alias("less"))
-    weighed = looks.join(counts, "key").groupBy("sid", "up").agg(
-        F.collect_list(F.struct("key", "seg", "kind", "exact", "less")).alias("looks"))  # bounded by the set
-    own = weighed.join(sets.select("sid", "n"), "sid").select("sid", "up", "n", "looks").mapInArrow(
-        _allocate_rows(percent), "sid long, up boolean, probes array<long>, index array<long>")
+    buckets = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    looks = held.where("costly").select("sid", "up").join(sets, "sid").select("sid", "up", "set").mapInArrow(
+        _look_rows(percent, buckets), LOOK_SCHEMA)
+    own = looks.groupBy("bucket").applyInPandas(_count_looks, LOOK_SCHEMA).groupBy("block").applyInPandas(
+        _allocate_block(percent), "sid long, up boolean, probes array<long>, index array<long>")
     # every set is found by the cheap ones; costly ones also look for each other
     both = held.join(own.withColumnsRenamed({"probes": "own_probes", "index": "own_index"}), ["sid", "up"], "left")
     empty = F.array().cast("array<long>")

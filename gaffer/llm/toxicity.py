@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaffer.llm.common import in_holdout, stored
+from gaffer.llm.common import in_holdout, stored, worker_cache
 
 MAX_LABELLED = 20_000
 REJECT_FROM = 0.7  # score from which a text counts as toxic
@@ -78,7 +79,7 @@ class Lexicon:
     counts: dict[str, tuple[int, int]]  # entry -> (toxic texts, clean texts)
     n_toxic: int
     n_clean: int
-    cache: dict = field(default_factory=dict, repr=False)
+    name: str = field(default_factory=lambda: f"toxicity-{uuid.uuid4().hex}")  # of its cache
 
     def _weigh(self, word: str, own: int | None) -> float:
         """Largest weight of the word's entries; ``own`` is the label of the text
@@ -111,7 +112,7 @@ class Lexicon:
         if own is not None:
             known = {t: self.look_up(t, own) for t in set(tokens)}
         else:
-            known = self.cache
+            known = worker_cache(self.name)
             if len(known) > CACHE_WORDS:
                 known.clear()
             for t in set(tokens).difference(known):
