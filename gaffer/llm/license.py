@@ -1,12 +1,14 @@
 """License scans: passages against licence templates by Dice over word bigrams.
 
-A text's passages are its lines, its paragraphs (lines between blank lines) and
-the whole text. Each is normalised (lower case, words of letters and digits) to its
-set of word bigrams; two equal words in a row count as a bigram like any other, a
-single word as the bigram of it and nothing. The Dice coefficient of two sets is
-2 |A and B| / (|A| + |B|). For a coefficient of at least d, |B| must lie in
-[d / (2 - d) |A|, (2 - d) / d |A|]: templates outside are pruned by size before
-any comparison, the rest share the lookups of one index from bigram to templates.
+A text's passages are all its runs of words, so that a notice is found inside a line,
+wrapped over lines or spread over paragraphs. Each is normalised (lower case, words of
+letters and digits) to its set of word bigrams; two equal words in a row count as a
+bigram like any other, a single word as the bigram of it and nothing. The Dice
+coefficient of two sets is 2 |A and B| / (|A| + |B|). For a coefficient of at least d,
+A must hold d / (2 - d) |B| of the template's bigrams and at most (2 / d - 2) |B|
+others: a template of which the whole text holds fewer is pruned by one index from
+bigram to templates. For the rest, the passages that start and end at the template's
+bigrams are compared; any other passage has one inside that is no worse.
 
 ``scan`` returns one row per document with its matches: the best passage of each
 licence found, and the best licence of all.
@@ -18,7 +20,9 @@ and text are ignored.
 """
 from __future__ import annotations
 
+import math
 import re
+from bisect import bisect
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -99,21 +103,10 @@ def dice(a: frozenset, b: frozenset) -> float:
 
 
 def passages(text: str) -> list[tuple[int, int, str]]:
-    """(first line, last line, text) of the distinct lines, paragraphs and the whole."""
-    lines = text.split("\n")
-    out, start = [], None
-    for k, line in enumerate([*lines, ""]):
-        blank = not line or line.isspace()
-        if not blank:
-            out.append((k, k, line))
-            start = k if start is None else start
-        elif start is not None:
-            if k - start > 1:
-                out.append((start, k - 1, "\n".join(lines[start:k])))
-            start = None
-    if len(lines) > 1 and (0, len(lines) - 1) not in {x[:2] for x in out}:
-        out.append((0, len(lines) - 1, text))
-    return out
+    """(first line, last line, text) of the distinct passages that can match a notice
+    of ``TEMPLATES``: of those that start at a word, the best one for each notice."""
+    found = Scanner(TEMPLATES, THRESHOLD).windows(text)
+    return sorted({(first, last, passage) for _, _, first, last, passage in found})
 
 
 class Scanner:
@@ -124,37 +117,71 @@ class Scanner:
         for k, (_, s) in enumerate(self.sets):
             for x in s:
                 self.by_bigram.setdefault(x, []).append(k)
-        sizes = [len(s) for _, s in self.sets]
-        # passages outside these sizes can match no template
-        self.least = threshold / (2 - threshold) * min(sizes)
-        self.most = (2 - threshold) / threshold * max(sizes)
+        d, sizes = threshold, [len(s) for _, s in self.sets]
+        # a match shares so many of the template's bigrams at least, and holds so many others at most
+        self.shared = [max(1, math.ceil(d / (2 - d) * n - 1e-9)) for n in sizes]
+        self.others = [math.floor(2 * n / d - 2 * n + 1e-9) for n in sizes]
         self.known = self.by_bigram.keys()
-
-    def best(self, text: str) -> list[tuple[str, float]]:
-        """(licence, coefficient) of the templates that the passage matches."""
-        grams = bigrams(text)
-        if not self.least <= len(grams) <= self.most:
-            return []
-        shared: dict[int, int] = {}
-        for x in grams & self.known:
+        self.single = {x[0] for x in self.known if not x[1]}
+
+    def best_ends(self, grams: list[tuple[str, str]], k: int):
+        """(coefficient, first, last gram) of the best passage from each bigram that
+        template k holds, if it matches. A best passage ends at such a bigram too,
+        and none of its ends occurs in it again: without it, it were no worse."""
+        s, least, spare = self.sets[k][1], self.shared[k], self.others[k]
+        for first, head in enumerate(grams):
+            if head not in s:
+                continue
+            seen, both, others, best, end = {head}, 1, 0, 0.0, first
+            if least == 1:
+                best = 2 / (1 + len(s))
+            for last in range(first + 1, len(grams)):
+                x = grams[last]
+                if x == head:
+                    break
+                if x in seen:
+                    continue
+                seen.add(x)
+                if x in s:
+                    both += 1
+                    if both >= least:
+                        value = 2 * both / (both + others + len(s))
+                        if value > best:
+                            best, end = value, last
+                else:
+                    others += 1
+                    if others > spare:
+                        break
+            if best >= self.threshold:
+                yield best, first, end
+
+    def windows(self, text: str | None):
+        """(licence, coefficient, first line, last line, text) of the best matching
+        passage from every word on, per template."""
+        text = (text or "").lower()
+        words = WORD.findall(text)
+        grams = list(zip(words, words[1:]))
+        count: dict[int, int] = {}
+        for x in self.known & set(grams):
             for k in self.by_bigram[x]:
-                shared[k] = shared.get(k, 0) + 1
-        found: dict[str, float] = {}
-        d = self.threshold
-        for k, both in shared.items():
-            name, s = self.sets[k]
-            if d / (2 - d) * len(grams) <= len(s) <= (2 - d) / d * len(grams):
-                value = 2 * both / (len(grams) + len(s))
-                if value >= d:
-                    found[name] = max(value, found.get(name, 0.0))
-        return sorted(found.items())
+                count[k] = count.get(k, 0) + 1
+        found = [(k, value, first, last + 1) for k in sorted(count) if count[k] >= self.shared[k]
+                 for value, first, last in self.best_ends(grams, k)]
+        if self.single:  # templates of one word
+            found += [(k, 1.0, i, i) for i, w in enumerate(words) if w in self.single for k in self.by_bigram[w, ""]]
+        if found:
+            at = [m.span() for m in WORD.finditer(text)]
+            ends = [m.start() for m in re.finditer("\n", text)]
+            for k, value, first, last in found:
+                a, b = at[first][0], at[last][1]
+                yield self.sets[k][0], value, bisect(ends, a), bisect(ends, b - 1), text[a:b]
 
     def scan(self, text: str | None) -> list[dict]:
         best: dict[str, dict] = {}
-        for first, last, passage in passages(text or ""):
-            for name, value in self.best(passage):
-                if name not in best or value > best[name]["dice"]:
-                    best[name] = {"license": name, "dice": value, "first_line": first, "last_line": last}
+        for name, value, first, last, _ in self.windows(text):
+            old = best.get(name)
+            if old is None or (-value, first, last) < (-old["dice"], old["first_line"], old["last_line"]):
+                best[name] = {"license": name, "dice": value, "first_line": first, "last_line": last}
         return sorted(best.values(), key=lambda m: (-m["dice"], m["license"]))
 
 
