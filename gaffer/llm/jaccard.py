@@ -42,6 +42,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -156,6 +157,13 @@ def parity_sketch(h: np.ndarray, percent: int, band: int, bits: int = WIDE) -> n
 
 # --- 1. survivors ------------------------------------------------------------
 
+def block_id(number: int, *content: bytes) -> int:
+    """An id of a task's ``number``-th block: blocks of equal content differ, and a
+    task that runs again over the same rows names its blocks the same."""
+    place = np.array([TaskContext.get().partitionId(), number], np.int64).tobytes()
+    return xxhash.xxh3_64_intdigest(b"".join([place, *content])) >> 1
+
+
 FILTER_SCHEMA = "bucket int, block long, header boolean, a binary, b binary, c binary, d binary, e binary"
 
 
@@ -163,9 +171,9 @@ def _filter_rows(percent: int, buckets: int):
     """Blocks of documents as packed rows: per key range the keys and the
     document roles they belong to; one header row with ids, sizes and needs."""
 
-    def rows_of(ids, sizes, marks, parts, owners):
+    def rows_of(number, ids, sizes, marks, parts, owners):
         doc = np.array(ids, np.int64)
-        block = xxhash.xxh3_64_intdigest(doc.tobytes() + np.array(sizes, np.int64).tobytes()) >> 1
+        block = block_id(number, doc.tobytes(), *marks)
         need = np.array([o[1] for o in owners], np.int64)
         counts = np.array([len(p) for p in parts], np.int64)
         keys = np.concatenate(parts) if parts else np.zeros(0, U64)
@@ -187,6 +195,7 @@ def _filter_rows(percent: int, buckets: int):
 
     def run(batches):
         ids, sizes, marks, parts, owners, n_keys = [], [], [], [], [], 0
+        number = 0
         out: list[tuple] = []
 
         def batch():
@@ -208,11 +217,12 @@ def _filter_rows(percent: int, buckets: int):
                 sizes.append(len(h))
                 marks.append(xxhash.xxh3_128_digest(h.tobytes()))
                 if n_keys >= BLOCK_KEYS or len(owners) >= SHARED_IN_BLOCK - 4:
-                    out.extend(rows_of(ids, sizes, marks, parts, owners))
+                    out.extend(rows_of(number, ids, sizes, marks, parts, owners))
                     ids, sizes, marks, parts, owners, n_keys = [], [], [], [], [], 0
+                    number += 1
                     yield batch()
         if ids:
-            out.extend(rows_of(ids, sizes, marks, parts, owners))
+            out.extend(rows_of(number, ids, sizes, marks, parts, owners))
             yield batch()
 
     return run
@@ -323,11 +333,11 @@ def _look_rows(percent: int, buckets: int):
     each of its keys once per key range, with counts by kind, so hot keys are
     pre-aggregated; its own look-ups travel beside them in one header row."""
 
-    def rows_of(sids, ups, sizes, parts):
+    def rows_of(number, sids, ups, sizes, parts):
         keys, kinds, segs = (np.concatenate([p[c] for p in parts]) for c in range(3))
         owner = np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts])
         ids = np.array(sids, np.int64).tobytes() + np.array(ups, np.uint8).tobytes()
-        block = xxhash.xxh3_64_intdigest(ids) >> 1
+        block = block_id(number, ids)
         yield (block % buckets, block, True, np.array(sids, np.int64).tobytes(), np.array(ups, np.uint8).tobytes(),
                np.array(sizes, np.int64).tobytes(), keys.tobytes(), kinds.astype(np.uint8).tobytes(),
                segs.astype(np.uint32).tobytes(), owner.astype(np.uint32).tobytes())
@@ -343,10 +353,10 @@ def _look_rows(percent: int, buckets: int):
 
     def run(batches):
         held: tuple[list, ...] = ([], [], [], [])
-        n_keys = 0
+        number, n_keys = 0, 0
 
         def batch():
-            cols = list(zip(*rows_of(*held)))
+            cols = list(zip(*rows_of(number, *held)))
             for h in held:
                 h.clear()
             types = [pa.int32(), pa.int64(), pa.bool_()] + [pa.binary()] * 7
@@ -366,6 +376,7 @@ def _look_rows(percent: int, buckets: int):
                 if n_keys >= LOOK_KEYS:
                     n_keys = 0
                     yield batch()
+                    number += 1
         if held[0]:
             yield batch()
 

@@ -147,3 +147,25 @@ def test_components_helper(llm):
     assert got[9] == 1 and got[12] == 10 and got[140] == 100 and len(got) == 4 + 3 + 41
     assert components(df.limit(0)).count() == 0
     assert components(df.where(F.col("a") == F.col("b"))).count() == 0
+
+
+def repeated_parts(llm, make_docs, tmp_path, *parts):
+    """A documents table with one file, and one partition, for each part."""
+    for rows in parts:
+        make_docs(rows).coalesce(1).write.mode("append").parquet(str(tmp_path / "docs"))
+    df = llm.read.parquet(str(tmp_path / "docs"))
+    assert df.rdd.getNumPartitions() == len(parts)
+    return df
+
+
+def test_equal_blocks_in_two_files(llm, make_docs, tmp_path):
+    """A part file that occurs twice, and one with other texts of the same sizes."""
+    part = [(1, "a b c d e f g"), (2, "q r s t u v w"), (3, None)]
+    other = [(1, "h i j k l m n"), (2, "q r s t u v w"), (3, None)]
+    last = [(4, "h i j k l m n"), (5, "a b c d e f g")]
+    df = repeated_parts(llm, make_docs, tmp_path, part, part, other, last)
+    out, _ = J.similar_documents(df)
+    got = sorted(((r.doc_id is None, r.doc_id or 0, r.n_shingles, r.component_id) for r in out.collect()), key=str)
+    assert got == brute([*part, *part, *other, *last])
+    left = J.one_of_each(df).select("doc_id", "text").collect()
+    assert sorted(map(str, map(tuple, left))) == sorted(map(str, {*part, *other}))
