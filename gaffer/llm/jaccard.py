@@ -569,6 +569,12 @@ def _set_rows(batches):
              pa.array([h.tobytes() for h in found], pa.binary())], names=["sid", "n", "set"])
 
 
+def _printed_rows(batches):
+    for b in _set_rows(batches):
+        marks = [xxhash.xxh3_128_digest(x) for x in b.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array(marks, pa.binary()), b.column(1), b.column(2)], names=["print", "n", "set"])
+
+
 def _sketch_rows(percent: int):
     def run(batches):
         for b in batches:
@@ -593,22 +599,39 @@ def similar_documents(df: DataFrame, percent: int = PERCENT) -> tuple[DataFrame,
     named = docs.where("doc_id is not null")
     sizes = stored(survivors(named, percent), "near-sizes", release=True)
     alive = sizes.where("survives").select("doc_id", "print")
-    classes = stored(alive.groupBy("print").agg(F.min("doc_id").alias("sid")), "near-classes")
-    copies = alive.join(classes, "print").where("doc_id <> sid") \
-        .select(F.col("sid").alias("a"), F.col("doc_id").alias("b")).distinct()
-    ids = classes.select(F.col("sid").alias("doc_id")).distinct()
+    classes = alive.groupBy("print").agg(F.min("doc_id").alias("doc_id"))
+    often = sizes.groupBy("doc_id").count().where("count > 1").select("doc_id", F.lit(True).alias("often"))
+    repeats = not often.isEmpty()
+    if repeats:  # a doc_id may name several sets: each goes by its own id
+        classes = classes.join(often, "doc_id", "left").select(
+            "print", "doc_id", F.coalesce("often", F.lit(False)).alias("often"), F.monotonically_increasing_id().alias("sid"))
+    else:
+        classes = classes.select("print", "doc_id", F.lit(False).alias("often"), F.col("doc_id").alias("sid"))
+    classes = stored(classes, "near-classes")
+    copies = alive.join(classes.select("print", F.col("doc_id").alias("a")), "print").where("doc_id <> a") \
+        .select("a", F.col("doc_id").alias("b")).distinct()
+    ids = classes.where("not often").select("doc_id", "sid")
     if ids.count() <= BROADCAST_ROWS:
         ids = F.broadcast(ids)
-    # a doc_id may name several rows: all their sets go by that id
-    sets = stored(named.join(ids, "doc_id").mapInArrow(_set_rows, "sid long, n long, set binary").where("n > 0"),
-                  "near-sets", release=True)
+    sets = named.join(ids, "doc_id").select("sid", "text").mapInArrow(_set_rows, "sid long, n long, set binary")
+    if repeats:
+        several = classes.where("often")
+        found = named.join(several.select("doc_id").distinct(), "doc_id").mapInArrow(
+            _printed_rows, "print binary, n long, set binary").dropDuplicates(["print"])
+        sets = sets.unionByName(found.join(several.select("print", "sid"), "print").select("sid", "n", "set"))
+    sets = stored(sets.where("n > 0"), "near-sets", release=True)
     allocated = allocate(sets, percent)
     sketches = stored(sets.select("sid", "set").mapInArrow(
         _sketch_rows(percent), "sid long, up boolean, band int, n long, narrow array<long>, wide array<long>"), "near-sketches")
     stars = stored(plausible(star_pairs(allocated), sketches, percent), "near-stars", release=True)
     links = stored(verified(stars, sets, percent), "near-links", release=True)
     rest = stored(cross_pairs(allocated, sketches, components(links), percent), "near-rest", release=True)
-    links = stored(links.unionByName(verified(rest, sets, percent)).unionByName(copies), "near-all-links", release=True)
+    links = links.unionByName(verified(rest, sets, percent))
+    if repeats:
+        x, y = (classes.select(F.col("sid").alias(c), F.col("doc_id").alias(f"doc_{c}")) for c in "ab")
+        links = links.join(x, "a").join(y, "b").where("doc_a <> doc_b").select(
+            F.least("doc_a", "doc_b").alias("a"), F.greatest("doc_a", "doc_b").alias("b")).distinct()
+    links = stored(links.unionByName(copies), "near-all-links", release=True)
     of = components(links)
     out = sizes.join(of, sizes["doc_id"] == of["node"], "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))

@@ -169,3 +169,13 @@ def test_equal_blocks_in_two_files(llm, make_docs, tmp_path):
     assert got == brute([*part, *part, *other, *last])
     left = J.one_of_each(df).select("doc_id", "text").collect()
     assert sorted(map(str, map(tuple, left))) == sorted(map(str, {*part, *other}))
+
+
+def test_a_long_text_of_the_same_id_hides_no_link(make_docs):
+    rnd = random.Random(5)
+    words = lambda n: ["v%d" % rnd.randrange(10 ** 9) for _ in range(n)]
+    long, other, short = words(4000), words(4000), words(32)  # 28 shingles: in one band only
+    other[100:1700] = long[100:1700]  # some segments in common
+    rows = [(1, " ".join(long)), (1, " ".join(short)), (2, " ".join([*short[:-1], "x"])), (3, " ".join(other)),
+            (4, " ".join([*other[:-1], "x"])), (1, " ".join(short))]
+    assert run(make_docs, rows) == brute(rows)
