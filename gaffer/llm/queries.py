@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaffer.llm import ann, bpe, chat, jaccard, license, linededup, mixing, quality, rules, toxicity
+from gaffer.llm import (ann, bpe, chat, decontaminate, jaccard, license, linededup, mixing, quality, rules, structure,
+                        toxicity, whitening)
 from gaffer.llm.common import load
 
 TOKENIZER_FILE = "byte_bpe_50k.json"
@@ -72,6 +73,19 @@ def op10_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "base_failed", "kept", F.array_join("broken", ",").alias("broken_rules"))
 
 
+def op11_cyk_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return structure.damaged_and_repaired(load(spark, sf_dir, "conversations"))
+
+
+def op12_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(decontaminate.decontaminate(load(spark, sf_dir, "documents"),
+                                                            load(spark, sf_dir, "benchmark")))
+
+
+def op13_cholesky_jacobi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(load(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_role_repair": (op1_role_repair, None),
     "op2_positive_unlabelled": (op2_positive_unlabelled, None),
@@ -83,4 +97,7 @@ QUERIES = {
     "op8_int8_tiles": (op8_int8_tiles, None),
     "op9_partition_join": (op9_partition_join, None),
     "op10_risk_controlled_rules": (op10_risk_controlled_rules, None),
+    "op11_cyk_repair": (op11_cyk_repair, structure.ORACLE_SQL),
+    "op12_wu_manber": (op12_wu_manber, decontaminate.ORACLE_SQL),
+    "op13_cholesky_jacobi": (op13_cholesky_jacobi, None),
 }
