@@ -39,6 +39,7 @@ from gaffer.operators.decisions import (
     bank, best_lineup, best_single_transfer, check_squad, chip_candidates, chip_rows, chip_values, free_hit,
     price_ladder, prune_pool, purchase_price, squad_frontier, transfer_plan, wildcard_gain,
 )
+from gaffer.operators import squads
 from gaffer.operators.forecast import target_periods
 from gaffer.operators.windows import top_k
 from gaffer.plans.materialize import mart
@@ -414,10 +415,47 @@ class Analogue:
         """DEC-11, any number of moves, one free transfer."""
         return transfer_plan(self.plan_squads, self.pool, self.bank, free_transfers=1, ladder=self.ladder)
 
+    @mart
+    def candidates(self) -> DataFrame:
+        """DEC-15 for all squad searches."""
+        return squads.candidates(self.pool)
+
     @cached_property
     def two_transfers(self) -> DataFrame:
-        """DEC-11 stopped after two moves."""
-        return transfer_plan(self.plan_squads, self.pool, self.bank, free_transfers=1, ladder=self.ladder, max_rounds=2)
+        """DEC-11, exact for at most two moves."""
+        return squads.transfers(self.plan_squads, self.pool, self.bank, most_moves=2, pruned=self.candidates)
+
+    @mart
+    def optimal_transfers(self) -> DataFrame:
+        """DEC-11, any number of moves, with an upper bound."""
+        return squads.transfers(self.plan_squads, self.pool, self.bank, pruned=self.candidates)
+
+    @cached_property
+    def best_squad(self) -> DataFrame:
+        """DEC-14."""
+        return squads.best_squad(self.pool, FRONTIER_BUDGET_TENTHS, pruned=self.candidates)
+
+    @mart
+    def budget_curve(self) -> DataFrame:
+        """DEC-14 for every budget up to the squads' own."""
+        return squads.budget_curve(self.pool, range(700, SQUAD_BUDGET_TENTHS + 1, 20), pruned=self.candidates)
+
+    @cached_property
+    def period_pool(self) -> DataFrame:
+        return self.by_period.select(
+            "player_code", "gameweek_id", "position_id", F.col("current_team_code").alias("team_code"),
+            in_tenths("current_price").alias("price_tenths"),
+            F.round("expected_points", SCORE_DIGITS).alias("expected_points"))
+
+    @mart
+    def free_hit_eleven(self) -> DataFrame:
+        """DEC-18 by the best eleven, per (manager, period)."""
+        return squads.free_hit_by_eleven(self.lineup, self.period_pool, FRONTIER_BUDGET_TENTHS)
+
+    @mart
+    def wildcard_interval(self) -> DataFrame:
+        """DEC-19 against the optimal transfers."""
+        return squads.wildcard_interval(self.plan_squads, self.pool, self.bank, self.optimal_transfers, pruned=self.candidates)
 
     @cached_property
     def frontier(self) -> DataFrame:
@@ -427,11 +465,7 @@ class Analogue:
     @mart
     def free_hit(self) -> DataFrame:
         """DEC-18 per (manager, period)."""
-        pp = self.by_period.select(
-            "player_code", "gameweek_id", "position_id", F.col("current_team_code").alias("team_code"),
-            in_tenths("current_price").alias("price_tenths"),
-            F.round("expected_points", SCORE_DIGITS).alias("expected_points"))
-        return free_hit(self.lineup, pp, LAMBDAS, FRONTIER_BUDGET_TENTHS)
+        return free_hit(self.lineup, self.period_pool, LAMBDAS, FRONTIER_BUDGET_TENTHS)
 
     @mart
     def wildcard(self) -> DataFrame:
@@ -457,7 +491,7 @@ MODEL_MARTS = ["players", "teams", "history", "hist_players", "hist_teams", "his
                "fct_entry_transfers", "recent_form", "form_shrunk", "fct_player_expected_points",
                "fct_player_expected_points_by_gameweek", "fct_player_expected_points_horizon"]
 DECISION_MARTS = ["pool", "picks", "lineup", "purchases", "bank", "ladder", "best_transfer", "transfer_plan", "free_hit",
-                  "wildcard"]
+                  "wildcard", "candidates", "optimal_transfers", "budget_curve", "free_hit_eleven", "wildcard_interval"]
 
 
 def build_marts(spark: SparkSession, sf_dir: str):

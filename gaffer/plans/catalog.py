@@ -674,12 +674,98 @@ def q_transfer_plan(spark, d):
     return Analogue(spark, d).transfer_plan
 
 
-@register("best_two_transfers", O.decisions_chain() + _SQ + _plan_sql(2) +
-          "\n SELECT *, upper_net_gain - net_gain AS gap FROM planned")
+# Every one and every two of a manager's players against all pairs of players that may be
+# bought; a player beaten by seven of the own club and position is never wanted.
+_TWO = """
+  , fresh AS MATERIALIZED (
+    SELECT x.* FROM pool x WHERE x.price_tenths IS NOT NULL AND (
+      SELECT count(*) FROM pool y WHERE y.position_id = x.position_id AND y.team_code = x.team_code
+        AND y.price_tenths <= x.price_tenths
+        AND (y.score > x.score OR (y.score = x.score AND y.player_code < x.player_code))) < 7),
+  buy AS MATERIALIZED (
+    SELECT b.entry_id, f.*, coalesce(c.n_club, 0) AS n FROM bank_t b CROSS JOIN fresh f
+    ANTI JOIN sq s ON s.entry_id = b.entry_id AND s.player_code = f.player_code
+    LEFT JOIN club_n c ON c.entry_id = b.entry_id AND c.team_code = f.team_code),
+  one AS (
+    SELECT o.entry_id, 1 AS n, o.player_code AS o1, NULL AS o2, i.player_code AS i1, NULL AS i2, i.score - o.score AS gross
+    FROM sq o JOIN bank_t b USING (entry_id)
+    JOIN buy i ON i.entry_id = o.entry_id AND i.position_id = o.position_id
+      AND i.price_tenths <= b.bank_tenths + o.price_tenths
+      AND i.n - (i.team_code IS NOT DISTINCT FROM o.team_code)::INT + 1 <= 3),
+  sold AS MATERIALIZED (
+    SELECT x.entry_id, x.player_code AS o1, y.player_code AS o2, x.position_id AS p1, y.position_id AS p2,
+      x.team_code AS t1, y.team_code AS t2, x.score + y.score AS lost,
+      b.bank_tenths + x.price_tenths + y.price_tenths AS money
+    FROM sq x JOIN sq y ON y.entry_id = x.entry_id AND y.player_code > x.player_code
+    JOIN bank_t b ON b.entry_id = x.entry_id),
+  two AS (
+    SELECT s.entry_id, 2 AS n, s.o1, s.o2, i.player_code AS i1, j.player_code AS i2, i.score + j.score - s.lost AS gross
+    FROM sold s JOIN buy i ON i.entry_id = s.entry_id AND i.position_id = s.p1
+    JOIN buy j ON j.entry_id = s.entry_id AND j.position_id = s.p2
+      AND i.price_tenths + j.price_tenths <= s.money AND i.player_code <> j.player_code
+    WHERE i.n - (s.t1 IS NOT DISTINCT FROM i.team_code)::INT - (s.t2 IS NOT DISTINCT FROM i.team_code)::INT + 1 + (j.team_code IS NOT DISTINCT FROM i.team_code)::INT <= 3
+      AND j.n - (s.t1 IS NOT DISTINCT FROM j.team_code)::INT - (s.t2 IS NOT DISTINCT FROM j.team_code)::INT + 1 + (j.team_code IS NOT DISTINCT FROM i.team_code)::INT <= 3),
+  most AS MATERIALIZED (SELECT entry_id, max(gross) AS gross FROM two GROUP BY entry_id),
+  tops AS (
+    SELECT *, gross - 4 * (n - 1) AS net FROM (
+      SELECT t.* FROM two t JOIN most m ON m.entry_id = t.entry_id AND t.gross >= m.gross - 1e-9
+      UNION ALL SELECT * FROM one)
+    WHERE round(gross - 4 * (n - 1), 9) > 0
+    QUALIFY row_number() OVER (PARTITION BY entry_id ORDER BY round(gross - 4 * (n - 1), 9) DESC, n, o1, o2, i1, i2) = 1)
+  SELECT b.entry_id, coalesce(t.n, 0) AS n_transfers,
+    coalesce(array_to_string(list_sort([o1, o2]), ','), '') AS out_codes,
+    coalesce(array_to_string(list_sort([i1, i2]), ','), '') AS in_codes,
+    coalesce(t.net + 4.0 * (t.n - 1), 0.0) AS gross_gain, coalesce(4.0 * (t.n - 1), 0.0) AS hit_cost,
+    coalesce(t.net, 0.0) AS net_gain
+  FROM bank_t b LEFT JOIN tops t USING (entry_id)"""
+
+
+@register("best_two_transfers", O.decisions_chain() + _SQ + _TWO)
 def q_two_transfers(spark, d):
+    """DEC-11: exact for at most two moves, moves that pay for each other included."""
     return Analogue(spark, d).two_transfers
 
 
+@register("optimal_transfers", None)
+def q_optimal_transfers(spark, d):
+    """DEC-11: any number of moves, with an upper bound of any plan."""
+    return Analogue(spark, d).optimal_transfers
+
+
+@register("best_squad", None)
+def q_best_squad(spark, d):
+    """DEC-14 within its bounds."""
+    return Analogue(spark, d).best_squad
+
+
+@register("budget_curve", None)
+def q_budget_curve(spark, d):
+    """DEC-14 for every budget."""
+    return Analogue(spark, d).budget_curve.withColumn("codes", F.array_join(F.col("codes").cast("array<string>"), ","))
+
+
+@register("free_hit_eleven", None)
+def q_free_hit_eleven(spark, d):
+    """DEC-18 by the best eleven, beside the reference's reckoning."""
+    return Analogue(spark, d).free_hit_eleven
+
+
+@register("wildcard_interval", None)
+def q_wildcard_interval(spark, d):
+    """DEC-19 by the budget curve."""
+    return Analogue(spark, d).wildcard_interval
+
+
+@register("player_scores", O.decisions_chain() + """
+  SELECT h.player_code, h.position_id, h.current_team_code, h.current_price, h.horizon_expected_points,
+    n.gameweek_id, n.expected_points AS gw_expected_points, d.web_name
+  FROM horizon h JOIN (SELECT * FROM by_period QUALIFY gameweek_id = min(gameweek_id) OVER ()) n USING (player_code)
+  LEFT JOIN dim_players d USING (player_code)""")
+def q_player_scores(spark, d):
+    """JN-4."""
+    return Analogue(spark, d).warehouse.player_scores
+
+
 def _wildcard_ctes() -> str:
     """Wildcard bounds against the plan's, by definition: the value of unlimited
     transfers lies in [lower_value, upper_value], that of ordinary ones in

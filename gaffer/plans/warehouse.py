@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaffer.functions.scalars import in_tenths, typed_null
+from gaffer.operators import squads
 from gaffer.operators.decisions import (
-    bank, best_lineup, best_single_transfer, chip_candidates, chip_rows, chip_values, current_squad, free_hit,
-    price_ladder, purchase_price, transfer_plan, wildcard_gain,
+    bank, best_lineup, best_single_transfer, chip_candidates, chip_rows, chip_values, current_squad,
+    price_ladder, purchase_price,
 )
 from gaffer.operators.conform import dim_gameweeks, dim_players, dim_teams
 from gaffer.operators.form import group_baseline_rates, recent_form, shrunk_form
@@ -267,8 +268,6 @@ class Warehouse:
                                 tiebreak=tie[0] if tie else None)
 
     # ---------------------------------------------------------------- decisions
-    LAMBDAS = [x / 4 for x in range(0, 17)]
-
     def current_squads(self, recommendations: DataFrame | None = None) -> DataFrame:
         """DEC-7 for every manager: latest real picks, else the latest
         recommendation run (``entry_id, generated_at, player_code, price``)."""
@@ -285,13 +284,22 @@ class Warehouse:
         return self.fct_player_expected_points_horizon.select(
             "player_code", "position_id", F.col("current_team_code").alias("team_code"),
             in_tenths("current_price").alias("price_tenths"),
-            F.round("horizon_expected_points", 6).alias("score"))
+            F.col("horizon_expected_points").alias("score"))
+
+    @mart
+    def player_scores(self) -> DataFrame:
+        """JN-4: the players with both scores, over the horizon and in the next
+        gameweek; a player without a next gameweek is left out, as in the reference."""
+        nxt = self.fct_player_expected_points.select(
+            "player_code", "gameweek_id", F.col("expected_points").alias("gw_expected_points"))
+        return self.fct_player_expected_points_horizon.select(
+            "player_code", "position_id", "current_team_code", "current_price", "horizon_expected_points") \
+            .join(nxt, "player_code").join(self.dim_players.select("player_code", "web_name"), "player_code", "left")
 
     def lineups(self, squads: DataFrame) -> DataFrame:
         """DEC-1..5 for every (manager, period) of the horizon. A squad member
         without a score in a period counts 0 there (``scored`` false, D2)."""
-        ep = self.fct_player_expected_points_by_gameweek.select(
-            "player_code", "gameweek_id", F.round("expected_points", 6).alias("expected_points"))
+        ep = self.fct_player_expected_points_by_gameweek.select("player_code", "gameweek_id", "expected_points")
         periods = ep.select("gameweek_id").distinct()  # at most the horizon
         grid = squads.select("entry_id", "player_code", "position_id").crossJoin(F.broadcast(periods))
         rows = grid.join(ep, ["player_code", "gameweek_id"], "left") \
@@ -336,6 +344,11 @@ class Warehouse:
     def transfer_ladder(self) -> DataFrame:
         return price_ladder(self.decision_pool)
 
+    @mart
+    def squad_candidates(self) -> DataFrame:
+        """DEC-15: all that a squad search may need of the pool."""
+        return squads.candidates(self.decision_pool)
+
     @staticmethod
     def _owned(purchases: DataFrame) -> DataFrame:
         return purchases.select("entry_id", "player_code", in_tenths("purchase_price").alias("purchase_tenths"))
@@ -345,22 +358,28 @@ class Warehouse:
         return best_single_transfer(self._owned(purchases), self.decision_pool, banks, ladder=self.transfer_ladder)
 
     def transfer_plan(self, purchases: DataFrame, banks: DataFrame, free_transfers: int = 1) -> DataFrame:
-        """DEC-11 / DEC-13: any number of moves, hits beyond the free ones."""
-        return transfer_plan(self._owned(purchases), self.decision_pool, banks, free_transfers=free_transfers,
-                             ladder=self.transfer_ladder)
+        """DEC-11 / DEC-13: any number of moves that may pay for each other, hits beyond
+        the free ones; exact for at most two moves, bounded from above beyond."""
+        return squads.transfers(self._owned(purchases), self.decision_pool, banks, free_transfers,
+                                pruned=self.squad_candidates)
+
+    def best_squad(self, budget_tenths: int = 1000) -> DataFrame:
+        """DEC-14: the best legal squad within a budget, with an upper bound."""
+        return squads.best_squad(self.decision_pool, budget_tenths, pruned=self.squad_candidates)
 
     def free_hit(self, lineups: DataFrame, budget_tenths: int = 1000) -> DataFrame:
-        """DEC-18 for every (manager, period)."""
+        """DEC-18 for every (manager, period): by the best eleven, and as the
+        reference reckons it."""
         pp = self.fct_player_expected_points_by_gameweek.select(
             "player_code", "gameweek_id", "position_id", F.col("current_team_code").alias("team_code"),
-            in_tenths("current_price").alias("price_tenths"),
-            F.round("expected_points", 6).alias("expected_points"))
-        return free_hit(lineups, pp, self.LAMBDAS, budget_tenths)
+            in_tenths("current_price").alias("price_tenths"), "expected_points")
+        return squads.free_hit_by_eleven(lineups, pp, budget_tenths)
 
     def wildcard(self, purchases: DataFrame, banks: DataFrame, plan: DataFrame,
                  free_transfers: int = 1) -> DataFrame:
         """DEC-19 for every manager, against a :meth:`transfer_plan`."""
-        return wildcard_gain(self._owned(purchases), self.decision_pool, banks, plan, self.LAMBDAS, free_transfers)
+        return squads.wildcard_interval(self._owned(purchases), self.decision_pool, banks, plan, free_transfers,
+                                        pruned=self.squad_candidates)
 
     MARTS = ["dim_players", "dim_teams", "dim_positions", "dim_gameweeks", "performance",
              "fct_fixtures", "fct_team_gameweek_fixtures", "fct_entry_gameweek_performance",

@@ -55,19 +55,18 @@ def squad_quotas(spark: SparkSession) -> DataFrame:
         [(p, q) for p, q, _, _ in SQUAD_RULES], "position_id int, squad_quota int")
 
 
+def formation_shapes() -> list[tuple[int, int, int]]:
+    """(DEF, MID, FWD) starters of the legal formations, from the squad rules."""
+    (_, _, d0, d1), (_, _, m0, m1), (_, _, f0, f1) = SQUAD_RULES[1:]
+    return [(d, m, f) for d in range(d0, d1 + 1) for m in range(m0, m1 + 1) for f in range(f0, f1 + 1)
+            if 1 + d + m + f == XI_SIZE]
+
+
 def formations(spark: SparkSession) -> DataFrame:
     """The legal starting formations (1 GK; DEF 3-5, MID 2-5, FWD 1-3; 11
-    players), one row per (formation, position, starters), derived from the
-    squad rules."""
-    lo = {p: mn for p, _, mn, _ in SQUAD_RULES}
-    hi = {p: mx for p, _, _, mx in SQUAD_RULES}
-    rows, fid = [], 0
-    for d in range(lo[2], hi[2] + 1):
-        for m in range(lo[3], hi[3] + 1):
-            for f in range(lo[4], hi[4] + 1):
-                if 1 + d + m + f != XI_SIZE:
-                    continue
-                fid += 1
-                name = f"{d}-{m}-{f}"
-                rows += [(fid, name, 1, 1), (fid, name, 2, d), (fid, name, 3, m), (fid, name, 4, f)]
+    players), one row per (formation, position, starters)."""
+    rows = []
+    for fid, (d, m, f) in enumerate(formation_shapes(), 1):
+        name = f"{d}-{m}-{f}"
+        rows += [(fid, name, 1, 1), (fid, name, 2, d), (fid, name, 3, m), (fid, name, 4, f)]
     return spark.createDataFrame(rows, "formation_id int, formation string, position_id int, starters int")
