@@ -77,6 +77,12 @@ def components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     links = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")) \
         .where("u > v").distinct()
     links = stored(links, "cc")
+    # star links are a set, so equal count and sum of hashes mean that nothing changed
+    def state(rows):
+        return rows.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")),
+                        F.sum(F.xxhash64("v", "u", F.lit(1)).cast("decimal(38,0)"))).first()
+
+    before = state(links)
     for _ in range(max_rounds):
         both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -88,10 +94,10 @@ def components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")) \
             .union(least.select("u", F.col("m").alias("v"))).where("u > v").distinct()
         small = stored(small, "cc")
-        changed = small.exceptAll(links).isEmpty() and links.exceptAll(small).isEmpty()
-        links = small
-        if changed:
+        links, after = small, state(small)
+        if after == before:
             break
+        before = after
     else:
         raise RuntimeError("components did not converge")
     roots = links.select(F.col("v").alias("node")).distinct()

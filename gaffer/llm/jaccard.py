@@ -37,6 +37,7 @@ from __future__ import annotations
 
 import math
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -46,7 +47,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaffer.llm.common import components, stored, worker_cache
+from gaffer.llm.common import components, stored
 
 SHINGLE_WORDS = 5
 PERCENT = 80
@@ -57,7 +58,7 @@ COSTLY = 24                 # mean number of other sets from which deletions are
 BROADCAST_ROWS = 1_000_000  # survivors up to this many are broadcast (8 MB), else joined
 NARROW, WIDE = 1, 4         # bits of a parity sketch per shingle
 CROWDED = 32                # sets under a key from which wide sketches are compared
-CACHE_WORDS = 250_000
+GROUP_CHARS = 2_000_000     # texts shingled in one numpy run
 SHARED_IN_BLOCK = 0xFFFF
 U64 = np.uint64
 MULTIPLIER = U64(0x9E3779B97F4A7C15)
@@ -75,12 +76,7 @@ def shingles(text: str | None) -> np.ndarray:
     words = (text or "").encode("utf-8", "replace").lower().split()
     if not words:
         return np.zeros(0, U64)
-    known = worker_cache("shingles")
-    if len(known) > CACHE_WORDS:
-        known.clear()
-    for w in set(words).difference(known):
-        known[w] = xxhash.xxh3_64_intdigest(w)
-    codes = np.fromiter(map(known.__getitem__, words), U64, len(words))
+    codes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), U64, len(words))
     width = min(SHINGLE_WORDS, len(words))
     h = np.full(len(words) - width + 1, U64(width))
     with np.errstate(over="ignore"):
@@ -89,6 +85,51 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(h)
 
 
+def shingle_runs(texts: list[str | None]):
+    """:func:`shingles` of many texts in one numpy run: (sorted distinct hashes of all
+    texts one after the other, where each text begins, and the end)."""
+    words = [(t or "").encode("utf-8", "replace").lower().split() for t in texts]
+    n = np.array([len(w) for w in words], np.int64)
+    codes = np.fromiter(map(xxhash.xxh3_64_intdigest, chain.from_iterable(words)), U64, int(n.sum()))
+    begin = np.cumsum(n) - n
+    width = np.minimum(n, SHINGLE_WORDS)
+    count = np.where(n > 0, n - width + 1, 0)
+    end = np.cumsum(count)
+    # the first word of every shingle; texts of fewer words have one shingle of all
+    at = np.arange(int(end[-1]) if len(end) else 0) + np.repeat(begin - (end - count), count)
+    wide = np.repeat(width, count)
+    h = wide.astype(U64)
+    with np.errstate(over="ignore"):
+        for k in range(SHINGLE_WORDS):
+            if (wide > k).all():
+                h = mix(h * MULTIPLIER + codes[at + k])
+            else:
+                some = np.flatnonzero(wide > k)
+                h[some] = mix(h[some] * MULTIPLIER + codes[at[some] + k])
+    for a, b in zip((end - count).tolist(), end.tolist()):
+        h[a:b].sort()
+    first = np.ones(len(h), bool)
+    first[1:] = h[1:] != h[:-1]
+    first[(end - count)[count > 0]] = True
+    ends = np.concatenate([[0], np.cumsum(first)])[end] if len(end) else end
+    return h[first], np.concatenate([[0], ends]).astype(np.int64)
+
+
+def text_groups(batch, ids: int = 0, texts: int = 1):
+    """(ids, texts) of an Arrow batch in groups of about GROUP_CHARS characters."""
+    held: tuple[list, list] = ([], [])
+    size = 0
+    for i, t in zip(batch.column(ids).to_pylist(), batch.column(texts).to_pylist()):
+        held[0].append(i)
+        held[1].append(t)
+        size += len(t or "")
+        if size >= GROUP_CHARS:
+            yield held
+            held, size = ([], []), 0
+    if held[0]:
+        yield held
+
+
 # --- bands and segments ----------------------------------------------------
 
 def difference_bound(r: int, s: int, percent: int = PERCENT) -> int:
@@ -134,6 +175,33 @@ def segments(h: np.ndarray, percent: int, band: int) -> tuple[np.ndarray, np.nda
         return mix(sums[at[1:]] - sums[at[:-1]] + salt), at
 
 
+def filled_segments(h: np.ndarray, ends: np.ndarray, percent: int):
+    """Keys of the filled segments of every role of many sets, as :func:`segments` has
+    them: (set of each role, as the larger side, need, filled segments), keys."""
+    out = [(k, band, up, need) for k, n in enumerate(np.diff(ends).tolist()) if n for band, up, need in roles(n, percent)]
+    if not out:
+        return np.zeros((0, 4), np.int64), np.zeros(0, U64)
+    sets, bands, ups, needs = (np.array(x, np.int64) for x in zip(*out))
+    size = ends[sets + 1] - ends[sets]
+    stop = np.cumsum(size)
+    role = np.repeat(np.arange(len(sets)), size)
+    at = np.arange(int(stop[-1])) + np.repeat(ends[sets] - (stop - size), size)
+    segment = np.empty(len(at), np.int64)
+    # roles of one band share their bounds
+    order = np.argsort(bands, kind="stable")
+    for group in np.split(order, np.flatnonzero(np.diff(bands[order])) + 1):
+        rows = np.concatenate([np.arange(stop[k] - size[k], stop[k]) for k in group])
+        segment[rows] = np.searchsorted(segment_bounds(percent, int(bands[group[0]])), h[at[rows]], side="right") - 1
+    new = np.ones(len(at), bool)
+    new[1:] = (segment[1:] != segment[:-1]) | (role[1:] != role[:-1])
+    first = np.flatnonzero(new)
+    with np.errstate(over="ignore"):
+        total = np.add.reduceat(mix(h)[at], first)
+        salt = mix((segment[first].astype(U64) + (bands[role[first]].astype(U64) << U64(32))) * MULTIPLIER)
+        keys = mix(total + salt)
+    return np.stack([sets, ups, needs, np.bincount(role[first], minlength=len(sets))], 1), keys
+
+
 def deletion_keys(h: np.ndarray, at: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray]:
     """(segment, key) of every segment with one of its shingles left out."""
     with np.errstate(over="ignore"):
@@ -178,10 +246,15 @@ def _filter_rows(percent: int, buckets: int):
         counts = np.array([len(p) for p in parts], np.int64)
         keys = np.concatenate(parts) if parts else np.zeros(0, U64)
         owner = np.repeat(np.arange(len(owners)), counts)
-        distinct, first, times = np.unique(keys, return_index=True, return_counts=True)
+        order = np.argsort(keys, kind="stable")
+        keys, owner = keys[order], owner[order]
+        new = np.ones(len(keys), bool)
+        new[1:] = keys[1:] != keys[:-1]
+        first = np.flatnonzero(new)
+        times = np.diff(np.append(first, len(keys)))
+        distinct = keys[first]
         who = np.where(times == 1, owner[first], SHARED_IN_BLOCK).astype(np.uint16)
-        shared = np.isin(keys, distinct[times > 1])
-        alone = counts - np.bincount(owner[shared], minlength=len(owners))[:len(owners)]
+        alone = np.bincount(owner[first[times == 1]], minlength=len(owners))[:len(owners)]
         cut = np.searchsorted(distinct, np.array([(b << 64) // buckets for b in range(buckets)], U64))
         cut = np.append(cut, len(distinct))
         yield (block % buckets, block, True, doc.tobytes(), np.array(sizes, np.int64).tobytes(),
@@ -206,17 +279,21 @@ def _filter_rows(percent: int, buckets: int):
                                               names=["bucket", "block", "header", "a", "b", "c", "d", "e"])
 
         for b in batches:
-            for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                h = shingles(text)
-                for band, _, need in roles(len(h), percent) if len(h) else []:
-                    keys, at = segments(h, percent, band)
-                    parts.append(keys[np.diff(at) > 0])
-                    owners.append((len(ids), need))
-                    n_keys += len(parts[-1])
-                ids.append(i)
-                sizes.append(len(h))
-                marks.append(xxhash.xxh3_128_digest(h.tobytes()))
-                if n_keys >= BLOCK_KEYS or len(owners) >= SHARED_IN_BLOCK - 4:
+            for some, texts in text_groups(b):
+                h, ends = shingle_runs(texts)
+                found, keys = filled_segments(h, ends, percent)
+                if len(owners) + len(found) >= SHARED_IN_BLOCK - 4 and ids:
+                    out.extend(rows_of(number, ids, sizes, marks, parts, owners))
+                    ids, sizes, marks, parts, owners, n_keys = [], [], [], [], [], 0
+                    number += 1
+                    yield batch()
+                owners.extend((len(ids) + k, need) for k, _, need, _ in found.tolist())
+                parts.extend(np.split(keys, np.cumsum(found[:-1, 3])) if len(found) else [])
+                n_keys += len(keys)
+                ids.extend(some)
+                sizes.extend(np.diff(ends).tolist())
+                marks.extend(xxhash.xxh3_128_digest(h[x:y].tobytes()) for x, y in zip(ends.tolist(), ends[1:].tolist()))
+                if n_keys >= BLOCK_KEYS:
                     out.extend(rows_of(number, ids, sizes, marks, parts, owners))
                     ids, sizes, marks, parts, owners, n_keys = [], [], [], [], [], 0
                     number += 1
@@ -289,17 +366,14 @@ def _segment_rows(percent: int):
 
     def run(batches):
         for b in batches:
-            cols: list[list[np.ndarray]] = [[] for _ in range(4)]
-            for sid, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                h = np.frombuffer(raw, U64)
-                for band, up, need in roles(len(h), percent):
-                    keys, at = segments(h, percent, band)
-                    full = _as_long(keys[np.diff(at) > 0])
-                    for c, v in zip(cols, (sid, up, len(full) - need)):
-                        c.append(np.full(len(full), v))
-                    cols[3].append(full)
-            if cols[0]:
-                yield _packed("sid up spare key", (pa.int64(), pa.bool_(), pa.int32(), pa.int64()), cols)
+            h = [np.frombuffer(raw, U64) for raw in b.column(1).to_pylist()]
+            ends = np.concatenate([[0], np.cumsum([len(x) for x in h])]).astype(np.int64)
+            found, keys = filled_segments(np.concatenate([*h, np.zeros(0, U64)]), ends, percent)
+            if len(found):
+                sid = b.column(0).to_numpy()[found[:, 0]]
+                cols = [np.repeat(x, found[:, 3]) for x in (sid, found[:, 1], found[:, 3] - found[:, 2])]
+                yield _packed("sid up spare key", (pa.int64(), pa.bool_(), pa.int32(), pa.int64()),
+                              [[x] for x in (*cols, _as_long(keys))])
 
     return run
 
@@ -454,7 +528,9 @@ def allocate(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     held = held.withColumn("costly", (F.col("left") > F.size("keys")) | (cost > F.col("left") * COSTLY))
     held = stored(held.select("sid", "up", "left", "score", "costly", F.transform("keys", lambda k: k["key"]).alias("keys")),
                   "near-held", release=True)
-    buckets = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # a key range gets about BUCKET_KEYS look-ups: a costly role has its segments' keys and one per shingle
+    size = held.where("costly").select("sid").join(sets.select("sid", "n"), "sid").agg(F.sum("n")).first()[0] or 0
+    buckets = max(int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(1.6 * size / BUCKET_KEYS))
     looks = held.where("costly").select("sid", "up").join(sets, "sid").select("sid", "up", "set").mapInArrow(
         _look_rows(percent, buckets), LOOK_SCHEMA)
     own = looks.groupBy("bucket").applyInPandas(_count_looks, LOOK_SCHEMA).groupBy("block").applyInPandas(
@@ -563,10 +639,12 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
 
 def _set_rows(batches):
     for b in batches:
-        found = [shingles(t) for t in b.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [b.column(0), pa.array([len(h) for h in found], pa.int64()),
-             pa.array([h.tobytes() for h in found], pa.binary())], names=["sid", "n", "set"])
+        for ids, texts in text_groups(b):
+            h, ends = shingle_runs(texts)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, b.column(0).type), pa.array(np.diff(ends)),
+                 pa.array([h[x:y].tobytes() for x, y in zip(ends.tolist(), ends[1:].tolist())], pa.binary())],
+                names=["sid", "n", "set"])
 
 
 def _printed_rows(batches):
