@@ -7,6 +7,7 @@ over whole driver tables, with its DuckDB oracle SQL.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,7 @@ from gaffer.operators.decisions import HORIZON_DETAIL, WILDCARD_DETAIL
 from gaffer.plans.analogue import CURRENT_YEAR, FRONTIER_BUDGET_TENTHS, LAMBDAS, Analogue, period_of
 from gaffer.plans.normalize import normalize
 from gaffer.plans.warehouse import DATA_TESTS
+from gaffer.session import scratch_path
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -128,6 +130,72 @@ def q_snapshot_changes(spark, d):
         .select("event_id", "user_id", "value", "prev_value", "delta_value")
 
 
+# A user's state is the kind of the last event.
+@register("validity_intervals", """
+  SELECT user_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S') AS valid_from,
+    strftime(lead(ts) OVER w, '%Y-%m-%d %H:%M:%S') AS valid_to
+  FROM (SELECT * FROM events
+        WINDOW w AS (PARTITION BY user_id ORDER BY ts NULLS FIRST, event_id)
+        QUALIFY event_type IS DISTINCT FROM lag(event_type) OVER w OR row_number() OVER w = 1)
+  WINDOW w AS (PARTITION BY user_id ORDER BY ts NULLS FIRST, event_id)""")
+def q_validity_intervals(spark, d):
+    """SEL-8: equal consecutive snapshots collapsed into intervals."""
+    from gaffer.operators.validity import validity_intervals
+    return validity_intervals(_t(spark, d, "events"), ["user_id"], "ts", ["event_type"], "event_id")
+
+
+@register("state_as_of", """
+  SELECT f.event_id, f.user_id, s.event_type, strftime(s.ts, '%Y-%m-%d %H:%M:%S') AS valid_from
+  FROM (SELECT event_id, user_id, ts - INTERVAL 36 HOUR AS at FROM events) f
+  ASOF LEFT JOIN (
+    SELECT * FROM (SELECT * FROM events
+      WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)
+      QUALIFY event_type IS DISTINCT FROM lag(event_type) OVER w OR row_number() OVER w = 1)
+    QUALIFY ts IS DISTINCT FROM lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)) s
+  ON f.user_id = s.user_id AND f.at >= s.ts""")
+def q_state_as_of(spark, d):
+    """SEL-8: each event's user as of 36 hours before."""
+    from gaffer.operators.validity import as_of, validity_intervals
+    events = _t(spark, d, "events")
+    intervals = validity_intervals(events, ["user_id"], "ts", ["event_type"], "event_id")
+    facts = events.select("event_id", "user_id", (F.col("ts") - F.expr("INTERVAL 36 HOURS")).alias("at"))
+    return as_of(facts, intervals, ["user_id"], "at", ["event_type"]).select("event_id", "user_id", "event_type", "valid_from")
+
+
+@register("latest_clustered", _LPK.format(keys="user_id"))
+def q_latest_clustered(spark, d):
+    """SEL-2a on clustered storage: no exchange between the table and the latest rows."""
+    from gaffer.sources.clustered import create_clustered
+    name = "events_" + uuid.uuid4().hex[:12]
+    table = create_clustered(_events_k(spark, d), name, scratch_path(spark, name), ["user_id"], ["ts", "event_id"], 8)
+    return snapshots.latest_per_key(table, ["user_id"], ["ts", "event_id"]) \
+        .select("user_id", "event_id", "event_type", "value", "k", F.col("ts").alias("fetched_at"))
+
+
+@register("landed_incrementally", "SELECT conv_id, turn, role FROM conversations")
+def q_landed_incrementally(spark, d):
+    """SRC-1, SRC-6, SNK-1: two drops of JSON payloads, landed by a run each and once more
+    with nothing new; the first drop holds an old state of every key."""
+    from gaffer.sources import incremental
+    conv = _t(spark, d, "conversations")
+    base = scratch_path(spark, "landing-" + uuid.uuid4().hex)
+    cell = F.floor(F.col("turn") / 64).alias("cell")
+    new = conv.groupBy("conv_id", cell).agg(F.collect_list(F.struct("turn", "role")).alias("turns"))
+    old = conv.select("conv_id", cell, F.array(F.struct(F.lit(0), F.lit("nobody"))).alias("turns")).distinct()
+
+    def run():
+        stream = incremental.json_files(spark, f"{base}/in", {"conv_id": "long", "cell": "long"}, whole_file=False, glob="*.json")
+        return incremental.land_new(stream, f"{base}/table", f"{base}/checkpoint")
+    for number, drop in enumerate((old, new)):
+        drop.write.json(f"{base}/in/drop={number}")
+        run()
+    if run():
+        raise RuntimeError("a run without new files landed rows")
+    rows = snapshots.newest_run(incremental.landed(spark, f"{base}/table"), ["conv_id", "cell"], incremental.NEWEST)
+    return nested.unnest_json(rows, "payload", {"turn": ("turn", "bigint"), "role": ("role", "string")}, path="turns",
+                              carry=["conv_id"]).select("conv_id", "turn", "role")
+
+
 # ---------------------------------------------------------------- JSN / SCL
 @register("json_field_cast", """
   SELECT event_id, user_id, CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) AS BIGINT) AS k,
@@ -1143,3 +1211,54 @@ def _data_test_sql(model, column, kind, parent=None, field=None) -> str:
 def q_data_tests(spark, d):
     """DQ-1..4: the data tests declared on the Warehouse models."""
     return _wh(spark, d).data_tests()
+
+
+@register("landed_seasons", """
+  SELECT CAST(year(o_orderdate) AS VARCHAR) AS season, count(*) AS n, sum(o_orderkey) AS keys,
+    count(DISTINCT o_custkey) AS customers
+  FROM orders WHERE year(o_orderdate) IN (1996, 1998) GROUP BY 1""")
+def q_landed_seasons(spark, d):
+    """SRC-3, SRC-5, SNK-1: CSV files per season, two seasons picked, appended to a
+    landed table and read back by path."""
+    from gaffer.sources.landing import append_snapshot, land_csv, table
+    base = scratch_path(spark, "seasons-" + uuid.uuid4().hex)
+    orders = _t(spark, d, "orders").select("o_orderkey", "o_custkey", F.year("o_orderdate").cast("string").alias("season"))
+    orders.write.partitionBy("season").option("header", "true").csv(f"{base}/csv")
+    append_snapshot(land_csv(spark, f"{base}/csv", seasons=["1996", "1998"]), f"{base}/table")
+    rows = nested.parse_json(table(spark, f"{base}/table"), "payload", {"key": ("o_orderkey", "bigint"),
+                                                                         "cust": ("o_custkey", "bigint")}, carry=["season"])
+    return rows.groupBy("season").agg(F.count(F.lit(1)).alias("n"), F.sum("key").alias("keys"),
+                                      F.countDistinct("cust").alias("customers"))
+
+
+@register("first_entities", "SELECT c_custkey, c_name FROM customer ORDER BY c_custkey LIMIT 50")
+def q_first_entities(spark, d):
+    """SRC-7: the first entities by key (the limit is the feature)."""
+    from gaffer.sources.landing import first_n
+    return first_n(_t(spark, d, "customer").select("c_custkey", "c_name"), "c_custkey", 50)
+
+
+@register("published_marts", O.chain() + """
+  SELECT 'dim_teams' AS mart, count(*) AS n FROM dim_teams UNION ALL
+  SELECT 'dim_players', count(*) FROM dim_players UNION ALL
+  SELECT 'dim_gameweeks', count(*) FROM dim_gameweeks""")
+def q_published_marts(spark, d):
+    """SNK-2, SNK-3: marts published as two versions, a third rebuild that fails, and
+    views on what readers see."""
+    from gaffer.sources.versions import publish_version, read_version
+    names = ["dim_teams", "dim_players", "dim_gameweeks"]
+    wh = Analogue(spark, d).warehouse
+    root = scratch_path(spark, "published-" + uuid.uuid4().hex)
+    publish_version(spark, root, {m: getattr(wh, m).limit(0) for m in names})
+    wh.publish(root, names)
+
+    def broken():
+        raise ValueError("a rebuild that fails")
+    try:
+        publish_version(spark, root, {"dim_teams": wh.dim_teams.limit(0), "dim_players": broken})
+    except ValueError:
+        pass
+    for m in names:
+        read_version(spark, root, m).createOrReplaceTempView(f"published_{m}")
+    parts = [spark.table(f"published_{m}").agg(F.count(F.lit(1)).alias("n")).select(F.lit(m).alias("mart"), "n") for m in names]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

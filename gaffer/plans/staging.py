@@ -8,7 +8,9 @@ Each raw table is ``(key columns..., fetched_at, payload)`` plus either
 * ``id`` only (one payload per row): ``id`` is the declared tie-break for equal
   ``fetched_at`` (T1), and staging keeps that one row.
 
-With neither, all rows of a key's greatest ``fetched_at`` are one run. A payload
+With neither, all rows of a key's greatest ``fetched_at`` are one run. Whole-file payloads
+also have ``file``: a run may then hold several payloads of a key, of which staging keeps the one of the
+greatest (``fetched_at``, ``run_id``, ``file``). A payload
 that holds one whole array explodes inside one task; land it in cells, or pass
 ``partitions`` to spread its rows again.
 """
@@ -30,7 +32,7 @@ def newest(raw: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     if "id" in raw.columns and "run_id" not in raw.columns:
         order = ["fetched_at", "id"]
         return latest_per_key(raw, list(keys), order) if keys else latest(raw, order)
-    return newest_run(raw, list(keys), [c for c in ("fetched_at", "run_id") if c in raw.columns])
+    return newest_run(raw, list(keys), [c for c in ("fetched_at", "run_id", "file") if c in raw.columns])
 
 
 def _spread(df: DataFrame, partitions: int | None) -> DataFrame:

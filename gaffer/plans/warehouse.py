@@ -31,7 +31,7 @@ from gaffer.operators.setops import union_current_historical
 from gaffer.operators.snapshots import latest_per_key
 from gaffer.plans import staging as stg
 from gaffer.plans.materialize import mart
-from gaffer.sources.landing import publish
+from gaffer.sources.versions import publish_version
 from gaffer.sources.seed import scoring_rules
 
 RAW_TABLES = [
@@ -400,7 +400,8 @@ class Warehouse:
         for m in marts or self.MARTS:
             getattr(self, m).createOrReplaceTempView(prefix + m)
 
-    def publish(self, root: str, marts=None) -> None:
-        """SNK-3: full rebuild of every mart as a Parquet table under ``root``."""
-        for m in marts or self.MARTS:
-            publish(getattr(self, m), f"{root.rstrip('/')}/{m}")
+    def publish(self, root: str, marts=None, keep: int = 3) -> int:
+        """SNK-3: full rebuild of every mart as a new version under ``root``; read with
+        ``versions.read_version``. Readers keep the version before until all are written."""
+        names = marts or self.MARTS
+        return publish_version(self.spark, root, {m: (lambda m=m: getattr(self, m)) for m in names}, keep)

@@ -73,6 +73,8 @@ def land_json(spark: SparkSession, path: str | Sequence[str], keys: dict[str, st
     without either it is read from ``$.<key>``. ``fetched_at`` defaults to the
     file's modification time. ``id`` numbers the rows of the call in file order,
     for payloads of one row each; staging prefers ``run_id`` where both are kept.
+    A whole file also has its ``file``, so that of two files with one key and stamp
+    staging reads the last by name, not both.
     A missing path yields no rows when ``missing_ok`` (a best-effort source).
     """
     keys = keys or {}
@@ -92,9 +94,10 @@ def land_json(spark: SparkSession, path: str | Sequence[str], keys: dict[str, st
             return F.when(found != "", found).cast(kind).alias(name)
         return F.get_json_object("payload", (key_paths or {}).get(name, f"$.{name}")).cast(kind).alias(name)
 
+    file = [F.col("__path").alias("file")] if whole_file else []
     return raw.where(F.length(F.trim("payload")) > 0).select(
         *[key(k, t) for k, t in keys.items()], ts.alias("fetched_at"), "payload",
-        F.lit(run_id or new_run_id()).alias("run_id"), F.monotonically_increasing_id().alias("id"))
+        F.lit(run_id or new_run_id()).alias("run_id"), F.monotonically_increasing_id().alias("id"), *file)
 
 
 def land_csv(spark: SparkSession, path: str | Sequence[str] | dict[str, str | Sequence[str]],
