@@ -5,9 +5,13 @@ user and assistant turns from a user turn on, and ends with an assistant turn.
 A dynamic program over that automaton (state = role of the last output turn)
 finds the cheapest way to make a conversation legal: a turn may keep its role,
 be relabelled, be merged into the output turn before it when their roles then
-agree, and empty turns may be inserted before a turn or at the end. Ties go to
-keeping, then relabelling to the earlier role in ROLES, then merging over
-inserting.
+agree, and empty turns may be inserted before a turn or at the end.
+
+Of the cheapest repairs the one of least preference counts, summed over its turns:
+keeping 0, a merge 1, relabelling to user 4, to assistant 5, to system 6 (so a repair that relabels less
+comes first); of those that are still equal the least by a hash of the turns. Costs
+are compared with both, so the chosen repair is one and the same however a
+conversation is cut and on any number of partitions.
 
 A conversation may be very long, so it is never gathered. Turns without their
 texts are sorted over all partitions; a run of turns of one conversation in
@@ -39,7 +43,7 @@ ROLES = ("system", "user", "assistant")
 LEGAL_NEXT = {0: (1, 2), 1: (2,), 2: (3,), 3: (2,)}
 FINAL = (3,)
 COST = {"relabel": 2, "merge": 1, "insert": 3}
-FAR = 1 << 40
+FAR = 1 << 60
 OPEN, CLOSE, JOIN = "<|im_start|>{role}\n", "<|im_end|>\n", "\n\n"
 
 
@@ -80,33 +84,65 @@ def options(role: int) -> tuple[tuple[int, int, int, bool, tuple[int, ...]], ...
     return tuple((s, a, *x) for (s, a), x in sorted(best.items()))
 
 
+# A turn's cost and preference in one number: costs count first.
+PREFERENCE = {"keep": 0, "merge": 1, "relabel": {2: 4, 3: 5, 1: 6}}
+SHIFT = 32
+WEIGHT_BITS = 38
+
+
+def weights(salt: int) -> np.ndarray:
+    """Of the 16 pairs of states, from a turn's hash: the last resort in a tie."""
+    with np.errstate(over="ignore"):
+        x = (np.arange(16, dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(salt & (1 << 64) - 1)
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return ((x ^ (x >> np.uint64(31))) >> np.uint64(64 - WEIGHT_BITS)).astype(np.int64).reshape(4, 4)
+
+
 def step_matrix(role: int) -> np.ndarray:
     m = np.full((4, 4), FAR, np.int64)
-    for s, a, cost, _, _ in options(role):
-        m[s, a] = cost
+    for s, a, cost, merged, _ in options(role):
+        like = (PREFERENCE["merge"] if merged else 0) + (0 if a == role else PREFERENCE["relabel"][a])
+        m[s, a] = (cost << SHIFT) + like
     return m
 
 
 STEPS = [step_matrix(r) for r in range(4)]
-END_COST = np.array([min(COST["insert"] * len(insertions()[s][f]) if insertions()[s][f] is not None else FAR
+END_COST = np.array([min(COST["insert"] * len(insertions()[s][f]) << SHIFT if insertions()[s][f] is not None else FAR
                          for f in FINAL) for s in range(4)], np.int64)
 
 
+def step(role: int, salt: int) -> np.ndarray:
+    """What a turn costs from state to state, and its weights: a 2 x 4 x 4 array."""
+    return np.stack([STEPS[role], weights(salt)])
+
+
+def least(cost: np.ndarray, weight: np.ndarray, axis: int) -> np.ndarray:
+    """The least (cost, weight) along an axis, both compared in that order."""
+    low = cost.min(axis, keepdims=True)
+    w = np.where(cost == low, weight, np.iinfo(np.int64).max).min(axis)
+    low = np.minimum(low.squeeze(axis), FAR)
+    return np.stack([low, np.where(low < FAR, w, 0)])
+
+
 def min_plus(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.minimum((a[:, :, None] + b[None, :, :]).min(1), FAR)
+    return least(a[0][:, :, None] + b[0][None, :, :], a[1][:, :, None] + b[1][None, :, :], 1)
 
 
-def decode(roles: list[int], start: int, end: int) -> list[int]:
-    """States after each turn of a run on a cheapest way from start to end."""
+def decode(turns: list[tuple[int, int]], start: int, end: int) -> list[int]:
+    """States after each (role, hash) of a run on the best way from start to end."""
     cost = np.full(4, FAR, np.int64)
     cost[start] = 0
-    back = np.zeros((len(roles), 4), np.int8)
-    for k, r in enumerate(roles):
-        ways = cost[:, None] + STEPS[r]
-        back[k] = ways.argmin(0)
-        cost = np.minimum(ways.min(0), FAR)
+    weight = np.zeros(4, np.int64)
+    back = np.zeros((len(turns), 4), np.int8)
+    for k, (role, salt) in enumerate(turns):
+        c, w = step(role, salt)
+        c, w = cost[:, None] + c, weight[:, None] + w
+        best = np.where(c == c.min(0), w, np.iinfo(np.int64).max)
+        back[k] = best.argmin(0)
+        cost, weight = least(c, w, 0)
     out, s = [], end
-    for k in range(len(roles) - 1, -1, -1):
+    for k in range(len(turns) - 1, -1, -1):
         out.append(s)
         s = int(back[k, s])
     return out[::-1]
@@ -114,14 +150,19 @@ def decode(roles: list[int], start: int, end: int) -> list[int]:
 
 def plan_runs(matrices: list[np.ndarray]) -> tuple[list[int], int]:
     """(entry state of every run and the last state, total cost) of a conversation."""
-    costs = [np.array([0, FAR, FAR, FAR], np.int64)]
+    costs = [np.stack([np.array([0, FAR, FAR, FAR], np.int64), np.zeros(4, np.int64)])]
     for m in matrices:
-        costs.append(np.minimum((costs[-1][:, None] + m).min(0), FAR))
-    last = int((costs[-1] + END_COST).argmin())
+        c, w = costs[-1]
+        costs.append(least(c[:, None] + m[0], w[:, None] + m[1], 0))
+
+    def first(c, w):
+        return int(np.where(c == c.min(), w, np.iinfo(np.int64).max).argmin())
+    total, weight = costs[-1][0] + END_COST, costs[-1][1]
+    last = first(total, weight)
     states = [last]
-    for m, c in zip(matrices[::-1], costs[-2::-1]):
-        states.append(int((c + m[:, states[-1]]).argmin()))
-    return states[::-1], int((costs[-1] + END_COST)[last])
+    for m, (c, w) in zip(matrices[::-1], costs[-2::-1]):
+        states.append(first(c + m[0][:, states[-1]], w + m[1][:, states[-1]]))
+    return states[::-1], int(total[last] >> SHIFT)
 
 
 def _number(batches):
@@ -145,13 +186,13 @@ def _runs(batches):
                                           names=["part", "conv_id", "turns", "matrix"])
 
     for b in batches:
-        for part, conv, code in zip(*(b.column(i).to_pylist() for i in range(3))):
+        for part, conv, code, salt in zip(*(b.column(i).to_pylist() for i in range(4))):
             if (part, conv) != key:
                 if key is not None:
                     out.append((*key, n, matrix.ravel().tolist()))
-                key, matrix, n = (part, conv), STEPS[code], 1
+                key, matrix, n = (part, conv), step(code, salt), 1
             else:
-                matrix, n = min_plus(matrix, STEPS[code]), n + 1
+                matrix, n = min_plus(matrix, step(code, salt)), n + 1
         if out:
             yield flush()
     if key is not None:
@@ -164,7 +205,7 @@ def _plans(batches):
     for b in batches:
         out = []
         for conv, runs in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            states, cost = plan_runs([np.array(r["matrix"], np.int64).reshape(4, 4) for r in runs])
+            states, cost = plan_runs([np.array(r["matrix"], np.int64).reshape(2, 4, 4) for r in runs])
             offset = 0
             for k, r in enumerate(runs):
                 out.append((conv, r["part"], states[k], states[k + 1], offset, k + 1 == len(runs), cost))
@@ -187,8 +228,8 @@ def _decisions(batches):
         return "".join(OPEN.format(role=ROLES[r - 1]) + CLOSE for r in roles)
 
     def finish():
-        entry, exit_, offset, ends, total = run[0][6:11]
-        states = decode([r[5] for r in run], entry, exit_)
+        entry, exit_, offset, ends, total = run[0][7:12]
+        states = decode([(r[5], r[6]) for r in run], entry, exit_)
         before = entry
         for k, (row, state) in enumerate(zip(run, states)):
             conv, turn, role, h1, h2, code = row[:6]
@@ -236,13 +277,15 @@ def repair(df: DataFrame) -> DataFrame:
     code = F.coalesce(*[F.when(F.lower(F.trim("role")) == r, F.lit(k + 1)) for k, r in enumerate(ROLES)], F.lit(0))
     identity = ["conv_id", "turn", "role", "h1", "h2"]
     order = ["conv_id", F.col("turn").asc_nulls_last(), "role", "h1", "h2"]
-    turns = given.select(*identity).distinct().withColumn("code", code).repartitionByRange(*order) \
+    turns = given.select(*identity).distinct().withColumns({"code": code, "salt": F.xxhash64(*identity)}) \
+        .repartitionByRange(*order) \
         .sortWithinPartitions(*order)
     # partitions of a range exchange follow each other, so (part, seq) is the order
     turns = stored(turns.withColumn("part", F.spark_partition_id()).mapInArrow(
-        _number, "conv_id long, turn long, role string, h1 long, h2 long, code int, part int, seq long"), "chat-turns")
+        _number, "conv_id long, turn long, role string, h1 long, h2 long, code int, salt long, part int, "
+                                                                                  "seq long"), "chat-turns")
     placed = turns.repartition("part").sortWithinPartitions("part", "seq")
-    runs = placed.select("part", "conv_id", "code").mapInArrow(
+    runs = placed.select("part", "conv_id", "code", "salt").mapInArrow(
         _runs, "part int, conv_id long, turns long, matrix array<long>")
     plans = stored(runs.groupBy("conv_id").agg(
         F.sort_array(F.collect_list(F.struct("part", "turns", "matrix"))).alias("runs"))  # at most one per partition
@@ -251,7 +294,7 @@ def repair(df: DataFrame) -> DataFrame:
     p = plans.select(F.col("conv_id").alias("c"), F.col("part").alias("p"), "entry", "exit", "offset", "ends", "total_cost")
     known = turns.join(p, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("part") == F.col("p"))) \
         .repartition("part").sortWithinPartitions("part", "seq") \
-        .select("part", "conv_id", "turn", "role", "h1", "h2", "code", "entry", "exit", "offset", "ends", "total_cost")
+        .select("part", "conv_id", "turn", "role", "h1", "h2", "code", "salt", "entry", "exit", "offset", "ends", "total_cost")
     made = known.mapInArrow(_decisions, DECISION)
     texts = given.dropDuplicates(identity)
     same = made.select(*[F.col(c).alias(f"_{c}") for c in identity], "position", "new_role", "action", "cost",

@@ -45,12 +45,13 @@ def test_costs_equal_brute_force_however_runs_are_cut():
     for _ in range(250):
         roles = [rnd.randint(0, 3) for _ in range(rnd.randint(1, 6))]
         cuts = sorted(rnd.sample(range(1, len(roles)), rnd.randint(0, len(roles) - 1)))
-        runs = [roles[a:b] for a, b in zip([0, *cuts], [*cuts, len(roles)])]
+        turns = [(r, rnd.getrandbits(63)) for r in roles]
+        runs = [turns[a:b] for a, b in zip([0, *cuts], [*cuts, len(roles)])]
         matrices = []
         for run in runs:
-            m = chat.STEPS[run[0]]
+            m = chat.step(*run[0])
             for r in run[1:]:
-                m = chat.min_plus(m, chat.STEPS[r])
+                m = chat.min_plus(m, chat.step(*r))
             matrices.append(m)
         states, cost = chat.plan_runs(matrices)
         assert cost == brute(roles)
@@ -109,7 +110,28 @@ def test_one_conversation_over_many_partitions(llm):
     rows = [(7, t, r, f"t{t}") for t, r in enumerate(roles)] + [(8, 0, "user", "z")]
     out = chat.repair(table(llm, rows)).collect()
     check(rows, out)
-    m = chat.STEPS[CODE.get(roles[0], 0)]
+    m = chat.step(CODE.get(roles[0], 0), 1)
     for r in roles[1:]:
-        m = chat.min_plus(m, chat.STEPS[CODE.get(r, 0)])
+        m = chat.min_plus(m, chat.step(CODE.get(r, 0), 1))
     assert next(r.total_cost for r in out if r.conv_id == 7) == chat.plan_runs([m])[1]
+
+
+def test_decisions_do_not_depend_on_partitions(llm):
+    rnd = random.Random(6)
+    rows = [(7, t, rnd.choice(["user", "assistant", "system", None]), f"t{t % 7}") for t in range(400)]
+    rows += [(c, t, rnd.choice(["user", "assistant", None]), "x") for c in range(20) for t in range(5)]
+    outs = []
+    llm.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    for parts in (1, 37):
+        llm.conf.set("spark.sql.shuffle.partitions", str(parts))
+        outs.append(sorted(map(tuple, chat.repair(table(llm, rows)).collect()), key=str))
+    llm.conf.set("spark.sql.shuffle.partitions", "8")
+    llm.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert outs[0] == outs[1]
+
+
+def test_a_turn_keeps_its_role_where_that_costs_no_more(llm):
+    rows = [(1, 0, "user", "a"), (1, 1, "?", "b"), (1, 2, "assistant", "c"), (1, 3, "?", "d")]
+    out = sorted(chat.repair(table(llm, rows)).collect(), key=lambda r: r.position)
+    assert out[0].total_cost == 6
+    assert [r.new_role for r in out][0] == "user" and out[2].new_role == "assistant"
