@@ -78,13 +78,14 @@ def _streams(sizes: DataFrame, targets: DataFrame, seed: int) -> DataFrame:
     """Documents with words: begin of each in its source's shuffled stream."""
     t = targets.select("source", "source_no", "source_size", "n_docs", "target")
     rows = sizes.join(t, sizes["source"].eqNullSafe(t["source"])).drop(t["source"]).where("size > 0")
-    rows = rows.withColumn("h", F.xxhash64(F.lit(seed), F.col("doc_id")))
+    # with the text, so that the rows of one repeated or of no doc_id spread as well
+    rows = rows.withColumn("h", F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("spread")))
     buckets = F.floor(F.col("n_docs") / BUCKET_ROWS) + 1
     rows = rows.withColumn("bucket", F.pmod(F.col("h"), buckets))
     sums = rows.groupBy("source_no", "bucket").agg(F.sum("size").alias("bucket_words"))
     ahead = Window.partitionBy("source_no").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("source_no", "bucket", F.coalesce(F.sum("bucket_words").over(ahead), F.lit(0)).alias("base"))
-    inside = Window.partitionBy("source_no", "bucket").orderBy("h", "doc_id", "size") \
+    inside = Window.partitionBy("source_no", "bucket").orderBy("h", "doc_id", "size", "spread") \
         .rowsBetween(Window.unboundedPreceding, -1)
     return rows.withColumn("in_bucket", F.coalesce(F.sum("size").over(inside), F.lit(0))) \
         .join(sums, ["source_no", "bucket"]) \
@@ -143,7 +144,8 @@ def source_schedule(targets: DataFrame, block_words: int) -> DataFrame:
 
 def document_sizes(df: DataFrame) -> DataFrame:
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
-                     word_count(F.col("text").cast("string")).alias("size"))
+                     word_count(F.col("text").cast("string")).alias("size"),
+                     F.xxhash64(F.col("text").cast("string")).alias("spread"))
 
 
 def schedule_mix(df: DataFrame, weights=WEIGHTS, share: float = MIX_SHARE, epochs: int = MAX_EPOCHS,

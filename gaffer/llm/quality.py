@@ -170,7 +170,7 @@ def fit_features(pos: np.ndarray, unl: np.ndarray) -> Model:
 def fit(documents: DataFrame, labels: DataFrame, max_positives: int = MAX_POSITIVES,
         max_unlabelled: int = MAX_UNLABELLED) -> Model:
     """Features are made on the executors; at most the two bounds of feature rows
-    reach the driver."""
+    reach the driver: where a doc_id repeats, the row of least text hash is learnt from."""
     learn = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")) \
         .where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~in_holdout())
     known = learn.groupBy("doc_id").agg(F.min("quality").alias("quality"))
@@ -188,7 +188,8 @@ def fit(documents: DataFrame, labels: DataFrame, max_positives: int = MAX_POSITI
 
     sample = F.broadcast(positives.union(unlabelled))  # bounded by the two limits
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
-        .join(sample, "doc_id").mapInArrow(featurise, "doc_id long, kind int, x array<double>").toPandas() \
+        .join(sample, "doc_id").groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"),
+                                                      F.first("kind").alias("kind")).mapInArrow(featurise, "doc_id long, kind int, x array<double>").toPandas() \
         .sort_values(["kind", "doc_id"], kind="stable")
     by = [np.array(rows.loc[rows["kind"] == k, "x"].tolist()).reshape(-1, len(FEATURES)) for k in (1, 0)]
     return fit_features(*by)

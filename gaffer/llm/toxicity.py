@@ -266,11 +266,12 @@ def training_labels(labels: DataFrame, column: str, limit: int = MAX_LABELLED) -
 
 def fit(documents: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> Model:
     """Learn from at most ``limit`` labelled rows, gathered by a broadcast of their
-    ids (bounded by ``limit``); word counts are summed on the executors."""
+    ids (bounded by ``limit``); where a doc_id repeats, from the row of least text hash. Word counts are summed on the executors."""
     sample = training_labels(labels, "toxic", limit)
     texts = stored(documents.select(F.col("doc_id").cast("long").alias("doc_id"),
                                     F.col("text").cast("string").alias("text"))
-                   .join(F.broadcast(sample), "doc_id"), "toxic-sample")
+                   .join(F.broadcast(sample), "doc_id").groupBy("doc_id").agg(
+                       F.min_by("text", F.xxhash64("text")).alias("text"), F.first("label").alias("label")), "toxic-sample")
 
     def count(batches):
         counts: dict[str, list[int]] = {}

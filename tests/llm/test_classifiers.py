@@ -105,3 +105,66 @@ def test_prior_and_non_negative_risk_on_known_mixtures():
     assert 0.62 <= model.prior <= 0.82
     good, bad = model.margin(cloud(500, True)), model.margin(cloud(500, False))
     assert (good > 0).mean() > 0.95 and (bad < 0).mean() > 0.9
+
+
+def test_a_repeated_id_is_learnt_from_once(llm, make_docs):
+    """Rows that repeat a labelled id neither reach the driver nor outweigh the rest."""
+    docs, labels, _ = toy(make_docs, llm, 300)
+    from pyspark.sql import functions as F
+    some = docs.where("doc_id = 3")
+    many = docs.unionByName(some.crossJoin(llm.range(400).select()))
+    assert many.count() == docs.count() + 400
+    for module in (quality, toxicity):
+        a, b = module.fit(docs, labels), module.fit(many, labels)
+        texts = [r.text for r in docs.orderBy("doc_id").limit(40).collect()]
+        assert np.allclose(a.predict(texts), b.predict(texts), atol=1e-12), module.__name__
+
+
+def test_first_split_equals_a_naive_search():
+    rnd = np.random.default_rng(5)
+    x = rnd.integers(0, 12, (120, 3)).astype(float)
+    y = (x[:, 1] + rnd.normal(size=120) * 3 > 6).astype(float)
+    trees = toxicity.BoostedTrees(trees=1, depth=1)
+    trees.fit(x, y)
+    (features, bins, values), = trees.trees
+    binned = trees._bin(x)
+    grad, hess = np.full(120, y.mean()) - y, np.full(120, y.mean() * (1 - y.mean()))
+
+    def gain(left):
+        part = lambda m: grad[m].sum() ** 2 / (hess[m].sum() + trees.ridge)
+        return part(left) + part(~left) - part(np.ones(120, bool))
+    best = max(((gain(binned[:, f] <= b), -f, -b) for f in range(3) for b in range(12)
+                if min((binned[:, f] <= b).sum(), (binned[:, f] > b).sum()) >= trees.min_leaf))
+    assert (features[0], bins[0]) == (-best[1], -best[2])
+    left = binned[:, features[0]] <= bins[0]
+    for leaf, m in enumerate((left, ~left)):
+        assert np.isclose(values[leaf], -trees.rate * grad[m].sum() / (hess[m].sum() + trees.ridge))
+
+
+def test_isotonic_blocks_equal_the_min_max_formula():
+    rnd = np.random.default_rng(6)
+    for _ in range(20):
+        s = rnd.integers(0, 15, 60).astype(float)
+        y = (rnd.random(60) < s / 15).astype(float)
+        xs = np.unique(s)
+        mean = lambda a, b: y[(s >= xs[a]) & (s <= xs[b])].mean()
+        level = [max(min(mean(a, b) for b in range(i, len(xs))) for a in range(i + 1)) for i in range(len(xs))]
+        knots, probs = toxicity.isotonic(s, y)
+        for x, v in zip(xs, level):
+            block = np.isin(s, xs[np.isclose(level, v)])
+            want = (y[block].sum() + 0.5 * y.mean()) / (block.sum() + 0.5)
+            assert np.isclose(np.interp(x, knots, probs), want, atol=0.02)
+
+
+def test_weights_are_near_the_least_non_negative_risk():
+    rnd = np.random.default_rng(7)
+    bins = lambda n, p: np.stack([(rnd.random(n) < p).astype(int), 2 + (rnd.random(n) < 0.5).astype(int)], 1)
+    pos, unl, prior = bins(400, 0.9), np.concatenate([bins(500, 0.9), bins(300, 0.1)]), 0.6
+    w = quality.nn_pu(pos, unl, 5, prior)
+
+    def risk(w):
+        s = lambda z: 1 / (1 + np.exp(-z))
+        zp, zu = (w[r].sum(1) + w[-1] for r in (pos, unl))
+        return prior * s(-zp).mean() + max(0.0, s(zu).mean() - prior * s(zp).mean()) + quality.RIDGE / 2 * (w * w).sum()
+    assert all(risk(w) <= risk(w + rnd.normal(size=5) * 0.5) + 0.01 for _ in range(200))
+    assert risk(w) < risk(np.zeros(5)) - 0.05

@@ -90,3 +90,21 @@ def test_mixed_documents_repeat_whole_rows(make_docs):
 def test_no_python_on_the_main_path(make_docs):
     plan = mixing.document_takes(make_docs([(1, "a b", "s")]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_rows_of_one_or_of_no_id_spread(make_docs):
+    """Different texts of one doc_id, or of none, are not all in one bucket."""
+    docs = [(None if k % 2 else 5, f"word{k} and more", "s") for k in range(400)]
+    sizes = mixing.document_sizes(make_docs(docs))
+    targets = mixing.source_targets(sizes)
+    before = mixing.BUCKET_ROWS
+    mixing.BUCKET_ROWS = 20
+    try:
+        sizes.count()
+        rows = mixing._streams(sizes, targets, 7).collect()
+        check(mixing.document_takes(make_docs(docs)).collect(), docs)
+    finally:
+        mixing.BUCKET_ROWS = before
+    assert len(rows) == 400 and sorted(r.begin for r in rows) == [3 * k for k in range(400)]
+    spread = sizes.select("spread").distinct().count()
+    assert spread == 400
