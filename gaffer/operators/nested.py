@@ -76,6 +76,24 @@ def unnest_json(df: DataFrame, payload: str, fields: dict, path: str | None = No
     return exploded.select(*[F.col(c) for c in carry], *_project(F.col("__e"), fields, lenient))
 
 
+def documents(df: DataFrame, payload: str = "payload") -> DataFrame:
+    """(doc, payload): payloads parsed once to VARIANT, for models that take different
+    arrays out of one payload. A payload that a variant can't hold (not JSON, or
+    beyond its size limit) is kept as text instead and read by :func:`unnest_documents` as such."""
+    doc = F.try_parse_json(F.col(payload))
+    return df.select(doc.alias("doc"), F.col(payload).alias("payload")) \
+        .withColumn("payload", F.when(F.col("doc").isNull(), F.col("payload")))
+
+
+def unnest_documents(docs: DataFrame, fields: dict, path: str, lenient: bool = False) -> DataFrame:
+    """JSN-1/3 over :func:`documents`: as :func:`unnest_json`, without parsing again."""
+    elem = T.ArrayType(_leaf_struct(fields))
+    stored = F.try_variant_get(F.col("doc"), f"$.{path}", elem.simpleString())
+    text = F.from_json(F.col("payload"), T.StructType([T.StructField(path, elem, True)])).getField(path)
+    rows = docs.select(F.explode(F.when(F.col("payload").isNull(), stored).otherwise(text)).alias("__e"))
+    return rows.select(*_project(F.col("__e"), fields, lenient))
+
+
 def parse_json(df: DataFrame, payload: str, fields: dict, carry: Sequence[str] = (),
                lenient: bool = False) -> DataFrame:
     """JSN-4/5: fields of a root object (dotted paths reach nested objects)."""

@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaffer.operators.nested import parse_json, unnest_json
+from gaffer.operators.nested import documents, parse_json, unnest_documents, unnest_json
 from gaffer.operators.snapshots import latest, latest_per_key, newest_run
 from gaffer.sources import schemas as S
 
@@ -39,21 +39,32 @@ def _spread(df: DataFrame, partitions: int | None) -> DataFrame:
     return df.repartition(partitions) if partitions else df
 
 
+def bootstrap_documents(bootstrap: DataFrame) -> DataFrame:
+    """The newest bootstrap payload parsed once, for the four models that read it."""
+    return documents(newest(bootstrap))
+
+
+def _bootstrap(bootstrap: DataFrame, fields: dict, path: str) -> DataFrame:
+    """An array of the raw bootstrap table, or of its parsed documents."""
+    if "doc" in bootstrap.columns:
+        return unnest_documents(bootstrap, fields, path)
+    return unnest_json(newest(bootstrap), "payload", fields, path=path)
+
+
 def stg_players(bootstrap: DataFrame, partitions: int | None = None) -> DataFrame:
-    return _spread(unnest_json(newest(bootstrap), "payload", S.PLAYERS,
-                               path="elements"), partitions)
+    return _spread(_bootstrap(bootstrap, S.PLAYERS, "elements"), partitions)
 
 
 def stg_teams(bootstrap: DataFrame) -> DataFrame:
-    return unnest_json(newest(bootstrap), "payload", S.TEAMS, path="teams")
+    return _bootstrap(bootstrap, S.TEAMS, "teams")
 
 
 def stg_gameweeks(bootstrap: DataFrame) -> DataFrame:
-    return unnest_json(newest(bootstrap), "payload", S.GAMEWEEKS, path="events")
+    return _bootstrap(bootstrap, S.GAMEWEEKS, "events")
 
 
 def stg_positions(bootstrap: DataFrame) -> DataFrame:
-    return unnest_json(newest(bootstrap), "payload", S.POSITIONS, path="element_types")
+    return _bootstrap(bootstrap, S.POSITIONS, "element_types")
 
 
 def stg_fixtures(fixtures: DataFrame) -> DataFrame:

@@ -91,21 +91,26 @@ class Warehouse:
         self.rules = rules if rules is not None else scoring_rules(spark)
 
     # ---------------------------------------------------------------- staging
+    @mart
+    def bootstrap_documents(self):
+        """The bootstrap payload, parsed once for all models that read it."""
+        return stg.bootstrap_documents(self.raw["bootstrap_static_snapshot"])
+
     @mart
     def players(self):
-        return stg.stg_players(self.raw["bootstrap_static_snapshot"], self.partitions)
+        return stg.stg_players(self.bootstrap_documents, self.partitions)
 
     @mart
     def teams(self):
-        return stg.stg_teams(self.raw["bootstrap_static_snapshot"])
+        return stg.stg_teams(self.bootstrap_documents)
 
     @cached_property
     def gameweeks(self):
-        return stg.stg_gameweeks(self.raw["bootstrap_static_snapshot"])
+        return stg.stg_gameweeks(self.bootstrap_documents)
 
     @cached_property
     def positions(self):
-        return stg.stg_positions(self.raw["bootstrap_static_snapshot"])
+        return stg.stg_positions(self.bootstrap_documents)
 
     @cached_property
     def entries(self):

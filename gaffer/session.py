@@ -27,6 +27,8 @@ DEFAULT_CONF = {
     # skip an exchange, but with adaptive coalescing the two sides can end up
     # with different partition counts ("Can't zip RDDs"); keep it off.
     "spark.sql.unionOutputPartitioning": "false",
+    # the last of repeated keys counts, as when a payload is read as text
+    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.ui.enabled": "false",
 }
 

@@ -182,3 +182,19 @@ def test_snapshot_changes_by_whole_numbers_are_cut_by_rows(spark):
     got = {(r.key, r.ts): r.prev_value for r in snapshot_changes(df, ["key"], "ts", ["value"]).collect()}
     assert got[1, 0] is None and got[2, 5] is None and len(got) == 201
     assert all(got[1, k] == float((k - 1) ** 2) for k in range(1, 200))
+
+
+def test_one_parse_of_the_bootstrap_payload_gives_the_same_rows(spark):
+    from gaffer.operators.nested import documents
+    elements = [{"id": k, "code": 100 + k, "web_name": None if k == 2 else f"é{k}", "now_cost": 40 + k, "form": "1.5",
+                 "status": "a", "selected_by_percent": 3.25, "news": {"odd": [1, "x"]} if k == 3 else ""} for k in range(1, 5)]
+    good = json.dumps({"elements": elements, "teams": [{"id": 1, "name": "A", "strength": 3}, {"id": 2}], "events": [],
+                       "element_types": [{"id": 1, "singular_name": "Goalkeeper"}]})
+    twice = '{"teams": [{"id": 7, "name": "x", "name": "y"}], "elements": null}'
+    for payload in (good, twice, "[]", "not json", None, '{"elements": 5, "teams": []}'):
+        raw = spark.createDataFrame([(payload,)], "payload string").withColumn("fetched_at", F.current_timestamp())
+        docs = staging.bootstrap_documents(raw)
+        for model in (staging.stg_players, staging.stg_teams, staging.stg_gameweeks, staging.stg_positions):
+            assert sorted(map(str, model(docs).collect())) == sorted(map(str, model(raw).collect())), (model, payload)
+    kept = documents(spark.createDataFrame([("not json",), (good,)], "payload string")).collect()
+    assert [(r.doc is None, r.payload) for r in kept] == [(True, "not json"), (False, None)]
