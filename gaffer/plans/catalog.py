@@ -993,6 +993,7 @@ def q_stg_teams(spark, d):
   SELECT gameweek_id, gameweek_name, deadline_time, is_finished, is_current, is_next, average_entry_score, highest_score
   FROM dim_gameweeks WHERE season = '{O.CS}'""")
 def q_stg_gameweeks(spark, d):
+    """Of the current season, the year 2001 of the tables."""
     return _wh(spark, d).gameweeks
 
 
@@ -1028,6 +1029,7 @@ def q_stg_entries(spark, d):
 
 @register("stg_entry_gameweek_history", _WEEKS + "\n SELECT * FROM history")
 def q_stg_entry_history(spark, d):
+    """Of the current season, the year 2001 of the tables."""
     from gaffer.plans import staging
     return staging.stg_entry_gameweek_history(_wh(spark, d).raw["entry_history_snapshot"])
 
@@ -1057,6 +1059,7 @@ _ENTRY_PICKS = O.decisions_chain() + """
   SELECT w.entry_id, w.gameweek_id, pl.player_id, w.slot AS squad_position, CASE WHEN w.slot = 1 THEN 2 ELSE 1 END AS multiplier,
     w.slot = 1 AS is_captain, w.slot = 2 AS is_vice_captain FROM weekly w JOIN players pl USING (player_code)""")
 def q_stg_entry_picks(spark, d):
+    """Of the current season, the year 2001 of the tables."""
     from gaffer.plans import staging
     return staging.stg_entry_picks(_wh(spark, d).raw["entry_picks_snapshot"])
 
@@ -1067,6 +1070,7 @@ def q_stg_entry_picks(spark, d):
     0 AS transfers_cost, entry_id % 25 AS points_on_bench, entry_id % 99 AS gameweek_points, entry_id * 2 AS total_points,
     entry_id * 17 AS overall_rank FROM weekly""")
 def q_stg_entry_picks_summary(spark, d):
+    """Of the current season, the year 2001 of the tables."""
     from gaffer.plans import staging
     return staging.stg_entry_picks_summary(_wh(spark, d).raw["entry_picks_snapshot"])
 
@@ -1084,6 +1088,7 @@ _MOVES = O.decisions_chain() + """
 @register("stg_entry_transfers", _MOVES + """
   SELECT entry_id, gameweek_id, player_in_id, player_in_cost, player_out_id, player_out_cost, transferred_at FROM moved""")
 def q_stg_entry_transfers(spark, d):
+    """Of the current season, the year 2001 of the tables."""
     from gaffer.plans import staging
     return staging.stg_entry_transfers(_wh(spark, d).raw["entry_transfers_snapshot"])
 
@@ -1131,14 +1136,14 @@ def q_entry_gw_perf(spark, d):
   SELECT entry_id, gameweek_id, player_code, slot AS squad_position, CASE WHEN slot = 1 THEN 2 ELSE 1 END AS multiplier,
     slot = 1 AS is_captain, slot = 2 AS is_vice_captain FROM weekly""")
 def q_fct_entry_picks(spark, d):
-    """MRT-9."""
+    """MRT-9, of the current season, the year 2001 of the tables."""
     return _wh(spark, d).fct_entry_picks
 
 
 @register("fct_entry_transfers", _MOVES + """
   SELECT entry_id, gameweek_id, player_in_code, player_in_cost, player_out_code, player_out_cost, transferred_at FROM moved""")
 def q_fct_entry_transfers(spark, d):
-    """MRT-10."""
+    """MRT-10, of the current season, the year 2001 of the tables."""
     return _wh(spark, d).fct_entry_transfers
 
 

@@ -4,7 +4,8 @@
 session as a Parquet table under the shared checkpoint folder (SNK-3, the
 reference's table materialisation) and read back, which also cuts lineage
 for everything downstream. The owning class provides ``spark``,
-``materialize`` (bool) and ``tag`` (a name unique to the instance's inputs).
+``materialize`` (bool) and ``tag`` (a name unique to the instance's inputs), and may
+provide ``WATCH`` (model -> columns whose nulls are counted as it is written).
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ def mart(fn):
                 df = fn(self)
                 if PLANS is not None:
                     PLANS[key] = df._jdf.queryExecution().executedPlan().toString()
-                self.__dict__[name] = publish_once(self.spark, key, df) if self.materialize else df
+                self.__dict__[name] = publish_once(self.spark, key, df, getattr(self, "WATCH", {}).get(name, ())) if self.materialize else df
         return self.__dict__[name]
     get.__doc__ = fn.__doc__
     return property(get)

@@ -23,6 +23,8 @@ DEFAULT_CONF = {
     # small side is not bounded by construction.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Spark's default; operators on long texts set fewer rows for their own queries
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
     # A union reporting its children's hash partitioning lets a later join
     # skip an exchange, but with adaptive coalescing the two sides can end up
     # with different partition counts ("Can't zip RDDs"); keep it off.

@@ -15,7 +15,7 @@ import time
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -186,6 +186,7 @@ def append_batch(df: DataFrame, path: str, run_ts: str | None = None) -> None:
 
 
 _PUBLISHED: dict[tuple[str, str], str] = {}
+_OBSERVED: dict[tuple[str, str], dict[str, int]] = {}
 _LOCK = threading.Lock()
 
 
@@ -195,14 +196,23 @@ def published(spark: SparkSession, name: str) -> DataFrame | None:
     return spark.read.parquet(path) if path else None
 
 
-def publish_once(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
+def publish_once(spark: SparkSession, name: str, df: DataFrame, watch: Sequence[str] = ()) -> DataFrame:
     """Materialise ``df`` once per session under the shared checkpoint folder
-    (``spark.checkpoint.dir``) and return the table read back."""
+    (``spark.checkpoint.dir``) and return the table read back. The nulls of the ``watch``
+    columns are counted while it is written (see :func:`observed_nulls`)."""
     app = spark.sparkContext.applicationId
     key = (app, name)
     with _LOCK:                      # one build per mart even if callers race
         if key not in _PUBLISHED:
             path = os.path.join(checkpoint_dir(spark), "marts", app, name)
-            publish(df, path)
+            columns = [c for c in watch if c in df.columns]
+            seen = Observation() if columns else None
+            publish(df.observe(seen, *[F.count_if(F.col(c).isNull()).alias(c) for c in columns]) if columns else df, path)
+            _OBSERVED[key] = dict(seen.get) if columns else {}
             _PUBLISHED[key] = path
     return spark.read.parquet(_PUBLISHED[key])
+
+
+def observed_nulls(spark: SparkSession, name: str) -> dict[str, int]:
+    """Nulls by column of a table of :func:`publish_once`, as counted while it was written."""
+    return _OBSERVED.get((spark.sparkContext.applicationId, name), {})
