@@ -8,9 +8,9 @@ the k-th best lower bound (or the query's k-th best score so far) survive and ar
 recomputed on the original vectors in double precision; heaps keep each query's k
 best, within a task over all its tiles, then over tasks. The result is exact.
 
-Tiles are the only place where queries meet candidates: candidate blocks are
-joined to query blocks by number. Query blocks up to ``BROADCAST_BYTES`` in all
-are broadcast; beyond, candidate blocks are dealt out to each query block.
+Tiles are the only place where queries meet candidates. Query blocks are broadcast, about
+``BROADCAST_BYTES`` at a time; the candidate blocks stay where they are and are read once for each
+such part of the queries.
 
 Defined cases: vectors that are null, empty, zero or that hold null or non-finite
 components take no part; only vectors of equal dimension meet; rows with a null
@@ -20,6 +20,7 @@ fewer than k candidates gets all; other columns are ignored.
 from __future__ import annotations
 
 import heapq
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -150,14 +151,16 @@ def nearest(df: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id",
     packed = stored(packed, "ann-queries")
     numbered = packed.withColumn("number", F.xxhash64("ids")).select("number", *packed.columns)
     pairs = candidates.toDF(*[f"c_{c}" for c in candidates.columns])
-    if n * (9 * width + 24) <= BROADCAST_BYTES:
-        joined = pairs.join(F.broadcast(numbered), F.col("dimension") == F.col("c_dimension"))
-    else:
-        names = numbered.select(F.col("number").alias("c_number"), F.col("dimension").alias("d"))
-        dealt = pairs.join(names, F.col("d") == F.col("c_dimension")).drop("d")
-        joined = dealt.repartition("c_number").join(numbered, F.col("c_number") == F.col("number")).drop("c_number")
-    found = joined.select(*numbered.columns, *pairs.columns).mapInArrow(
-        _tiles(k), "query_id long, vec_id long, score double")
+    parts = max(1, math.ceil(n * (9 * width + 24) / max(BROADCAST_BYTES, 1)))
+    parts = min(parts, max(1, -(-n // QUERY_BLOCK)))  # a block is not divided
+    found = None
+    for part in range(parts):
+        some = numbered.where(F.pmod("number", F.lit(parts)) == part)
+        tiles = pairs.join(F.broadcast(some), F.col("dimension") == F.col("c_dimension")) \
+            .select(*numbered.columns, *pairs.columns).mapInArrow(_tiles(k), "query_id long, vec_id long, score double")
+        if parts > 1:
+            tiles = stored(tiles, "ann-found")
+        found = tiles if found is None else found.unionByName(tiles)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k) \
         .select("query_id", "rank", "vec_id", "score")

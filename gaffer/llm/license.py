@@ -46,6 +46,15 @@ TEMPLATES = {
         "software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS "
         "OF ANY KIND, either express or implied. See the License for the specific language governing permissions and "
         "limitations under the License."],
+    "BSD-2-Clause": [
+        "Released under the BSD 2-Clause License.",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+        "that the following conditions are met: Redistributions of source code must retain the above copyright notice, "
+        "this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above "
+        "copyright notice, this list of conditions and the following disclaimer in the documentation and/or other "
+        "materials provided with the distribution. This software is provided by the copyright holders and contributors "
+        "\"as is\" and any express or implied warranties, including, but not limited to, the implied warranties of "
+        "merchantability and fitness for a particular purpose are disclaimed."],
     "BSD-3-Clause": [
         "Released under the BSD 3-Clause License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
@@ -55,6 +64,14 @@ TEMPLATES = {
         "materials provided with the distribution. Neither the name of the copyright holder nor the names of its "
         "contributors may be used to endorse or promote products derived from this software without specific prior "
         "written permission."],
+    "BSL-1.0": [
+        "Distributed under the Boost Software License, Version 1.0.",
+        "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at "
+        "https://www.boost.org/LICENSE_1_0.txt)"],
+    "CC0-1.0": [
+        "Released under CC0 1.0 Universal.",
+        "To the extent possible under law, the author has waived all copyright and related or neighboring rights to "
+        "this work."],
     "CC-BY-4.0": [
         "Licensed under CC BY 4.0.",
         "This work is licensed under a Creative Commons Attribution 4.0 International License."],
@@ -64,6 +81,10 @@ TEMPLATES = {
     "CC-BY-SA-4.0": [
         "Licensed under CC BY-SA 4.0.",
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
+    "EPL-2.0": [
+        "Licensed under the Eclipse Public License 2.0.",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License "
+        "2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"],
     "GPL-2.0": [
         "This work is licensed under the GNU General Public License, version 2.",
         "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
@@ -78,6 +99,16 @@ TEMPLATES = {
         "Released under the ISC License.",
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
         "granted, provided that the above copyright notice and this permission notice appear in all copies."],
+    "LGPL-2.1": [
+        "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or "
+        "(at your option) any later version."],
+    "LGPL-3.0": [
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or "
+        "(at your option) any later version."],
     "MIT": [
         "Released under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
@@ -89,6 +120,17 @@ TEMPLATES = {
     "MPL-2.0": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
         "not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."],
+    "Unlicense": [
+        "This is free and unencumbered software released into the public domain.",
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, "
+        "publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, "
+        "for any purpose, commercial or non-commercial, and by any means."],
+    "Zlib": [
+        "Released under the zlib License.",
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be "
+        "held liable for any damages arising from the use of this software. Permission is granted to anyone to use this "
+        "software for any purpose, including commercial applications, and to alter it and redistribute it freely, "
+        "subject to the following restrictions"],
     "reserved": ["All rights reserved."],
 }
 
