@@ -8,8 +8,6 @@ are memoised on the instance; ``publish`` writes marts as tables.
 
 from __future__ import annotations
 
-from functools import cached_property
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -197,7 +195,7 @@ class Warehouse:
                                "corners_and_indirect_freekicks_order"]}
         return dim_players(self.players, self.teams, self.hist_players, cur, hist)
 
-    @cached_property
+    @mart
     def dim_positions(self) -> DataFrame:
         return self.positions.select("position_id", "position_name", "position_name_short",
                                      "squad_select", "squad_min_play", "squad_max_play")
@@ -215,7 +213,7 @@ class Warehouse:
                         "home_team_score", "away_team_score", "kickoff_time", "is_started",
                         "is_finished", "is_finished_provisional")
 
-    @cached_property
+    @mart
     def fct_team_gameweek_fixtures(self) -> DataFrame:
         return fixture_density(self.dim_teams, self.dim_gameweeks, self.fct_fixtures, self.season)
 
@@ -246,7 +244,7 @@ class Warehouse:
     def recent_form(self) -> DataFrame:
         return recent_form(self.performance, self.season)
 
-    @cached_property
+    @mart
     def positional_baseline(self) -> DataFrame:
         return group_baseline_rates(self.recent_form, self.dim_players)
 

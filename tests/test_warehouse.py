@@ -188,3 +188,15 @@ def test_views_and_publish(spark, wh):
     wh.publish(root, ["dim_teams"])                      # full rebuild, not append
     assert read_version(spark, root, "dim_teams").count() == 4
     assert read_version(spark, root, "dim_players").count() == 4   # as the version before has it
+
+
+def test_data_tests_read_each_table_once_per_key(spark, wh):
+    import re
+    from gaffer.plans.warehouse import DATA_TESTS
+    own = [t for t in DATA_TESTS if not {"entries", "fct_entry_picks", "fct_entry_gameweek_performance"} & {t[0], *t[3:4]}]
+    df = wh.data_tests(own)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"FileScan parquet", plan)) <= 26
+    known = wh.data_tests([("dim_players", "player_code", "not_null"), ("dim_teams", "team_code", "not_null")])
+    assert "FileScan" not in known._jdf.queryExecution().executedPlan().toString()  # counted as they were written
+    assert {(r.table_name, r.failures) for r in known.collect()} == {("dim_players", 0), ("dim_teams", 0)}
