@@ -99,21 +99,17 @@ def snapshot_changes(df: DataFrame, keys: Sequence[str], ts: str,
     """SEL-8: change of each column since the entity's previous snapshot.
 
     An entity may hold a large part of all rows, so its history is cut into chunks
-    of time (``chunk``, a column that grows with ``ts``; by default its month, or, where
-    ``ts`` is no date or time, ranges of equal numbers of rows) that are ordered apart. A chunk's first row takes the values before it from the
+    of time (``chunk``, a column that grows with ``ts``; by default ranges of equal numbers
+    of rows, see :mod:`gaffer.operators.validity`) that are ordered apart. A chunk's first row takes the values before it from the
     chunks' last rows, of which each entity has one per chunk.
     """
     order = [F.col(ts)] + ([F.col(tiebreak)] if tiebreak else [])
     if chunk is None:
-        kind = dict(df.dtypes)[ts]
-        if kind.startswith(("timestamp", "date")):
-            chunk = F.date_trunc("month", F.col(ts))
-        else:
-            from gaffer.operators.validity import PIECE, in_pieces
-            columns, chunk = df.columns, F.col(PIECE)
-            df = in_pieces(df, keys, [ts] + ([tiebreak] if tiebreak else []))
-            return snapshot_changes(df, keys, ts, cols, tiebreak, chunk).select(
-                *columns, *[f"{kind}_{c}" for c in cols for kind in ("prev", "delta")])
+        from gaffer.operators.validity import PIECE, in_pieces
+        columns = df.columns
+        pieces = in_pieces(df, keys, [ts] + ([tiebreak] if tiebreak else []))
+        return snapshot_changes(pieces, keys, ts, cols, tiebreak, F.col(PIECE)).select(
+            *columns, *[f"{kind}_{c}" for c in cols for kind in ("prev", "delta")])
     rows = df.withColumn("__chunk", chunk)
     values = F.struct(*[F.col(c).alias(c) for c in cols])
     inside = Window.partitionBy(*keys, "__chunk").orderBy(*order)
