@@ -151,18 +151,22 @@ def best_moves(own: dict, bank: int, pool: dict, free: int, hit: float):
 def greedy_moves(own: dict, bank: int, pool: dict, free: int, hit: float):
     """Single best swaps one after the other while they gain, the best prefix of them:
     (net, codes of the squad). A start for :func:`search`."""
-    code, sell = own["code"].copy(), own["sell"].copy()
-    club, score, position = own["club"].copy(), own["score"].copy(), own["position"]
+    code, sell, score = own["code"].copy(), own["sell"].copy(), own["score"].copy()
+    names = np.unique(np.concatenate([own["club"], pool["club"]]))
+    club, club_of = np.searchsorted(names, own["club"]), np.searchsorted(names, pool["club"])
+    counts = np.bincount(club, minlength=len(names))
+    counts[names == -1] = -UNCAPPED
+    taken = np.isin(pool["code"], code)
+    by_position = {q: np.flatnonzero(pool["position"] == q) for q in QUOTAS}
     best, squad, gross = 0.0, own["code"].tolist(), 0.0
     for _ in range(SQUAD_SIZE):
         swap = (1e-9, None, None)
         for o in range(len(code)):
-            if sell[o] < 0:
+            if sell[o] < 0 or own["position"][o] not in by_position:
                 continue
-            after = np.array([((club == c) & (np.arange(len(code)) != o)).sum() if c != -1 else 0 for c in np.unique(pool["club"])])
-            room = after[np.searchsorted(np.unique(pool["club"]), pool["club"])] < MAX_PER_CLUB
-            i = np.flatnonzero((pool["position"] == position[o]) & (pool["price"] <= bank + sell[o]) & room
-                               & ~np.isin(pool["code"], code))
+            i = by_position[own["position"][o]]
+            room = counts[club_of[i]] - (club_of[i] == club[o]) < MAX_PER_CLUB
+            i = i[room & ~taken[i] & (pool["price"][i] <= bank + sell[o])]
             if len(i):
                 gain = pool["score"][i] - score[o]
                 if gain.max() > swap[0]:
@@ -171,7 +175,11 @@ def greedy_moves(own: dict, bank: int, pool: dict, free: int, hit: float):
         if o is None:
             break
         bank += int(sell[o]) - int(pool["price"][i])
-        code[o], sell[o], club[o], score[o] = pool["code"][i], pool["price"][i], pool["club"][i], pool["score"][i]
+        taken |= pool["code"] == pool["code"][i]
+        taken &= pool["code"] != code[o]
+        counts[club[o]] -= 1
+        counts[club_of[i]] += 1
+        code[o], sell[o], club[o], score[o] = pool["code"][i], pool["price"][i], club_of[i], pool["score"][i]
         gross += gain
         net = gross - hit * max(0, int((~np.isin(own["code"], code)).sum()) - free)
         if net > best + 1e-9:
