@@ -81,6 +81,12 @@ def numbered(clubs: np.ndarray, owned: np.ndarray | None = None) -> tuple[np.nda
     return index, caps
 
 
+def dealt(rows: DataFrame, entity: str) -> DataFrame:
+    """Searches are long and rows are few: spread them over all tasks. By a hash of its own, as rows that are
+    grouped by the entity already would stay in the few tasks that their bytes ask for."""
+    return rows.repartition(max(1, rows.sparkSession.sparkContext.defaultParallelism * 4), F.xxhash64(entity))
+
+
 # ------------------------------------------------------------------ transfers
 def best_moves(own: dict, bank: int, pool: dict, free: int, hit: float):
     """The exact best of no, one or two moves: (net, [(out, in), ...]) as indexes of own
@@ -213,7 +219,7 @@ def best_plan(own: dict, bank: int, pool: dict, free: int, hit: float, steps: in
     if not places.scored or budget < 0:
         return net, outs, ins, net
     start = total + net
-    found = search(players, places, budget, caps, steps, start=(start, []))
+    found = search(players, places, budget, caps, steps, start=(start, []), curve=False)
     # a club that holds too many already may keep them, not buy: check what was found
     if found.squad and found.value > start + 1e-9:
         chosen = np.array(found.squad)
@@ -290,9 +296,7 @@ def transfers(squads: DataFrame, pool: DataFrame, bank_t: DataFrame, free_transf
              pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), *[pa.float64()] * 4]
     schema = f"{entity} {kind.simpleString()}, n_transfers int, outs array<long>, ins array<long>, gross_gain double, " \
              "hit_cost double, net_gain double, upper_net_gain double"
-    # searches are long and rows are few: spread them over all tasks
-    spread = managers.repartition(max(1, spark.sparkContext.defaultParallelism * 2), entity)
-    found = spread.mapInArrow(run, schema)
+    found = dealt(managers, entity).mapInArrow(run, schema)
     out = found.select(entity, "n_transfers", F.array_join(F.col("outs").cast("array<string>"), ",").alias("out_codes"),
                        F.array_join(F.col("ins").cast("array<string>"), ",").alias("in_codes"),
                        "gross_gain", "hit_cost", "net_gain", "upper_net_gain")

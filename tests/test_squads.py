@@ -212,3 +212,33 @@ def test_empty_and_odd_inputs(spark):
     assert not S.best_squad(pool.limit(0), 1000).collect()[0].feasible
     assert not S.best_squad(pool, 100).collect()[0].feasible
     assert S.transfers(sq.limit(0), pool, bk).count() == 0
+
+
+def test_search_for_one_budget_equals_the_curve_at_it():
+    rnd = np.random.default_rng(5)
+    for trial in range(60):
+        m, free = int(rnd.integers(14, 60)), int(rnd.integers(0, 3))
+        p = Players(rnd.integers(1, 5, m), rnd.integers(0, 6, m), rnd.integers(4, 40, m), np.round(rnd.random(m) * 20, 6), rnd.random(m) < .6)
+        places, caps, budget = Places({1: 1, 2: 2, 3: 2, 4: 2}, {}, free, 4.0), rnd.integers(1, 4, 6), int(rnd.integers(60, 200))
+        a, b = search(p, places, budget, caps, 25), search(p, places, budget, caps, 25, curve=False)
+        assert b.value == pytest.approx(a.value, abs=1e-6) and b.upper[budget] == pytest.approx(a.upper[budget], abs=2e-6)
+
+
+def test_a_manager_takes_few_programs(monkeypatch):
+    """Of a large pool most players are in or out without a program over budgets."""
+    from gaffer.operators import squadsearch
+    rnd = np.random.default_rng(3)
+    n, sizes = 1200, []
+    pool = {"code": np.arange(n), "position": rnd.integers(1, 5, n), "club": rnd.integers(0, 20, n),
+            "price": rnd.integers(40, 131, n), "score": np.round(rnd.random(n) * 40, 6)}
+    mine = np.concatenate([np.flatnonzero(pool["position"] == q)[:k] for q, k in QUOTAS.items()])
+    own = {k: pool[k][mine] for k in ("code", "position", "club", "score")} | {"sell": pool["price"][mine]}
+    monkeypatch.setattr(squadsearch, "fill", lambda p, *a: sizes.append(len(p.cost)) or fill(p, *a))
+    S.best_plan(own, 300, pool, 1, 4, 25)
+    assert sum(sizes) < 10 * n
+
+
+def test_searches_are_spread_over_tasks(spark):
+    sq = spark.range(400).selectExpr("id % 80 AS entry_id", "id AS player_code").groupBy("entry_id").agg({"player_code": "max"})
+    parts = S.dealt(sq, "entry_id").selectExpr("entry_id", "spark_partition_id() AS p").groupBy("p").count().collect()
+    assert len(parts) >= spark.sparkContext.defaultParallelism and max(r["count"] for r in parts) < 40
