@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaffer.functions.scalars import sell_value_tenths
-from gaffer.operators.decisions import HIT, best_lineup
+from gaffer.operators.decisions import HIT, best_lineup, transfer_upper_bound
 from gaffer.operators.joins import bounded
 from gaffer.operators.squadsearch import LOW, Places, Players, search, value_of
 from gaffer.sources.landing import materialized
@@ -262,8 +262,8 @@ def transfers(squads: DataFrame, pool: DataFrame, bank_t: DataFrame, free_transf
               pruned: DataFrame | None = None) -> DataFrame:
     """DEC-11 / DEC-13: the best transfers of every manager, moves that pay for each other
     included. Exact for at most two moves (``most_moves=2`` stops there); beyond, a plan
-    that is never worse than that nor than greedy swaps, with an upper bound of any plan and
-    the gap. ``net_gain`` = points won - ``hit`` for each move beyond the free ones.
+    that is never worse than that nor than greedy swaps. Both with an upper bound of any plan (for two moves
+    :func:`~gaffer.operators.decisions.transfer_upper_bound`) and the gap. ``net_gain`` = points won - ``hit`` for each move beyond the free ones.
 
     Defined: no legal gaining move, an empty pool or a squad that is in debt give no
     transfer; nulls in bank leave the manager out; ties go to fewer moves, then lesser codes."""
@@ -300,8 +300,11 @@ def transfers(squads: DataFrame, pool: DataFrame, bank_t: DataFrame, free_transf
     out = found.select(entity, "n_transfers", F.array_join(F.col("outs").cast("array<string>"), ",").alias("out_codes"),
                        F.array_join(F.col("ins").cast("array<string>"), ",").alias("in_codes"),
                        "gross_gain", "hit_cost", "net_gain", "upper_net_gain")
-    return out.drop("upper_net_gain") if most_moves <= 2 else \
-        out.withColumn("gap", F.col("upper_net_gain") - F.col("net_gain"))
+    if most_moves <= 2:
+        upper = transfer_upper_bound(squads, pool, free_transfers, hit, entity)
+        out = out.drop("upper_net_gain").join(upper, entity, "left") \
+            .withColumn("upper_net_gain", F.coalesce("upper_net_gain", F.lit(0.0)))
+    return out.withColumn("gap", F.col("upper_net_gain") - F.col("net_gain"))
 
 
 # ------------------------------------------------------------------ whole squads

@@ -673,6 +673,20 @@ def q_free_hit(spark, d):
     return Analogue(spark, d).free_hit
 
 
+# An upper bound of any plan: budget and club cap left out.
+_CEILING = """  rest AS (SELECT b.entry_id, p.position_id, p.score,
+             row_number() OVER (PARTITION BY b.entry_id, p.position_id ORDER BY p.score DESC) AS r
+           FROM bank_t b CROSS JOIN pool p ANTI JOIN sq s ON s.entry_id = b.entry_id AND s.player_code = p.player_code),
+  worst AS (SELECT entry_id, position_id, score, row_number() OVER (PARTITION BY entry_id, position_id ORDER BY score) AS r
+            FROM sq),
+  better AS (SELECT w.entry_id, x.score - w.score AS d FROM worst w JOIN rest x USING (entry_id, position_id, r)
+             WHERE x.score > w.score),
+  stacked AS (SELECT entry_id, sum(d) OVER (PARTITION BY entry_id ORDER BY d DESC ROWS UNBOUNDED PRECEDING)
+                - 4 * (row_number() OVER (PARTITION BY entry_id ORDER BY d DESC) - 1) AS net FROM better),
+  ceiling_of AS (SELECT entry_id, greatest(0.0, max(net)) AS upper_net_gain FROM stacked GROUP BY entry_id),
+"""
+
+
 def _plan_sql(rounds: int) -> str:
     """CTEs of the greedy transfer plan: one set per round (the exact best swap by
     brute force over squads x pool), then the best prefix and the upper bound."""
@@ -714,17 +728,7 @@ def _plan_sql(rounds: int) -> str:
   lists AS (
     SELECT v.entry_id, list(v.out_code) AS o, list(v.in_code) AS i FROM moves v
     JOIN taken t ON t.entry_id = v.entry_id AND v.step <= t.rounds AND round(t.gross - t.hits, 9) > 0 GROUP BY v.entry_id),
-  rest AS (SELECT b.entry_id, p.position_id, p.score,
-             row_number() OVER (PARTITION BY b.entry_id, p.position_id ORDER BY p.score DESC) AS r
-           FROM bank_t b CROSS JOIN pool p ANTI JOIN sq s ON s.entry_id = b.entry_id AND s.player_code = p.player_code),
-  worst AS (SELECT entry_id, position_id, score, row_number() OVER (PARTITION BY entry_id, position_id ORDER BY score) AS r
-            FROM sq),
-  better AS (SELECT w.entry_id, x.score - w.score AS d FROM worst w JOIN rest x USING (entry_id, position_id, r)
-             WHERE x.score > w.score),
-  stacked AS (SELECT entry_id, sum(d) OVER (PARTITION BY entry_id ORDER BY d DESC ROWS UNBOUNDED PRECEDING)
-                - 4 * (row_number() OVER (PARTITION BY entry_id ORDER BY d DESC) - 1) AS net FROM better),
-  ceiling_of AS (SELECT entry_id, greatest(0.0, max(net)) AS upper_net_gain FROM stacked GROUP BY entry_id),
-  planned AS (
+{_CEILING}  planned AS (
     SELECT b.entry_id, CASE WHEN l.entry_id IS NULL THEN 0 ELSE t.n END AS n_transfers,
       coalesce(array_to_string(list_sort(list_filter(l.o, lambda x: NOT list_contains(l.i, x))), ','), '') AS out_codes,
       coalesce(array_to_string(list_sort(list_filter(l.i, lambda x: NOT list_contains(l.o, x))), ','), '') AS in_codes,
@@ -743,7 +747,8 @@ def q_transfer_plan(spark, d):
 
 
 # Every one and every two of a manager's players against all pairs of players that may be
-# bought; a player beaten by seven of the own club and position is never wanted.
+# bought, and the upper bound of any plan; a player beaten by seven of the own club and position is
+# never wanted (a manager owns five of them at most, and buys one other).
 _TWO = """
   , fresh AS MATERIALIZED (
     SELECT x.* FROM pool x WHERE x.price_tenths IS NOT NULL AND (
@@ -774,7 +779,7 @@ _TWO = """
     WHERE i.n - (s.t1 IS NOT DISTINCT FROM i.team_code)::INT - (s.t2 IS NOT DISTINCT FROM i.team_code)::INT + 1 + (j.team_code IS NOT DISTINCT FROM i.team_code)::INT <= 3
       AND j.n - (s.t1 IS NOT DISTINCT FROM j.team_code)::INT - (s.t2 IS NOT DISTINCT FROM j.team_code)::INT + 1 + (j.team_code IS NOT DISTINCT FROM i.team_code)::INT <= 3),
   most AS MATERIALIZED (SELECT entry_id, max(gross) AS gross FROM two GROUP BY entry_id),
-  tops AS (
+""" + _CEILING + """  tops AS (
     SELECT *, gross - 4 * (n - 1) AS net FROM (
       SELECT t.* FROM two t JOIN most m ON m.entry_id = t.entry_id AND t.gross >= m.gross - 1e-9
       UNION ALL SELECT * FROM one)
@@ -784,8 +789,9 @@ _TWO = """
     coalesce(array_to_string(list_sort([o1, o2]), ','), '') AS out_codes,
     coalesce(array_to_string(list_sort([i1, i2]), ','), '') AS in_codes,
     coalesce(t.net + 4.0 * (t.n - 1), 0.0) AS gross_gain, coalesce(4.0 * (t.n - 1), 0.0) AS hit_cost,
-    coalesce(t.net, 0.0) AS net_gain
-  FROM bank_t b LEFT JOIN tops t USING (entry_id)"""
+    coalesce(t.net, 0.0) AS net_gain, coalesce(u.upper_net_gain, 0.0) AS upper_net_gain,
+    coalesce(u.upper_net_gain, 0.0) - coalesce(t.net, 0.0) AS gap
+  FROM bank_t b LEFT JOIN tops t USING (entry_id) LEFT JOIN ceiling_of u USING (entry_id)"""
 
 
 @register("best_two_transfers", O.decisions_chain() + _SQ + _TWO)

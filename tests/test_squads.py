@@ -242,3 +242,13 @@ def test_searches_are_spread_over_tasks(spark):
     sq = spark.range(400).selectExpr("id % 80 AS entry_id", "id AS player_code").groupBy("entry_id").agg({"player_code": "max"})
     parts = S.dealt(sq, "entry_id").selectExpr("entry_id", "spark_partition_id() AS p").groupBy("p").count().collect()
     assert len(parts) >= spark.sparkContext.defaultParallelism and max(r["count"] for r in parts) < 40
+
+
+def test_two_moves_say_how_far_any_plan_could_go(spark):
+    own = [(c, q, c % 6, 50, 10.0) for c, q in enumerate([q for q, n in QUOTAS.items() for _ in range(n)])]
+    pool = own + [(100 + k, 2, 20 + k, 50, 20.0 + k) for k in range(4)]
+    sq = spark.createDataFrame([(1, p[0], 50) for p in own], "entry_id int, player_code int, purchase_tenths int")
+    r = S.transfers(sq, spark.createDataFrame(pool, POOL), spark.createDataFrame([(1, 0)], "entry_id int, bank_tenths int"),
+                    most_moves=2).collect()[0]
+    # two of the four better ones are bought; all four would win 46 less three hits
+    assert (r.n_transfers, r.net_gain, r.upper_net_gain, r.gap) == (2, 21.0, 34.0, 13.0)
