@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from gaffer.functions.scalars import in_tenths, sell_value_tenths
 from gaffer.operators.joins import bounded
 from gaffer.sources.landing import materialized
-from gaffer.sources.seed import MAX_PER_CLUB, SQUAD_RULES, SQUAD_SIZE, XI_SIZE, formations, squad_quotas
+from gaffer.sources.seed import MAX_PER_CLUB, SQUAD_RULES, SQUAD_SIZE, XI_SIZE, formation_shapes, squad_quotas
 
 GK = 1
 # Bounds that follow from the squad rules.
@@ -56,40 +56,55 @@ def best_lineup(rows: DataFrame, keys: Sequence[str] = ("entry_id", "gameweek_id
     fills no legal formation produces no rows (see ``check_squad``).
     """
     keys = list(keys)
-    spark = rows.sparkSession
-    # One shuffle on the key. Every later step is a window partitioned by the
-    # key (or the key plus a column), which that hash partitioning satisfies,
-    # so there is no aggregate-and-join-back and no second exchange.
-    r = rows.repartition(*keys).withColumn(
-        "pos_rank", F.row_number().over(Window.partitionBy(*keys, position)
-                                        .orderBy(*_score_order(score, code))))
-    # each player against each of the 8 legal formations (bounded fan-out)
-    rf = r.join(bounded(formations(spark)), position) \
-        .withColumn("__in", F.col("pos_rank") <= F.col("starters"))
-    wf = Window.partitionBy(*keys, "formation_id")
-    rf = rf.withColumn("xi_points", F.sum(F.when(F.col("__in"), F.col(score))).over(wf)) \
-        .withColumn("__n", F.sum(F.when(F.col("__in"), 1).otherwise(0)).over(wf)) \
-        .where(F.col("__n") == XI_SIZE)
-    # ties between formations (or weights) compare on values rounded past
-    # float noise, so the choice does not depend on the order of addition
-    best = Window.partitionBy(*keys).orderBy(F.round("xi_points", 9).desc(), F.col("formation_id"))
-    lined = rf.withColumn("__fr", F.dense_rank().over(best)).where(F.col("__fr") == 1) \
-        .withColumn("is_starter", F.col("__in"))
-    w_start = Window.partitionBy(*keys).orderBy(
-        F.col("is_starter").desc(), F.col(score).desc(), F.col(code))
-    w_bench = Window.partitionBy(*keys).orderBy(
-        F.col("is_starter").asc(), (F.col(position) == GK).asc(), F.col(score).desc(), F.col(code))
-    lined = lined.withColumn("__srank", F.row_number().over(w_start)) \
-        .withColumn("__brank", F.row_number().over(w_bench))
-    cap = F.max(F.when(F.col("__srank") == 1, F.col(score))).over(Window.partitionBy(*keys))
-    return lined.select(
-        *rows.columns,
-        F.when(F.col("is_starter"), "starting").otherwise("bench").alias("squad_role"),
-        F.when(~F.col("is_starter"), F.col("__brank")).cast("int").alias("bench_order"),
-        (F.col("__srank") == 1).alias("is_captain"),
-        (F.col("__srank") == 2).alias("is_vice_captain"),
-        "formation", "xi_points",
-        (F.col("xi_points") + cap).alias("total_expected_points"))
+    carried = [c for c in rows.columns if c not in keys]
+    # One shuffle on the key, after which a key is one row with a list of at most few dozen players in order
+    # of score (unknown ones last): formations, captain and bench are functions of that list.
+    player = F.struct(F.col(score).isNull().alias("o1"), (-F.col(score)).alias("o2"), F.col(code).alias("o3"),
+                      F.col(position).alias("q"), F.col(score).cast("double").alias("s"), F.struct(*carried).alias("row"))
+    squads = rows.where(F.col(position).isin([q for q, _, _, _ in SQUAD_RULES])) \
+        .groupBy(*keys).agg(F.sort_array(F.collect_list(player)).alias("__squad"))
+
+    def of(q):
+        return F.filter("__squad", lambda x: x["q"] == q)
+    squads = squads.select(*keys, *[of(q).alias(f"__p{q}") for q, _, _, _ in SQUAD_RULES])
+
+    def total(players):
+        return F.aggregate(players, F.lit(None).cast("double"), lambda t, x: F.when(x["s"].isNull(), t).otherwise(
+            F.coalesce(t, F.lit(0.0)) + x["s"]))
+    options = []
+    for number, shape in enumerate(formation_shapes(), 1):
+        starters = F.concat(*[F.slice(f"__p{q}", 1, n) for q, n in zip((1, 2, 3, 4), (1, *shape))])
+        full = F.lit(True)
+        for q, n in zip((1, 2, 3, 4), (1, *shape)):
+            full = full & (F.size(f"__p{q}") >= n)
+        options.append(F.when(full, F.struct(
+            F.lit(number).alias("id"), total(starters).alias("xi"), F.array(*map(F.lit, (1, *shape))).alias("n"),
+            F.lit("-".join(map(str, shape))).alias("formation"))))
+    # ties between formations compare on values rounded past float noise, so the choice does not depend
+    # on the order of addition; an unknown total comes last
+    ranked = squads.withColumn("__options", F.array_compact(F.array(*options))).withColumn("__best", F.array_min(F.transform(
+        "__options", lambda x: F.struct(x["xi"].isNull().alias("o1"), (-F.round(x["xi"], 9)).alias("o2"), x["id"].alias("id"),
+                                        x["xi"].alias("xi"), x["n"].alias("n"), x["formation"].alias("formation")))))
+    best = ranked.where(F.size("__options") > 0)
+    n = F.col("__best.n")
+    in_xi = F.sort_array(F.concat(*[F.slice(F.col(f"__p{q}"), F.lit(1), n[q - 1]) for q in (1, 2, 3, 4)]))
+    left = {q: F.slice(F.col(f"__p{q}"), n[q - 1] + 1, F.greatest(F.size(f"__p{q}"), F.lit(1))) for q in (1, 2, 3, 4)}
+    best = best.withColumn("__xi", in_xi).withColumn(
+        "__bench", F.concat(F.sort_array(F.concat(left[2], left[3], left[4])), left[GK])) \
+        .withColumn("__cap", F.col("__xi")[0]["s"])
+
+    def rows_of(players, first):
+        return F.transform(players, lambda x, i: F.struct(x["row"].alias("r"), F.lit(first).alias("first"), i.alias("i")))
+    out = best.select(*keys, F.col("__best.formation").alias("formation"), F.col("__best.xi").alias("xi_points"),
+                      (F.col("__best.xi") + F.col("__cap")).alias("total_expected_points"),
+                      F.inline(F.concat(rows_of("__xi", True), rows_of("__bench", False))))
+    first = F.col("first")
+    return out.select(
+        *[F.col(c) if c in keys else F.col(f"r.{c}").alias(c) for c in rows.columns],
+        F.when(first, "starting").otherwise("bench").alias("squad_role"),
+        F.when(~first, F.col("i") + 1).cast("int").alias("bench_order"),
+        (first & (F.col("i") == 0)).alias("is_captain"), (first & (F.col("i") == 1)).alias("is_vice_captain"),
+        "formation", "xi_points", "total_expected_points")
 
 
 def chip_values(lineup: DataFrame, keys: Sequence[str] = ("entry_id", "gameweek_id"),

@@ -302,3 +302,15 @@ def test_prune_pool_equals_pairwise_dominance(spark):
                                      "score double")
     got = {r.player_code for r in prune_pool(pl).collect()}
     assert got == want and 0 < len(got) < len(pool)
+
+
+def test_lineup_takes_no_more_rows_than_players(spark):
+    """One row per key until it is written out: no row per formation, no sort of such rows."""
+    from gaffer.operators.decisions import best_lineup
+    shape = [1, 1] + [2] * 5 + [3] * 5 + [4] * 3
+    rows = spark.createDataFrame([(e, 1, c, shape[c], float(c + e)) for e in range(3) for c in range(15)],
+                                 "entry_id int, gameweek_id int, player_code int, position_id int, expected_points double")
+    out = best_lineup(rows)
+    assert out.count() == 45 and out.where("is_captain").count() == 3
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Window" not in plan
