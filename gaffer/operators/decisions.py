@@ -339,34 +339,17 @@ def transfer_plan(squads: DataFrame, pool: DataFrame, bank_t: DataFrame, free_tr
     single swap, and a lower bound of the optimum; ``upper_net_gain`` bounds
     the optimum from above (see :func:`transfer_upper_bound`), ``gap`` is between.
 
-    Rounds are stored, so each reads the one before, and the ladder is built once.
+    A manager's rounds depend on the own squad only: they run in the task that holds it, over
+    the ladder's players, so no round is joined, sorted or stored.
     """
     if ladder is None:
         ladder = materialized(price_ladder(pool, score, code, price_t=price_t), "ladder")
-    held = squads.select(entity, code, "purchase_tenths", F.lit(True).alias("__first"))
-    money, moves = bank_t, None
-    original = squads.select(entity, F.col(code).alias("in_code"), F.lit(True).alias("__back"))
-    for step in range(1, max_rounds + 1):
-        swap = best_single_transfer(held.drop("__first"), pool, money, entity, ladder=ladder) \
-            .where(F.round("gain", 9) > 0)
-        swap = materialized(swap.join(original, [entity, "in_code"], "left").select(
-            entity, F.lit(step).alias("step"), "out_code", "in_code", "gain", "bank_after",
-            F.coalesce("__back", F.lit(False)).alias("__back")), f"plan-{step}")
-        if swap.isEmpty():
-            break
-        moves = swap if moves is None else moves.unionByName(swap)
-        bought = swap.join(pool.select(F.col(code).alias("in_code"), F.col(price_t).alias("__p")), "in_code") \
-            .select(entity, F.col("in_code").alias(code), F.col("__p").alias("purchase_tenths"),
-                    F.col("__back").alias("__first"))
-        stay = held.join(swap.select(entity), entity, "left_semi") \
-            .join(swap.select(entity, F.col("out_code").alias(code)), [entity, code], "left_anti")
-        held = materialized(stay.unionByName(bought), f"squad-{step}")
-        money = swap.select(entity, F.round(F.col("bank_after") * 10).cast("bigint").alias("bank_tenths"))
+    from gaffer.operators.squads import swap_rounds  # it builds on this module
+    original = squads.select(entity, F.col(code).alias("in_code"), F.lit(True).alias("__back")).distinct()
+    found = swap_rounds(squads, pool, bank_t, ladder, max_rounds, entity, code, price_t, score, position)
+    moves = materialized(found.join(original, [entity, "in_code"], "left").withColumn(
+        "__back", F.coalesce("__back", F.lit(False))), "plan-moves")
     start = bank_t.select(entity)
-    if moves is None:
-        moves = start.limit(0).select(
-            entity, F.lit(0).alias("step"), F.lit(None).cast("bigint").alias("out_code"),
-            F.lit(None).cast("bigint").alias("in_code"), F.lit(0.0).alias("gain"), F.lit(False).alias("__back"))
     # every move in order: state after each prefix, from the manager's few moves
     flat = moves.join(squads.select(entity, F.col(code).alias("out_code"), F.lit(1).alias("__own")),
                       [entity, "out_code"], "left")

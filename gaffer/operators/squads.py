@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from gaffer.functions.scalars import sell_value_tenths
 from gaffer.operators.decisions import HIT, best_lineup, transfer_upper_bound
 from gaffer.operators.joins import bounded
-from gaffer.operators.squadsearch import LOW, Places, Players, search, value_of
+from gaffer.operators.squadsearch import LOW, Places, Players, search, swaps, value_of
 from gaffer.sources.landing import materialized
 from gaffer.sources.seed import MAX_PER_CLUB, SQUAD_RULES, SQUAD_SIZE, formation_shapes
 
@@ -257,6 +257,30 @@ def manager_rows(squads: DataFrame, pool: DataFrame, bank_t: DataFrame, entity:
             F.col(entity), F.col("bank_tenths").cast("long").alias("bank"), "own")
 
 
+def swap_rounds(squads: DataFrame, pool: DataFrame, bank_t: DataFrame, ladder: DataFrame, rounds: int,
+                entity: str = "entry_id", code: str = "player_code", price_t: str = "price_tenths", score: str = "score",
+                position: str = "position_id") -> DataFrame:
+    """entity, step, out_code, in_code, gain: every manager's best single swaps one after the other
+    (:func:`~gaffer.operators.squadsearch.swaps`). The players of ``ladder`` are all that can be a best buy; their number is
+    bounded by positions, clubs and prices, and they are all that is broadcast."""
+    players = ladder.where(F.col(score).isNotNull()).select(code, position, "team_code", price_t, score).distinct()
+    none = {k: np.zeros(0, t) for k, t in (("code", np.int64), ("position", np.int64), ("club", np.int64),
+                                           ("price", np.int64), ("score", np.float64))}
+    shared = squads.sparkSession.sparkContext.broadcast(Pool(players, (), code, position, "team_code", price_t, score).sets.get((), none))
+
+    def run(batches):
+        for b in batches:
+            out = [(entry, step, *swap) for entry, money, own in zip(*(c.to_pylist() for c in b.columns))
+                   for step, swap in enumerate(swaps(_own_arrays(own), money, shared.value, MAX_PER_CLUB, rounds), 1)]
+            cols = list(zip(*out)) or [[]] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(
+                cols, (b.schema.field(0).type, pa.int32(), pa.int64(), pa.int64(), pa.float64()))],
+                names=[entity, "step", "out_code", "in_code", "gain"])
+    managers = manager_rows(squads, pool, bank_t, entity, score, code, position, "team_code", price_t)
+    kind = managers.schema[entity].dataType.simpleString()
+    return dealt(managers, entity).mapInArrow(run, f"{entity} {kind}, step int, out_code long, in_code long, gain double")
+
+
 def transfers(squads: DataFrame, pool: DataFrame, bank_t: DataFrame, free_transfers: int = 1, hit: float = HIT,
               entity: str = "entry_id", most_moves: int = SQUAD_SIZE, steps: int = 25,
               pruned: DataFrame | None = None) -> DataFrame:

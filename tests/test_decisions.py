@@ -314,3 +314,15 @@ def test_lineup_takes_no_more_rows_than_players(spark):
     assert out.count() == 45 and out.where("is_captain").count() == 3
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan and "Window" not in plan
+
+
+def test_transfer_plan_stores_no_rounds(spark, monkeypatch):
+    """A manager's swaps run in the task that holds the squad: nothing is joined or stored per swap."""
+    from gaffer.operators import decisions as D
+    stored = []
+    monkeypatch.setattr(D, "materialized", lambda df, name, f=D.materialized: stored.append(name) or f(df, name))
+    pool = [(c, 1 + c % 4, c % 9, 50, float(c)) for c in range(80)]
+    mine = [[c for c in range(80) if 1 + c % 4 == q][:k] for q, k in QUOTA.items()]
+    sq = spark.createDataFrame([(1, c, 50) for x in mine for c in x], SQUAD_SCHEMA)
+    plan = D.transfer_plan(sq, spark.createDataFrame(pool, POOL_SCHEMA), spark.createDataFrame([(1, 0)], "entry_id int, bank_tenths int"))
+    assert plan.first().n_transfers > 5 and len(stored) <= 2
