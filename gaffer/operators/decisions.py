@@ -252,24 +252,23 @@ def prune_pool(pool: DataFrame, score: str = "score", code: str = "player_code",
 
     Exact without pairing players: a club dominates ``x`` iff its best player
     other than ``x`` at ``x``'s own price level does, and the price ladder
-    gives each club's two best per level, so each player meets at most
-    ``2 x clubs`` rows. Output: the kept players with ``dominating_clubs``.
+    gives each club's two best per level. A level's list is one row, so players are
+    neither shuffled nor multiplied. Output: the kept players with ``dominating_clubs``.
     """
     spark = pool.sparkSession
-    ladder = price_ladder(pool, score, code, position, club, price_t, depth=2) \
-        .select(F.col(position), F.col(club).alias("__c"), F.col("level_tenths"),
-                F.col(code).alias("__y"), F.col(score).alias("__ys"), "ladder_rank")
-    x = pool.select(code, position, club, price_t, score)
-    j = x.join(ladder, (x[position] == ladder[position])
-               & (x[price_t] == ladder["level_tenths"]), "left").drop(ladder[position])
-    # per (player, club): the best candidate that is not the player itself
-    j = j.where(F.col("__y") != F.col(code)).withColumn("__r", F.row_number().over(
-        Window.partitionBy(code, "__c").orderBy("ladder_rank"))).where(F.col("__r") == 1)
-    beats = (F.col("__ys") > F.col(score)) | ((F.col("__ys") == F.col(score)) & (F.col("__y") < F.col(code)))
-    dom = j.where(beats).groupBy(code).agg(F.countDistinct("__c").alias("dominating_clubs"))
+    ladder = price_ladder(pool, score, code, position, club, price_t, depth=2)
+    # one row per (position, price): two players per club, so positions, prices and clubs bound it
+    rivals = ladder.where(F.col(club).isNotNull()).groupBy(position, F.col("level_tenths").alias(price_t)).agg(
+        F.collect_list(F.struct(F.col(club).alias("c"), F.col(code).alias("y"), F.col(score).alias("s"))).alias("__rivals"))
+    x = pool.select(position, code, club, price_t, score)
+
+    def beats(r):
+        return (r["y"] != F.col(code)) & ((r["s"] > F.col(score)) | ((r["s"] == F.col(score)) & (r["y"] < F.col(code))))
+    clubs = F.array_distinct(F.transform(F.filter("__rivals", beats), lambda r: r["c"]))
     q = bounded(squad_quotas(spark))
-    keep = x.join(dom, code, "left").join(q, position) \
-        .withColumn("dominating_clubs", F.coalesce("dominating_clubs", F.lit(0)))
+    keep = x.join(bounded(rivals), [position, price_t], "left").join(q, position) \
+        .withColumn("dominating_clubs", F.when(F.col("__rivals").isNull(), F.lit(0)).otherwise(F.size(clubs)).cast("bigint")) \
+        .select(position, code, club, price_t, score, "dominating_clubs", "squad_quota")
     limit = F.lit((SQUAD_SIZE - 1) // MAX_PER_CLUB) + F.col("squad_quota")
     return keep.where(F.col("dominating_clubs") < limit).drop("squad_quota")
 

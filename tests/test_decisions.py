@@ -326,3 +326,11 @@ def test_transfer_plan_stores_no_rounds(spark, monkeypatch):
     sq = spark.createDataFrame([(1, c, 50) for x in mine for c in x], SQUAD_SCHEMA)
     plan = D.transfer_plan(sq, spark.createDataFrame(pool, POOL_SCHEMA), spark.createDataFrame([(1, 0)], "entry_id int, bank_tenths int"))
     assert plan.first().n_transfers > 5 and len(stored) <= 2
+
+
+def test_prune_pool_does_not_multiply_players(spark):
+    from gaffer.operators.decisions import prune_pool
+    pool = spark.createDataFrame([(c, 1 + c % 4, c % 9, 40 + c % 7, float(c)) for c in range(80)], POOL_SCHEMA)
+    plan = prune_pool(pool)._jdf.queryExecution().optimizedPlan().toString()
+    # players meet their price's list only: the one window over players is the ladder's own
+    assert "Expand" not in plan and plan.count("Window [") <= 2
