@@ -60,6 +60,8 @@ FRONTIER_BUDGET_TENTHS = 1000
 LAMBDAS = [x / 4 for x in range(0, 17)]   # price weights 0 .. 4 in steps of 0.25
 SCORE_DIGITS = 6                  # scores as exact 6-digit values: sums of them never sit on a rounding half-point
 
+TASK_ROWS = 500_000               # rows of a few columns that one task sorts or groups
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations"]
@@ -75,6 +77,11 @@ def position_of(segment) -> "F.Column":
             .when(s == "MACHINERY", 4).otherwise(3)).cast("int")
 
 
+def tasks_for(rows: DataFrame) -> int:
+    """Shuffle partitions for ``rows``: as the session says, more where a task would hold over ``TASK_ROWS``."""
+    return max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // TASK_ROWS))
+
+
 def _r(x) -> "F.Column":
     return F.round(x).cast("int")
 
@@ -341,10 +348,14 @@ class Analogue:
         ``quota`` per position (2/5/5/3), ties by customer key."""
         li = self.t("lineitem").select("l_orderkey", "l_suppkey", "l_shipdate")
         o = self.t("orders").select("o_orderkey", "o_custkey")
-        served = li.join(o, F.col("l_orderkey") == F.col("o_orderkey")) \
-            .groupBy(F.col("l_suppkey").alias("entry_id"), F.col("o_custkey").alias("player_code")) \
-            .agg(F.max("l_shipdate").alias("last_served"))
-        cand = served.join(self.source_players.select("player_code", "position_id"), "player_code") \
+        # tables of few narrow columns shrink so well that tasks made up by bytes hold very many rows
+        parts = tasks_for(li)
+        served = li.repartition(parts, "l_orderkey").join(o.repartition(parts, "o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey")) \
+            .select(F.col("l_suppkey").alias("entry_id"), F.col("o_custkey").alias("player_code"), "l_shipdate")
+        # one shuffle by player for the join and the aggregate
+        cand = served.repartition(parts, "player_code") \
+            .join(self.source_players.select("player_code", "position_id"), "player_code") \
+            .groupBy("entry_id", "player_code", "position_id").agg(F.max("l_shipdate").alias("last_served")) \
             .join(F.broadcast(squad_quotas(self.spark)), "position_id")
         ranked = top_k(cand, ["entry_id", "position_id"],
                        [F.col("last_served").desc(), F.col("player_code")], 5, "slot")

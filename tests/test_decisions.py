@@ -334,3 +334,9 @@ def test_prune_pool_does_not_multiply_players(spark):
     plan = prune_pool(pool)._jdf.queryExecution().optimizedPlan().toString()
     # players meet their price's list only: the one window over players is the ladder's own
     assert "Expand" not in plan and plan.count("Window [") <= 2
+
+
+def test_tasks_follow_the_rows(spark, monkeypatch):
+    from gaffer.plans import analogue
+    monkeypatch.setattr(analogue, "TASK_ROWS", 100)
+    assert analogue.tasks_for(spark.range(4001)) == 41 and analogue.tasks_for(spark.range(3)) == 8
