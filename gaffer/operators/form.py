@@ -10,6 +10,8 @@ Grain in/out:
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,12 +39,23 @@ def recent_form(perf: DataFrame, current_season: str, key: str = "player_code",
     # exact decimal weights (0.55 ** k has at most 2k digits) so the weighted
     # sums do not depend on the order of addition across tasks
     w = recency_weight("seasons_back").cast("decimal(20,12)")
+    # A weight is at most 1, so that its 12 digits are two integers of 6; counts are summed with
+    # each of them as longs and put together once per entity, to the same decimal.
+    base = base.withColumn("__w", w).withColumn("__units", (F.col("__w") * F.lit(10 ** 12)).cast("bigint"))
+    w, parts = F.col("__w"), (F.expr("__units div 1000000"), F.expr("__units % 1000000"))
+    counts = {f.name for f in base.schema.fields if f.dataType.typeName() in ("byte", "short", "integer")}
+
+    def weighted(m):
+        if m not in counts:
+            return F.sum(F.col(m) * w)
+        hi, lo = (F.sum(F.col(m) * part).cast("decimal(19,0)") for part in parts)
+        return hi * F.lit(Decimal("0.000001")) + lo * F.lit(Decimal("0.000000000001"))
     agg = base.groupBy(key).agg(
         F.sum(w).alias("total_weight"),
         F.sum(F.when(F.col("starts").isNotNull(), w)).alias("__known_w"),
         F.count(F.lit(1)).alias("gameweek_rows"),
         F.bool_or((F.col("seasons_back") == 0) & (F.col("minutes") > 0)).alias("has_current_season_minutes"),
-        *[F.sum(F.col(m) * w).alias(f"weighted_{m}") for m in measures],
+        *[weighted(m).alias(f"weighted_{m}") for m in measures],
     )
     def d(c):
         return F.col(c).cast("double")

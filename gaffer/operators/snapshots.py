@@ -59,22 +59,24 @@ def latest_run(df: DataFrame, ts: str) -> DataFrame:
               .drop("__max_ts"))
 
 
-def newest_run(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def newest_run(df: DataFrame, keys: Sequence[str], order: Sequence[str], few: bool = False) -> DataFrame:
     """SEL-1/2 for payloads landed in several rows or cells: ALL rows of each
     key's newest run, i.e. with the key's greatest ``order`` values (e.g.
     ``fetched_at, run_id``). Without keys: of the newest run overall.
 
     The maximum is a partially aggregated group (one row per key and task is
     shuffled) joined back; a hot key's rows are never gathered in one task, as
-    adaptive execution splits a skewed side of that join.
+    adaptive execution splits a skewed side of that join. ``few``: the keys are a
+    handful by construction (seasons). Hashed by them all rows would sit in as
+    many tasks, none of them skewed; their newest runs are broadcast instead.
     """
     stamp = F.struct(*[F.col(c).alias(c) for c in order])
     top = df.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(F.max(stamp).alias("__top"))
     same = stamp.eqNullSafe(F.col("__top"))
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
-    if not keys:
-        top = F.broadcast(top)  # a global aggregate: one row
+    if few or not keys:
+        top = F.broadcast(top)  # one row per key, or of a global aggregate
     return df.join(top, same).select(*df.columns)
 
 

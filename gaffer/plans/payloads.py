@@ -213,7 +213,8 @@ class Payloads:
         path = scratch_path(self.spark, f"csv/{self.tag}/{name}-{new_run_id()}")
         df.write.partitionBy("season").csv(path, header=True)
         fresh = land_csv(self.spark, path, fetched_at=NEW, run_id=self.run["new"], **landing)
-        stale = df.groupBy("season").agg(F.lit("{}").alias("payload"))
+        # the seasons are the written folders': ``df`` is not computed again for them
+        stale = fresh.groupBy("season").agg(F.lit("{}").alias("payload"))
         return fresh.unionByName(_landed(stale, OLD, self.run["old"]).select(fresh.columns))
 
     @mart

@@ -27,12 +27,12 @@ from gaffer.operators.snapshots import latest, latest_per_key, newest_run
 from gaffer.sources import schemas as S
 
 
-def newest(raw: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """The payload rows that staging reads: each key's newest run."""
+def newest(raw: DataFrame, keys: Sequence[str] = (), few: bool = False) -> DataFrame:
+    """The payload rows that staging reads: each key's newest run (``few``: see :func:`newest_run`)."""
     if "id" in raw.columns and "run_id" not in raw.columns:
         order = ["fetched_at", "id"]
         return latest_per_key(raw, list(keys), order) if keys else latest(raw, order)
-    return newest_run(raw, list(keys), [c for c in ("fetched_at", "run_id", "file") if c in raw.columns])
+    return newest_run(raw, list(keys), [c for c in ("fetched_at", "run_id", "file") if c in raw.columns], few)
 
 
 def _spread(df: DataFrame, partitions: int | None) -> DataFrame:
@@ -117,7 +117,7 @@ def stg_entry_transfers(transfers: DataFrame) -> DataFrame:
 
 
 def _by_season(raw: DataFrame, spec: dict) -> DataFrame:
-    snap = newest(raw, ["season"])
+    snap = newest(raw, ["season"], few=True)
     return unnest_json(snap, "payload", spec, carry=["season"])
 
 

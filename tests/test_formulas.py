@@ -104,3 +104,15 @@ def test_fixture_against_itself_counts_once(spark):
     fx = spark.createDataFrame([(1, 5, 3, 3), (2, 5, 3, 7)], "fixture_id int, gameweek_id int, h int, a int")
     rows = entity_fixtures(fx, "fixture_id", "h", "a", extra=["gameweek_id"]).collect()
     assert sorted((r.fixture_id, r.team, r.is_home) for r in rows) == [(1, 3, True), (2, 3, True), (2, 7, False)]
+
+
+def test_recent_form_of_counts_equals_exact_decimals(spark):
+    from gaffer.functions.formulas import PER90_MEASURES
+    measures = ["minutes", "starts", "clean_sheets"] + [m for m, _ in PER90_MEASURES]
+    rows = spark.range(0, 3000, 1, 4).select(
+        (F.col("id") % 40).alias("player_code"),
+        F.concat((F.lit(2026) - F.col("id") % 9).cast("string"), F.lit("-xx")).alias("season"),
+        *[F.when((F.col("id") + i) % 11 > 0, (F.col("id") * (i + 3)) % 97 - 5).cast("int").alias(m) for i, m in enumerate(measures)])
+    exact = rows.select("player_code", "season", *[F.col(m).cast("decimal(10,0)").alias(m) for m in measures])
+    got, want = ({r.player_code: r for r in recent_form(df, "2026-27").collect()} for df in (rows, exact))
+    assert len(got) == 40 and got == want

@@ -91,6 +91,44 @@ def test_newest_run_overall_and_per_key(spark):
     df = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (1, 2, "c"), (2, 1, "d"), (None, 5, "e")], "k int, ts int, p string")
     assert sorted(r.p for r in newest_run(df, ["k"], ["ts"]).collect()) == ["b", "c", "d", "e"]
     assert [r.p for r in newest_run(df, [], ["ts"]).collect()] == ["e"]
+    assert sorted(r.p for r in newest_run(df, ["k"], ["ts"], few=True).collect()) == ["b", "c", "d", "e"]
+
+
+def test_archive_rows_are_not_gathered_by_season(spark):
+    """Hashed by season, all rows of the archive sat in as many tasks as there are seasons."""
+    from gaffer.plans.staging import stg_historical_players
+    n = F.col("id")
+    raw = spark.range(0, 4000, 1, 8).select(
+        F.when(n % 2 == 0, "1999-00").otherwise("2000-01").alias("season"),
+        F.when(n % 10 == 3, "2001-01-01").otherwise("2001-02-01").cast("timestamp").alias("fetched_at"),
+        F.to_json(F.struct(n.cast("string").alias("id"), n.cast("string").alias("code"))).alias("payload"),
+        F.lit("run").alias("run_id"))
+    # as over a large archive, no size is small enough for a broadcast that was not asked for
+    limits = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {k: spark.conf.get(k, None) for k in limits}
+    try:
+        for k in limits:
+            spark.conf.set(k, "-1")
+        rows = stg_historical_players(raw)
+        assert sorted(r.player_code for r in rows.collect()) == [i for i in range(4000) if i % 10 != 3]
+        assert "SortMergeJoin" not in rows._jdf.queryExecution().executedPlan().toString()
+        assert rows.select(F.spark_partition_id().alias("p")).distinct().count() == 8
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_written_archive_is_not_computed_again(spark, tmp_path):
+    from types import SimpleNamespace
+    from gaffer.plans.payloads import Payloads
+    spark.createDataFrame([("1999-00", "a"), ("1999-00", "b"), ("2000-01", "c")], "season string, name string") \
+        .write.parquet(str(tmp_path / "source"))
+    payloads = Payloads(SimpleNamespace(spark=spark, materialize=False, tag="again"))
+    landed = payloads._csv(spark.read.parquet(str(tmp_path / "source")), "rows")
+    assert not [f for f in landed.inputFiles() if "/source/" in f]
+    assert sorted((r.season, r.run_id, r.payload) for r in landed.collect()) == [
+        ("1999-00", "run-1", "{}"), ("1999-00", "run-2", '{"name":"a"}'), ("1999-00", "run-2", '{"name":"b"}'),
+        ("2000-01", "run-1", "{}"), ("2000-01", "run-2", '{"name":"c"}')]
 
 
 def test_shared_folder_is_required_off_local_mode(monkeypatch):
