@@ -85,11 +85,12 @@ def best_lineup(rows: DataFrame, keys: Sequence[str] = ("entry_id", "gameweek_id
     ranked = squads.withColumn("__options", F.array_compact(F.array(*options))).withColumn("__best", F.array_min(F.transform(
         "__options", lambda x: F.struct(x["xi"].isNull().alias("o1"), (-F.round(x["xi"], 9)).alias("o2"), x["id"].alias("id"),
                                         x["xi"].alias("xi"), x["n"].alias("n"), x["formation"].alias("formation")))))
-    best = ranked.where(F.size("__options") > 0)
+    # Without an option the best one is null, and so is all that follows from it: ``inline`` then gives no row.
+    # A filter on the options would be pushed below their projection and reckon every formation twice.
     n = F.col("__best.n")
     in_xi = F.sort_array(F.concat(*[F.slice(F.col(f"__p{q}"), F.lit(1), n[q - 1]) for q in (1, 2, 3, 4)]))
     left = {q: F.slice(F.col(f"__p{q}"), n[q - 1] + 1, F.greatest(F.size(f"__p{q}"), F.lit(1))) for q in (1, 2, 3, 4)}
-    best = best.withColumn("__xi", in_xi).withColumn(
+    best = ranked.withColumn("__xi", in_xi).withColumn(
         "__bench", F.concat(F.sort_array(F.concat(left[2], left[3], left[4])), left[GK])) \
         .withColumn("__cap", F.col("__xi")[0]["s"])
 

@@ -340,3 +340,15 @@ def test_tasks_follow_the_rows(spark, monkeypatch):
     from gaffer.plans import analogue
     monkeypatch.setattr(analogue, "TASK_ROWS", 100)
     assert analogue.tasks_for(spark.range(4001)) == 41 and analogue.tasks_for(spark.range(3)) == 8
+
+
+def test_lineup_reckons_every_formation_once(spark):
+    """A filter on the options was pushed below them, and all formations were reckoned twice."""
+    from gaffer.operators.decisions import best_lineup, formation_shapes
+    shape = {1: 2, 2: 5, 3: 5, 4: 3}
+    rows = [(e, 1, q * 10 + i, q, float(q + i)) for e in (1, 2, 3) for q, n in shape.items() for i in range(n)
+            if not (e == 2 and q == 1) and not (e == 3 and q == 3)]   # no keeper; too few midfielders
+    squads = spark.createDataFrame(rows, "entry_id int, gameweek_id int, player_code int, position_id int, expected_points double")
+    out = best_lineup(squads)
+    assert {r.entry_id for r in out.collect()} == {1} and out.count() == 15
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("aggregate(") == len(list(formation_shapes()))
