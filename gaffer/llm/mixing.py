@@ -34,7 +34,9 @@ MIX_SHARE = 1.5   # of all words
 MAX_EPOCHS = 2
 BLOCK_WORDS = 512
 BUCKET_ROWS = 4096  # rows aimed at in one bucket of the two-level sums
-CELL_SLOTS = 64     # width of the cells in which points look for their source
+TASK_SLOTS = 1 << 18  # slots made by one task
+CELL_SLOTS = 64     # least width of the cells in which points look for their source
+MOST_CELLS = 4096   # cells of the whole range: with their sources they are no more than this and the sources
 GOLDEN = 0.6180339887498949
 SEED = 7
 
@@ -115,17 +117,18 @@ def source_schedule(targets: DataFrame, block_words: int) -> DataFrame:
     bounds = need.withColumn("total", F.sum("slots").over(Window.partitionBy())) \
         .withColumn("hi", F.sum("slots").over(Window.orderBy("source_no"))) \
         .withColumn("lo", F.col("hi") - F.col("slots"))
-    total = bounds.agg(F.max("total").alias("total")).where("total is not null")
-    slots = total.select("total", F.explode(F.sequence(
-        F.lit(0), F.floor((F.col("total") - 1) / BUCKET_ROWS))).alias("run")).repartition(F.col("run")) \
-        .select("total", "run", F.explode(F.sequence(
-            F.col("run") * BUCKET_ROWS, F.least((F.col("run") + 1) * BUCKET_ROWS, F.col("total")) - 1)).alias("slot"))
+    spark = targets.sparkSession
+    total = bounds.agg(F.max("total")).first()[0] or 0
+    # a range: Spark knows its size, as it would not know that of an exploded sequence
+    slots = spark.range(0, total, 1, total // TASK_SLOTS + 1).select(
+        F.floor(F.col("id") / BUCKET_ROWS).alias("run"), F.col("id").alias("slot"))
     point = F.col("slot") * F.lit(GOLDEN)
-    slots = slots.withColumn("at", (point - F.floor(point)) * F.col("total"))
+    slots = slots.withColumn("at", (point - F.floor(point)) * F.lit(total))
     # points find their source's range [lo, hi) through cells of equal width
+    width = max(CELL_SLOTS, -(-total // MOST_CELLS))
     cells = bounds.select("source_no", "lo", "hi", F.explode(F.sequence(
-        F.floor(F.col("lo") / CELL_SLOTS), F.floor((F.col("hi") - 1) / CELL_SLOTS))).alias("cell"))
-    slots = slots.withColumn("cell", F.floor(F.col("at") / CELL_SLOTS)).join(cells, "cell") \
+        F.floor(F.col("lo") / width), F.floor((F.col("hi") - 1) / width))).alias("cell"))
+    slots = slots.withColumn("cell", F.floor(F.col("at") / width)).join(cells, "cell") \
         .where("lo <= at and at < hi").select("run", "slot", "source_no")
     per_run = slots.groupBy("source_no", "run").agg(F.count("*").alias("n"))
     ahead = Window.partitionBy("source_no").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
@@ -155,7 +158,8 @@ def schedule_mix(df: DataFrame, weights=WEIGHTS, share: float = MIX_SHARE, epoch
     sizes = stored(document_sizes(df), "mix-sizes")
     targets = stored(source_targets(sizes, weights, share, epochs), "mix-targets")
     streams = stored(_streams(sizes, targets, seed), "mix-streams")
-    slots = source_schedule(targets, block_words)
+    # both sides grow with the input, and an exploded one is larger than Spark can tell: neither may be broadcast
+    slots = source_schedule(targets, block_words).hint("merge")
     return sizes, targets, streams, slots.join(_blocks(streams, block_words, epochs), ["source_no", "block"])
 
 

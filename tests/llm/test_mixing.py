@@ -108,3 +108,23 @@ def test_rows_of_one_or_of_no_id_spread(make_docs):
     assert len(rows) == 400 and sorted(r.begin for r in rows) == [3 * k for k in range(400)]
     spread = sizes.select("spread").distinct().count()
     assert spread == 400
+
+
+def broadcast_rows(node):
+    """Rows of every table that an executed plan has broadcast."""
+    name = node.getClass().getSimpleName()
+    if name == "AdaptiveSparkPlanExec":
+        return broadcast_rows(node.executedPlan())
+    if name.endswith("QueryStageExec"):
+        return broadcast_rows(node.plan())
+    own = [node.metrics().apply("numOutputRows").value()] if name == "BroadcastExchangeExec" else []
+    return own + [n for k in range(node.children().size()) for n in broadcast_rows(node.children().apply(k))]
+
+
+def test_slots_and_pieces_are_not_broadcast(make_docs):
+    """Slots are as many as the mix has blocks, pieces more: the driver must hold neither."""
+    docs = [(i, "w " * 200, "abc"[i % 3]) for i in range(600)]
+    out = mixing.document_takes(make_docs(docs), block_words=1)
+    check(out.collect(), docs)
+    rows = broadcast_rows(out._jdf.queryExecution().executedPlan())
+    assert rows and max(rows) <= 5000  # of 180,000 slots; the cells of the sources are the most
