@@ -93,48 +93,63 @@ def best_moves(own: dict, bank: int, pool: dict, free: int, hit: float):
     and pool. A club in which a player is bought has at most MAX_PER_CLUB afterwards. Ties go to
     fewer moves, then to the least codes sold, then bought."""
     unowned = ~np.isin(pool["code"], own["code"])
-    by_position = {q: np.flatnonzero(unowned & (pool["position"] == q)) for q in QUOTAS}
-    clubs = np.unique(np.concatenate([own["club"], pool["club"]]))
-    have = np.searchsorted(clubs, own["club"])
-    counts = np.bincount(have, minlength=len(clubs))
-    counts[clubs == -1] = -UNCAPPED
-    club_of = np.searchsorted(clubs, pool["club"])
+    shelf = shelves(pool)
+    clubs, have, club_of, counts = _clubs(own, pool)
     best, moves = 0.0, []
-    sellable = [int(o) for o in np.argsort(own["code"], kind="stable") if own["sell"][o] >= 0 and own["position"][o] in QUOTAS]
+    sellable = np.array([o for o in np.argsort(own["code"], kind="stable") if own["sell"][o] >= 0 and own["position"][o] in QUOTAS], int)
+    if not len(sellable):
+        return best, moves
+    sell, score = own["sell"][sellable], own["score"][sellable]
 
     def buys(o, budget, left):
-        i = by_position[own["position"][o]]
-        return i[(pool["price"][i] <= budget) & (left[club_of[i]] < MAX_PER_CLUB)]
-
-    for o in sellable:
-        left = counts.copy()
-        left[have[o]] -= 1
-        i = buys(o, bank + own["sell"][o], left)
-        if len(i):
-            gain = np.round(pool["score"][i] - own["score"][o] - hit * max(0, 1 - free), 9)
-            if gain.max() > best:
-                best, moves = float(gain.max()), [(o, int(i[gain.argmax()]))]
-    pairs, charge = [], hit * max(0, 2 - free)
-    cheapest = {q: int(pool["price"][i].min()) if len(i) else None for q, i in by_position.items()}
-    for x, a in enumerate(sellable):
-        for b in sellable[x + 1:]:
-            budget = bank + own["sell"][a] + own["sell"][b]
-            bound = -own["score"][a] - own["score"][b] - charge
-            for o, other in ((a, b), (b, a)):
-                rest = cheapest[own["position"][other]]
-                i = by_position[own["position"][o]]
-                s = pool["score"][i][pool["price"][i] <= budget - rest] if rest is not None else []
-                bound += s.max() if len(s) else LOW
-            pairs.append((bound, x, a, b, budget))
-    pairs.sort(key=lambda p: (-p[0], p[1]))
+        i = shelf.by_position[own["position"][o]]
+        return i[unowned[i] & (pool["price"][i] <= budget) & (left[club_of[i]] < MAX_PER_CLUB)]
+
+    goods = shelf.index[own["position"][sellable] - 1]  # a row per player sold, the best buys first
+    open_ = shelf.real[own["position"][sellable] - 1] & unowned[goods]
+    first, any_ = _first_legal(pool["price"][goods], club_of[goods], open_, bank + sell, counts, have[sellable])
+    if any_.any():
+        charge = hit * max(0, 1 - free)
+        gains = np.where(any_, np.round(pool["score"][goods[np.arange(len(sellable)), first]] - score - charge, 9), LOW)
+        if gains.max() > best:
+            o = int(sellable[gains.argmax()])
+            left = counts.copy()
+            left[have[o]] -= 1
+            i = buys(o, bank + own["sell"][o], left)
+            gain = np.round(pool["score"][i] - own["score"][o] - charge, 9)
+            best, moves = float(gain.max()), [(o, int(i[gain.argmax()]))]
+    # for every pair sold a bound of the gain: each place takes the best that the other's cheapest leaves money for
+    charge = hit * max(0, 2 - free)
+    budgets = bank + sell[:, None] + sell[None]
+    tops = np.full(budgets.shape, LOW)
+    positions = own["position"][sellable]
+    cheapest = {q: int(pool["price"][i].min()) if len(i) else None for q in QUOTAS for i in [shelf.by_price[q][unowned[shelf.by_price[q]]]]}
+    rest = np.array([np.nan if cheapest[q] is None else cheapest[q] for q in positions])
+    for q in np.unique(positions):
+        i = shelf.by_price[q][unowned[shelf.by_price[q]]]
+        if not len(i):
+            continue
+        mine = np.flatnonzero(positions == q)
+        so_far = np.concatenate([[LOW], np.maximum.accumulate(pool["score"][i])])
+        money = np.where(np.isnan(rest), -np.inf, budgets[mine] - rest)
+        tops[mine] = so_far[np.searchsorted(pool["price"][i], money, "right")]
+    x, y = np.triu_indices(len(sellable), 1)
+    bounds = -score[x] - score[y] - charge + tops[x, y] + tops[y, x]
     ties = []
-    for bound, _, a, b, budget in pairs:
-        if bound < best - 1e-6:
+    for k in np.argsort(-bounds, kind="stable"):
+        if bounds[k] < best - 1e-6:
             break
+        a, b = int(sellable[x[k]]), int(sellable[y[k]])
+        budget = int(budgets[x[k], y[k]])
         left = counts.copy()
         left[have[a]] -= 1
         left[have[b]] -= 1
         i, j = buys(a, budget, left), buys(b, budget, left)
+        if not len(i) or not len(j):
+            continue
+        # those that are too poor even with the best of the others can't reach what is known
+        need = best + own["score"][a] + own["score"][b] + charge - 1e-6
+        i, j = i[pool["score"][i] + pool["score"][j].max() >= need], j[pool["score"][j] + pool["score"][i].max() >= need]
         if not len(i) or not len(j):
             continue
         gain = np.round(pool["score"][i][:, None] + pool["score"][j][None] - own["score"][a] - own["score"][b] - charge, 9)
@@ -145,8 +160,8 @@ def best_moves(own: dict, bank: int, pool: dict, free: int, hit: float):
         gain[~legal] = LOW
         top = float(gain.max())
         if top > best or (ties and top == best):
-            k, m = np.unravel_index(int(gain.argmax()), gain.shape)
-            found = [(a, int(i[k])), (b, int(j[m]))]
+            k_, m = np.unravel_index(int(gain.argmax()), gain.shape)
+            found = [(a, int(i[k_])), (b, int(j[m]))]
             ties = [found] if top > best else [*ties, found]
             best = top
     if ties:
@@ -154,31 +169,68 @@ def best_moves(own: dict, bank: int, pool: dict, free: int, hit: float):
     return best, moves
 
 
+class Shelves:
+    """What the moves of all managers read off one pool: per position its indexes by price, and those of
+    all positions in rows of one width, best score first, ties by index (``real`` where a row has a player)."""
+
+    def __init__(self, pool: dict):
+        self.by_position = {q: np.flatnonzero(pool["position"] == q) for q in QUOTAS}
+        self.by_price = {q: i[np.argsort(pool["price"][i], kind="stable")] for q, i in self.by_position.items()}
+        self.index = np.zeros((max(QUOTAS), max([1, *map(len, self.by_position.values())])), int)
+        self.real = np.zeros(self.index.shape, bool)
+        for q, i in self.by_position.items():
+            self.index[q - 1, :len(i)] = i[np.argsort(-pool["score"][i], kind="stable")]
+            self.real[q - 1, :len(i)] = True
+
+
+def shelves(pool: dict) -> Shelves:
+    """The pool's shelves, made once for all managers of a task."""
+    if "shelves" not in pool:
+        pool["shelves"] = Shelves(pool)
+    return pool["shelves"]
+
+
+def _clubs(own: dict, pool: dict):
+    """(clubs, number of each own player's, of each pool player's, own players by club); an unknown club never fills."""
+    clubs = np.unique(np.concatenate([own["club"], pool["club"]]))
+    have = np.searchsorted(clubs, own["club"])
+    counts = np.bincount(have, minlength=len(clubs))
+    counts[clubs == -1] = -UNCAPPED
+    return clubs, have, np.searchsorted(clubs, pool["club"]), counts
+
+
+def _first_legal(price, club, open_, money, counts, sold):
+    """(first, found): of each row of goods the first that is open, within its money and whose club has room
+    after the row's own player of club ``sold`` has left."""
+    legal = (counts < MAX_PER_CLUB)[club]
+    full = np.flatnonzero(counts[sold] == MAX_PER_CLUB)
+    legal[full] |= club[full] == sold[full, None]
+    legal &= open_ & (price <= money[:, None])
+    first = legal.argmax(1)
+    return first, legal[np.arange(len(first)), first]
+
+
 def greedy_moves(own: dict, bank: int, pool: dict, free: int, hit: float):
     """Single best swaps one after the other while they gain, the best prefix of them:
     (net, codes of the squad). A start for :func:`search`."""
     code, sell, score = own["code"].copy(), own["sell"].copy(), own["score"].copy()
-    names = np.unique(np.concatenate([own["club"], pool["club"]]))
-    club, club_of = np.searchsorted(names, own["club"]), np.searchsorted(names, pool["club"])
-    counts = np.bincount(club, minlength=len(names))
-    counts[names == -1] = -UNCAPPED
+    _, club, club_of, counts = _clubs(own, pool)
     taken = np.isin(pool["code"], code)
-    by_position = {q: np.flatnonzero(pool["position"] == q) for q in QUOTAS}
-    best, squad, gross = 0.0, own["code"].tolist(), 0.0
+    mine = np.flatnonzero(np.isin(own["position"], list(QUOTAS)))
+    first_codes = own["code"].tolist()
+    best, squad, gross = 0.0, first_codes, 0.0
+    if not len(pool["code"]) or not len(mine):
+        return best, squad
+    shelf = shelves(pool)
+    goods, real = shelf.index[own["position"][mine] - 1], shelf.real[own["position"][mine] - 1]
+    price, clubs, rows = pool["price"][goods], club_of[goods], np.arange(len(mine))
+    worth = pool["score"][goods]
     for _ in range(SQUAD_SIZE):
-        swap = (1e-9, None, None)
-        for o in range(len(code)):
-            if sell[o] < 0 or own["position"][o] not in by_position:
-                continue
-            i = by_position[own["position"][o]]
-            room = counts[club_of[i]] - (club_of[i] == club[o]) < MAX_PER_CLUB
-            i = i[room & ~taken[i] & (pool["price"][i] <= bank + sell[o])]
-            if len(i):
-                gain = pool["score"][i] - score[o]
-                if gain.max() > swap[0]:
-                    swap = (float(gain.max()), o, int(i[gain.argmax()]))
-        gain, o, i = swap
-        if o is None:
+        first, found = _first_legal(price, clubs, real & ~taken[goods], bank + sell[mine], counts, club[mine])
+        gains = np.where(found & (sell[mine] >= 0), worth[rows, first] - score[mine], LOW)
+        k = int(gains.argmax())
+        gain, o, i = float(gains[k]), int(mine[k]), int(goods[k, first[k]])
+        if not gain > 1e-9:
             break
         bank += int(sell[o]) - int(pool["price"][i])
         taken |= pool["code"] == pool["code"][i]
@@ -187,9 +239,11 @@ def greedy_moves(own: dict, bank: int, pool: dict, free: int, hit: float):
         counts[club_of[i]] += 1
         code[o], sell[o], club[o], score[o] = pool["code"][i], pool["price"][i], club_of[i], pool["score"][i]
         gross += gain
-        net = gross - hit * max(0, int((~np.isin(own["code"], code)).sum()) - free)
+        held = code.tolist()
+        now = set(held)
+        net = gross - hit * max(0, sum(c not in now for c in first_codes) - free)
         if net > best + 1e-9:
-            best, squad = net, code.tolist()
+            best, squad = net, held
     return best, squad
 
 

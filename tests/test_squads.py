@@ -252,3 +252,51 @@ def test_two_moves_say_how_far_any_plan_could_go(spark):
                     most_moves=2).collect()[0]
     # two of the four better ones are bought; all four would win 46 less three hits
     assert (r.n_transfers, r.net_gain, r.upper_net_gain, r.gap) == (2, 21.0, 34.0, 13.0)
+
+
+def test_the_best_that_can_be_paid_is_read_off_the_clubs_best():
+    """With fines and shut players it is what the general search finds; it says None where money or buys bind."""
+    from gaffer.operators.squadsearch import Tops, best_at
+    rnd, paid = np.random.default_rng(6), 0
+    for trial in range(200):
+        m, free = int(rnd.integers(14, 80)), int(rnd.integers(0, 3))
+        p = Players(rnd.integers(1, 5, m), rnd.integers(0, 6, m), rnd.integers(4, 40, m), np.round(rnd.random(m) * 20, 6), rnd.random(m) < .6)
+        places, mu, budget = Places({1: 1, 2: 2, 3: 2, 4: 2}, {}, free, 4.0), np.where(rnd.random(6) < .5, rnd.random(6) * 9, 0), int(rnd.integers(60, 260))
+        tops, out = Tops(p, places), rnd.integers(0, 7)  # club 6: nobody is shut out
+        left, need = np.flatnonzero(p.club != out), float(rnd.random() * 60)
+        found = tops.best_at(mu, budget, need, tops.club == out)
+        if found is not None:
+            value, squad = best_at(p.take(left), (p.value - mu[p.club])[left], places, budget, need)
+            assert found == (pytest.approx(value), [int(left[i]) for i in squad])
+            paid += bool(squad)
+    assert paid > 40
+
+
+def test_a_rich_manager_takes_no_general_search(monkeypatch):
+    """Where money does not bind, no step of the search weighs prices of the whole pool."""
+    from gaffer.operators import squadsearch
+    rnd = np.random.default_rng(4)
+    n, calls = 1200, []
+    pool = {"code": np.arange(n), "position": rnd.integers(1, 5, n), "club": rnd.integers(0, 20, n),
+            "price": rnd.integers(40, 131, n), "score": np.round(rnd.random(n) * 40, 6)}
+    pool["score"][pool["club"] == 3] += 20  # one club fills up: fines and mending are needed
+    mine = np.concatenate([np.flatnonzero(pool["position"] == q)[:k] for q, k in QUOTAS.items()])
+    own = {k: pool[k][mine] for k in ("code", "position", "club", "score")} | {"sell": pool["price"][mine]}
+    general = squadsearch.best_at
+    monkeypatch.setattr(squadsearch, "best_at", lambda *a: calls.append(1) or general(*a))
+    net, outs, ins, upper = S.best_plan(own, 2000, pool, 1, 4, 25)
+    assert not calls and len(outs) == len(ins) > 2 and upper >= net > 0
+
+
+def test_one_pool_serves_managers_in_any_order():
+    """What is kept of a pool between managers does not depend on them."""
+    rnd = np.random.default_rng(8)
+    n = 200
+    pool = {"code": np.arange(n), "position": rnd.integers(1, 5, n), "club": rnd.integers(-1, 12, n),
+            "price": rnd.integers(40, 131, n), "score": np.round(rnd.random(n) * 40, 1)}
+    managers = []
+    for _ in range(6):
+        mine = rnd.choice(n, 15, replace=False)
+        managers.append(({k: pool[k][mine] for k in ("code", "position", "club", "score")} | {"sell": pool["price"][mine] - 3}, int(rnd.integers(0, 60))))
+    alone = [S.best_plan(own, bank, dict(pool), 1, 4, 25) for own, bank in managers]
+    assert [S.best_plan(own, bank, pool, 1, 4, 25) for own, bank in managers[::-1]] == alone[::-1]
